@@ -6,6 +6,7 @@ from importlib import import_module
 
 _QUERIES = {
     "op1_compression_quality": ("quality_classifier", "op1"),
+    "op3_cnn_toxicity": ("toxicity", "op3"),
 }
 
 
