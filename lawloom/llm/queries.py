@@ -6,7 +6,9 @@ from importlib import import_module
 
 _QUERIES = {
     "op1_compression_quality": ("quality_classifier", "op1"),
+    "op2_line_frequency_rules": ("quality_rules", "op2"),
     "op3_cnn_toxicity": ("toxicity", "op3"),
+    "op7_mixture_language": ("language_id", "op7"),
 }
 
 
@@ -19,4 +21,4 @@ def queries() -> dict:
 
 
 def oracle_sql() -> dict[str, str]:
-    return {}
+    return {"op2_line_frequency_rules": _bound("quality_rules", "OP2_SQL")}
