@@ -9,6 +9,7 @@ _QUERIES = {
     "op2_line_frequency_rules": ("quality_rules", "op2"),
     "op3_cnn_toxicity": ("toxicity", "op3"),
     "op7_mixture_language": ("language_id", "op7"),
+    "op8_pivotal_mixing": ("mixing", "op8"),
 }
 
 
