@@ -10,6 +10,7 @@ _QUERIES = {
     "op3_cnn_toxicity": ("toxicity", "op3"),
     "op7_mixture_language": ("language_id", "op7"),
     "op8_pivotal_mixing": ("mixing", "op8"),
+    "op9_line_block_text": ("html_text", "op9"),
 }
 
 
