@@ -12,6 +12,7 @@ _QUERIES = {
     "op5_bayesian_minhash": ("minhash", "op5"),
     "op6_int8_tiles": ("embedding_dedup", "op6"),
     "op7_mixture_language": ("language_id", "op7"),
+    "op10_run_length_repeats": ("repeats", "op10"),
     "op8_pivotal_mixing": ("mixing", "op8"),
     "op9_line_block_text": ("html_text", "op9"),
 }
