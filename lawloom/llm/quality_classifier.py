@@ -22,6 +22,7 @@ import pyarrow as pa
 import zstandard
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import DoubleType, StructField, StructType
 
 from .common import bounded_sample, held_out, raw, slices
 
@@ -131,11 +132,25 @@ def fit(docs: DataFrame, labelled: DataFrame, rows_of_a_class: int = ROWS_OF_A_C
     return model
 
 
+def scored(docs: DataFrame, model: Model) -> DataFrame:
+    """The rows of docs with their score in the column __score; the whole text counts."""
+    tools: list = []
+
+    def work(batches):
+        if not tools:
+            tools.extend(compressors(model))
+        for batch in slices(batches):
+            data, at = raw(batch.column(batch.schema.get_field_index("text")))
+            data = data.tobytes()
+            x = np.array([model.evidence(data[a:b], tools) for a, b in zip(at[:-1], at[1:])])
+            yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(model.score(x), pa.float64())], [*batch.schema.names, "__score"])
+
+    return docs.mapInArrow(work, StructType([*docs.schema.fields, StructField("__score", DoubleType())]))
+
+
 def score(docs: DataFrame, model: Model) -> DataFrame:
-    """(doc_id, score) of every row; the whole text counts."""
-    out = docs.select("doc_id", "text").mapInArrow(_evidences(model), "doc_id long, evidence double")
-    z = F.greatest(F.lit(-35.0), F.least(F.lit(35.0), F.lit(model.slope) * F.col("evidence") + F.lit(model.bias)))
-    return out.select("doc_id", (1 / (1 + F.exp(-z))).alias("score"))
+    """(doc_id, score) of every row."""
+    return scored(docs.select("doc_id", "text"), model).select("doc_id", F.col("__score").alias("score"))
 
 
 def fitted(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Model:
