@@ -21,6 +21,7 @@ import os
 
 import numpy as np
 import pyarrow as pa
+import regex
 import zstandard
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession
@@ -33,14 +34,21 @@ END = 2
 AXES = 4
 BITS = 10
 DIMENSIONS = 1024
-#: Words whose ids a task remembers; beyond it, it starts anew.
+#: Words, and pieces, whose ids a task remembers; beyond it, it starts anew.
 REMEMBERED = 200_000
 
 
+#: Words of these characters only are composed already and lower-cased one by one, so their pieces are those of the tokenizer.
+_PLAIN = regex.compile(r"[\x21-\x7e\u00a1-\u012f\u0131-\u017e]+")
+#: Fixed value: the pattern by which the tokenizer cuts a lower-cased text into pieces.
+_PIECES = regex.compile(r"'s|'t|'re|'ve|'m|'ll|'d|\p{L}+|\p{N}|[^\s\p{L}\p{N}]+")
+
+
 class Words(dict):
     """Ids of a text as little-endian unsigned 16-bit numbers, by way of its words.
 
-    The tokenizer never joins ids over white space, so each word stands for itself and its ids can be remembered.
+    The tokenizer never joins ids over white space, nor over the pieces into which it cuts a word, so words and pieces
+    stand for themselves and their ids can be remembered.
     """
 
     def __init__(self, path: str):
@@ -49,17 +57,29 @@ class Words(dict):
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
+        self.pieces: dict[str, bytes] = {}
         if self.tokenizer.get_vocab_size() > 1 << 16:
             raise ValueError("ids of more than 16 bits")
 
     def __missing__(self, word: str) -> bytes:
-        ids = np.array(self.tokenizer.encode(word, add_special_tokens=False).ids, "<u2").tobytes()
+        pieces = _PIECES.findall(word.lower()) if "<|" not in word and _PLAIN.fullmatch(word) else [word]
+        ids = b"".join(map(self._piece, pieces)) if len(pieces) > 1 else self._piece(pieces[0] if pieces else word)
         if len(word) <= 64:
             if len(self) >= REMEMBERED:
                 self.clear()
             self[word] = ids
         return ids
 
+    def _piece(self, piece: str) -> bytes:
+        ids = self.pieces.get(piece)
+        if ids is None:
+            ids = np.array(self.tokenizer.encode(piece, add_special_tokens=False).ids, "<u2").tobytes()
+            if len(piece) <= 64:
+                if len(self.pieces) >= REMEMBERED:
+                    self.pieces.clear()
+                self.pieces[piece] = ids
+        return ids
+
     def ids(self, text: str) -> bytes:
         return b"".join(map(self.__getitem__, text.replace("\n", " ").replace("\t", " ").replace("\r", " ").split(" ")))
 

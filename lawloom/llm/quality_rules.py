@@ -19,7 +19,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import SPACE, WORD
+from .common import SPACE, WORD, materialised
 
 LEAST_WORDS = 20
 MOST_REPEATED = 30  # per cent of the words
@@ -76,7 +76,7 @@ KEYS = ["row", "content", "host"]
 
 
 def measures(docs: DataFrame) -> DataFrame:
-    """doc_id, its keys, and the base measures of every row."""
+    """doc_id, its keys, the base measures, and the hash and words of each line of every row."""
     text = F.coalesce("text", F.lit(""))
     lines = F.filter(F.split(text, "\n"), lambda x: x.rlike(WORD))
     base = docs.select("doc_id", *_keys(), text.alias("text"), word_array(F.col("text")).alias("words"), lines.alias("lines"))
@@ -88,14 +88,13 @@ def measures(docs: DataFrame) -> DataFrame:
         (F.length("text") - F.length(F.translate("text", "#*$%&|<>", ""))).cast("long").alias("n_symbols"),
         (F.size("lines") - F.size(F.array_distinct("lines"))).cast("long").alias("n_dup_lines"),
         repeated_words(F.col("words")).cast("long").alias("n_repeat_words"),
+        F.transform("lines", lambda x: F.struct(F.xxhash64(normalised(x)).alias("line"), F.size(word_array(x)).alias("line_words"))).alias("hashed"),
     )
 
 
-def line_rows(docs: DataFrame) -> DataFrame:
-    """The keys, host, line hash and words of each line with a word, repeats included."""
-    lines = F.split(F.coalesce("text", F.lit("")), "\n")
-    hashed = F.transform(F.filter(lines, lambda x: x.rlike(WORD)), lambda x: F.struct(F.xxhash64(normalised(x)).alias("line"), F.size(word_array(x)).alias("line_words")))
-    return docs.select(*_keys(), F.inline(hashed))
+def line_rows(measured: DataFrame) -> DataFrame:
+    """The keys, line hash and words of each line with a word, repeats included."""
+    return measured.select(*KEYS, F.inline("hashed"))
 
 
 def common_lines(lines: DataFrame, least_docs: int = LINE_DOCS, least_share: int = LINE_SHARE) -> DataFrame:
@@ -109,10 +108,12 @@ def common_lines(lines: DataFrame, least_docs: int = LINE_DOCS, least_share: int
 def rules(docs: DataFrame) -> DataFrame:
     """Measures, base verdict, words lost to common lines, and the final verdict of every row."""
     docs = docs.select("doc_id", "text", "source")
-    base = measures(docs).withColumn("base_failed", (F.col("n_words") < LEAST_WORDS) | (100 * F.col("n_repeat_words") > MOST_REPEATED * F.col("n_words")))
-    salted = line_rows(docs).withColumn("salt", F.pmod(F.col("row"), F.lit(SALTS)))
-    spread = common_lines(line_rows(docs)).select("host", "line", F.explode(F.sequence(F.lit(0).cast("long"), F.lit(SALTS - 1).cast("long"))).alias("salt"))
-    repeated = docs.select(*_keys()).groupBy(KEYS).agg(F.count("*").alias("copies")).filter("copies > 1")
+    measured = materialised(measures(docs))  # the texts are read once; a line is a hash and a number from here on
+    base = measured.drop("hashed").withColumn("base_failed", (F.col("n_words") < LEAST_WORDS) | (100 * F.col("n_repeat_words") > MOST_REPEATED * F.col("n_words")))
+    lines = line_rows(measured)
+    salted = lines.withColumn("salt", F.pmod(F.col("row"), F.lit(SALTS)))
+    spread = common_lines(lines).select("host", "line", F.explode(F.sequence(F.lit(0).cast("long"), F.lit(SALTS - 1).cast("long"))).alias("salt"))
+    repeated = base.groupBy(KEYS).agg(F.count("*").alias("copies")).filter("copies > 1")
     lost = salted.join(spread, ["host", "line", "salt"]).groupBy(KEYS).agg(F.sum("line_words").alias("lost")).join(repeated, KEYS, "left")
     lost = lost.select(*KEYS, (F.col("lost") / F.coalesce("copies", F.lit(1))).alias("n_common_words"))
     joined = base.join(lost, KEYS, "left").withColumn("n_common_words", F.coalesce("n_common_words", F.lit(0)).cast("long"))
