@@ -1,15 +1,21 @@
 """Mixing sources to target weights by pivotal dependent rounding, in DataFrame functions only.
 
 Every document of a source should appear target / source_size times. The whole part
-is certain; the fractional parts are rounded dependently: within a chunk of about
-CHUNK documents of one source (largest first) two fractional documents meet, and a
-random transfer of words between them, which leaves their expected words and the
-sum of both unchanged, makes one of them whole. The one that stays fractional meets
-the next. Each chunk hands one residual up; residuals are chunked again until one
-chunk a source is left (a reduction tree whose nodes are bounded groups), and its
-last residual goes to the nearer whole number. So a source misses its target by at
-most half of that one document, and the descending order tends to make it a small
-one. Draws are hashes of the seed, the level and the row, so reruns agree.
+is certain; the fractional parts are rounded dependently, in words: two fractional
+parties meet, and a random transfer of words between them, which leaves the expected
+words of both and the sum unchanged, makes one of them whole. One party is a document,
+the other all smaller documents of its group together (the transfer scales their
+fractions), so the largest documents become whole first and what stays fractional at
+the end of a group is small. Groups form a reduction tree:
+
+1. the giants of a source, more than 1 / GIANTS of its words each (so fewer than
+   GIANTS of them), meet all the rest of the source;
+2. the rest is dealt into groups of about CHUNK documents by a hash; each group hands
+   one residual up, and residuals are grouped again until one group a source is left.
+
+The last residual goes to the nearer whole number, so a source misses its target by
+half of one document that is no giant, at most, unless giants alone make up the source.
+Draws are hashes of the seed, the level and the row, so reruns agree.
 
 Defined results: a null or empty text has size 0 and takes 0 words; a null source
 is one source, ordered last; a source without words has target 0; repeated rows are
@@ -27,6 +33,7 @@ from pyspark.sql import functions as F
 from .common import SPACE, materialised
 
 CHUNK = 128
+GIANTS = 256
 MOST = 3
 SEED = 8
 
@@ -60,40 +67,67 @@ def _uniform(*of: Column) -> Column:
     return F.pmod(F.xxhash64(F.lit(SEED), *of), F.lit(1 << 53)) / F.lit(float(1 << 53))
 
 
+def _let(values: dict[str, Column], then) -> Column:
+    """`then` of a struct of values, each of them computed once."""
+    return F.transform(F.array(F.struct(*(v.alias(k) for k, v in values.items()))), then)[0]
+
+
 def _meet(s: Column, x: Column) -> Column:
-    """The residual s meets the document x: one of them becomes whole, the other is the new residual."""
-    a, p, b, q = s["size"], s["p"], x["size"], x["p"]
-    up, down = F.least(1 - p, q * b / a), F.least(p, (1 - q) * b / a)
-    raised = x["u"] < F.coalesce(down / F.nullif(up + down, F.lit(0.0)), F.lit(0.0))
-    new_q = F.when(raised, q - up * a / b).otherwise(q + down * a / b)
-    new_p = F.when(raised, p + up).otherwise(p - down)
-    first_whole = F.when(raised, 1 - p <= q * b / a).otherwise(p <= (1 - q) * b / a)
-    whole = F.when(first_whole, raised).otherwise(~raised).cast("double")
-    done = F.struct(F.when(first_whole, s["i"]).otherwise(x["i"]).alias("i"), whole.alias("p"))
-    return F.struct(
-        F.concat(s["done"], F.array(done)).alias("done"),
-        F.when(first_whole, x["i"]).otherwise(s["i"]).alias("i"),
-        F.when(first_whole, b).otherwise(a).alias("size"),
-        F.when(first_whole, new_q).otherwise(new_p).alias("p"),
-    )
+    """The document x meets all documents after it, whose fraction p0 stands for add + times * p0 by now.
+
+    s: settled documents, that map, and the size and fractional words (by p0) of x and all after it.
+    """
+    zero, one = F.lit(0.0), F.lit(1.0)
+
+    def transfer(a: Column) -> Column:
+        mass = F.least(a["rest"], F.greatest(zero, s["add"] * a["rest"] + s["times"] * a["held"]))  # fractional words of the others
+        return _let({"mass": mass, "room": a["rest"] - mass}, lambda b: _let({"up": F.least((1 - a["p"]) * a["size"], b["mass"]), "down": F.least(a["p"] * a["size"], b["room"])}, lambda c: result(a, b, c)))
+
+    def result(a: Column, b: Column, c: Column) -> Column:
+        raised = x["u"] * (c["up"] + c["down"]) < c["down"]
+        whole = F.when(raised, (1 - a["p"]) * a["size"] <= b["mass"]).otherwise(a["p"] * a["size"] <= b["room"]) & (a["rest"] > 0)
+        return _let({"raised": raised, "whole": whole, "fixed": (a["p"] <= 0) | (a["p"] >= 1)}, lambda d: state(a, b, c, d))
 
+    def state(a: Column, b: Column, c: Column, d: Column) -> Column:
+        settled = (
+            F.when(d["fixed"] | (a["rest"] <= 0), a["p"]).when(d["whole"], d["raised"].cast("double")).when(d["raised"], a["p"] + c["up"] / a["size"]).otherwise(a["p"] - c["down"] / a["size"])
+        )
+        # a transfer of all they have, or all they can take, makes the others whole
+        scale = F.when(d["fixed"], one).when(~d["whole"], zero).when(d["raised"], 1 - c["up"] / b["mass"]).otherwise(1 - c["down"] / b["room"])
+        lift = F.when(d["fixed"] | d["raised"], zero).when(d["whole"], c["down"] / b["room"]).otherwise(one)
+        done = F.concat(s["done"], F.array(F.struct(x["i"].alias("i"), settled.alias("p"))))
+        maps = _let({"scale": F.coalesce(scale, zero), "lift": F.coalesce(lift, zero)}, lambda m: F.struct((m["lift"] + m["scale"] * s["add"]).alias("add"), (m["scale"] * s["times"]).alias("times")))
+        return _let({"done": done, "maps": maps}, lambda r: F.struct(r["done"].alias("done"), r["maps"]["add"].alias("add"), r["maps"]["times"].alias("times"), a["rest"].alias("rest"), a["held"].alias("held")))
 
-def _level(rows: DataFrame, chunks: Column, level: int) -> DataFrame:
-    """Round within chunks of rows (doc_id, source, size, content, p); whole p are settled, one row a chunk may stay between."""
-    dealt = rows.withColumn("chunk", F.pmod(F.xxhash64(F.lit(SEED + level), "doc_id", "content"), chunks))
+    start = {"size": x["size"], "p": s["add"] + s["times"] * x["p"], "rest": F.greatest(zero, s["rest"] - x["size"]), "held": F.greatest(zero, s["held"] - x["size"] * x["p"])}
+    return _let(start, transfer)
+
+
+def _level(rows: DataFrame, group: list[Column], level: int, others: Column | None = None) -> DataFrame:
+    """Round within groups of rows (doc_id, source, size, content, p): source, doc_id, size, content, p, add, times.
+
+    others: size and fractional words of documents that take part but are not among the rows; add and times map their
+    fractions. Without others at most one row of a group stays fractional.
+    """
     item = F.struct((-F.col("size")).alias("order"), _uniform(F.lit(level), F.col("doc_id"), F.col("content")).alias("u"), "doc_id", "content", "size", "p")
-    grouped = dealt.groupBy("source", "chunk").agg(F.sort_array(F.collect_list(item)).alias("items"))
+    outside = others if others is not None else F.struct(F.lit(0.0).alias("rest"), F.lit(0.0).alias("held"))
+    grouped = rows.withColumn("outside", outside).groupBy("source", *group).agg(F.sort_array(F.collect_list(item)).alias("items"), F.first("outside").alias("outside"))
     numbered = F.transform("items", lambda x, i: F.struct(i.alias("i"), x["size"].cast("double").alias("size"), x["p"].alias("p"), x["u"].alias("u")))
+    total = lambda f: F.aggregate(numbered, F.lit(0.0), lambda s, x: s + f(x))
     start = F.struct(
-        F.array().cast("array<struct<i:int,p:double>>").alias("done"), F.lit(0).alias("i"), F.col("items")[0]["size"].cast("double").alias("size"), F.col("items")[0]["p"].alias("p")
+        F.array().cast("array<struct<i:int,p:double>>").alias("done"),
+        F.lit(0.0).alias("add"),
+        F.lit(1.0).alias("times"),
+        (F.col("outside.rest") + total(lambda x: x["size"])).alias("rest"),
+        (F.col("outside.held") + total(lambda x: x["size"] * x["p"])).alias("held"),
     )
-    folded = F.aggregate(F.slice(numbered, 2, F.greatest(F.lit(1), F.size("items"))), start, _meet, lambda s: F.concat(s["done"], F.array(F.struct(s["i"], s["p"]))))
-    flat = grouped.select("source", "items", F.explode(folded).alias("e"))
+    folded = grouped.select("source", "items", F.aggregate(numbered, start, _meet).alias("f"))
+    flat = folded.select("source", "items", "f.add", "f.times", F.explode("f.done").alias("e"))
     item = F.col("items")[F.col("e.i")]
-    return flat.select(item["doc_id"].alias("doc_id"), "source", item["size"].alias("size"), item["content"].alias("content"), F.col("e.p").alias("p"))
+    return flat.select(item["doc_id"].alias("doc_id"), "source", item["size"].alias("size"), item["content"].alias("content"), F.col("e.p").alias("p"), "add", "times")
 
 
-def rounded(sized: DataFrame, goal: DataFrame, chunk: int = CHUNK) -> DataFrame:
+def rounded(sized: DataFrame, goal: DataFrame, chunk: int = CHUNK, giants: int = GIANTS) -> DataFrame:
     """doc_id, source, size, content, copies, source_size, target of every row of sized."""
     rate = F.when(F.col("source_size") > 0, F.col("target") / F.col("source_size")).otherwise(F.lit(0.0))
     whole = F.when(F.abs(rate - F.round(rate)) < 1e-9, F.round(rate)).otherwise(F.floor(rate))
@@ -101,26 +135,41 @@ def rounded(sized: DataFrame, goal: DataFrame, chunk: int = CHUNK) -> DataFrame:
     goal = materialised(goal)
     most = goal.agg(F.max("n")).first()[0] or 0
     named = goal.withColumnRenamed("source", "of")
-    joined = sized.join(named, sized["source"].eqNullSafe(named["of"])).drop("of")
+
+    def with_source(rows: DataFrame, of: DataFrame, how: str = "inner") -> DataFrame:
+        return rows.join(of, rows["source"].eqNullSafe(of["of"]), how).drop("of")
+
+    joined = with_source(sized, named)
+    columns = ["doc_id", "source", "size", "content", "p"]
     fractional = (F.col("rest") > 1e-9) & (F.col("size") > 0)
-    settled = joined.filter(~fractional).select("doc_id", "source", "size", "content", F.lit(0.0).alias("p"))
-    open_ = joined.filter(fractional).select("doc_id", "source", "size", "content", F.col("rest").alias("p"), "n")
-    level, count = 0, F.col("n")
+    settled = joined.filter(~fractional).withColumn("p", F.lit(0.0)).select(columns)
+    open_ = joined.filter(fractional).withColumn("p", F.col("rest"))
+    giant = F.col("size") * giants > F.col("source_size")
+    large = open_.filter(giant)
+    sums = large.groupBy("source").agg(F.sum("size").alias("large")).withColumnRenamed("source", "of")
+    outside = (F.col("source_size") - F.col("large")).cast("double")
+    top = materialised(_level(with_source(large, sums), [], 0, F.struct(outside.alias("rest"), (outside * F.col("p")).alias("held"))))
+    changed = top.groupBy("source").agg(F.first("add").alias("add"), F.first("times").alias("times")).withColumnRenamed("source", "of")
+    moved = F.col("add") + F.col("times") * F.col("p")
+    others = with_source(open_.filter(~giant), changed, "left").withColumn("p", F.coalesce(F.least(F.lit(1.0), F.greatest(F.lit(0.0), moved)), "p"))
+    is_whole = F.col("p").isin(0.0, 1.0)
+    settled = settled.unionByName(top.filter(is_whole).select(columns)).unionByName(others.filter(is_whole).select(columns))
+    residuals = top.filter(~is_whole).select(columns)
+    open_ = others.filter(~is_whole).select(*columns, "n")
+    level = 1
     while True:
-        chunks = F.greatest(F.lit(1), F.ceil(count / chunk)).cast("long")
-        done = materialised(_level(open_, chunks, level))
-        settled = settled.unionByName(done.filter("p IN (0.0, 1.0)"))
-        left = done.filter("p NOT IN (0.0, 1.0)")
+        chunks = F.greatest(F.lit(1), F.ceil(F.col("n") / chunk)).cast("long")
+        done = materialised(_level(open_.withColumn("chunk", F.pmod(F.xxhash64(F.lit(SEED + level), "doc_id", "content"), chunks)), [F.col("chunk")], level))
+        settled = settled.unionByName(done.filter(is_whole).select(columns))
+        left = done.filter(~is_whole).select(columns)
         most = math.ceil(most / chunk)
         if most <= 1:
             break
         level += 1
         here = left.groupBy("source").agg(F.count("*").alias("n")).withColumnRenamed("source", "of")
-        open_ = left.join(here, left["source"].eqNullSafe(here["of"])).drop("of")
-        count = F.col("n")
-    last = left.withColumn("p", (F.col("p") >= 0.5).cast("double"))
-    all_ = settled.unionByName(last)
-    out = all_.join(named, all_["source"].eqNullSafe(named["of"])).drop("of")
+        open_ = with_source(left, here)
+    last = left.unionByName(residuals).withColumn("p", (F.col("p") >= 0.5).cast("double"))
+    out = with_source(settled.unionByName(last), named)
     return out.select("doc_id", "source", "size", "content", (F.col("whole") + F.col("p").cast("long")).alias("copies"), "source_size", "target")
 
 

@@ -30,6 +30,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
 from .common import _BASE, _BYTE, materialised, mixed, raw, slices, span_hashes
 
@@ -324,7 +325,7 @@ def without_repeats(docs: DataFrame, carry: list[str] | None = None) -> DataFram
     spark = docs.sparkSession
     buckets = 2 * int(spark.conf.get("spark.sql.shuffle.partitions"))
     key = F.xxhash64("doc_id", "text").alias("key")
-    rows = docs.select("doc_id", "text", key, *carry)
+    rows = docs.select("doc_id", "text", key, F.struct(F.lit(0).alias("_"), *carry).alias("__carried"))  # names of their own cannot clash
     texts = rows.repartition("key")
     sent = rows.filter("doc_id IS NOT NULL AND text IS NOT NULL").select("key", "text").mapInArrow(_sent_hashes(buckets), "bucket int, keys binary, counts binary, low binary, high binary")
     shared = sent.groupBy("bucket").applyInArrow(_shared(buckets), "key long, codes binary")
@@ -339,9 +340,9 @@ def without_repeats(docs: DataFrame, carry: list[str] | None = None) -> DataFram
     matched = contexts.groupBy("bucket").applyInArrow(_matched, "key long, doc_id long, marks binary")
     marks = matched.select("key", "marks", F.lit(False).alias("copy")).unionByName(copies.select("key", F.lit(None).cast("binary").alias("marks"), F.lit(True).alias("copy")))
     marks = marks.groupBy("key").agg(F.collect_list("marks").alias("marks"), F.max("copy").alias("copy"))
-    out = texts.join(marks, "key", "left").select("doc_id", "text", "marks", "copy", *carry)
-    kinds = "".join(f", `{f.name}` {f.dataType.simpleString()}" for f in docs.select(*carry).schema)
-    return out.mapInArrow(_cut, "doc_id long, n_bytes long, removed array<struct<start:long,end:long>>, kept binary" + kinds)
+    out = texts.join(marks, "key", "left").select("doc_id", "text", "marks", "copy", "__carried")
+    kind = StructType.fromDDL("doc_id long, n_bytes long, removed array<struct<start:long,end:long>>, kept binary")
+    return out.mapInArrow(_cut, StructType([*kind.fields, out.schema["__carried"]])).select("doc_id", "n_bytes", "removed", "kept", *(F.col("__carried")[c].alias(c) for c in carry))
 
 
 def op10(spark: SparkSession, sf_dir: str) -> DataFrame:
