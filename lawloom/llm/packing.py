@@ -18,70 +18,109 @@ text are not read. The tokenizer file is a parameter and is read by each task.
 from __future__ import annotations
 
 import os
+from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 import regex
 import zstandard
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import scratch, slices
+from .common import raw, scratch, slices
 
 LENGTH = 4096
 END = 2
 AXES = 4
 BITS = 10
 DIMENSIONS = 1024
-#: Words, and pieces, whose ids a task remembers; beyond it, it starts anew.
-REMEMBERED = 200_000
+#: Words, and pieces, whose ids a worker remembers; beyond it, it starts anew.
+REMEMBERED = 300_000
 
 
 #: Words of these characters only are composed already and lower-cased one by one, so their pieces are those of the tokenizer.
 _PLAIN = regex.compile(r"[\x21-\x7e\u00a1-\u012f\u0131-\u017e]+")
 #: Fixed value: the pattern by which the tokenizer cuts a lower-cased text into pieces.
 _PIECES = regex.compile(r"'s|'t|'re|'ve|'m|'ll|'d|\p{L}+|\p{N}|[^\s\p{L}\p{N}]+")
+#: Blank, tab, line feed and carriage return end a word here; the tokenizer sees any other white space itself.
+_BLANK = np.arange(256, dtype=np.uint8)
+_BLANK[[9, 10, 13]] = 32
 
 
-class Words(dict):
-    """Ids of a text as little-endian unsigned 16-bit numbers, by way of its words.
+def _byte_letters() -> dict[int, int]:
+    """The character by which byte-level vocabularies write each byte: printable ones stand for themselves, others follow from 256 on."""
+    own = {*range(33, 127), *range(161, 173), *range(174, 256)}
+    others = [b for b in range(256) if b not in own]
+    return {b: b for b in own} | {b: 256 + k for k, b in enumerate(others)}
+
+
+_BYTE_LETTERS = _byte_letters()
+
+
+class Words:
+    """Ids of texts as little-endian unsigned 16-bit numbers, by way of their distinct words.
 
     The tokenizer never joins ids over white space, nor over the pieces into which it cuts a word, so words and pieces
-    stand for themselves and their ids can be remembered.
+    stand for themselves and their ids can be remembered. A plain piece goes to the tokenizer's model at once; words
+    with other characters go through the whole tokenizer.
     """
 
     def __init__(self, path: str):
-        super().__init__()
         os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
+        self.words: dict[str, bytes] = {}
         self.pieces: dict[str, bytes] = {}
         if self.tokenizer.get_vocab_size() > 1 << 16:
             raise ValueError("ids of more than 16 bits")
 
-    def __missing__(self, word: str) -> bytes:
-        pieces = _PIECES.findall(word.lower()) if "<|" not in word and _PLAIN.fullmatch(word) else [word]
-        ids = b"".join(map(self._piece, pieces)) if len(pieces) > 1 else self._piece(pieces[0] if pieces else word)
+    def _word(self, word: str) -> bytes:
+        if "<|" in word or not _PLAIN.fullmatch(word):
+            ids = np.array(self.tokenizer.encode(word, add_special_tokens=False).ids, "<u2").tobytes()
+        else:
+            ids = b"".join(map(self._piece, _PIECES.findall(word.lower())))
         if len(word) <= 64:
-            if len(self) >= REMEMBERED:
-                self.clear()
-            self[word] = ids
+            if len(self.words) >= REMEMBERED:
+                self.words.clear()
+            self.words[word] = ids
         return ids
 
     def _piece(self, piece: str) -> bytes:
         ids = self.pieces.get(piece)
         if ids is None:
-            ids = np.array(self.tokenizer.encode(piece, add_special_tokens=False).ids, "<u2").tobytes()
+            letters = piece if piece.isascii() else piece.encode().decode("latin-1").translate(_BYTE_LETTERS)
+            ids = b"".join([t.id.to_bytes(2, "little") for t in self.tokenizer.model.tokenize(letters)])
             if len(piece) <= 64:
                 if len(self.pieces) >= REMEMBERED:
                     self.pieces.clear()
                 self.pieces[piece] = ids
         return ids
 
-    def ids(self, text: str) -> bytes:
-        return b"".join(map(self.__getitem__, text.replace("\n", " ").replace("\t", " ").replace("\r", " ").split(" ")))
+    def ids(self, texts: pa.Array) -> list[bytes]:
+        """Ids of each text; nulls are empty."""
+        data, offsets = raw(texts)
+        blank = pa.LargeStringArray.from_buffers(len(texts), pa.py_buffer(offsets), pa.py_buffer(_BLANK[data]))
+        parts = pc.split_pattern(blank, " ")
+        distinct = parts.flatten().dictionary_encode()
+        known = self.words
+        of = [ids if (ids := known.get(word)) is not None else self._word(word) for word in distinct.dictionary.to_pylist()]
+        size = np.fromiter(map(len, of), np.int64, len(of)) // 2
+        start = np.cumsum(size) - size
+        word = distinct.indices.to_numpy()
+        n = size[word]
+        ends = np.concatenate([[0], np.cumsum(n)])
+        out = np.frombuffer(b"".join(of), "<u2")[np.repeat(start[word] - ends[:-1], n) + np.arange(ends[-1])]
+        edges = ends[parts.offsets.to_numpy()]
+        return [out[i:j].tobytes() for i, j in zip(edges[:-1], edges[1:])]
+
+
+@lru_cache(1)
+def remembering(path: str) -> Words:
+    """The Words of this worker, which later tasks use again."""
+    return Words(path)
 
 
 def hilbert(points: np.ndarray, bits: int) -> np.ndarray:
@@ -128,9 +167,9 @@ def tokenised(docs: DataFrame, tokenizer: str, end: int = END) -> DataFrame:
     last = np.array([end], "<u2").tobytes()
 
     def work(batches):
-        words, press = Words(tokenizer), zstandard.ZstdCompressor(level=3)
-        for batch in slices(batches, most=1 << 20):
-            ids = [words.ids(t or "") + last for t in batch.column(1).to_pylist()]
+        words, press = remembering(tokenizer), zstandard.ZstdCompressor(level=3)
+        for batch in slices(batches, most=4 << 20):
+            ids = [x + last for x in words.ids(batch.column(1))]
             out = [batch.column(0), batch.column(2), pa.array(places(ids)), pa.array([len(x) // 2 for x in ids], pa.int64()), pa.array([press.compress(x) for x in ids], pa.binary())]
             yield pa.RecordBatch.from_arrays(out, ["doc_id", "content", "place", "doc_tokens", "packed"])
 
