@@ -28,6 +28,7 @@ from __future__ import annotations
 
 import numpy as np
 import pyarrow as pa
+import zstandard
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
@@ -171,12 +172,36 @@ def _sent_hashes(buckets: int):
     return work
 
 
-def _shared(buckets: int):
-    """The anchors of a bucket that several documents hold: key and their codes."""
+def _runs_of(*of: np.ndarray) -> np.ndarray:
+    """Edges of the runs of equal rows of sorted arrays, both ends included."""
+    n = len(of[0])
+    if not n:
+        return np.zeros(1, np.int64)
+    new = np.zeros(n + 1, bool)
+    new[[0, n]] = True
+    for x in of:
+        new[1:n] |= x[1:] != x[:-1]
+    return np.flatnonzero(new)
+
+
+def _by_group(key: np.ndarray, groups: int):
+    """Rows, sorted by group and key, of each group that occurs: its number, the rows, its keys and the rows of each key."""
+    group = key % np.int64(groups)
+    order = np.lexsort((key, group))
+    key, group = key[order], group[order]
+    edges = _runs_of(group)
+    for a, b in zip(edges[:-1], edges[1:]):
+        own = _runs_of(key[a:b])
+        yield int(group[a]), order[a:b], key[a:b][own[:-1]], np.diff(own).astype(np.uint32)
+
+
+def _shared(buckets: int, groups: int):
+    """The anchors of a bucket that several documents hold: keys and their codes, one row for each group of keys."""
+    schema = pa.schema([("group", pa.int64()), ("bucket", pa.int32()), ("keys", pa.binary()), ("counts", pa.binary()), ("low", pa.binary()), ("high", pa.binary())])
 
     def work(table: pa.Table) -> pa.Table:
         t = {n: table.column(n).to_pylist() for n in ("keys", "counts", "low", "high")}
-        bucket = np.uint64(table.column("bucket")[0].as_py())
+        bucket = table.column("bucket")[0].as_py()
         join = lambda name, kind: np.frombuffer(b"".join(t[name]), kind)
         key = np.repeat(join("keys", np.int64), join("counts", np.uint32))
         v = join("low", np.uint32).astype(np.uint64) | join("high", np.uint8).astype(np.uint64) << np.uint64(32)
@@ -186,21 +211,36 @@ def _shared(buckets: int):
         same[1:-1] = s[1:] == s[:-1]
         hit = order[same[:-1] | same[1:]]
         key, v = key[hit], v[hit]
-        order = np.argsort(key, kind="stable")
-        key, codes = key[order], v[order] * np.uint64(buckets) + bucket
-        first = np.flatnonzero(np.concatenate([[True], key[1:] != key[:-1]])) if len(key) else np.zeros(0, int)
-        ends = np.append(first[1:], len(key))
-        return pa.table({"key": pa.array(key[first], pa.int64()), "codes": pa.array([codes[a:b].tobytes() for a, b in zip(first, ends)], pa.binary())})
+        rows = []
+        for group, at, keys, counts in _by_group(key, groups):
+            rows.append((group, bucket, keys.tobytes(), counts.tobytes(), v[at].astype(np.uint32).tobytes(), (v[at] >> np.uint64(32)).astype(np.uint8).tobytes()))
+        return pa.table([pa.array(c, f.type) for c, f in zip(zip(*rows) if rows else [[]] * 6, schema)], schema=schema)
 
     return work
 
 
+def _asked(table: pa.Table) -> tuple[np.ndarray, np.ndarray, dict]:
+    """Keys of the copies of a group; of its packed rows, the key of each value and the values by name."""
+    copy = table.column("copy").is_valid().to_numpy()
+    return table.column("copy").drop_null().to_numpy(), *_unpacked(table.filter(pa.array(~copy)))
+
+
+def _unpacked(table: pa.Table) -> tuple[np.ndarray, dict]:
+    """Key of each value of packed rows, and the values by name; rows are numbered as well."""
+    t = {n: table.column(n).to_pylist() for n in table.schema.names}
+    join = lambda name, kind: np.frombuffer(b"".join(t[name]), kind)
+    counts = join("counts", np.uint32)
+    size = [int(np.frombuffer(c, np.uint32).sum()) for c in t["counts"]]
+    return np.repeat(join("keys", np.int64), counts), {"join": join, "row": np.repeat(np.arange(len(size)), size), **t}
+
+
 def _sent_contexts(buckets: int):
     schema = pa.schema([("bucket", pa.int32()), ("keys", pa.binary()), ("docs", pa.binary()), ("counts", pa.binary()), ("pos", pa.binary()), ("size", pa.binary()), ("slice", pa.binary()), ("bytes", pa.binary())])
 
     def flush(held):
         if not held:
             return
+        press = zstandard.ZstdCompressor(level=3)
         keys, ids = np.concatenate([x[0] for x in held]), np.concatenate([x[1] for x in held])
         base = np.cumsum([0] + [len(x[0]) for x in held])
         doc = np.concatenate([x[2] + b for x, b in zip(held, base)])
@@ -212,45 +252,53 @@ def _sent_contexts(buckets: int):
         for b, at, d, n in _packed((c % np.uint64(buckets)).astype(np.int64), doc, buckets):
             own = np.repeat(starts[at] - (np.cumsum(size[at]) - size[at]), size[at]) + np.arange(size[at].sum())
             part = ((c[at] // np.uint64(buckets)) % np.uint64(SLICES)).astype(np.uint8)
-            rows.append((b, keys[d].tobytes(), ids[d].tobytes(), n.tobytes(), pos[at].astype(np.uint32).tobytes(), size[at].astype(np.uint8).tobytes(), part.tobytes(), bytes_[own].tobytes()))
+            rows.append((b, keys[d].tobytes(), ids[d].tobytes(), n.tobytes(), pos[at].astype(np.uint32).tobytes(), size[at].astype(np.uint8).tobytes(), part.tobytes(), press.compress(bytes_[own].tobytes())))
         if rows:
             yield pa.RecordBatch.from_arrays([pa.array(x, t.type) for x, t in zip(zip(*rows), schema)], schema=schema)
 
-    def work(batches):
-        held, total = [], 0
-        for batch in slices(batches, most=512 << 10):
+    def work(texts: pa.Table, asked: pa.Table) -> pa.Table:
+        copies, key, t = _asked(asked)
+        bucket = np.array(t["bucket"], np.uint64)[t["row"]] if len(key) else np.zeros(0, np.uint64)
+        codes = (t["join"]("low", np.uint32).astype(np.uint64) | t["join"]("high", np.uint8).astype(np.uint64) << np.uint64(32)) * np.uint64(buckets) + bucket
+        order = np.argsort(key, kind="stable")
+        key, codes = key[order], codes[order]
+        held = []
+        for batch in slices(texts.select(["doc_id", "text", "key"]).to_batches(), most=512 << 10) if len(key) else ():
             column = {n: batch.column(k) for k, n in enumerate(batch.schema.names)}
+            doc_key = column["key"].to_numpy()
+            wanted = ~np.isin(doc_key, copies) & column["doc_id"].is_valid().to_numpy(zero_copy_only=False)
             data, offsets = raw(column["text"])
             at, h = anchors(data, offsets)
             doc = np.searchsorted(offsets, at, side="right") - 1
             c = code(h, buckets)
             edges = np.searchsorted(doc, np.arange(len(offsets)))
+            first, last = np.searchsorted(key, doc_key, side="left"), np.searchsorted(key, doc_key, side="right")
             keep = np.zeros(len(at), bool)
-            for i, (codes, copy) in enumerate(zip(column["codes"].to_pylist(), column["copy"].to_pylist())):
-                if not copy and codes:
-                    keep[edges[i] : edges[i + 1]] = np.isin(c[edges[i] : edges[i + 1]], np.frombuffer(b"".join(codes), np.uint64))
+            for i in np.flatnonzero(wanted & (last > first)):
+                keep[edges[i] : edges[i + 1]] = np.isin(c[edges[i] : edges[i + 1]], codes[first[i] : last[i]])
             at, doc, c = at[keep], doc[keep], c[keep]
             start = np.maximum(at - (LENGTH - K), offsets[doc])
             end = np.minimum(at + LENGTH, offsets[doc + 1])
             size = end - start
             own = np.repeat(start - (np.cumsum(size) - size), size) + np.arange(size.sum())
-            held.append((column["key"].to_numpy(), column["doc_id"].to_numpy(), doc, c, start - offsets[doc], size, data[own]))
-            total += size.sum()
-            if total >= BATCH:
-                yield from flush(held)
-                held, total = [], 0
-        yield from flush(held)
+            held.append((doc_key, column["doc_id"].fill_null(0).to_numpy(), doc, c, start - offsets[doc], size, data[own]))
+        return pa.Table.from_batches(flush(held), schema)
 
     return work
 
 
-def _matched(table: pa.Table) -> pa.Table:
-    """key, doc_id and packed (position, bits of the matched starts from there) of each document of a bucket."""
+def _matched(groups: int):
+    """Keys and packed (position, bits of the matched starts from there) of the documents of a bucket, one row for each group of keys."""
+    return lambda table: _marks(table, groups)
+
+
+def _marks(table: pa.Table, groups: int) -> pa.Table:
+    unpress = zstandard.ZstdDecompressor()
     t = {n: table.column(n).to_pylist() for n in table.schema.names}
     join = lambda name, kind: np.frombuffer(b"".join(t[name]), kind)
     counts = join("counts", np.uint32)
     key, doc = np.repeat(join("keys", np.int64), counts), np.repeat(join("docs", np.int64), counts)
-    pos, size, part, bytes_ = join("pos", np.uint32), join("size", np.uint8).astype(np.int64), join("slice", np.uint8), join("bytes", np.uint8)
+    pos, size, part, bytes_ = join("pos", np.uint32), join("size", np.uint8).astype(np.int64), join("slice", np.uint8), np.frombuffer(b"".join(map(unpress.decompress, t["bytes"])), np.uint8)
     starts = np.cumsum(size) - size
     found = []
     for s in range(SLICES):
@@ -280,23 +328,21 @@ def _matched(table: pa.Table) -> pa.Table:
             found.append((at[a + rows], bits[rows]))
     rows = np.concatenate([x for x, _ in found]) if found else np.zeros(0, np.int64)
     bits = np.concatenate([x for _, x in found]) if found else np.zeros(0, np.uint32)
-    order = np.lexsort((doc[rows], key[rows]))
-    rows, bits = rows[order], bits[order]
-    k, d = key[rows], doc[rows]
-    first = np.flatnonzero(np.concatenate([[True], (k[1:] != k[:-1]) | (d[1:] != d[:-1])])) if len(k) else np.zeros(0, int)
     marks = np.stack([pos[rows], bits], 1)
-    return pa.table({"key": pa.array(k[first], pa.int64()), "doc_id": pa.array(d[first], pa.int64()), "marks": pa.array([marks[a:b].tobytes() for a, b in zip(first, np.append(first[1:], len(k)))], pa.binary())})
+    schema = pa.schema([("group", pa.int64()), ("keys", pa.binary()), ("counts", pa.binary()), ("marks", pa.binary())])
+    out = [(group, keys.tobytes(), n.tobytes(), marks[at].tobytes()) for group, at, keys, n in _by_group(key[rows], groups)]
+    return pa.table([pa.array(c, f.type) for c, f in zip(zip(*out) if out else [[]] * 4, schema)], schema=schema)
 
 
-def spans(size: int, marks: list[bytes], copy: bool) -> list[tuple[int, int]]:
+def spans(size: int, marks: np.ndarray, copy: bool) -> list[tuple[int, int]]:
     """Maximal runs of removed bytes."""
     if size < LENGTH:
         return []
     if copy:
         return [(0, size)]
-    if not marks:
+    if not len(marks):
         return []
-    m = np.frombuffer(b"".join(marks), np.uint32).reshape(-1, 2)
+    m = marks
     bit = (m[:, 1:] >> np.arange(WINDOW, dtype=np.uint32)[None, :]) & 1
     row, shift = np.nonzero(bit)
     at = np.unique(m[row, 0].astype(np.int64) + shift)
@@ -304,45 +350,58 @@ def spans(size: int, marks: list[bytes], copy: bool) -> list[tuple[int, int]]:
     return list(zip(at[new].tolist(), (at[np.append(new[1:], len(at)) - 1] + LENGTH).tolist()))
 
 
-def _cut(batches):
-    for batch in slices(batches, most=4 << 20):
+def _cut(texts: pa.Table, marked: pa.Table) -> pa.Table:
+    """doc_id, n_bytes, removed, kept and __carried of the documents of a group."""
+    copies, key, t = _asked(marked)
+    order = np.argsort(key, kind="stable")
+    key, marks = key[order], t["join"]("marks", np.uint32).reshape(-1, 2)[order]
+    kind = pa.list_(pa.struct([("start", pa.int64()), ("end", pa.int64())]))
+    schema = pa.schema([("doc_id", pa.int64()), ("n_bytes", pa.int64()), ("removed", kind), ("kept", pa.binary()), ("__carried", texts.schema.field("__carried").type)])
+    out = []
+    for batch in slices(texts.select(["doc_id", "text", "key", "__carried"]).to_batches(), most=4 << 20):
         data, offsets = raw(batch.column(1))
-        data = data.tobytes()
+        data, doc_key = data.tobytes(), batch.column(2).to_numpy()
+        first, last, copy = np.searchsorted(key, doc_key, side="left"), np.searchsorted(key, doc_key, side="right"), np.isin(doc_key, copies)
         kept, removed = [], []
-        for i, (marks, copy) in enumerate(zip(batch.column(2).to_pylist(), batch.column(3).to_pylist())):
+        for i in range(batch.num_rows):
             text = data[offsets[i] : offsets[i + 1]]
-            cut = spans(len(text), marks or [], bool(copy))
+            cut = spans(len(text), marks[first[i] : last[i]], bool(copy[i]))
             ends = [0, *(b for _, b in cut)]
             kept.append(b"".join(text[a:b] for a, b in zip(ends, [*(a for a, _ in cut), len(text)])))
             removed.append([{"start": a, "end": b} for a, b in cut])
-        kind = pa.list_(pa.struct([("start", pa.int64()), ("end", pa.int64())]))
-        yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(np.diff(offsets)), pa.array(removed, kind), pa.array(kept, pa.binary()), *batch.columns[4:]], ["doc_id", "n_bytes", "removed", "kept", *batch.schema.names[4:]])
+        out.append(pa.RecordBatch.from_arrays([batch.column(0), pa.array(np.diff(offsets)), pa.array(removed, kind), pa.array(kept, pa.binary()), batch.column(3)], schema=schema))
+    return pa.Table.from_batches(out, schema)
 
 
 def without_repeats(docs: DataFrame, carry: list[str] | None = None) -> DataFrame:
-    """doc_id, n_bytes, removed (start, end) and kept bytes of every row, and the columns named in carry."""
+    """doc_id, n_bytes, removed (start, end) and kept bytes of every row, and the columns named in carry.
+
+    Documents are dealt into groups by a hash; what a bucket answers is one packed row for each group, so answers
+    grow with the shared anchors and never with their pairs. A task holds one group of documents at a time.
+    """
     carry = carry or []
     spark = docs.sparkSession
-    buckets = 2 * int(spark.conf.get("spark.sql.shuffle.partitions"))
-    key = F.xxhash64("doc_id", "text").alias("key")
-    rows = docs.select("doc_id", "text", key, F.struct(F.lit(0).alias("_"), *carry).alias("__carried"))  # names of their own cannot clash
-    texts = rows.repartition("key")
-    sent = rows.filter("doc_id IS NOT NULL AND text IS NOT NULL").select("key", "text").mapInArrow(_sent_hashes(buckets), "bucket int, keys binary, counts binary, low binary, high binary")
-    shared = sent.groupBy("bucket").applyInArrow(_shared(buckets), "key long, codes binary")
+    buckets = groups = 2 * int(spark.conf.get("spark.sql.shuffle.partitions"))
+    key = F.xxhash64("doc_id", "text")
+    carried = F.struct(F.lit(0).alias("_"), *carry).alias("__carried")  # names of their own cannot clash
+    rows = docs.select("doc_id", "text", key.alias("key"), carried, F.pmod(key, F.lit(groups).cast("long")).alias("group"))
+    usable = rows.filter("doc_id IS NOT NULL AND text IS NOT NULL")
+    sent = usable.select("key", "text").mapInArrow(_sent_hashes(buckets), "bucket int, keys binary, counts binary, low binary, high binary")
+    shared = sent.groupBy("bucket").applyInArrow(_shared(buckets, groups), "group long, bucket int, keys binary, counts binary, low binary, high binary")
     content = [F.xxhash64(F.lit(k), "text").alias(f"c{k}") for k in (1, 2)]
-    prints = rows.filter("doc_id IS NOT NULL AND text IS NOT NULL").select("key", "doc_id", *content)
+    prints = usable.select("group", "key", "doc_id", *content)
     firsts = prints.groupBy("c1", "c2").agg(F.min("doc_id").alias("first"), F.count("*").alias("n")).filter("n > 1").drop("n")
-    copies = materialised(prints.join(firsts, ["c1", "c2"]).filter("doc_id > first").select("key").distinct())
-    asked = shared.select("key", "codes", F.lit(False).alias("copy")).unionByName(copies.select("key", F.lit(None).cast("binary").alias("codes"), F.lit(True).alias("copy")))
-    asked = asked.groupBy("key").agg(F.collect_list("codes").alias("codes"), F.max("copy").alias("copy"))  # no more than a document's own anchors
-    joined = texts.join(asked.filter("NOT copy"), "key").select("key", "doc_id", "text", "codes", "copy")
-    contexts = joined.mapInArrow(_sent_contexts(buckets), "bucket int, keys binary, docs binary, counts binary, pos binary, size binary, slice binary, bytes binary")
-    matched = contexts.groupBy("bucket").applyInArrow(_matched, "key long, doc_id long, marks binary")
-    marks = matched.select("key", "marks", F.lit(False).alias("copy")).unionByName(copies.select("key", F.lit(None).cast("binary").alias("marks"), F.lit(True).alias("copy")))
-    marks = marks.groupBy("key").agg(F.collect_list("marks").alias("marks"), F.max("copy").alias("copy"))
-    out = texts.join(marks, "key", "left").select("doc_id", "text", "marks", "copy", "__carried")
+    copies = materialised(prints.join(firsts, ["c1", "c2"]).filter("doc_id > first").select("group", F.col("key").alias("copy")).distinct())
+    dealt = rows.repartition("group").groupBy("group")
+
+    def with_copies(packed: DataFrame) -> DataFrame:
+        return packed.unionByName(copies, allowMissingColumns=True).groupBy("group")
+
+    contexts = dealt.cogroup(with_copies(shared)).applyInArrow(_sent_contexts(buckets), "bucket int, keys binary, docs binary, counts binary, pos binary, size binary, slice binary, bytes binary")
+    matched = contexts.groupBy("bucket").applyInArrow(_matched(groups), "group long, keys binary, counts binary, marks binary")
     kind = StructType.fromDDL("doc_id long, n_bytes long, removed array<struct<start:long,end:long>>, kept binary")
-    return out.mapInArrow(_cut, StructType([*kind.fields, out.schema["__carried"]])).select("doc_id", "n_bytes", "removed", "kept", *(F.col("__carried")[c].alias(c) for c in carry))
+    out = dealt.cogroup(with_copies(matched)).applyInArrow(_cut, StructType([*kind.fields, rows.schema["__carried"]]))
+    return out.select("doc_id", "n_bytes", "removed", "kept", *(F.col("__carried")[c].alias(c) for c in carry))
 
 
 def op10(spark: SparkSession, sf_dir: str) -> DataFrame:
