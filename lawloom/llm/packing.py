@@ -37,7 +37,7 @@ AXES = 4
 BITS = 10
 DIMENSIONS = 1024
 #: Words, and pieces, whose ids a worker remembers; beyond it, it starts anew.
-REMEMBERED = 300_000
+REMEMBERED = 500_000
 
 
 #: Words of these characters only are composed already and lower-cased one by one, so their pieces are those of the tokenizer.
@@ -167,7 +167,7 @@ def tokenised(docs: DataFrame, tokenizer: str, end: int = END) -> DataFrame:
     last = np.array([end], "<u2").tobytes()
 
     def work(batches):
-        words, press = remembering(tokenizer), zstandard.ZstdCompressor(level=3)
+        words, press = remembering(tokenizer), zstandard.ZstdCompressor(level=1)
         for batch in slices(batches, most=4 << 20):
             ids = [x + last for x in words.ids(batch.column(1))]
             out = [batch.column(0), batch.column(2), pa.array(places(ids)), pa.array([len(x) // 2 for x in ids], pa.int64()), pa.array([press.compress(x) for x in ids], pa.binary())]
