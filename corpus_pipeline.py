@@ -35,12 +35,14 @@ def repeated_strings(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataF
 
     A cut may fall inside a character; the broken bytes at such a cut are left out.
     """
-    carried = [c for c in docs.columns if c not in ("doc_id", "text", "n_chars")]
-    cut = repeats.without_repeats(docs, carried)
-    whole = F.col("kept").cast("string")
-    text = F.when(F.size("removed") > 0, F.replace(F.make_valid_utf8(whole), F.lit("\ufffd"), F.lit(""))).otherwise(whole)
-    out = cut.withColumn("text", text).filter(F.col("text").rlike(r"[^\x20\x09-\x0D]"))
-    return out.withColumn("n_chars", F.length("text").cast("long")).select(*docs.columns)
+    rest = [c for c in docs.columns if c not in ("doc_id", "text", "n_chars")]
+    whole = docs.select("doc_id", "text", F.struct(F.lit(0).alias("_"), *rest).alias("__rest"))  # its names cannot clash
+    cut = repeats.without_repeats(whole, ["__rest"])
+    bytes_ = F.col("kept").cast("string")
+    text = F.when(F.size("removed") > 0, F.replace(F.make_valid_utf8(bytes_), F.lit("\ufffd"), F.lit(""))).otherwise(bytes_)
+    out = cut.select("doc_id", text.alias("text"), "__rest").filter(F.col("text").rlike(r"[^\x20\x09-\x0D]"))
+    named = {c: F.col("__rest")[c] for c in rest} | {"doc_id": F.col("doc_id"), "text": F.col("text"), "n_chars": F.length("text").cast("long")}
+    return out.select(*(named[c].alias(c) for c in docs.columns))
 
 
 def mixed(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
