@@ -63,14 +63,14 @@ def compressors(model: Model) -> list:
     return made
 
 
-def logistic(x: np.ndarray, y: np.ndarray, rounds: int = 50) -> tuple[float, float]:
-    """Slope and bias of a slightly ridged logistic curve by Newton's method."""
+def logistic(x: np.ndarray, y: np.ndarray, weight: np.ndarray | float = 1.0, rounds: int = 50) -> tuple[float, float]:
+    """Slope and bias of a slightly ridged logistic curve by Newton's method; weight: of each row."""
     a = np.stack([x, np.ones_like(x)], 1)
     w = np.zeros(2)
     for _ in range(rounds):
         p = 1 / (1 + np.exp(-np.clip(a @ w, -30, 30)))
-        h = (a * (p * (1 - p))[:, None]).T @ a + np.eye(2) * 1e-2
-        step = np.linalg.solve(h, a.T @ (y - p) - 1e-2 * w)
+        h = (a * (weight * p * (1 - p))[:, None]).T @ a + np.eye(2) * 1e-2
+        step = np.linalg.solve(h, a.T @ (weight * (y - p)) - 1e-2 * w)
         w += np.clip(step, -5, 5)
         if np.abs(step).max() < 1e-8:
             break
@@ -110,8 +110,12 @@ def _evidences(model: Model):
 
 
 def fit(docs: DataFrame, labelled: DataFrame, rows_of_a_class: int = ROWS_OF_A_CLASS) -> Model:
-    """Learn from labelled (doc_id, label); at most rows_of_a_class rows of each class, half for each of the two steps."""
-    picked = bounded_sample(labelled.filter("doc_id IS NOT NULL AND label IN (0, 1)").groupBy("doc_id").agg(F.max("label").cast("int").alias("label")), "label", rows_of_a_class, 11)
+    """Learn from labelled (doc_id, label); at most rows_of_a_class rows of each class, half for each of the two steps.
+
+    The curve weighs the sampled rows by the shares of the classes among all labels, so its odds do not depend on the bound.
+    """
+    rows = labelled.filter("doc_id IS NOT NULL AND label IN (0, 1)").groupBy("doc_id").agg(F.max("label").cast("int").alias("label"))
+    picked = bounded_sample(rows, "label", rows_of_a_class, 11)
     texts = docs.select("doc_id", "text").join(F.broadcast(picked), "doc_id")
     half = F.pmod(F.xxhash64(F.lit(12), "doc_id"), F.lit(2))
     got = texts.filter(half == 0).select("label", "text").mapInArrow(_blocks, "label int, block binary").toPandas()
@@ -128,7 +132,10 @@ def fit(docs: DataFrame, labelled: DataFrame, rows_of_a_class: int = ROWS_OF_A_C
     seen: pd.DataFrame = texts.filter(half == 1).select("label", "text").mapInArrow(_evidences(model), "label int, evidence double").toPandas()
     seen = seen.sort_values(["evidence", "label"])
     if seen.label.nunique() == 2:
-        model.slope, model.bias = logistic(seen.evidence.to_numpy(), seen.label.to_numpy(float))
+        good = rows.agg(F.avg("label")).first()[0]
+        y = seen.label.to_numpy()
+        weight = np.where(y == 1, good / (y == 1).sum(), (1 - good) / (y == 0).sum()) * len(y)
+        model.slope, model.bias = logistic(seen.evidence.to_numpy(), y.astype(float), weight)
     return model
 
 

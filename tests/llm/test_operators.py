@@ -197,6 +197,16 @@ def test_quality_scores_held_out_documents(spark):
     assert auc(rest.quality, rest.score) > 0.88 and (rest.predicted == rest.quality).mean() > 0.9
 
 
+def test_quality_odds_do_not_depend_on_the_sample(spark):
+    rng = np.random.default_rng(3)
+    docs = [(i, " ".join(f"word{k}" for k in rng.integers(0, 400, 150))) for i in range(700)]  # texts say nothing about labels
+    docs = spark.createDataFrame(docs, "doc_id long, text string")
+    labels = docs.select("doc_id", (F.col("doc_id") % 7 > 0).cast("int").alias("label"))
+    for bound in (60, 3000):
+        scores = quality_classifier.score(docs, quality_classifier.fit(docs, labels, bound)).toPandas().score
+        assert abs(scores.mean() - 6 / 7) < 0.06, bound
+
+
 def test_toxicity_scores_held_out_documents(spark):
     got = toxicity.op3(spark, LARGER).toPandas().merge(pd.read_parquet(f"{LARGER}/labels.parquet"), on="doc_id")
     rest = got[got.held_out]
