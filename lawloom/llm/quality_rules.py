@@ -3,10 +3,10 @@
 DataFrame functions only. The base measures count words, symbols, repeated lines
 and words in repeated 8-word windows. The cross-document step hashes each
 normalised line, counts the distinct documents of a host that hold it (exact copies
-of one text are one document, so being copied alone depletes nothing), takes lines
-over the limit as boilerplate, and rejects a document that keeps too few of its
-words. A line that very many documents share is one key of an aggregate that
-combines before the shuffle; in the join back such keys are salted.
+of one text are one document, so being copied alone depletes nothing), removes lines
+over the limit as boilerplate from the text, and rejects a document that keeps too
+few of its words. A line that very many documents share is one key of an aggregate
+that combines before the shuffle; in the join back such keys are salted.
 
 Defined results: a null or empty text has no words, fails the base rules and is not
 kept; a null source is a host of its own; repeated rows count as one document and
@@ -76,10 +76,12 @@ KEYS = ["row", "content", "host"]
 
 
 def measures(docs: DataFrame) -> DataFrame:
-    """doc_id, its keys, the base measures, and the hash and words of each line of every row."""
+    """doc_id, its keys, the base measures, and the hash and number of each line of every row."""
     text = F.coalesce("text", F.lit(""))
-    lines = F.filter(F.split(text, "\n"), lambda x: x.rlike(WORD))
-    base = docs.select("doc_id", *_keys(), text.alias("text"), word_array(F.col("text")).alias("words"), lines.alias("lines"))
+    every = F.transform(F.split(text, "\n"), lambda x, i: F.struct(x.alias("x"), i.alias("at")))
+    lines = F.filter(every, lambda s: s["x"].rlike(WORD))
+    base = docs.select("doc_id", *_keys(), text.alias("text"), word_array(F.col("text")).alias("words"), lines.alias("numbered"))
+    base = base.withColumn("lines", F.col("numbered.x"))
     return base.select(
         "doc_id",
         *KEYS,
@@ -88,12 +90,12 @@ def measures(docs: DataFrame) -> DataFrame:
         (F.length("text") - F.length(F.translate("text", "#*$%&|<>", ""))).cast("long").alias("n_symbols"),
         (F.size("lines") - F.size(F.array_distinct("lines"))).cast("long").alias("n_dup_lines"),
         repeated_words(F.col("words")).cast("long").alias("n_repeat_words"),
-        F.transform("lines", lambda x: F.struct(F.xxhash64(normalised(x)).alias("line"), F.size(word_array(x)).alias("line_words"))).alias("hashed"),
+        F.transform("numbered", lambda s: F.struct(F.xxhash64(normalised(s["x"])).alias("line"), s["at"].alias("at"))).alias("hashed"),
     )
 
 
 def line_rows(measured: DataFrame) -> DataFrame:
-    """The keys, line hash and words of each line with a word, repeats included."""
+    """The keys, line hash and number of each line with a word, repeats included."""
     return measured.select(*KEYS, F.inline("hashed"))
 
 
@@ -105,22 +107,35 @@ def common_lines(lines: DataFrame, least_docs: int = LINE_DOCS, least_share: int
     return counted.join(hosts, "host").filter(F.col("docs") * 100 >= F.col("host_docs") * least_share).select("host", "line", "docs")
 
 
+def without_lines(text: Column, gone: Column) -> Column:
+    """The text without the lines of these numbers; the lines and numbers are worked out once a row."""
+    lines = F.split(text, "\n")
+    left = F.array_except(F.sequence(F.lit(0), F.size(lines) - 1), gone)
+    return F.transform(F.array(F.struct(lines.alias("lines"), left.alias("left"))), lambda s: F.array_join(F.transform(s["left"], lambda i: F.get(s["lines"], i)), "\n"))[0]
+
+
 def rules(docs: DataFrame) -> DataFrame:
-    """Measures, base verdict, words lost to common lines, and the final verdict of every row."""
+    """Measures, base verdict, the text without common lines, the words lost with them, and the final verdict of every row."""
     docs = docs.select("doc_id", "text", "source")
-    measured = materialised(measures(docs))  # the texts are read once; a line is a hash and a number from here on
-    base = measured.drop("hashed").withColumn("base_failed", (F.col("n_words") < LEAST_WORDS) | (100 * F.col("n_repeat_words") > MOST_REPEATED * F.col("n_words")))
+    measured = materialised(measures(docs))  # a line is a hash and a number in all steps but the last
+    base = measured.drop("doc_id", "hashed").dropDuplicates(KEYS).withColumn("base_failed", (F.col("n_words") < LEAST_WORDS) | (100 * F.col("n_repeat_words") > MOST_REPEATED * F.col("n_words")))
     lines = line_rows(measured)
     salted = lines.withColumn("salt", F.pmod(F.col("row"), F.lit(SALTS)))
     spread = common_lines(lines).select("host", "line", F.explode(F.sequence(F.lit(0).cast("long"), F.lit(SALTS - 1).cast("long"))).alias("salt"))
-    repeated = base.groupBy(KEYS).agg(F.count("*").alias("copies")).filter("copies > 1")
-    lost = salted.join(spread, ["host", "line", "salt"]).groupBy(KEYS).agg(F.sum("line_words").alias("lost")).join(repeated, KEYS, "left")
-    lost = lost.select(*KEYS, (F.col("lost") / F.coalesce("copies", F.lit(1))).alias("n_common_words"))
-    joined = base.join(lost, KEYS, "left").withColumn("n_common_words", F.coalesce("n_common_words", F.lit(0)).cast("long"))
-    left = F.col("n_words") - F.col("n_common_words")
+    gone = salted.join(spread, ["host", "line", "salt"]).groupBy(KEYS).agg(F.collect_set("at").alias("gone"))
+    joined = docs.select("doc_id", F.coalesce("text", F.lit("")).alias("text"), *_keys()).join(base, KEYS).join(gone, KEYS, "left")
+    joined = joined.withColumn("cleaned", F.when(F.col("gone").isNull(), F.col("text")).otherwise(without_lines(F.col("text"), F.col("gone"))))
+    left = F.when(F.col("gone").isNull(), F.col("n_words")).otherwise(F.size(word_array(F.col("cleaned"))).cast("long"))
+    joined = joined.withColumn("n_left", left).withColumn("n_common_words", F.col("n_words") - F.col("n_left")).drop("text", "gone")
+    left = F.col("n_left")
     return joined.withColumn("kept", ~F.col("base_failed") & (left >= LEAST_WORDS) & (100 * left >= LEAST_LEFT * F.col("n_words")))
 
 
+def cleaned(docs: DataFrame) -> DataFrame:
+    """(doc_id, text) of the kept rows, without the common lines of their hosts."""
+    return rules(docs).filter("kept").select("doc_id", F.col("cleaned").alias("text"))
+
+
 def op2(spark: SparkSession, sf_dir: str) -> DataFrame:
     out = rules(spark.read.parquet(f"{sf_dir}/documents.parquet"))
     return out.select("doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept")

@@ -256,6 +256,21 @@ def test_documents_of_common_lines_are_depleted(spark):
     assert all(got[i].kept == (i >= 5) and got[i].n_common_words == 60 for i in range(26)) and all(got[100 + i].kept for i in range(40))
 
 
+def test_common_lines_are_removed(spark):
+    notice = "All rights  reserved by site 7"
+    own = [[" ".join(f"own{i}x{j}" for j in range(30 + i)), "", f"tail {chr(97 + i % 26) * (1 + i // 26)} of this document"] for i in range(30)]
+    rows = [(i, "\n".join([notice.upper() if i % 2 else notice, own[i][0], own[i][1], notice.replace("7", "8"), own[i][2]]), "h") for i in range(30)]
+    rows += [(3, rows[3][1], "h"), (50, rows[4][1], "other"), (51, None, "h"), (52, notice, "h")]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, source string")
+    got = defaultdict(list)
+    for r in quality_rules.cleaned(docs).collect():
+        got[r.doc_id].append(r.text)
+    want = {i: ["\n".join(own[i])] * (2 if i == 3 else 1) for i in range(30)}
+    assert dict(got) == want | {50: [rows[4][1]]}
+    every = {r.doc_id: r for r in quality_rules.rules(docs).collect()}
+    assert every[52].cleaned == "" and every[51].cleaned == "" and every[0].n_common_words == 12
+
+
 @pytest.mark.parametrize(
     "html, text",
     [
