@@ -44,6 +44,7 @@ MARKS = frozenset(
 OUTER_MARKS = frozenset("header headers site-header page-header".split())
 
 _TOKEN = re.compile(r"<!--.*?(?:-->|\Z)|<!\[CDATA\[.*?(?:\]\]>|\Z)|<[!?][^>]*>?|<(/?)([a-zA-Z][^\s/>]*)((?:[^>\"']|\"[^\"]*\"|'[^']*')*)>|([^<]+|<)", re.S)
+_RAW_END = {name: re.compile(rf"</{name}(?=[\s/>]|\Z)[^>]*>?", re.I) for name in RAW}
 _ATTRIBUTE = re.compile(r"(?:^|\s)(class|id|role|hidden|aria-hidden)(?:\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s\"'>]+)))?", re.I)
 _WORDS = re.compile(r"[A-Z]?[a-z]+|[A-Z]+(?![a-z])|\d+")
 
@@ -78,7 +79,7 @@ def lines(html: str) -> tuple[list[tuple[str, int, bool]], bool]:
     plain = 0
     links = 0
     has_article = False
-    skip = ""
+    at = 0
 
     def end_line() -> None:
         nonlocal plain
@@ -89,12 +90,9 @@ def lines(html: str) -> tuple[list[tuple[str, int, bool]], bool]:
             parts.clear()
         plain = 0
 
-    for m in _TOKEN.finditer(html):
+    while m := _TOKEN.match(html, at):
+        at = m.end()
         closing, name, attributes, text = m.groups()
-        if skip:
-            if closing and name.lower() == skip:
-                skip = ""
-            continue
         if text is not None:
             if not (stack and stack[-1][1]):
                 text = unescape(text)
@@ -118,8 +116,9 @@ def lines(html: str) -> tuple[list[tuple[str, int, bool]], bool]:
                     break
             continue
         if name in RAW:
-            if not attributes.rstrip().endswith("/"):
-                skip = name
+            if not attributes.rstrip().endswith("/"):  # its content is no markup: '<' in it opens nothing
+                end = _RAW_END[name].search(html, at)
+                at = end.end() if end else len(html)
             continue
         if name in VOID or attributes.rstrip().endswith("/"):
             continue

@@ -285,6 +285,12 @@ def test_main_text(html, text):
     assert html_text.extract(html)[0] == text
 
 
+@pytest.mark.parametrize("raw", ["<script>for(var i=0;i<n;i++){f(i)}</script>", "<SCRIPT>if(a<b)x='<!--'</Script >", "<style>/* <a */</style>", "<title>a <b</title>", "<script>x='</scripty>'</script>"])
+def test_content_of_raw_elements_is_no_markup(raw):
+    assert html_text.extract(f"<article><p>a</p>{raw}<p>b</p></article>")[0] == "a\nb"
+    assert html_text.extract(f"<article><p>a</p>{raw[: raw.rindex('</')]}")[0] == "a"
+
+
 def test_pages_keep_their_rows(spark):
     pages = spark.createDataFrame([(1, "u", "<article><p>x</p></article>"), (1, "u", "<article><p>x</p></article>"), (None, None, None)], "page_id long, url string, html string").withColumn("text", F.lit("clash"))
     assert sorted(map(str, html_text.main_text(pages).select("page_id", "text").collect())) == ["Row(page_id=1, text='x')"] * 2 + ["Row(page_id=None, text='')"]
