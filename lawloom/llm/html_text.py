@@ -6,8 +6,9 @@ adverts, forms, comments, code) never becomes a line. The text outside links is
 summed over windows of WINDOW lines; the surge is the first window that reaches the
 threshold, the dive the end of the last one, and all lines between them are the
 text. Inside an article or main element every window with text reaches it, because
-the markup has already said where the article is; elsewhere a window must hold
-SHARE per cent of the largest one.
+the markup has already said where the article is, so the distribution decides
+nothing there; elsewhere a window must hold LEAST characters, or SHARE per cent of
+the median line with text where that is less, so that no long paragraph raises it.
 
 Defined results: null or empty html gives the empty text; html without tags is one
 line; broken markup is read as far as it goes (an end tag closes what it can, a new
@@ -19,6 +20,7 @@ from __future__ import annotations
 
 import re
 from html import unescape
+from statistics import median_low
 
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
@@ -28,6 +30,7 @@ from .common import slices
 
 WINDOW = 3
 SHARE = 10
+LEAST = 25
 
 #: Element names of HTML by their role here.
 BLOCKS = frozenset("address article aside blockquote body center dd details dialog div dl dt fieldset figcaption figure footer form h1 h2 h3 h4 h5 h6 header hr html legend li main menu nav ol optgroup option p pre section select summary table tbody tfoot thead tr ul caption noscript".split())
@@ -40,6 +43,10 @@ ROLES = frozenset("navigation banner contentinfo complementary search form dialo
 MARKS = frozenset(
     "ad ads adv advert adverts advertisement advertising adsense adbox banner sponsor sponsored promo promotion cookie cookies consent gdpr notice notices alert popup modal overlay sidebar rail menu nav navbar navigation breadcrumb breadcrumbs footer masthead topbar comment comments disqus replies respond related recommended share sharing social newsletter subscribe subscription signup login widget widgets toolbar pagination pager".split()
 )
+#: Words that may stand beside a mark in one class or id ("site-menu", "post-comments"); any other word makes it a name of its own.
+BESIDE = frozenset("main site page post article blog global primary secondary top bottom left right header inner outer box bar block container wrapper wrap content section area list item items group links link button buttons icons policy unit slot form title text".split())
+#: Elements of running text, whose id is an anchor named after their content.
+TEXT = frozenset("h1 h2 h3 h4 h5 h6 p".split())
 #: These mark no article text only outside the article itself.
 OUTER_MARKS = frozenset("header headers site-header page-header".split())
 
@@ -65,9 +72,13 @@ def _dropped(name: str, attributes: str, in_article: bool) -> bool:
         if key == "role" and value.lower() in ROLES:
             return True
         if key in ("class", "id"):
-            words = {w.lower() for w in _WORDS.findall(value)}
-            if words & MARKS or not in_article and words & OUTER_MARKS:
-                return True
+            if key == "id" and in_article and name in TEXT:
+                continue
+            marks = MARKS if in_article else MARKS | OUTER_MARKS
+            for token in value.split():
+                words = {w.lower() for w in _WORDS.findall(token) if not w.isdigit()}
+                if words & marks and words <= marks | BESIDE:
+                    return True
     return False
 
 
@@ -147,7 +158,7 @@ def extract(html: str | None) -> tuple[str, int, int]:
     sums = [sum(weights[i : i + WINDOW]) for i in range(len(weights))]
     if not any(sums):
         return "", 0, 0
-    least = 1 if has_article else max(sums) * SHARE / 100
+    least = 1 if has_article else min(LEAST, median_low(w for w in weights if w) * SHARE / 100)
     over = [i for i, s in enumerate(sums) if s and s >= least]
     surge, dive = over[0], min(over[-1] + WINDOW, len(found))
     while not weights[surge]:

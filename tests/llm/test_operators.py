@@ -291,6 +291,20 @@ def test_content_of_raw_elements_is_no_markup(raw):
     assert html_text.extract(f"<article><p>a</p>{raw[: raw.rindex('</')]}")[0] == "a"
 
 
+def test_long_paragraphs_cut_nothing_at_the_ends():
+    short = ["A title of the page", *(f"line {k} of about thirty letters" for k in range(4))]
+    for n in (1, 5):
+        lines = [*short, *["long text " * 500] * n, "Last words of the text"]
+        html = "<ul><li><a>Menu</a></li></ul>" + "".join(f"<p>{x}</p>" for x in lines)
+        assert html_text.extract(html)[0] == "\n".join(x.strip() for x in lines)
+
+
+def test_marks_are_whole_classes_and_no_anchors_of_text():
+    kept = "<h2 id='related'>Related work</h2><p id='share'>a</p><div class='share-prices'>b</div><div id='notice-of-appeal'>c</div>"
+    gone = "<div class='site-menu'>x</div><div class='big cookie-notice'>x</div><div id='comments'>x</div><div class='related'>x</div><div class='postComments2'>x</div>"
+    assert html_text.extract(f"<article>{kept}{gone}</article>")[0] == "Related work\na\nb\nc"
+
+
 def test_pages_keep_their_rows(spark):
     pages = spark.createDataFrame([(1, "u", "<article><p>x</p></article>"), (1, "u", "<article><p>x</p></article>"), (None, None, None)], "page_id long, url string, html string").withColumn("text", F.lit("clash"))
     assert sorted(map(str, html_text.main_text(pages).select("page_id", "text").collect())) == ["Row(page_id=1, text='x')"] * 2 + ["Row(page_id=None, text='')"]
