@@ -36,6 +36,15 @@ def test_stages_in_order(spark):
     assert dict(whole_docs) == dict(Counter(r.doc_id for r in mixed.collect()))
 
 
+def test_repeats_lose_only_broken_characters_and_texts_with_words(spark):
+    shared = "".join(f"passage{k}" for k in range(12))
+    rows = [(1, "é" + shared + "ü", "h"), (2, "own \ufffd text è" + shared + "ý and \ufffd more", "h"), (3, None, "h"), (4, "", "h"), (5, " \n", "h"), (6, "é" + shared + "ü", "h")]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, source string")
+    got = {r.doc_id: r.text for r in corpus_pipeline.repeated_strings(spark, docs, SF).collect()}
+    assert got[1] == rows[0][1] and got[3] is None and got[4] == "" and got[5] == " \n" and 6 not in got
+    assert got[2] in ("own \ufffd text  and \ufffd more", "own \ufffd text è and \ufffd more", "own \ufffd text ý and \ufffd more", "own \ufffd text èý and \ufffd more")
+
+
 @pytest.mark.parametrize("stage", [s for _, s in corpus_pipeline.STAGES], ids=[n for n, _ in corpus_pipeline.STAGES])
 def test_stages_take_odd_and_no_rows(spark, stage):
     docs = odd(spark)
