@@ -1,4 +1,4 @@
-"""Removal of repeated byte strings with run-length indexes over the repetitive part of a corpus.
+"""Removal of repeated byte strings by sorted keys over the repetitive part of a corpus.
 
 A string of LENGTH bytes that two documents share contains the same anchors in both:
 an anchor is a K-byte string whose hash is the least of the LENGTH - K + 1 strings of
@@ -8,12 +8,15 @@ that size in some LENGTH-byte window. So
    answers which of them occur in several documents;
 2. around each such anchor the document sends the LENGTH - K bytes on either side to
    the anchor's bucket. Equal contexts are one. The bucket sorts the suffixes of its
-   contexts that are LENGTH bytes long at least, takes their Burrows-Wheeler
-   transform, and keeps its runs with one sample each: the smallest document of the
-   run. All suffixes with the same LENGTH bytes are one interval of the index, whose
-   runs give the smallest document that holds the string;
-3. each context is matched against the index of its bucket, and where a smaller
-   document holds the LENGTH bytes that start at a position, these bytes are marked.
+   contexts by their first LENGTH bytes; suffixes with the same LENGTH bytes are one
+   interval, whose smallest document is the first that holds the string. The runs of
+   the Burrows-Wheeler transform only pre-reduce an interval and change no result;
+3. each position reads the smallest document of its own interval off the sort order,
+   and where that is smaller than its document, the LENGTH bytes there are marked.
+
+So the matching is a sort of LENGTH-byte keys in buckets: there is no backward search
+and there are no streamed matching statistics. The texts to match are the texts that
+are indexed, and the length is fixed, so one sort answers all positions exactly.
 
 Whole copies of a text (equal 128-bit hash) are answered by their first document and
 send no contexts. A bucket works through SLICES of its hashes one at a time.
