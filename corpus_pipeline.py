@@ -7,7 +7,6 @@ columns of documents.
 
 from __future__ import annotations
 
-import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import BinaryType, LongType, StructField, StructType
@@ -32,40 +31,6 @@ def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFr
     return named.unionByName(docs.filter("doc_id IS NULL")).select(*docs.columns)
 
 
-def _piece(piece: bytes, after_cut: bool, before_cut: bool) -> bytes:
-    """The piece without the bytes of characters that a cut at its ends has broken."""
-    if after_cut:
-        first = 0
-        while first < min(3, len(piece)) and piece[first] & 0xC0 == 0x80:
-            first += 1
-        piece = piece[first:]
-    if before_cut:
-        for back in range(1, min(3, len(piece)) + 1):
-            lead = piece[-back]
-            if lead & 0xC0 != 0x80:
-                if lead >= 0xC0 and back < (2 if lead < 0xE0 else 3 if lead < 0xF0 else 4):
-                    piece = piece[:-back]
-                break
-    return piece
-
-
-def _characters(kept: bytes, removed: list[dict]) -> bytes:
-    """The kept bytes without characters that the removal of the spans has broken."""
-    out, at, gone = [], 0, 0
-    for k, span in enumerate(removed):
-        to = span["start"] - gone
-        out.append(_piece(kept[at:to], k > 0, True))
-        at, gone = to, gone + span["end"] - span["start"]
-    return b"".join(out) + _piece(kept[at:], bool(removed), False)
-
-
-def _whole_characters(batches):
-    for batch in batches:
-        column = {n: batch.column(k) for k, n in enumerate(batch.schema.names)}
-        out = [_characters(k, r) if r else k for k, r in zip(column["kept"].to_pylist(), column["removed"].to_pylist())]
-        yield pa.RecordBatch.from_arrays([column["doc_id"], pa.array(out, pa.binary()), column["__rest"]], ["doc_id", "kept", "__rest"])
-
-
 def repeated_strings(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents without the strings that smaller documents hold already; a document that loses all its words goes.
 
@@ -75,7 +40,7 @@ def repeated_strings(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataF
     word = r"[^\x20\x09-\x0D]"
     whole = docs.select("doc_id", "text", F.struct(F.struct(F.col("text").isNull().alias("null"), F.coalesce(F.col("text").rlike(word), F.lit(False)).alias("words")).alias("_"), *rest).alias("__rest"))  # its names cannot clash
     cut = repeats.without_repeats(whole, ["__rest"]).select("doc_id", "removed", "kept", "__rest")
-    cut = cut.mapInArrow(_whole_characters, StructType([StructField("doc_id", LongType()), StructField("kept", BinaryType()), cut.schema["__rest"]]))
+    cut = cut.mapInArrow(repeats.whole_characters, StructType([StructField("doc_id", LongType()), StructField("kept", BinaryType()), cut.schema["__rest"]]))
     was = F.col("__rest").getField("_")
     text = F.col("kept").cast("string")
     out = cut.select("doc_id", F.when(~was["words"] & was["null"], F.lit(None)).otherwise(text).alias("text"), "__rest").filter(~was["words"] | F.col("text").rlike(word))

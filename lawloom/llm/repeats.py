@@ -407,6 +407,41 @@ def without_repeats(docs: DataFrame, carry: list[str] | None = None) -> DataFram
     return out.select("doc_id", "n_bytes", "removed", "kept", *(F.col("__carried")[c].alias(c) for c in carry))
 
 
+def _piece(piece: bytes, after_cut: bool, before_cut: bool) -> bytes:
+    """The piece without the bytes of characters that a cut at its ends has broken."""
+    if after_cut:
+        first = 0
+        while first < min(3, len(piece)) and piece[first] & 0xC0 == 0x80:
+            first += 1
+        piece = piece[first:]
+    if before_cut:
+        for back in range(1, min(3, len(piece)) + 1):
+            lead = piece[-back]
+            if lead & 0xC0 != 0x80:
+                if lead >= 0xC0 and back < (2 if lead < 0xE0 else 3 if lead < 0xF0 else 4):
+                    piece = piece[:-back]
+                break
+    return piece
+
+
+def _characters(kept: bytes, removed: list[dict]) -> bytes:
+    """The kept bytes without characters that the removal of the spans has broken."""
+    out, at, gone = [], 0, 0
+    for k, span in enumerate(removed):
+        to = span["start"] - gone
+        out.append(_piece(kept[at:to], k > 0, True))
+        at, gone = to, gone + span["end"] - span["start"]
+    return b"".join(out) + _piece(kept[at:], bool(removed), False)
+
+
+def whole_characters(batches):
+    """doc_id, kept and __rest of batches of doc_id, removed, kept and __rest; kept has no broken characters at its cuts."""
+    for batch in batches:
+        column = {n: batch.column(k) for k, n in enumerate(batch.schema.names)}
+        out = [_characters(k, r) if r else k for k, r in zip(column["kept"].to_pylist(), column["removed"].to_pylist())]
+        yield pa.RecordBatch.from_arrays([column["doc_id"], pa.array(out, pa.binary()), column["__rest"]], ["doc_id", "kept", "__rest"])
+
+
 def op10(spark: SparkSession, sf_dir: str) -> DataFrame:
     out = without_repeats(spark.read.parquet(f"{sf_dir}/documents.parquet"))
     lost = F.aggregate("removed", F.lit(0).cast("long"), lambda s, x: s + x["end"] - x["start"])
