@@ -1,26 +1,33 @@
 """Main text of web pages by the distribution of text over blocks of lines.
 
-Markup is stripped to lines, one for each block element. Text that the markup
-itself names as no article text (menus, headers, footers, sidebars, notices,
-adverts, forms, comments, code) never becomes a line. The text outside links is
-summed over windows of WINDOW lines; the surge is the first window that reaches the
-threshold, the dive the end of the last one, and all lines between them are the
-text. Inside an article or main element every window with text reaches it, because
-the markup has already said where the article is, so the distribution decides
-nothing there; elsewhere a window must hold LEAST characters, or SHARE per cent of
-the median line with text where that is less, so that no long paragraph raises it.
+Markup is stripped to lines, one for each block element, and each line gets a weight:
+
+- its characters outside links; a line of a text element (paragraph, heading, list item,
+  ...) or one that ends like a sentence counts EDGE at least, so short ones are text too;
+- inside an article or main element such a line counts THRESHOLD at least, and if the page
+  has an article with text, lines outside it count nothing;
+- text that the markup names as no article text (menus, headers, footers, sidebars,
+  notices, adverts, forms, comments, code) counts nothing and is never part of the result.
+
+The weights are summed over sliding windows of WINDOW lines. Windows that reach THRESHOLD
+(or the largest sum, where none does) cover regions; the surge of a region is its first
+line of weight EDGE, the dive its last one, and the lines between them are the text.
+The threshold is absolute, so no long paragraph raises it. A page whose windows all hold
+fewer characters than that has no surge to speak of: any line of weight may end its text.
 
 Defined results: null or empty html gives the empty text; html without tags is one
 line; broken markup is read as far as it goes (an end tag closes what it can, a new
-paragraph closes the last); repeated rows repeat their result; an empty table gives
-an empty result. Columns other than page_id, url and html are not read.
+paragraph closes the last, a tag that never ends is text), in time that grows with its
+length; repeated rows repeat their result; an empty table gives an empty result. Columns
+other than page_id, url and html are not read.
 """
 
 from __future__ import annotations
 
 import re
+from collections import Counter
+from dataclasses import dataclass
 from html import unescape
-from statistics import median_low
 
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
@@ -29,8 +36,10 @@ from pyspark.sql import functions as F
 from .common import slices
 
 WINDOW = 3
-SHARE = 10
-LEAST = 25
+#: Weight that a window must reach.
+THRESHOLD = 60
+#: Weight of a line at which text may begin or end.
+EDGE = 30
 
 #: Element names of HTML by their role here.
 BLOCKS = frozenset("address article aside blockquote body center dd details dialog div dl dt fieldset figcaption figure footer form h1 h2 h3 h4 h5 h6 header hr html legend li main menu nav ol optgroup option p pre section select summary table tbody tfoot thead tr ul caption noscript".split())
@@ -47,13 +56,71 @@ MARKS = frozenset(
 BESIDE = frozenset("main site page post article blog global primary secondary top bottom left right header inner outer box bar block container wrapper wrap content section area list item items group links link button buttons icons policy unit slot form title text".split())
 #: Elements of running text, whose id is an anchor named after their content.
 TEXT = frozenset("h1 h2 h3 h4 h5 h6 p".split())
+#: Elements that hold text, not boxes of a layout.
+TEXT_BLOCKS = TEXT | frozenset("li dd dt td th tr blockquote pre figcaption caption address".split())
 #: These mark no article text only outside the article itself.
 OUTER_MARKS = frozenset("header headers site-header page-header".split())
 
-_TOKEN = re.compile(r"<!--.*?(?:-->|\Z)|<!\[CDATA\[.*?(?:\]\]>|\Z)|<[!?][^>]*>?|<(/?)([a-zA-Z][^\s/>]*)((?:[^>\"']|\"[^\"]*\"|'[^']*')*)>|([^<]+|<)", re.S)
+_TAG = re.compile(r"(/?)([a-zA-Z][^\s/>]*)")
+_TAG_END = re.compile(r">|=\s*[\"']")
 _RAW_END = {name: re.compile(rf"</{name}(?=[\s/>]|\Z)[^>]*>?", re.I) for name in RAW}
 _ATTRIBUTE = re.compile(r"(?:^|\s)(class|id|role|hidden|aria-hidden)(?:\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s\"'>]+)))?", re.I)
 _WORDS = re.compile(r"[A-Z]?[a-z]+|[A-Z]+(?![a-z])|\d+")
+#: Fixed value: characters that end a sentence.
+_SENTENCE_ENDS = tuple('.!?:;…。！？"\'”’»)')
+
+
+def tokens(html: str):
+    """(closing, name, attributes, text) of each piece: a tag, or text where name is None. Each character is visited a bounded number of times."""
+    at, n = 0, len(html)
+    ends = True  # some '>' may still follow
+    quotes = {'"': True, "'": True}
+    while at < n:
+        left = html.find("<", at)
+        if left < 0:
+            left = n
+        if left > at:
+            yield False, None, "", html[at:left]
+        if left == n:
+            return
+        if html.startswith("<!--", left):
+            end = html.find("-->", left + 4)
+            at = n if end < 0 else end + 3
+            continue
+        if html.startswith("<![CDATA[", left):
+            end = html.find("]]>", left)
+            at = n if end < 0 else end + 3
+            continue
+        m = _TAG.match(html, left + 1)
+        bogus = html.startswith(("<!", "<?"), left)
+        end = -1
+        if ends and (m or bogus):
+            pos = m.end() if m else left
+            while m and any(quotes.values()) and (hit := _TAG_END.search(html, pos)):
+                if hit[0] == ">":
+                    end = hit.start()
+                    break
+                quote = hit[0][-1]
+                close = html.find(quote, hit.end()) if quotes[quote] else -1
+                quotes[quote] = close >= 0
+                pos = close + 1 if close >= 0 else hit.end()
+            if end < 0:  # quotes that do not close, or a declaration
+                if m:
+                    quotes = dict.fromkeys(quotes, False)
+                end = html.find(">", m.end() if m else left)
+                ends = end >= 0
+        if end < 0:
+            yield False, None, "", "<"
+            at = left + 1
+            continue
+        at = end + 1
+        if not m:
+            continue
+        closing, name, attributes = bool(m[1]), m[2].lower(), html[m.end() : end]
+        yield closing, name, attributes, ""
+        if name in RAW and not closing and not attributes.rstrip().endswith("/"):  # its content is no markup
+            raw_end = _RAW_END[name].search(html, at)
+            at = raw_end.end() if raw_end else n
 
 
 def _dropped(name: str, attributes: str, in_article: bool) -> bool:
@@ -82,101 +149,148 @@ def _dropped(name: str, attributes: str, in_article: bool) -> bool:
     return False
 
 
-def lines(html: str) -> tuple[list[tuple[str, int, bool]], bool]:
-    """(text, characters outside links, inside an article) of each line, and whether the page has an article."""
-    found: list[tuple[str, int, bool]] = []
-    stack: list[tuple[str, bool, bool]] = []  # name, dropped, article
+@dataclass
+class Line:
+    text: str  # empty if the markup names it as no article text
+    plain: int  # characters outside links
+    element: str  # innermost block
+    article: bool
+
+
+def lines(html: str) -> list[Line]:
+    """The lines of a page in order."""
+    found: list[Line] = []
+    stack: list[tuple[str, bool, bool, str]] = []  # name, dropped, article, innermost block
+    opened: Counter = Counter()
     parts: list[str] = []
-    plain = 0
-    links = 0
-    has_article = False
-    at = 0
+    plain, in_link, hidden = 0, False, False
 
     def end_line() -> None:
-        nonlocal plain
-        if parts:
-            text = " ".join("".join(parts).split())
-            if text:
-                found.append((text, plain, bool(stack) and stack[-1][2]))
-            parts.clear()
-        plain = 0
-
-    while m := _TOKEN.match(html, at):
-        at = m.end()
-        closing, name, attributes, text = m.groups()
-        if text is not None:
-            if not (stack and stack[-1][1]):
-                text = unescape(text)
-                parts.append(text)
-                if not links:
-                    plain += len("".join(text.split()))
-            continue
+        nonlocal plain, hidden
+        text = " ".join("".join(parts).split())
+        if text or hidden:
+            _, _, article, block = stack[-1] if stack else ("", False, False, "")
+            found.append(Line(text, plain, block, article))
+        parts.clear()
+        plain, hidden = 0, False
+
+    def close(k: int) -> None:
+        for name, *_ in stack[k:]:
+            opened[name] -= 1
+        del stack[k:]
+
+    for closing, name, attributes, text in tokens(html):
         if name is None:
+            if stack and stack[-1][1]:
+                hidden = hidden or not text.isspace()
+                continue
+            text = unescape(text)
+            parts.append(text)
+            if not in_link:
+                plain += len("".join(text.split()))
             continue
-        name = name.lower()
         if name in CELLS:
             parts.append(" ")
         elif name in BLOCKS:
             end_line()
         if closing:
             if name == "a":
-                links = 0
-            for k in range(len(stack) - 1, -1, -1):
-                if stack[k][0] == name:
-                    del stack[k:]
-                    break
-            continue
-        if name in RAW:
-            if not attributes.rstrip().endswith("/"):  # its content is no markup: '<' in it opens nothing
-                end = _RAW_END[name].search(html, at)
-                at = end.end() if end else len(html)
+                in_link = False
+            if opened[name] > 0:
+                k = len(stack) - 1
+                while stack[k][0] != name:
+                    k -= 1
+                close(k)
             continue
-        if name in VOID or attributes.rstrip().endswith("/"):
+        if name in RAW or name in VOID or attributes.rstrip().endswith("/"):
             continue
         if name == "a":
-            links = 1
+            in_link = True
             continue
         for inner, closers in CLOSES.items():
             if stack and stack[-1][0] == inner and name in closers:
-                stack.pop()
-        dropped, article = stack[-1][1:] if stack else (False, False)
+                close(len(stack) - 1)
+        _, dropped, article, block = stack[-1] if stack else ("", False, False, "")
         if name not in BLOCKS and name not in DROPPED and not attributes:
             continue
-        if name in ("article", "main") and not dropped:
-            article = has_article = True
-        stack.append((name, dropped or _dropped(name, attributes, article), article))
+        article = article or name in ("article", "main") and not dropped
+        stack.append((name, dropped or _dropped(name, attributes, article), article, name if name in BLOCKS else block))
+        opened[name] += 1
     end_line()
-    return found, has_article
-
-
-def extract(html: str | None) -> tuple[str, int, int]:
-    """The text, and the numbers of the first and one past the last line that it spans."""
-    found, has_article = lines(html or "")
-    if has_article:
-        found = [x for x in found if x[2]]
-    weights = [len(text) if inside else n for text, n, inside in found]
-    sums = [sum(weights[i : i + WINDOW]) for i in range(len(weights))]
-    if not any(sums):
-        return "", 0, 0
-    least = 1 if has_article else min(LEAST, median_low(w for w in weights if w) * SHARE / 100)
-    over = [i for i, s in enumerate(sums) if s and s >= least]
-    surge, dive = over[0], min(over[-1] + WINDOW, len(found))
-    while not weights[surge]:
-        surge += 1
-    while not weights[dive - 1]:
-        dive -= 1
-    return "\n".join(text for text, _, _ in found[surge:dive]), surge, dive
+    return found
+
+
+def weights(found: list[Line]) -> list[int]:
+    """How much each line counts as text."""
+    inside = any(x.article and x.plain for x in found)
+    out = []
+    for x in found:
+        if not x.plain or inside and not x.article:
+            out.append(0)
+        elif x.element in TEXT_BLOCKS or x.text.endswith(_SENTENCE_ENDS):
+            out.append(max(x.plain, THRESHOLD if inside else EDGE))
+        else:
+            out.append(x.plain)
+    return out
+
+
+def window_sums(weight: list[int]) -> list[int]:
+    """Sums of the windows that end at each line, those over the end of the page included."""
+    sums = [0] * (len(weight) + WINDOW - 1)
+    for k, w in enumerate(weight):
+        for j in range(WINDOW):
+            sums[k + j] += w
+    return sums
+
+
+def surges(weight: list[int], plain: list[int]) -> list[tuple[int, int]]:
+    """Surge and dive of each region, its first line and one past its last, from the weights and characters of lines."""
+    n, sums = len(weight), window_sums(weight)
+    least = min(THRESHOLD, max(sums, default=0))
+    if not least:
+        return []
+    flat = max(window_sums([p for p, w in zip(plain, weight) if w])) < THRESHOLD
+    edge = 1 if flat else min(EDGE, max(weight))
+    covered = [False] * n
+    for k, s in enumerate(sums):
+        if s >= least:
+            covered[max(0, k - WINDOW + 1) : k + 1] = [True] * (min(k + 1, n) - max(0, k - WINDOW + 1))
+    out, k = [], 0
+    while k < n:
+        if not covered[k]:
+            k += 1
+            continue
+        end = k
+        while end < n and covered[end]:
+            end += 1
+        text = [j for j in range(k, end) if weight[j] >= edge]
+        if text:
+            out.append((text[0], text[-1] + 1))
+        k = end
+    return out
+
+
+def extract(html: str | None) -> tuple[str, list[tuple[int, int]]]:
+    """The text, and the surge and dive of each region of it."""
+    found = lines(html or "")
+    weight = weights(found)
+    inside = any(x.article and x.plain for x in found)
+    spans = surges(weight, [x.plain for x in found])
+    kept = (x for a, b in spans for x in found[a:b])
+    return "\n".join(x.text for x in kept if x.text and (x.article or not inside)), spans
 
 
 def main_text(pages: DataFrame) -> DataFrame:
-    """page_id, url, text, surge, dive of every row."""
+    """page_id, url, text and spans (surge, dive: line numbers) of every row."""
 
     def work(batches):
+        kind = pa.list_(pa.struct([("surge", pa.int32()), ("dive", pa.int32())]))
         for batch in slices(batches, "html", 4 << 20):
             out = [extract(h) for h in batch.column(2).to_pylist()]
-            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), *(pa.array([x[k] for x in out], t) for k, t in enumerate((pa.string(), pa.int32(), pa.int32())))], ["page_id", "url", "text", "surge", "dive"])
+            spans = pa.array([[{"surge": a, "dive": b} for a, b in x[1]] for x in out], kind)
+            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array([x[0] for x in out], pa.string()), spans], ["page_id", "url", "text", "spans"])
 
-    return pages.select("page_id", "url", "html").mapInArrow(work, "page_id long, url string, text string, surge int, dive int")
+    return pages.select("page_id", "url", "html").mapInArrow(work, "page_id long, url string, text string, spans array<struct<surge:int,dive:int>>")
 
 
 def op9(spark: SparkSession, sf_dir: str) -> DataFrame:

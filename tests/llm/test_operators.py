@@ -1,5 +1,6 @@
 """Each operator against brute force, an exact round trip or held-out accuracy; and the odd inputs of all."""
 
+import time
 import zlib
 from collections import Counter, defaultdict
 
@@ -305,6 +306,25 @@ def test_marks_are_whole_classes_and_no_anchors_of_text():
     assert html_text.extract(f"<article>{kept}{gone}</article>")[0] == "Related work\na\nb\nc"
 
 
+def test_windows_decide_where_text_begins_and_ends():
+    body = "Long body line of the page. " * 30
+    around = [f"<div>{x}</div>" for x in ("Subscribe to our newsletter", "12", body, "Short.", body, "34", "Read more stories")]
+    for page in ("<article>{}</article>", "<div class='content has-sidebar'>{}</div>"):
+        assert html_text.extract(page.format("".join(around)))[0] == "\n".join([body.strip(), "Short.", body.strip()])
+    short = "<nav><a>x</a></nav><div>Ad of the day</div><article><h1>T</h1><p>Enoipa.</p></article><p>Imprint and contact of the site, which is a long line</p>"
+    assert html_text.extract(short)[0] == "T\nEnoipa." and html_text.extract("<article>Tiny</article>")[0] == "Tiny"
+    far = "<p>We use cookies</p>" + "<ul><li><a>menu</a></li></ul>" * 4 + f"<p>{body}</p>"
+    text, spans = html_text.extract(far)
+    assert text == body.strip() and spans == [(5, 6)]
+
+
+@pytest.mark.parametrize("piece", ["<a ", '<a x="', "<div></p>", "<", "<!--", "<a x='\">", "a<b it's "])
+def test_broken_markup_takes_linear_time(piece):
+    start = time.perf_counter()
+    html_text.extract(piece * 40_000 + "<p>end</p>")
+    assert time.perf_counter() - start < 20  # a quadratic scan takes minutes
+
+
 def test_pages_keep_their_rows(spark):
     pages = spark.createDataFrame([(1, "u", "<article><p>x</p></article>"), (1, "u", "<article><p>x</p></article>"), (None, None, None)], "page_id long, url string, html string").withColumn("text", F.lit("clash"))
     assert sorted(map(str, html_text.main_text(pages).select("page_id", "text").collect())) == ["Row(page_id=1, text='x')"] * 2 + ["Row(page_id=None, text='')"]
