@@ -31,10 +31,13 @@ def bounded_sample(rows: DataFrame, label: str, bound: int, seed: int) -> DataFr
 
 
 def shared_dir(spark: SparkSession) -> str:
-    """The folder for checkpoints: the session's own where it names one."""
+    """The folder for checkpoints: the session's own where it names one. Only a local session may go without."""
     ctx = spark.sparkContext
     if ctx.getCheckpointDir() is None:
-        ctx.setCheckpointDir(spark.conf.get("spark.checkpoint.dir", None) or "/tmp/lawloom-checkpoints")
+        named = spark.conf.get("spark.checkpoint.dir", None)
+        if not named and not ctx.master.startswith("local"):
+            raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
+        ctx.setCheckpointDir(named or "/tmp/lawloom-checkpoints")
     return ctx.getCheckpointDir()
 
 
@@ -144,35 +147,44 @@ def words(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray
     return starts, ends, np.searchsorted(starts, offsets)
 
 
-def components(edges: DataFrame, rounds: int = 40) -> DataFrame:
+#: A key with more than one in so many rows is hot; there are fewer hot keys than this.
+HOT = 1000
+
+
+def with_keys(rows: DataFrame, keyed: DataFrame, keys: list[str], total: int, count: str = "n") -> DataFrame:
+    """rows joined to keyed, which has one row for each key and the number of rows of that key.
+
+    total: the number of all rows. Keys with more than total / HOT rows, fewer than HOT by that, are broadcast, so
+    no task gets the rows of a hot key; the others meet in an ordinary join. The count column is dropped.
+    """
+    hot = F.broadcast(keyed.filter(F.col(count) * HOT > total).drop(count))
+    cold = keyed.filter(F.col(count) * HOT <= total).drop(count)
+    return rows.join(hot, keys).unionByName(rows.join(hot.select(*keys), keys, "left_anti").join(cold, keys))
+
+
+def components(edges: DataFrame) -> DataFrame:
     """Connected components of (a, b): (node, component) of every node that has an edge; component is its smallest node.
 
     Large-star and small-star steps in turn, each of them a join and an aggregate, until no edge changes.
-    Each step is kept in the shared folder; a hub with very many neighbours is an ordinary skewed join key.
+    Each step is kept in the shared folder; a hub with very many neighbours is a hot key of with_keys.
     Nulls and loops are left out; repeated edges count once; no edge gives no row.
     """
-    e = materialised(
-        edges.select(F.greatest("a", "b").alias("u"), F.least("a", "b").alias("v")).filter("u <> v").distinct()
-    )
-    state = None
-    for _ in range(rounds):
-        both = e.unionByName(e.select(F.col("v").alias("u"), F.col("u").alias("v")))
-        least = both.groupBy("u").agg(F.min("v").alias("n")).select("u", F.least("n", "u").alias("m"))
-        e = both.filter("v > u").join(least, "u").select(F.col("v").alias("u"), F.col("m").alias("v")).distinct()
-        least = e.groupBy("u").agg(F.min("v").alias("m"))
-        near = e.join(least, "u")
-        e = (
-            near.filter("v <> m").select(F.col("v").alias("u"), F.col("m").alias("v"))
-            .unionByName(least.select("u", F.col("m").alias("v")))
-            .distinct()
-        )
+
+    def settled(e: DataFrame) -> tuple[DataFrame, tuple]:
         e = materialised(e)
-        now = e.agg(F.count("*"), F.sum(F.xxhash64("u", "v").cast("decimal(38,0)"))).first()
+        return e, tuple(e.agg(F.count("*"), F.sum(F.xxhash64("u", "v").cast("decimal(38,0)"))).first())
+
+    e, state = settled(edges.select(F.greatest("a", "b").alias("u"), F.least("a", "b").alias("v")).filter("u <> v").distinct())
+    while state[0]:
+        both = e.unionByName(e.select(F.col("v").alias("u"), F.col("u").alias("v")))
+        least = both.groupBy("u").agg(F.min("v").alias("o"), F.count("*").alias("n")).select("u", F.least("o", "u").alias("m"), "n")
+        e, (count, _) = settled(with_keys(both, least, ["u"], 2 * state[0]).filter("v > u").select(F.col("v").alias("u"), F.col("m").alias("v")).distinct())
+        least = e.groupBy("u").agg(F.min("v").alias("m"), F.count("*").alias("n"))
+        near = with_keys(e, least, ["u"], count)
+        e, now = settled(near.filter("v <> m").select(F.col("v").alias("u"), F.col("m").alias("v")).unionByName(least.select("u", F.col("m").alias("v"))).distinct())
         if now == state:
             break
         state = now
-    else:
-        raise RuntimeError(f"components did not settle in {rounds} rounds")
     return e.select(F.col("u").alias("node"), F.col("v").alias("component")).unionByName(
         e.select(F.col("v").alias("node"), F.col("v").alias("component")).distinct()
     )

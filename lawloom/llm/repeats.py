@@ -1,4 +1,4 @@
-"""Removal of repeated byte strings by sorted keys over the repetitive part of a corpus.
+"""Removal of repeated byte strings by run-length indexes over the repetitive part of a corpus.
 
 A string of LENGTH bytes that two documents share contains the same anchors in both:
 an anchor is a K-byte string whose hash is the least of the LENGTH - K + 1 strings of
@@ -7,19 +7,16 @@ that size in some LENGTH-byte window. So
 1. every document sends the hashes of its anchors, packed by hash bucket; a bucket
    answers which of them occur in several documents;
 2. around each such anchor the document sends the LENGTH - K bytes on either side to
-   the anchor's bucket. Equal contexts are one. The bucket sorts the suffixes of its
-   contexts by their first LENGTH bytes; suffixes with the same LENGTH bytes are one
-   interval, whose smallest document is the first that holds the string. The runs of
-   the Burrows-Wheeler transform only pre-reduce an interval and change no result;
-3. each position reads the smallest document of its own interval off the sort order,
-   and where that is smaller than its document, the LENGTH bytes there are marked.
-
-So the matching is a sort of LENGTH-byte keys in buckets: there is no backward search
-and there are no streamed matching statistics. The texts to match are the texts that
-are indexed, and the length is fixed, so one sort answers all positions exactly.
+   the anchor's bucket. Equal contexts are one. The bucket builds the run-compressed
+   Burrows-Wheeler transform of its contexts, with a sample at the ends of its runs:
+   the smallest document of the run;
+3. each context streams through the transform from right to left. Its matching
+   statistics follow from backward steps over the runs; where a match reaches LENGTH
+   bytes, the samples of its runs give the smallest document that holds them, and if
+   that is smaller than the document of the context, the bytes are marked.
 
 Whole copies of a text (equal 128-bit hash) are answered by their first document and
-send no contexts. A bucket works through SLICES of its hashes one at a time.
+send no contexts. A bucket works through SLICES of its anchors one at a time.
 
 Defined results: a null text is empty; a text of fewer than LENGTH bytes loses
 nothing; rows of one doc_id are never sources for one another; a null doc_id loses
@@ -36,12 +33,15 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
-from .common import _BASE, _BYTE, materialised, mixed, raw, slices, span_hashes
+from .common import _BASE, _BYTE, materialised, mixed, raw, slices, span_hashes, with_keys
 
 LENGTH = 50
 K = 24
 WINDOW = LENGTH - K + 1
-SLICES = 16
+#: Parts of the anchors of a bucket, which are matched one after the other.
+SLICES = 64
+#: Bytes of text for each group of documents, and for each bucket.
+GROUP_BYTES = 8 << 20
 #: Bytes of text behind one packed row for each bucket.
 BATCH = 4 << 20
 _LOW = np.uint64((1 << 40) - 1)
@@ -88,43 +88,86 @@ def code(h: np.ndarray, buckets: int) -> np.ndarray:
     return ((h // b) & _LOW) * b + h % b
 
 
-def suffix_index(windows: np.ndarray, starts: np.ndarray, sizes: np.ndarray, docs: np.ndarray) -> np.ndarray:
-    """Smallest document that holds the LENGTH bytes at each possible start of each window: (windows, WINDOW), -1 beyond the end.
+class RunLengthIndex:
+    """Run-length Burrows-Wheeler transform of many short texts, sorted by LENGTH bytes, with a sample for each run.
 
-    windows: the bytes of all windows; docs: the smallest document of each window.
+    A text ends with a symbol 0 below all bytes. A run is a maximal range of rows with one preceding symbol; it also ends
+    where the LENGTH bytes of the rows change, and its sample is the smallest document of its rows, so the samples of the
+    runs of one string add up to the smallest document that holds it. Ties of LENGTH bytes stand in any order: a step
+    back from the first row of a string of at most LENGTH bytes counts rows that differ within LENGTH bytes only.
     """
-    out = np.full((len(starts), WINDOW), np.iinfo(np.int64).min)
-    count = sizes - LENGTH + 1
-    window = np.repeat(np.arange(len(starts)), count)
-    shift = np.arange(len(window)) - np.repeat(np.cumsum(count) - count, count)
-    at = starts[window] + shift
-    padded = np.concatenate([windows, np.zeros(8, np.uint8)]).astype(np.uint64)
-    word = np.zeros(len(windows), np.uint64)
-    for k in range(8):
-        word = (word << np.uint64(8)) | padded[k : k + len(windows)]
-    keys = [word[at + k] for k in range(0, LENGTH - 8 + 1, 8)]
-    keys.append(word[at + LENGTH - 8])
-    order = np.lexsort(keys[::-1])
-    new = np.zeros(len(order), bool)
-    if len(order):
-        new[0] = True
-    for k in keys:
-        k = k[order]
-        new[1:] |= k[1:] != k[:-1]
-    left = np.where(shift > 0, windows[np.maximum(at - 1, 0)], 0).astype(np.int16)  # the transform: the byte before each suffix
-    left[shift == 0] = -1
-    left = left[order]
-    run = new.copy()
-    run[1:] |= left[1:] != left[:-1]
-    run_at = np.flatnonzero(run)
-    if not len(run_at):
+
+    def __init__(self, texts: np.ndarray, starts: np.ndarray, sizes: np.ndarray, docs: np.ndarray):
+        n = len(starts)
+        self.sizes, self.ends = sizes, np.cumsum(sizes + 1) - 1  # each text has one more place, for its end
+        self.symbols = np.zeros(len(texts) + n, np.int64)
+        inside = np.ones(len(self.symbols), bool)
+        inside[self.ends] = False
+        self.symbols[inside] = texts.astype(np.int64) + 1
+        self.rows = len(self.symbols)
+        left = np.repeat(self.ends, sizes + 1) - np.arange(self.rows)  # bytes up to the end of the text
+        order, new = self._sorted(left)
+        before = np.where(order > 0, self.symbols[order - 1], 0)
+        run = new.copy()
+        run[1:] |= before[1:] != before[:-1]
+        at = np.flatnonzero(run)
+        sample = np.minimum.reduceat(np.repeat(docs, sizes + 1)[order], at)
+        self.strings = np.flatnonzero(new)  # first row of each string
+        self.smallest = np.minimum.reduceat(sample, np.flatnonzero(new[at]))
+        # runs by symbol and row; every symbol begins with an empty run before all rows
+        symbol = np.concatenate([np.arange(257), before[at]])
+        first = np.concatenate([np.full(257, -1), at])
+        length = np.concatenate([np.zeros(257, np.int64), np.diff(np.append(at, self.rows))])
+        key = symbol * (self.rows + 2) + first + 1
+        by = np.argsort(key)
+        self.keys, self.first, self.length = key[by], first[by], length[by]
+        self.total = np.cumsum(self.length) - self.length
+
+    def _sorted(self, left: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Places in the order of their first LENGTH symbols, and whether these differ from the row before."""
+        padded = np.concatenate([self.symbols, np.zeros(7, np.int64)])
+        word, size = np.zeros(self.rows, np.int64), 7
+        for k in range(size):
+            word = word << 9 | np.where(left >= k, padded[k : k + self.rows], 0)
+        for step in (7, 14, 22):  # of 7, 14 and 28 symbols known, so 14, 28 and LENGTH follow
+            values, rank = np.unique(word, return_inverse=True)
+            then = np.zeros(self.rows, np.int64)
+            on = np.flatnonzero(left >= step)
+            then[on] = rank[on + step] + 1
+            word = rank * (len(values) + 1) + then
+        order = np.argsort(word)
+        new = np.ones(self.rows, bool)
+        new[1:] = word[order][1:] != word[order][:-1]
+        return order, new
+
+    def back(self, symbol: np.ndarray, row: np.ndarray) -> np.ndarray:
+        """First row of symbol + string, from the first row of string."""
+        run = np.searchsorted(self.keys, symbol * (self.rows + 2) + row + 1, side="right") - 1
+        return self.total[run] + np.minimum(row - self.first[run], self.length[run])
+
+    def statistics(self) -> np.ndarray:
+        """Smallest document that matches LENGTH bytes at each place of each text: (texts, WINDOW); the least integer beyond the end.
+
+        All texts stream from right to left. A match of LENGTH bytes that is extended gives up its last byte.
+        """
+        out = np.full((len(self.ends), WINDOW), np.iinfo(np.int64).min)
+        row = np.zeros(len(self.ends), np.int64)
+        for done in range(1, int(self.sizes.max(initial=0)) + 1):
+            on = np.flatnonzero(self.sizes >= done)
+            row[on] = self.back(self.symbols[self.ends[on] - done], row[on])
+            if done >= LENGTH:
+                string = np.searchsorted(self.strings, row[on], side="right") - 1
+                row[on] = self.strings[string]
+                out[on, self.sizes[on] - done] = self.smallest[string]
         return out
-    sample = np.minimum.reduceat(docs[window[order]], run_at)  # one sample for each run of the transform
-    first_run = np.flatnonzero(new[run_at])  # runs that begin an interval of equal strings
-    smallest = np.minimum.reduceat(sample, first_run)
-    interval = np.cumsum(new) - 1
-    out[window[order], shift[order]] = smallest[interval]
-    return out
+
+
+def suffix_index(windows: np.ndarray, starts: np.ndarray, sizes: np.ndarray, docs: np.ndarray) -> np.ndarray:
+    """Smallest document that holds the LENGTH bytes at each possible start of each window: (windows, WINDOW).
+
+    windows: the bytes of all windows, one after the other; docs: the smallest document of each window.
+    """
+    return RunLengthIndex(windows, starts, sizes, docs).statistics()
 
 
 def _packed(bucket: np.ndarray, doc: np.ndarray, buckets: int):
@@ -296,39 +339,58 @@ def _matched(groups: int):
 
 
 def _marks(table: pa.Table, groups: int) -> pa.Table:
-    unpress = zstandard.ZstdDecompressor()
-    t = {n: table.column(n).to_pylist() for n in table.schema.names}
+    t = {n: table.column(n).to_pylist() for n in table.schema.names if n != "bytes"}
+    packed = table.column("bytes")
     join = lambda name, kind: np.frombuffer(b"".join(t[name]), kind)
     counts = join("counts", np.uint32)
     key, doc = np.repeat(join("keys", np.int64), counts), np.repeat(join("docs", np.int64), counts)
-    pos, size, part, bytes_ = join("pos", np.uint32), join("size", np.uint8).astype(np.int64), join("slice", np.uint8), np.frombuffer(b"".join(map(unpress.decompress, t["bytes"])), np.uint8)
-    starts = np.cumsum(size) - size
+    pos, size, part = join("pos", np.uint32), join("size", np.uint8).astype(np.int64), join("slice", np.uint8)
+    base = np.cumsum([0] + [len(x) for x in t["size"]])
+    unpress = zstandard.ZstdDecompressor()
+
+    def contexts(k: int):
+        """Bytes of the contexts of a packed row, and where each begins."""
+        n = size[base[k] : base[k + 1]]
+        return np.frombuffer(unpress.decompress(packed[k].as_py()), np.uint8), np.cumsum(n) - n, n
+
+    h = np.zeros(len(size), np.uint64)
+    for k in range(len(packed)):
+        bytes_, begin, n = contexts(k)
+        for a in range(0, len(n), 8192):
+            b, c = begin[a : a + 8192], n[a : a + 8192]
+            h[base[k] + a : base[k] + a + len(b)] = span_hashes(bytes_[b[0] : b[-1] + c[-1]], b - b[0], b - b[0] + c)
+    _, first, inverse = np.unique(h, return_index=True, return_inverse=True)
+    least = np.full(len(first), np.iinfo(np.int64).max)
+    np.minimum.at(least, inverse, doc)
+    chosen = np.sort(first)  # equal contexts are one, and only one of them is held as bytes
+    held = []
+    for k in range(len(packed)):
+        own = chosen[np.searchsorted(chosen, base[k]) : np.searchsorted(chosen, base[k + 1])] - base[k]
+        if len(own):
+            bytes_, begin, n = contexts(k)
+            held.append(bytes_[np.repeat(begin[own] - (np.cumsum(n[own]) - n[own]), n[own]) + np.arange(n[own].sum())])
+    text = np.concatenate(held) if held else np.zeros(0, np.uint8)
+    begin = np.zeros(len(size), np.int64)
+    begin[chosen] = np.cumsum(size[chosen]) - size[chosen]
     found = []
     for s in range(SLICES):
-        at = np.flatnonzero(part == s)
-        if len(at) < 2:
+        distinct = np.flatnonzero(part[first] == s)
+        if not len(distinct):
             continue
-        own = np.repeat(starts[at] - (np.cumsum(size[at]) - size[at]), size[at]) + np.arange(size[at].sum())
-        text, n = bytes_[own], size[at]
-        begin = np.cumsum(n) - n
-        h = np.zeros(len(n), np.uint64)
-        for a in range(0, len(n), 8192):
-            own = slice(a, a + 8192)
-            base = begin[a]
-            h[own] = span_hashes(text[base : begin[own][-1] + n[own][-1]], begin[own] - base, begin[own] - base + n[own])
-        _, first, inverse = np.unique(h, return_index=True, return_inverse=True)
-        least = np.full(len(first), np.iinfo(np.int64).max)
-        np.minimum.at(least, inverse, doc[at])
-        u_size = n[first]
-        u_own = np.repeat(begin[first] - (np.cumsum(u_size) - u_size), u_size) + np.arange(u_size.sum())
-        smallest = suffix_index(text[u_own], np.cumsum(u_size) - u_size, u_size, least)
-        for a in range(0, len(at), 1 << 16):
-            i = inverse[a : a + (1 << 16)]
-            known = np.arange(WINDOW)[None, :] <= (u_size[i] - LENGTH)[:, None]
-            hit = known & (smallest[i] < doc[at[a : a + (1 << 16)]][:, None])
+        n, at = size[first[distinct]], begin[first[distinct]]
+        own = np.repeat(at - (np.cumsum(n) - n), n) + np.arange(n.sum())
+        smallest = suffix_index(text[own], np.cumsum(n) - n, n, least[distinct])
+        number = np.full(len(first), -1)
+        number[distinct] = np.arange(len(distinct))
+        mine = np.flatnonzero(part == s)
+        for a in range(0, len(mine), 1 << 16):
+            rows = mine[a : a + (1 << 16)]
+            i = number[inverse[rows]]
+            known = np.arange(WINDOW)[None, :] <= (n[i] - LENGTH)[:, None]
+            hit = known & (smallest[i] < doc[rows][:, None])
             bits = (hit.astype(np.uint32) << np.arange(WINDOW, dtype=np.uint32)[None, :]).sum(1, dtype=np.uint32)
-            rows = np.flatnonzero(bits)
-            found.append((at[a + rows], bits[rows]))
+            on = np.flatnonzero(bits)
+            found.append((rows[on], bits[on]))
     rows = np.concatenate([x for x, _ in found]) if found else np.zeros(0, np.int64)
     bits = np.concatenate([x for _, x in found]) if found else np.zeros(0, np.uint32)
     marks = np.stack([pos[rows], bits], 1)
@@ -379,29 +441,30 @@ def _cut(texts: pa.Table, marked: pa.Table) -> pa.Table:
 def without_repeats(docs: DataFrame, carry: list[str] | None = None) -> DataFrame:
     """doc_id, n_bytes, removed (start, end) and kept bytes of every row, and the columns named in carry.
 
-    Documents are dealt into groups by a hash; what a bucket answers is one packed row for each group, so answers
-    grow with the shared anchors and never with their pairs. A task holds one group of documents at a time.
+    Documents are dealt into groups by a hash, and anchors into buckets, as many as GROUP_BYTES of text each ask for;
+    what a bucket answers is one packed row for each group, so answers grow with the shared anchors and never with
+    their pairs. A task holds one group or bucket at a time.
     """
     carry = carry or []
-    spark = docs.sparkSession
-    buckets = groups = 2 * int(spark.conf.get("spark.sql.shuffle.partitions"))
-    key = F.xxhash64("doc_id", "text")
+    text_keys = [F.xxhash64("doc_id", "text").alias("key"), F.xxhash64(F.lit(7), "doc_id", "text").alias("deal"), *(F.xxhash64(F.lit(k), "text").alias(f"c{k}") for k in (1, 2))]
+    prints = materialised(docs.select("doc_id", "text").filter("doc_id IS NOT NULL AND text IS NOT NULL").select("doc_id", *text_keys, F.octet_length("text").alias("bytes")))
+    total, held = prints.agg(F.count("*"), F.coalesce(F.sum("bytes"), F.lit(0))).first()
+    buckets = groups = held // GROUP_BYTES + 1
+    group = F.pmod("deal", F.lit(groups).cast("long")).alias("group")  # a hash of its own, so a key is told apart by more than its 64 bits
     carried = F.struct(F.lit(0).alias("_"), *carry).alias("__carried")  # names of their own cannot clash
-    rows = docs.select("doc_id", "text", key.alias("key"), carried, F.pmod(key, F.lit(groups).cast("long")).alias("group"))
-    usable = rows.filter("doc_id IS NOT NULL AND text IS NOT NULL")
-    sent = usable.select("key", "text").mapInArrow(_sent_hashes(buckets), "bucket int, keys binary, counts binary, low binary, high binary")
-    shared = sent.groupBy("bucket").applyInArrow(_shared(buckets, groups), "group long, bucket int, keys binary, counts binary, low binary, high binary")
-    content = [F.xxhash64(F.lit(k), "text").alias(f"c{k}") for k in (1, 2)]
-    prints = usable.select("group", "key", "doc_id", *content)
-    firsts = prints.groupBy("c1", "c2").agg(F.min("doc_id").alias("first"), F.count("*").alias("n")).filter("n > 1").drop("n")
-    copies = materialised(prints.join(firsts, ["c1", "c2"]).filter("doc_id > first").select("group", F.col("key").alias("copy")).distinct())
-    dealt = rows.repartition("group").groupBy("group")
+    rows = docs.select("doc_id", "text", carried, *text_keys[:2]).withColumn("group", group).drop("deal")
+    sent = rows.filter("doc_id IS NOT NULL AND text IS NOT NULL").select("key", "text").mapInArrow(_sent_hashes(buckets), "bucket int, keys binary, counts binary, low binary, high binary")
+    shared = sent.repartition(buckets, "bucket").groupBy("bucket").applyInArrow(_shared(buckets, groups), "group long, bucket int, keys binary, counts binary, low binary, high binary")
+    firsts = prints.groupBy("c1", "c2").agg(F.min("doc_id").alias("first"), F.count("*").alias("n")).filter("n > 1")
+    copies = with_keys(prints.select("doc_id", "key", group, "c1", "c2"), firsts, ["c1", "c2"], total)
+    copies = materialised(copies.filter("doc_id > first").select("group", F.col("key").alias("copy")).distinct())
+    dealt = rows.repartition(groups, "group").groupBy("group")
 
     def with_copies(packed: DataFrame) -> DataFrame:
-        return packed.unionByName(copies, allowMissingColumns=True).groupBy("group")
+        return packed.unionByName(copies, allowMissingColumns=True).repartition(groups, "group").groupBy("group")
 
     contexts = dealt.cogroup(with_copies(shared)).applyInArrow(_sent_contexts(buckets), "bucket int, keys binary, docs binary, counts binary, pos binary, size binary, slice binary, bytes binary")
-    matched = contexts.groupBy("bucket").applyInArrow(_matched(groups), "group long, keys binary, counts binary, marks binary")
+    matched = contexts.repartition(buckets, "bucket").groupBy("bucket").applyInArrow(_matched(groups), "group long, keys binary, counts binary, marks binary")
     kind = StructType.fromDDL("doc_id long, n_bytes long, removed array<struct<start:long,end:long>>, kept binary")
     out = dealt.cogroup(with_copies(matched)).applyInArrow(_cut, StructType([*kind.fields, rows.schema["__carried"]]))
     return out.select("doc_id", "n_bytes", "removed", "kept", *(F.col("__carried")[c].alias(c) for c in carry))
