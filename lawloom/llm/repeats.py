@@ -208,7 +208,7 @@ def _sent_hashes(buckets: int):
             doc, h = doc[order], h[order]
             keep = np.ones(len(h), bool)
             keep[1:] = (doc[1:] != doc[:-1]) | (h[1:] != h[:-1])
-            held.append((batch.column(0).to_numpy(), doc[keep], h[keep]))
+            held.append((np.stack([batch.column(k).to_numpy() for k in (0, 2)], 1), doc[keep], h[keep]))
             size += len(data)
             if size >= BATCH:
                 yield from flush(held)
@@ -230,9 +230,12 @@ def _runs_of(*of: np.ndarray) -> np.ndarray:
     return np.flatnonzero(new)
 
 
-def _by_group(key: np.ndarray, groups: int):
-    """Rows, sorted by group and key, of each group that occurs: its number, the rows, its keys and the rows of each key."""
-    group = key % np.int64(groups)
+def _by_group(keys: np.ndarray, groups: int):
+    """Rows, sorted by group and key, of each group that occurs: its number, the rows, its keys and the rows of each key.
+
+    keys: key and deal of each row; the deal is a hash of its own, so that a group and a key tell documents apart by more than 64 bits.
+    """
+    key, group = keys[:, 0], keys[:, 1] % np.int64(groups)
     order = np.lexsort((key, group))
     key, group = key[order], group[order]
     edges = _runs_of(group)
@@ -249,7 +252,7 @@ def _shared(buckets: int, groups: int):
         t = {n: table.column(n).to_pylist() for n in ("keys", "counts", "low", "high")}
         bucket = table.column("bucket")[0].as_py()
         join = lambda name, kind: np.frombuffer(b"".join(t[name]), kind)
-        key = np.repeat(join("keys", np.int64), join("counts", np.uint32))
+        key = np.repeat(join("keys", np.int64).reshape(-1, 2), join("counts", np.uint32), 0)
         v = join("low", np.uint32).astype(np.uint64) | join("high", np.uint8).astype(np.uint64) << np.uint64(32)
         order = np.argsort(v, kind="stable")
         s = v[order]
@@ -309,7 +312,7 @@ def _sent_contexts(buckets: int):
         order = np.argsort(key, kind="stable")
         key, codes = key[order], codes[order]
         held = []
-        for batch in slices(texts.select(["doc_id", "text", "key"]).to_batches(), most=512 << 10) if len(key) else ():
+        for batch in slices(texts.select(["doc_id", "text", "key", "deal"]).to_batches(), most=512 << 10) if len(key) else ():
             column = {n: batch.column(k) for k, n in enumerate(batch.schema.names)}
             doc_key = column["key"].to_numpy()
             wanted = ~np.isin(doc_key, copies) & column["doc_id"].is_valid().to_numpy(zero_copy_only=False)
@@ -327,7 +330,7 @@ def _sent_contexts(buckets: int):
             end = np.minimum(at + LENGTH, offsets[doc + 1])
             size = end - start
             own = np.repeat(start - (np.cumsum(size) - size), size) + np.arange(size.sum())
-            held.append((doc_key, column["doc_id"].fill_null(0).to_numpy(), doc, c, start - offsets[doc], size, data[own]))
+            held.append((np.stack([doc_key, column["deal"].to_numpy()], 1), column["doc_id"].fill_null(0).to_numpy(), doc, c, start - offsets[doc], size, data[own]))
         return pa.Table.from_batches(flush(held), schema)
 
     return work
@@ -343,7 +346,7 @@ def _marks(table: pa.Table, groups: int) -> pa.Table:
     packed = table.column("bytes")
     join = lambda name, kind: np.frombuffer(b"".join(t[name]), kind)
     counts = join("counts", np.uint32)
-    key, doc = np.repeat(join("keys", np.int64), counts), np.repeat(join("docs", np.int64), counts)
+    key, doc = np.repeat(join("keys", np.int64).reshape(-1, 2), counts, 0), np.repeat(join("docs", np.int64), counts)
     pos, size, part = join("pos", np.uint32), join("size", np.uint8).astype(np.int64), join("slice", np.uint8)
     base = np.cumsum([0] + [len(x) for x in t["size"]])
     unpress = zstandard.ZstdDecompressor()
@@ -450,13 +453,13 @@ def without_repeats(docs: DataFrame, carry: list[str] | None = None) -> DataFram
     prints = materialised(docs.select("doc_id", "text").filter("doc_id IS NOT NULL AND text IS NOT NULL").select("doc_id", *text_keys, F.octet_length("text").alias("bytes")))
     total, held = prints.agg(F.count("*"), F.coalesce(F.sum("bytes"), F.lit(0))).first()
     buckets = groups = held // GROUP_BYTES + 1
-    group = F.pmod("deal", F.lit(groups).cast("long")).alias("group")  # a hash of its own, so a key is told apart by more than its 64 bits
+    group = F.pmod("deal", F.lit(groups).cast("long")).alias("group")
     carried = F.struct(F.lit(0).alias("_"), *carry).alias("__carried")  # names of their own cannot clash
-    rows = docs.select("doc_id", "text", carried, *text_keys[:2]).withColumn("group", group).drop("deal")
-    sent = rows.filter("doc_id IS NOT NULL AND text IS NOT NULL").select("key", "text").mapInArrow(_sent_hashes(buckets), "bucket int, keys binary, counts binary, low binary, high binary")
+    rows = docs.select("doc_id", "text", carried, *text_keys[:2]).withColumn("group", group)
+    sent = rows.filter("doc_id IS NOT NULL AND text IS NOT NULL").select("key", "text", "deal").mapInArrow(_sent_hashes(buckets), "bucket int, keys binary, counts binary, low binary, high binary")
     shared = sent.repartition(buckets, "bucket").groupBy("bucket").applyInArrow(_shared(buckets, groups), "group long, bucket int, keys binary, counts binary, low binary, high binary")
     firsts = prints.groupBy("c1", "c2").agg(F.min("doc_id").alias("first"), F.count("*").alias("n")).filter("n > 1")
-    copies = with_keys(prints.select("doc_id", "key", group, "c1", "c2"), firsts, ["c1", "c2"], total)
+    copies = with_keys(prints.select("doc_id", "key", group, "c1", "c2"), firsts, ["c1", "c2"], total, ["key"])
     copies = materialised(copies.filter("doc_id > first").select("group", F.col("key").alias("copy")).distinct())
     dealt = rows.repartition(groups, "group").groupBy("group")
 
