@@ -151,15 +151,17 @@ def words(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray
 HOT = 1000
 
 
-def with_keys(rows: DataFrame, keyed: DataFrame, keys: list[str], total: int, count: str = "n") -> DataFrame:
+def with_keys(rows: DataFrame, keyed: DataFrame, keys: list[str], total: int, spread: list[str], count: str = "n") -> DataFrame:
     """rows joined to keyed, which has one row for each key and the number of rows of that key.
 
-    total: the number of all rows. Keys with more than total / HOT rows, fewer than HOT by that, are broadcast, so
-    no task gets the rows of a hot key; the others meet in an ordinary join. The count column is dropped.
+    total: the number of all rows. The rows of a key with more than total / HOT rows are dealt by a hash of the columns
+    in spread, and its row of keyed is repeated as often; only the list of hot keys, fewer than HOT, is broadcast.
     """
-    hot = F.broadcast(keyed.filter(F.col(count) * HOT > total).drop(count))
-    cold = keyed.filter(F.col(count) * HOT <= total).drop(count)
-    return rows.join(hot, keys).unionByName(rows.join(hot.select(*keys), keys, "left_anti").join(cold, keys))
+    parts = F.ceil(F.col(count) * HOT / F.lit(float(max(total, 1)))).cast("long")
+    hot = keyed.filter(F.col(count) * HOT > total).select(*keys, parts.alias("__parts"))
+    dealt = rows.join(F.broadcast(hot), keys, "left").withColumn("__part", F.coalesce(F.pmod(F.xxhash64(*spread), "__parts"), F.lit(0).cast("long"))).drop("__parts")
+    other = keyed.withColumn("__part", F.explode(F.sequence(F.lit(0).cast("long"), F.greatest(parts, F.lit(1).cast("long")) - 1))).drop(count)
+    return dealt.join(other, [*keys, "__part"]).drop("__part")
 
 
 def components(edges: DataFrame) -> DataFrame:
@@ -178,9 +180,9 @@ def components(edges: DataFrame) -> DataFrame:
     while state[0]:
         both = e.unionByName(e.select(F.col("v").alias("u"), F.col("u").alias("v")))
         least = both.groupBy("u").agg(F.min("v").alias("o"), F.count("*").alias("n")).select("u", F.least("o", "u").alias("m"), "n")
-        e, (count, _) = settled(with_keys(both, least, ["u"], 2 * state[0]).filter("v > u").select(F.col("v").alias("u"), F.col("m").alias("v")).distinct())
+        e, (count, _) = settled(with_keys(both, least, ["u"], 2 * state[0], ["v"]).filter("v > u").select(F.col("v").alias("u"), F.col("m").alias("v")).distinct())
         least = e.groupBy("u").agg(F.min("v").alias("m"), F.count("*").alias("n"))
-        near = with_keys(e, least, ["u"], count)
+        near = with_keys(e, least, ["u"], count, ["v"])
         e, now = settled(near.filter("v <> m").select(F.col("v").alias("u"), F.col("m").alias("v")).unionByName(least.select("u", F.col("m").alias("v"))).distinct())
         if now == state:
             break

@@ -3,14 +3,18 @@
 1. Every text becomes its set of word shingles (64-bit hashes), HASHES minimum hashes,
    band keys, and a 128-bit fingerprint of the set. Texts with equal sets are one class.
 2. Classes that share a band key are joined to the smallest of the key (a star, not
-   all pairs); connected components of these stars are the candidate clusters.
-3. A cluster is cut into blocks of about BLOCK classes; each pair of blocks is one
-   task. In it, pairs that share a band are compared STEP hashes at a time and
+   all pairs); connected components of these stars are the candidate clusters. Most
+   of them fit into one block of about BLOCK classes, which is one task.
+3. Larger clusters are crowds, and there a band key decides who meets: in ROUNDS
+   rounds every class meets one hub of each of its keys, block by block, and what that
+   connects needs no comparison any more. Then only classes outside the largest
+   component of a key meet the others of the key, pairs of blocks being the tasks.
+4. In a task, pairs that share a band are compared STEP hashes at a time and
    dropped once the posterior probability of a similarity at the threshold falls
    below MISS; the survivors are confirmed on their full sets, best first, unless
    confirmed links have connected them already. So a task sends out a spanning
    forest of its confirmed links and no group of copies is expanded into pairs.
-4. Connected components of the confirmed links are the result.
+5. Connected components of the confirmed links are the result.
 
 The number of rows in a band is the largest that misses a pair at the threshold with
 probability LSH_MISS at most.
@@ -27,16 +31,20 @@ from math import comb
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import LOWER, components, materialised, mixed, raw, slices, span_hashes, words
+from .common import LOWER, components, materialised, mixed, raw, slices, span_hashes, with_keys, words
 
 HASHES = 256
 LSH_MISS = 1e-4
 STEP = 32
 MISS = 1e-6
+#: Most classes, and about the most shingles, of a block.
 BLOCK = 256
+SHINGLES = 1 << 20
+#: Rounds in which the classes of a crowd meet a hub of each key.
+ROUNDS = 2
 
 _RNG = np.random.default_rng(55)
 _A = _RNG.integers(1, 2**32, HASHES, dtype=np.uint32) | np.uint32(1)
@@ -132,17 +140,20 @@ def least_matches(percent: int, miss: float = MISS) -> list[int]:
     return out
 
 
-def verified(ids: np.ndarray, block: np.ndarray, sets: list[np.ndarray], sig: np.ndarray, percent: int) -> list[tuple[int, int]]:
-    """A spanning forest of the links between the documents of one task, each link confirmed on the full sets."""
+def verified(ids: np.ndarray, known: np.ndarray, side: np.ndarray, sets: list[np.ndarray], sig: np.ndarray, percent: int) -> list[tuple[int, int]]:
+    """A spanning forest of the links between the documents of one task, each link confirmed on the full sets.
+
+    known: documents of equal value are connected already; side: if there are two, only documents of different sides are compared.
+    """
     keys = band_keys(sig, band_rows(percent))
     size = np.array([len(s) for s in sets])
     a, b = [], []
-    cross = len(np.unique(block)) > 1
+    cross = len(np.unique(side)) > 1
     for i in range(len(ids) - 1):
         hit = (keys[i + 1 :] == keys[i]).any(1)
-        hit &= ids[i + 1 :] != ids[i]
+        hit &= (ids[i + 1 :] != ids[i]) & (known[i + 1 :] != known[i])
         if cross:
-            hit &= block[i + 1 :] != block[i]
+            hit &= side[i + 1 :] != side[i]
         low, high = np.minimum(size[i + 1 :], size[i]), np.maximum(size[i + 1 :], size[i])
         hit &= 100 * low >= percent * high
         at = np.flatnonzero(hit) + i + 1
@@ -158,7 +169,8 @@ def verified(ids: np.ndarray, block: np.ndarray, sets: list[np.ndarray], sig: np
             same[at : at + (1 << 16)] += (sig[a[at : at + (1 << 16)], part] == sig[b[at : at + (1 << 16)], part]).sum(1)
         keep = same >= least
         a, b, same = a[keep], b[keep], same[keep]
-    root = list(range(len(ids)))
+    _, group = np.unique(known, return_inverse=True)
+    root = list(range(group.max() + 1))
 
     def find(x: int) -> int:
         while root[x] != x:
@@ -169,7 +181,7 @@ def verified(ids: np.ndarray, block: np.ndarray, sets: list[np.ndarray], sig: np
     links = []
     for k in np.argsort(-same, kind="stable"):
         i, j = int(a[k]), int(b[k])
-        ri, rj = find(i), find(j)
+        ri, rj = find(int(group[i])), find(int(group[j]))
         if ri == rj:
             continue
         both = len(np.intersect1d(sets[i], sets[j], assume_unique=True))
@@ -179,46 +191,122 @@ def verified(ids: np.ndarray, block: np.ndarray, sets: list[np.ndarray], sig: np
     return links
 
 
-def links(docs: DataFrame, classes: DataFrame, size: int, percent: int) -> DataFrame:
-    """(a, b): confirmed links that connect all linked classes; classes: rep and bands."""
-    keys = classes.select("rep", F.explode("bands").alias("key"))
-    hubs = keys.groupBy("key").agg(F.min("rep").alias("hub"), F.count("*").alias("n")).filter("n > 1")
-    stars = keys.join(hubs, "key").filter("rep <> hub").select(F.col("rep").alias("a"), F.col("hub").alias("b"))
-    clusters = components(stars)
-    counted = clusters.groupBy("component").agg(F.ceil(F.count("*") / BLOCK).cast("long").alias("blocks"))
-    members = clusters.join(counted, "component").select(F.col("node").alias("doc_id"), F.col("component").alias("cluster"), "blocks", F.pmod(F.xxhash64("node"), F.col("blocks")).alias("block"))
+#: The columns of a task: what it is of, two numbers, and its members with what is known of them.
+TASK = "of long, i long, j long, rep long, known long, side int"
+
+
+def confirmed(tasks: DataFrame, texts: DataFrame, size: int, percent: int) -> DataFrame:
+    """(a, b): the links of every task; texts: rep and text of all members."""
 
     def sketch(batches):
         for batch in slices(batches, most=512 << 10):
             column = {n: batch.column(k) for k, n in enumerate(batch.schema.names)}
             sets = shingle_sets(*raw(column.pop("text")), size)
-            sig = signatures(sets)
-            yield pa.RecordBatch.from_arrays([*column.values(), pa.array([s.tobytes() for s in sets], pa.binary()), pa.array([s.tobytes() for s in sig], pa.binary())], [*column, "set", "sig"])
-
-    texts = docs.select("doc_id", "text").join(members, "doc_id").select("doc_id", "cluster", "blocks", "block", "text")
-    sketched = texts.mapInArrow(sketch, "doc_id long, cluster long, blocks long, block long, set binary, sig binary")
-    other = F.explode(F.sequence(F.lit(0).cast("long"), F.col("blocks") - 1)).alias("other")
-    tiles = sketched.select("doc_id", "cluster", "block", "set", "sig", other)
-    tiles = tiles.select("doc_id", "cluster", "block", "set", "sig", F.least("block", "other").alias("i"), F.greatest("block", "other").alias("j"))
+            yield pa.RecordBatch.from_arrays([*column.values(), pa.array([s.tobytes() for s in sets], pa.binary()), pa.array([s.tobytes() for s in signatures(sets)], pa.binary())], [*column, "set", "sig"])
 
     def work(table: pa.Table) -> pa.Table:
         column = {n: table.column(n).to_pylist() for n in table.schema.names}
         sets = [np.frombuffer(x, np.uint64) for x in column["set"]]
         sig = np.frombuffer(b"".join(column["sig"]), np.uint32).reshape(-1, HASHES)
-        found = verified(np.array(column["doc_id"]), np.array(column["block"]), sets, sig, percent)
+        found = verified(*(np.array(column[n]) for n in ("rep", "known", "side")), sets, sig, percent)
         return pa.table({"a": pa.array([x for x, _ in found], pa.int64()), "b": pa.array([x for _, x in found], pa.int64())})
 
-    return tiles.groupBy("cluster", "i", "j").applyInArrow(work, "a long, b long")
+    names = [x.split()[0] for x in TASK.split(", ")]
+    rows = tasks.join(texts, "rep").select(*names, "text").mapInArrow(sketch, TASK + ", set binary, sig binary")
+    return rows.groupBy("of", "i", "j").applyInArrow(work, "a long, b long")
+
+
+def blocks_of(rows: Column, shingles: Column) -> Column:
+    """Into how many blocks so many rows with so many shingles are cut."""
+    return F.greatest(F.ceil(rows / BLOCK), F.ceil(shingles / SHINGLES)).cast("long")
+
+
+def _task(of: Column, i: Column, j: Column, side: Column) -> list[Column]:
+    """Columns of a task besides rep and known."""
+    zero = F.lit(0).cast("long")
+    return [of.alias("of"), (i + zero).alias("i"), (j + zero).alias("j"), "rep", "known", side.cast("int").alias("side")]
+
+
+def _numbers(n: Column) -> Column:
+    """0 to n - 1, one a row; no row for 0."""
+    return F.explode(F.when(n > 0, F.sequence(F.lit(0).cast("long"), n - 1)))
+
+
+def crowded_links(keys: DataFrame, texts: DataFrame, size: int, percent: int) -> DataFrame:
+    """Confirmed links of crowds, from (key, rep, weight): the band keys and shingles of their classes.
+
+    In each of ROUNDS rounds every class meets one hub of each of its keys, in blocks; what the links connect is known
+    from then on, so a group of near copies is one component after a round or two. In the end the classes of a key
+    outside its largest component meet all classes of the key that they are not connected with, block by block.
+    """
+    total = keys.count()
+    found = None
+    members = keys.withColumn("known", F.col("rep"))
+    for turn in range(ROUNDS + 1):
+        if found is not None:
+            parts = components(found)
+            members = keys.join(parts.withColumnRenamed("node", "rep"), "rep", "left").withColumn("known", F.coalesce("component", "rep")).drop("component")
+        members = materialised(members)
+        by = members.groupBy("key", "known").agg(F.count("*").alias("c"), F.sum("weight").alias("w"))
+        main = F.max_by(F.struct("known", "c", "w"), F.struct("c", "known")).alias("main")
+        by = by.groupBy("key").agg(main, F.sum("c").alias("n"), F.sum("w").alias("w"), F.count("*").alias("parts")).filter("parts > 1")
+        if turn < ROUNDS:
+            order = F.xxhash64(F.lit(turn), "rep")
+            hubs = members.groupBy("key").agg(F.min_by("rep", order).alias("hub"), F.min_by("known", order).alias("of_hub"), F.count("*").alias("n"))
+            pairs = with_keys(members, hubs.join(by.select("key"), "key", "left_semi"), ["key"], total, ["rep"])
+            pairs = materialised(pairs.filter("known <> of_hub").select("rep", "known", "weight", "hub", "of_hub").distinct())
+            counted = pairs.groupBy("hub", "of_hub").agg(F.count("*").alias("n"), F.sum("weight").alias("w"))
+            cut = counted.select("hub", "of_hub", "n", blocks_of(F.col("n"), F.col("w")).alias("blocks"))
+            with_blocks = with_keys(pairs.drop("of_hub"), cut.drop("of_hub"), ["hub"], total, ["rep"])
+            tasks = with_blocks.select(*_task(F.col("hub"), F.pmod(F.xxhash64("rep"), "blocks"), F.lit(0), F.lit(0)))
+            centres = cut.select(F.col("hub").alias("rep"), F.col("of_hub").alias("known"), _numbers(F.col("blocks")).alias("block"))
+            tasks = tasks.unionByName(centres.select(*_task(F.col("rep"), F.col("block"), F.lit(0), F.lit(0))))
+        else:
+            few = blocks_of(F.col("n") - F.col("main.c"), F.col("w") - F.col("main.w"))
+            cut = by.select("key", F.col("main.known").alias("main"), few.alias("few"), blocks_of(F.col("main.c"), F.col("main.w")).alias("many"), "n")
+            rows = with_keys(members, cut, ["key"], total, ["rep"])
+            own = F.pmod(F.xxhash64("rep"), F.when(F.col("known") == F.col("main"), F.col("many")).otherwise(F.col("few")))
+            rows = materialised(rows.withColumn("block", own))
+            outside = rows.filter("known <> main")
+            other = _numbers(F.col("few")).alias("other")
+            among = outside.select("*", other).select(*_task(F.col("key"), F.least("block", "other"), F.greatest("block", "other"), F.col("block") != F.least("block", "other")))
+            # block -1 - m is block m of the main component
+            left = outside.select("*", _numbers(F.col("many")).alias("m")).select(*_task(F.col("key"), F.col("block"), -1 - F.col("m"), F.lit(0)))
+            right = rows.filter("known = main").select("*", other).select(*_task(F.col("key"), F.col("other"), -1 - F.col("block"), F.lit(1)))
+            tasks = among.unionByName(left).unionByName(right)
+        links = materialised(confirmed(tasks, texts, size, percent))
+        found = links if found is None else found.unionByName(links)
+    return found
+
+
+def links(docs: DataFrame, classes: DataFrame, size: int, percent: int) -> DataFrame:
+    """(a, b): confirmed links that connect all linked classes; classes: rep, bands and weight (shingles)."""
+    keys = classes.select("rep", "weight", F.explode("bands").alias("key"))
+    hubs = keys.groupBy("key").agg(F.min("rep").alias("hub"), F.count("*").alias("n")).filter("n > 1")
+    total = classes.count() * (HASHES // band_rows(percent))
+    stars = with_keys(keys, hubs, ["key"], total, ["rep"]).filter("rep <> hub").select(F.col("rep").alias("a"), F.col("hub").alias("b"))
+    clusters = components(stars)
+    sized = clusters.join(classes.groupBy("rep").agg(F.sum("weight").alias("weight")), F.col("node") == F.col("rep"))
+    counted = sized.groupBy("component").agg(F.count("*").alias("n"), blocks_of(F.count("*"), F.sum("weight")).alias("blocks"))
+    members = materialised(with_keys(sized.select("rep", "component"), counted, ["component"], total, ["rep"]))
+    texts = materialised(docs.select(F.col("doc_id").alias("rep"), "text").join(members.select("rep"), "rep"))
+    small = members.filter("blocks = 1").withColumn("known", F.col("rep"))
+    found = confirmed(small.select(*_task(F.col("component"), F.lit(0), F.lit(0), F.lit(0))), texts, size, percent)
+    crowd = materialised(members.filter("blocks > 1").select("rep"))
+    if not crowd.isEmpty():
+        found = found.unionByName(crowded_links(materialised(keys.join(crowd, "rep").distinct()), texts, size, percent))
+    return found
 
 
 def near_duplicates(docs: DataFrame, size: int = 5, percent: int = 80) -> DataFrame:
     """doc_id, n_shingles, component_id and kept of every row: links have 100 * intersection >= percent * union."""
     every = materialised(described(docs, size, percent))
     full = every.filter("doc_id IS NOT NULL AND n_shingles > 0")
-    classes = full.groupBy("a", "b").agg(F.min("doc_id").alias("rep"), F.any_value("bands").alias("bands"))
-    copies = full.select("doc_id", "a", "b").join(classes.select("a", "b", "rep"), ["a", "b"]).select(F.col("doc_id").alias("a"), F.col("rep").alias("b"))
+    classes = full.groupBy("a", "b").agg(F.min("doc_id").alias("rep"), F.any_value("bands").alias("bands"), F.max("n_shingles").alias("weight"), F.count("*").alias("n"))
+    classes = materialised(classes)
+    copies = with_keys(full.select("doc_id", "a", "b"), classes.select("a", "b", "rep", "n"), ["a", "b"], every.count(), ["doc_id"]).select(F.col("doc_id").alias("a"), F.col("rep").alias("b"))
     # one doc_id with several texts is a node of several classes, so copies are edges as well
-    parts = components(links(docs, classes, size, percent).unionByName(copies))
+    parts = components(links(docs, classes.drop("n"), size, percent).unionByName(copies))
     joined = every.join(parts, every["doc_id"] == parts["node"], "left")
     component = F.coalesce("component", "doc_id")
     return joined.select("doc_id", "n_shingles", component.alias("component_id"), F.coalesce(F.col("doc_id") == component, F.lit(True)).alias("kept"))

@@ -62,8 +62,9 @@ def shingles(text, size):
     return ({tuple(w)} if w else set()) if len(w) < size else {tuple(w[i : i + size]) for i in range(len(w) - size + 1)}
 
 
-@pytest.mark.parametrize("size, percent", [(3, 85), (5, 80)])
-def test_near_duplicates_equal_brute_force(spark, size, percent):
+@pytest.mark.parametrize("size, percent, block", [(3, 85, 256), (5, 80, 256), (3, 85, 2), (3, 50, 3)])
+def test_near_duplicates_equal_brute_force(spark, monkeypatch, size, percent, block):
+    monkeypatch.setattr(minhash, "BLOCK", block)  # small blocks make every cluster a crowd
     docs = documents()
     sets = {i: shingles(t, size) for i, t in zip(docs.doc_id, docs.text)}
     ids = sorted(sets)
@@ -83,7 +84,9 @@ def test_sequential_bounds_keep_pairs_at_the_threshold():
     assert (matches < np.array(least)).any(1).mean() < 1e-3
 
 
-def test_repeats_equal_brute_force(spark):
+@pytest.mark.parametrize("group_bytes", [repeats.GROUP_BYTES, 20_000])
+def test_repeats_equal_brute_force(spark, monkeypatch, group_bytes):
+    monkeypatch.setattr(repeats, "GROUP_BYTES", group_bytes)  # one group, or many of them and as many buckets
     docs = documents().sort_values("doc_id")
     first = {}
     for i, t in zip(docs.doc_id, docs.text):
