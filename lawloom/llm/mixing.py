@@ -8,14 +8,17 @@ the other all smaller documents of its group together (the transfer scales their
 fractions), so the largest documents become whole first and what stays fractional at
 the end of a group is small. Groups form a reduction tree:
 
-1. the giants of a source, more than 1 / GIANTS of its words each (so fewer than
-   GIANTS of them), meet all the rest of the source;
-2. the rest is dealt into groups of about CHUNK documents by a hash; each group hands
-   one residual up, and residuals are grouped again until one group a source is left.
-
-The last residual goes to the nearer whole number, so a source misses its target by
-half of one document that is no giant, at most, unless giants alone make up the source.
-Draws are hashes of the seed, the level and the row, so reruns agree.
+1. the root, which comes first: documents of more than 1 / GIANTS of the words of their
+   source (so fewer than GIANTS of them) meet all the rest of the source;
+2. the rest, and the document that the root may leave fractional, is dealt into groups of
+   about CHUNK documents by a hash; each group hands one residual up, and residuals are
+   grouped again until one group a source is left.
+
+The last residual of a source is drawn with its probability, so every document expects its
+rate, and a source misses its target by less than one document that is no giant. Only where
+giants leave nothing to make up for the last of them, that one goes to the nearer whole
+number, which keeps the source near its target. Draws are hashes of the seed, the level and the row, so
+reruns agree.
 
 Defined results: a null or empty text has size 0 and takes 0 words; a null source
 is one source, ordered last; a source without words has target 0; repeated rows are
@@ -154,8 +157,8 @@ def rounded(sized: DataFrame, goal: DataFrame, chunk: int = CHUNK, giants: int =
     others = with_source(open_.filter(~giant), changed, "left").withColumn("p", F.coalesce(F.least(F.lit(1.0), F.greatest(F.lit(0.0), moved)), "p"))
     is_whole = F.col("p").isin(0.0, 1.0)
     settled = settled.unionByName(top.filter(is_whole).select(columns)).unionByName(others.filter(is_whole).select(columns))
-    residuals = top.filter(~is_whole).select(columns)
-    open_ = others.filter(~is_whole).select(*columns, "n")
+    residual = with_source(top.filter(~is_whole).select(columns), named.select("of", "n"))
+    open_ = others.filter(~is_whole).select(*columns, "n").unionByName(residual)
     level = 1
     while True:
         chunks = F.greatest(F.lit(1), F.ceil(F.col("n") / chunk)).cast("long")
@@ -168,7 +171,9 @@ def rounded(sized: DataFrame, goal: DataFrame, chunk: int = CHUNK, giants: int =
         level += 1
         here = left.groupBy("source").agg(F.count("*").alias("n")).withColumnRenamed("source", "of")
         open_ = with_source(left, here)
-    last = left.unionByName(residuals).withColumn("p", (F.col("p") >= 0.5).cast("double"))
+    sized_left = with_source(left, named.select("of", "source_size"))
+    drawn = F.when(F.col("size") * giants > F.col("source_size"), F.col("p") >= 0.5).otherwise(_uniform(F.lit(-1), F.col("doc_id"), F.col("content")) < F.col("p"))
+    last = sized_left.withColumn("p", drawn.cast("double")).select(columns)
     out = with_source(settled.unionByName(last), named)
     return out.select("doc_id", "source", "size", "content", (F.col("whole") + F.col("p").cast("long")).alias("copies"), "source_size", "target")
 
@@ -184,12 +189,13 @@ def mix(docs: DataFrame) -> DataFrame:
 
     Equal rows of one doc_id share the copies of all of them.
     """
-    key = F.xxhash64("doc_id", "source").alias("__key")
-    taken = plan(docs).groupBy(key, F.col("content").alias("__content")).agg(F.sum("copies").alias("__copies"), F.count("*").alias("__rows")).filter("__copies > 0")
-    joined = docs.withColumns({"__key": key, "__content": F.xxhash64("text")}).join(taken, ["__key", "__content"])
-    turn = F.row_number().over(Window.partitionBy("__key", "__content").orderBy("__rows"))
-    own = F.floor(F.col("__copies") / F.col("__rows")) + (turn <= F.col("__copies") % F.col("__rows")).cast("long")
-    return joined.withColumn("__own", own).filter("__own > 0").select(*docs.columns, F.explode(F.array_repeat(F.lit(0), F.col("__own").cast("int"))).alias("__n")).drop("__n")
+    keys = [F.xxhash64("doc_id", "source").alias("key"), F.xxhash64("text").alias("content")]
+    by = plan(docs).groupBy(keys[0], "content").agg(F.sum("copies").alias("copies"), F.count("*").alias("rows")).filter("copies > 0")
+    whole = docs.select(*keys, F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row"))  # the columns of docs cannot clash
+    joined = whole.join(by, ["key", "content"])
+    turn = F.row_number().over(Window.partitionBy("key", "content").orderBy("rows"))
+    own = F.floor(F.col("copies") / F.col("rows")) + (turn <= F.col("copies") % F.col("rows")).cast("long")
+    return joined.withColumn("own", own.cast("int")).filter("own > 0").withColumn("turn", F.explode(F.array_repeat(F.lit(0), F.col("own")))).select("row.*")
 
 
 def op8(spark: SparkSession, sf_dir: str) -> DataFrame:
