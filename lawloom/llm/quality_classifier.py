@@ -8,7 +8,8 @@ curve over its inverse hyperbolic sine turns it into a probability.
 Defined results: a null or empty text has no evidence and scores what the curve
 gives for none; rows are scored one by one, so repeated rows repeat their score;
 an empty table gives an empty result. If one of the classes has no labelled row,
-every score is the share of good labels (0.5 without labels). Columns other than
+every score is the share of good labels (0.5 without labels). If labels of one
+doc_id differ, the largest counts. Columns other than
 doc_id and text are not read.
 """
 
@@ -28,9 +29,8 @@ from .common import bounded_sample, held_out, raw, slices
 
 BLOCK = 1024
 DICTIONARY_BYTES = 64 << 10
-#: Bounds of what fitting gathers: labelled rows of each class, blocks of each row for the dictionaries.
+#: Bound of what fitting gathers: labelled rows of each class. Their texts count whole.
 ROWS_OF_A_CLASS = 3000
-BLOCKS_OF_A_ROW = 3
 
 
 @dataclass
@@ -85,14 +85,11 @@ def _trained(groups: list[list[bytes]]) -> tuple[list[bytes], bool]:
 
 
 def _blocks(batches):
-    rng = np.random.default_rng(5)
     for batch in slices(batches):
         rows = batch.to_pydict()
         for label, text in zip(rows["label"], rows["text"]):
             data = (text or "").encode()
-            n = max(1, -(-len(data) // BLOCK))
-            pick = sorted(rng.permutation(n)[:BLOCKS_OF_A_ROW])
-            blocks = [data[k * BLOCK : (k + 1) * BLOCK] for k in pick]
+            blocks = [data[k : k + BLOCK] for k in range(0, max(1, len(data)), BLOCK)]
             yield pa.RecordBatch.from_pydict({"label": [label] * len(blocks), "block": blocks}, pa.schema([("label", pa.int32()), ("block", pa.binary())]))
 
 
