@@ -17,6 +17,7 @@ text are not read. The tokenizer file is a parameter and is read by each task.
 
 from __future__ import annotations
 
+import json
 import os
 from functools import lru_cache
 
@@ -42,8 +43,11 @@ REMEMBERED = 300_000
 
 #: Words of these characters only are composed already and lower-cased one by one, so their pieces are those of the tokenizer.
 _PLAIN = regex.compile(r"[\x21-\x7e\u00a1-\u012f\u0131-\u017e]+")
-#: Fixed value: the pattern by which the tokenizer cuts a lower-cased text into pieces.
-_PIECES = regex.compile(r"'s|'t|'re|'ve|'m|'ll|'d|\p{L}+|\p{N}|[^\s\p{L}\p{N}]+")
+#: The rules of the tokenizer file for which words and pieces stand for themselves.
+NORMALIZER = {"type": "Sequence", "normalizers": [{"type": "NFC"}, {"type": "Replace", "pattern": {"Regex": r"\s+"}, "content": " "}, {"type": "Lowercase"}]}
+PIECES = r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+"
+PRE_TOKENIZER = {"type": "Sequence", "pretokenizers": [{"type": "Split", "pattern": {"Regex": PIECES}, "behavior": "Removed", "invert": True}, {"type": "ByteLevel", "add_prefix_space": False, "trim_offsets": True, "use_regex": False}]}
+_PIECES = regex.compile(PIECES)
 #: Blank, tab, line feed and carriage return end a word here; the tokenizer sees any other white space itself.
 _BLANK = np.arange(256, dtype=np.uint8)
 _BLANK[[9, 10, 13]] = 32
@@ -60,9 +64,9 @@ _BYTE_LETTERS = _byte_letters()
 
 
 class Words:
-    """Ids of texts as little-endian unsigned 16-bit numbers, by way of their distinct words.
+    """Ids of texts as little-endian unsigned 32-bit numbers, by way of their distinct words.
 
-    The tokenizer never joins ids over white space, nor over the pieces into which it cuts a word, so words and pieces
+    A tokenizer whose file has other rules than those of NORMALIZER and PIECES encodes whole texts itself. The tokenizer never joins ids over white space, nor over the pieces into which it cuts a word, so words and pieces
     stand for themselves and their ids can be remembered. A plain piece goes to the tokenizer's model at once; words
     with other characters go through the whole tokenizer.
     """
@@ -72,14 +76,14 @@ class Words:
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
+        rules = json.loads(self.tokenizer.to_str())
+        self.by_words = (rules["normalizer"], rules["pre_tokenizer"]) == (NORMALIZER, PRE_TOKENIZER)
         self.words: dict[str, bytes] = {}
         self.pieces: dict[str, bytes] = {}
-        if self.tokenizer.get_vocab_size() > 1 << 16:
-            raise ValueError("ids of more than 16 bits")
 
     def _word(self, word: str) -> bytes:
         if "<|" in word or not _PLAIN.fullmatch(word):
-            ids = np.array(self.tokenizer.encode(word, add_special_tokens=False).ids, "<u2").tobytes()
+            ids = np.array(self.tokenizer.encode(word, add_special_tokens=False).ids, "<u4").tobytes()
         else:
             ids = b"".join(map(self._piece, _PIECES.findall(word.lower())))
         if len(word) <= 64:
@@ -92,7 +96,7 @@ class Words:
         ids = self.pieces.get(piece)
         if ids is None:
             letters = piece if piece.isascii() else piece.encode().decode("latin-1").translate(_BYTE_LETTERS)
-            ids = b"".join([t.id.to_bytes(2, "little") for t in self.tokenizer.model.tokenize(letters)])
+            ids = b"".join([t.id.to_bytes(4, "little") for t in self.tokenizer.model.tokenize(letters)])
             if len(piece) <= 64:
                 if len(self.pieces) >= REMEMBERED:
                     self.pieces.clear()
@@ -101,18 +105,21 @@ class Words:
 
     def ids(self, texts: pa.Array) -> list[bytes]:
         """Ids of each text; nulls are empty."""
+        if not self.by_words:
+            whole = self.tokenizer.encode_batch([x or "" for x in texts.to_pylist()], add_special_tokens=False)
+            return [np.array(x.ids, "<u4").tobytes() for x in whole]
         data, offsets = raw(texts)
         blank = pa.LargeStringArray.from_buffers(len(texts), pa.py_buffer(offsets), pa.py_buffer(_BLANK[data]))
         parts = pc.split_pattern(blank, " ")
         distinct = parts.flatten().dictionary_encode()
         known = self.words
         of = [ids if (ids := known.get(word)) is not None else self._word(word) for word in distinct.dictionary.to_pylist()]
-        size = np.fromiter(map(len, of), np.int64, len(of)) // 2
+        size = np.fromiter(map(len, of), np.int64, len(of)) // 4
         start = np.cumsum(size) - size
         word = distinct.indices.to_numpy()
         n = size[word]
         ends = np.concatenate([[0], np.cumsum(n)])
-        out = np.frombuffer(b"".join(of), "<u2")[np.repeat(start[word] - ends[:-1], n) + np.arange(ends[-1])]
+        out = np.frombuffer(b"".join(of), "<u4")[np.repeat(start[word] - ends[:-1], n) + np.arange(ends[-1])]
         edges = ends[parts.offsets.to_numpy()]
         return [out[i:j].tobytes() for i, j in zip(edges[:-1], edges[1:])]
 
@@ -156,28 +163,31 @@ def places(ids: list[bytes]) -> np.ndarray:
     axes = np.random.default_rng(44).normal(size=(DIMENSIONS, AXES))
     tf = np.zeros((len(ids), DIMENSIONS))
     for row, data in zip(tf, ids):
-        row += np.bincount(np.frombuffer(data, "<u2") % DIMENSIONS, minlength=DIMENSIONS)
+        row += np.bincount(np.frombuffer(data, "<u4") % DIMENSIONS, minlength=DIMENSIONS)
     tf /= np.maximum(np.sqrt((tf * tf).sum(1, keepdims=True)), 1e-12)
     unit = (np.clip(tf @ axes, -4, 4) + 4) / 8
     return hilbert(np.minimum(unit * (1 << BITS), (1 << BITS) - 1), BITS)
 
 
-def tokenised(docs: DataFrame, tokenizer: str, end: int = END) -> DataFrame:
+def tokenised(docs: DataFrame, tokenizer: str | None, end: int = END) -> DataFrame:
     """doc_id, content, place, tokens and compressed ids of every row."""
-    last = np.array([end], "<u2").tobytes()
+    last = np.array([end], "<u4").tobytes()
 
     def work(batches):
-        words, press = remembering(tokenizer), zstandard.ZstdCompressor(level=1)
+        words, press = remembering(tokenizer or default_tokenizer()), zstandard.ZstdCompressor(level=1)
         for batch in slices(batches, most=4 << 20):
             ids = [x + last for x in words.ids(batch.column(1))]
-            out = [batch.column(0), batch.column(2), pa.array(places(ids)), pa.array([len(x) // 2 for x in ids], pa.int64()), pa.array([press.compress(x) for x in ids], pa.binary())]
+            out = [batch.column(0), batch.column(2), pa.array(places(ids)), pa.array([len(x) // 4 for x in ids], pa.int64()), pa.array([press.compress(x) for x in ids], pa.binary())]
             yield pa.RecordBatch.from_arrays(out, ["doc_id", "content", "place", "doc_tokens", "packed"])
 
     return docs.select("doc_id", "text", F.xxhash64("text").alias("content")).mapInArrow(work, "doc_id long, content long, place long, doc_tokens long, packed binary")
 
 
-def pack(docs: DataFrame, tokenizer: str, length: int = LENGTH, end: int = END) -> DataFrame:
-    """One row for each piece: doc_id, start, length, ids (little-endian, 32 bits each), doc_tokens, sequence_id, offset."""
+def pack(docs: DataFrame, tokenizer: str | None = None, length: int = LENGTH, end: int = END) -> DataFrame:
+    """One row for each piece: doc_id, start, length, ids (little-endian, 32 bits each), doc_tokens, sequence_id, offset.
+
+    tokenizer: a file that every task can read; None: default_tokenizer(), which each task looks up where it runs.
+    """
     spark = docs.sparkSession
     path = scratch(spark, "packing")
     tokenised(docs, tokenizer, end).write.option("compression", "none").parquet(path)
@@ -211,7 +221,7 @@ def pack(docs: DataFrame, tokenizer: str, length: int = LENGTH, end: int = END)
 
         for record in batches:
             for doc_id, total, packed in zip(*(record.column(record.schema.get_field_index(n)).to_pylist() for n in ("doc_id", "doc_tokens", "packed"))):
-                ids = np.frombuffer(unpress.decompress(packed), "<u2").astype("<u4")
+                ids = np.frombuffer(unpress.decompress(packed), "<u4")
                 held.append((doc_id, 0, ids, total))
                 filled += len(ids)
                 if filled >= length:
@@ -248,4 +258,4 @@ def digest(pieces: DataFrame) -> DataFrame:
 
 
 def op4(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return digest(pack(spark.read.parquet(f"{sf_dir}/documents.parquet"), default_tokenizer()))
+    return digest(pack(spark.read.parquet(f"{sf_dir}/documents.parquet")))
