@@ -3,8 +3,9 @@
 Training counts hashed character trigrams (word edges included) by language. The
 likelihood of a word under a language is the product over its trigrams. For each
 text, expectation-maximisation estimates the share of each language among its
-words; then languages are dropped while the penalised likelihood (the Bayesian
-information criterion) improves. The prediction is the language of the largest
+words, and the set of languages of the best penalised likelihood (the Bayesian
+information criterion) is chosen: one language, the likeliest two, three, ..., or all.
+A bound on the likelihood of all mixtures tells where one language must win. The prediction is the language of the largest
 share, the score its share.
 
 Defined results: a null text or one without a letter gives 'und' with score 0;
@@ -25,7 +26,7 @@ from pyspark.sql import functions as F
 from .common import held_out, mixed, slices
 
 GRAMS = 1 << 18
-#: Bound of what fitting reads: rows of each language, by the order of a hash of doc_id.
+#: Bound of what fitting reads: about so many rows of each language, those of the least hashes.
 ROWS_OF_A_LANGUAGE = 2000
 ROUNDS = 12
 #: Times log(words) that one more language must win in twice the log-likelihood.
@@ -83,38 +84,48 @@ class Model:
 
         base = sums(top[:, 0])
         logs = np.log(np.maximum(count, 2))
+        alone = sums(likelihood)
+        single = alone.argmax(1)
+        # The log-likelihood is concave in the shares: no mixture exceeds its value near one language by more than the largest slope less the words.
+        near = np.full((n, k), 1.0) / np.maximum(count, 1)[:, None] / k
+        near[np.arange(n), single] += 1 - 1 / np.maximum(count, 1)
+        at_near = np.maximum((near[doc] * p).sum(1), 1e-300)
+        most = base + sums(np.log(at_near)) + sums(p / at_near[:, None]).max(1) - count
+        out = np.eye(k)[single]
+        one = -2 * alone[np.arange(n), single]
+        open_ = np.flatnonzero((one > -2 * most + PENALTY * logs) & (count > 0))  # elsewhere no larger set can win
+        if len(open_):
+            keep = np.isin(doc, open_)
+            out[open_] = self._chosen(p[keep], base[open_], np.searchsorted(open_, doc[keep]), out[open_], one[open_], logs[open_])
+        return out, count
+
+    def _chosen(self, p, base, doc, out, cost, logs) -> np.ndarray:
+        """Shares by expectation-maximisation over all languages, then over the likeliest two, three, ...; `out` at `cost` is one language alone."""
+        n, k = out.shape
+        edges = np.searchsorted(doc, np.arange(n))
+        count = np.diff(np.append(edges, len(doc)))
 
         def run(allowed: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-            pi = allowed / np.maximum(1, allowed.sum(1, keepdims=True))
+            pi = allowed / allowed.sum(1, keepdims=True)
             for _ in range(ROUNDS):
                 w = pi[doc] * p
                 w /= np.maximum(w.sum(1, keepdims=True), 1e-300)
-                pi = sums(w) / np.maximum(count, 1)[:, None]
-            mixed_p = np.maximum((pi[doc] * p).sum(1), 1e-300)
-            return pi, base + sums(np.log(mixed_p))
+                pi = np.add.reduceat(w, edges, 0) / count[:, None]
+            return pi, base + np.add.reduceat(np.log(np.maximum((pi[doc] * p).sum(1), 1e-300)), edges)
 
-        allowed = np.ones((n, k))
-        best, fit = run(allowed)
-        cost = -2 * fit + PENALTY * (k - 1) * logs
+        best, fit = run(np.ones((n, k)))
+        now = -2 * fit + PENALTY * (k - 1) * logs
+        out = np.where((cost < now)[:, None], out, best)
+        cost = np.minimum(cost, now)
         order = np.argsort(-best, 1, kind="stable")
-        # one language alone needs no iteration
-        alone = sums(likelihood)
-        single = alone.argmax(1)
-        one = -2 * alone[np.arange(n), single]
-        settled = one <= -2 * fit + PENALTY * logs  # no larger set can win
-        out = np.where((one < cost)[:, None], np.eye(k)[single], best)
-        cost = np.minimum(one, cost)
         for size in range(2, k):
-            open_ = np.flatnonzero(~settled & (count > 0))
-            if not len(open_):
-                break
             allowed = np.zeros((n, k))
-            allowed[open_[:, None], order[open_, :size]] = 1
+            allowed[np.arange(n)[:, None], order[:, :size]] = 1
             pi, fit = run(allowed)
             now = -2 * fit + PENALTY * (size - 1) * logs
-            better = open_[now[open_] < cost[open_]]
-            out[better], cost[better] = pi[better], now[better]
-        return out, count
+            out = np.where((now < cost)[:, None], pi, out)
+            cost = np.minimum(cost, now)
+        return out
 
     def predict(self, texts: list[str]) -> tuple[list[str], np.ndarray, list[list]]:
         words, docs = [], []
@@ -132,16 +143,14 @@ class Model:
 
 
 def fit(docs: DataFrame, rows_of_a_language: int = ROWS_OF_A_LANGUAGE) -> Model:
-    """Learn from the text and non-null lang of docs, at most rows_of_a_language rows of each language."""
-    ids = docs.filter("lang IS NOT NULL AND text IS NOT NULL").select("doc_id", "lang")
-    names = sorted(r[0] for r in ids.select("lang").distinct().collect())
+    """Learn from the text and non-null lang of docs, about rows_of_a_language rows of each language, chosen by a hash of doc_id and text."""
+    known = docs.filter("lang IS NOT NULL AND text IS NOT NULL").select("doc_id", "text", "lang")
+    sizes = {r["lang"]: r["n"] for r in known.groupBy("lang").agg(F.count("*").alias("n")).collect()}
+    names = sorted(sizes)
     if not names:
         return Model([], np.zeros((GRAMS, 0), np.float32))
-    picked = None
-    for name in names:
-        part = ids.filter(F.col("lang") == name).orderBy(F.xxhash64(F.lit(31), "doc_id"), "doc_id").limit(rows_of_a_language)
-        picked = part if picked is None else picked.unionByName(part)
-    picked = picked.distinct()
+    below = docs.sparkSession.createDataFrame([(name, int(min(1.0, rows_of_a_language / n) * (1 << 32))) for name, n in sizes.items()], "lang string, below long")
+    drawn = F.pmod(F.xxhash64(F.lit(31), "doc_id", "text"), F.lit(1 << 32)) < F.col("below")
 
     def count(batches):
         total = {name: np.zeros(GRAMS, np.int64) for name in names}
@@ -153,7 +162,7 @@ def fit(docs: DataFrame, rows_of_a_language: int = ROWS_OF_A_LANGUAGE) -> Model:
             if len(at):
                 yield pa.RecordBatch.from_arrays([pa.array([name] * len(at)), pa.array(at), pa.array(c[at])], ["lang", "gram", "n"])
 
-    found = docs.select("doc_id", "text", "lang").join(F.broadcast(picked), ["doc_id", "lang"]).select("text", "lang").mapInArrow(count, "lang string, gram long, n long")
+    found = known.join(F.broadcast(below), "lang").filter(drawn).select("text", "lang").mapInArrow(count, "lang string, gram long, n long")
     found = found.groupBy("lang", "gram").agg(F.sum("n").alias("n")).toPandas()  # at most GRAMS rows a language
     counts = np.full((GRAMS, len(names)), 0.5)
     for k, name in enumerate(names):
