@@ -7,13 +7,15 @@ over the words, each keeps its largest value in the whole text, and a logistic
 layer weighs these maxima. Training is plain numpy (Adagrad; the gradient of a
 maximum touches one window, so updates are sparse). One embedding coordinate
 starts at the smoothed log-odds of its bucket between toxic and clean rows.
-The decision threshold is calibrated by language on rows that training left out;
-the language is guessed from the words of the text, never read from a column.
+The decision threshold is calibrated by language on rows that training left out.
+Languages are learned from the words of the training texts alone, as LANGUAGES groups
+of a mixture of word distributions; the column lang is not read, in training or later.
 
 Defined results: null, empty or letterless texts have no window, so all maxima are
 0 and the score is that of no evidence; repeated rows repeat their score; an empty
 table gives an empty result. Without labelled rows of both classes every score is
-the share of toxic labels (0 without labels). Other columns are not read.
+the share of toxic labels (0 without labels). If labels of one doc_id differ, the
+largest counts. Other columns are not read.
 """
 
 from __future__ import annotations
@@ -37,6 +39,8 @@ WIDTHS = (1, 2, 3)
 EPOCHS = 8
 #: Bound of what fitting gathers: labelled rows of each class.
 ROWS_OF_A_CLASS = 3000
+#: Groups of texts by their words, which stand for languages.
+LANGUAGES = 6
 #: A language with fewer toxic calibration rows than this takes the threshold of all.
 LEAST_TOXIC = 15
 
@@ -107,7 +111,34 @@ def _collected(batches):
     for batch in slices(batches, most=512 << 10):
         ids, first = word_ids(*raw(batch.column(batch.schema.get_field_index("text"))))
         ids = [ids[i:j].tobytes() for i, j in zip(first[:-1], first[1:])]
-        yield pa.RecordBatch.from_arrays([batch.column(batch.schema.get_field_index("label")), batch.column(batch.schema.get_field_index("lang")), pa.array(ids, pa.binary())], ["label", "lang", "ids"])
+        yield pa.RecordBatch.from_arrays([batch.column(batch.schema.get_field_index("label")), pa.array(ids, pa.binary())], ["label", "ids"])
+
+
+def word_groups(ids: list, groups: int = LANGUAGES, rounds: int = 12, tries: int = 4) -> np.ndarray:
+    """(BUCKETS, groups) log-likelihoods of words in the best of some mixtures of word distributions, fitted to the texts."""
+    ids = [doc[:, 0] for doc in ids if len(doc)]
+    if not ids:
+        return np.zeros((BUCKETS, 1), np.float32)
+    size = np.array([len(x) for x in ids])
+    word, first = np.concatenate(ids).astype(np.int64), np.cumsum(size) - size
+    doc = np.repeat(np.arange(len(ids)), size)
+    background = np.bincount(word, minlength=BUCKETS) + 0.1
+    rng = np.random.default_rng(5)
+    best, table = -np.inf, None
+    for _ in range(tries):
+        group = np.full(len(ids), -1)
+        group[rng.permutation(len(ids))[: 8 * groups]] = np.arange(min(8 * groups, len(ids))) % groups
+        for _ in range(rounds):
+            counts = np.stack([np.bincount(word[group[doc] == g], minlength=BUCKETS) for g in range(groups)], 1) + background[:, None] * 1e-3
+            now = np.log(counts / counts.sum(0)).astype(np.float32)
+            score = np.add.reduceat(now[word], first, 0)
+            changed, group = group, score.argmax(1)
+            if (changed == group).all():
+                break
+        total = score.max(1).sum(dtype=np.float64)
+        if total > best:
+            best, table = total, now
+    return table
 
 
 def _log_odds(ids: list, y: np.ndarray, column: int) -> np.ndarray:
@@ -137,58 +168,65 @@ def train(ids: list, y: np.ndarray, seed: int = 3, epochs: int = EPOCHS) -> Mode
         order = rng.permutation(len(ids))
         for at in range(0, len(order), 32):
             batch = order[at : at + 32]
-            grads_f = [np.zeros_like(w) for w in m.filters]
-            gb, gw, gc = np.zeros(n, np.float32), np.zeros(n, np.float32), 0.0
+            docs = [ids[i] for i in batch]
+            size = np.array([len(doc) for doc in docs])
+            some = np.flatnonzero(size)
+            first, words = (np.cumsum(size) - size)[some], np.concatenate(docs)
+            left = np.repeat(np.cumsum(size), size) - np.arange(len(words))  # words up to the end of the text
+            e = sum(t[words[:, k]] for k, t in enumerate(m.tables))
+            pooled, where = np.full((len(batch), n), -np.inf, np.float32), np.zeros((len(batch), n), np.int64)
+            for k, w in enumerate(m.filters):
+                z = np.full((len(words), FILTERS), -np.inf, np.float32)
+                if len(words) >= len(w):
+                    z[: len(words) - len(w) + 1] = sum(e[j : len(words) - len(w) + 1 + j] @ w[j] for j in range(len(w)))
+                z[left < len(w)] = -np.inf
+                own = slice(k * FILTERS, (k + 1) * FILTERS)
+                if len(some):
+                    pooled[some, own] = np.maximum.reduceat(z, first, 0)
+                    top = z == np.repeat(pooled[some, own], size[some], 0)
+                    where[some, own] = np.minimum.reduceat(np.where(top, np.arange(len(words))[:, None], len(words) - 1), first, 0)
+            pooled = np.where(np.isinf(pooled), 0, pooled + m.bias)
+            keep = (rng.random((len(batch), n)) > 0.2) / 0.8
+            active = np.maximum(pooled, 0) * keep
+            p = 1 / (1 + np.exp(-np.clip(active @ m.weights + m.constant, -30, 30)))
+            d = (p - y[batch]) * weight[batch] / len(batch)
+            gw, gc, back = d @ active, float(d.sum()), d[:, None] * m.weights * (pooled > 0) * keep
+            gb = back.sum(0)
             rows, grads_e = [], []
-            for i in batch:
-                doc = ids[i]
-                e = sum(t[doc[:, k]] for k, t in enumerate(m.tables))
-                pooled, where = np.zeros(n, np.float32), np.full(n, -1)
-                for k, w in enumerate(m.filters):
-                    size = len(e) - len(w) + 1
-                    if size > 0:
-                        z = sum(e[j : j + size] @ w[j] for j in range(len(w)))
-                        t = z.argmax(0)
-                        pooled[k * FILTERS : (k + 1) * FILTERS] = z[t, np.arange(FILTERS)] + m.bias[k * FILTERS : (k + 1) * FILTERS]
-                        where[k * FILTERS : (k + 1) * FILTERS] = t
-                keep = (rng.random(n) > 0.2) / 0.8
-                active = np.maximum(pooled, 0) * keep
-                p = 1 / (1 + np.exp(-np.clip(active @ m.weights + m.constant, -30, 30)))
-                d = float((p - y[i]) * weight[i]) / len(batch)
-                gw += d * active
-                gc += d
-                back = d * m.weights * (pooled > 0) * keep
-                gb += back
-                for f in np.flatnonzero(back):
-                    k, c = divmod(f, FILTERS)
-                    for j in range(len(m.filters[k])):
-                        word = where[f] + j
-                        grads_f[k][j, :, c] += back[f] * e[word]
-                        rows.append(doc[word])
-                        grads_e.append(back[f] * m.filters[k][j, :, c])
-            for k in range(len(WIDTHS)):
-                g = grads_f[k] + 1e-4 * m.filters[k]
+            for k, w in enumerate(m.filters):
+                own = slice(k * FILTERS, (k + 1) * FILTERS)
+                text, f = np.nonzero(back[:, own])
+                if len(text):
+                    by, place = back[:, own][text, f][:, None], where[:, own][text, f]
+                    g = np.zeros_like(w)
+                    for j in range(len(w)):
+                        np.add.at(g[j].T, f, by * e[place + j])
+                        rows.append(words[place + j])
+                        grads_e.append(by * w[j].T[f])
+                else:
+                    g = np.zeros_like(w)
+                g += 1e-4 * w
                 g2["f"][k] += g * g
-                m.filters[k] -= rate * g / np.sqrt(g2["f"][k])
+                m.filters[k] = w - rate * g / np.sqrt(g2["f"][k])
             g2["b"] += gb * gb
             m.bias -= rate * gb / np.sqrt(g2["b"])
-            gw += 1e-4 * m.weights
+            gw = gw + 1e-4 * m.weights
             g2["w"] += gw * gw
             m.weights -= rate * gw / np.sqrt(g2["w"])
             g2["c"] += gc * gc
             m.constant -= rate * gc / np.sqrt(g2["c"])
             if rows:
-                at_rows, g = np.stack(rows).astype(np.int64), np.stack(grads_e)
+                at_rows, g = np.concatenate(rows).astype(np.int64), np.concatenate(grads_e)
                 for k in range(len(STEMS)):
                     u, inverse = np.unique(at_rows[:, k], return_inverse=True)
-                    s = np.zeros((len(u), DIM), np.float32)
-                    np.add.at(s, inverse, g)
-                    g2["t"][k][u] += (s * s).mean(1)
-                    m.tables[k][u] -= rate * s / np.sqrt(g2["t"][k][u])[:, None]
+                    total = np.zeros((len(u), DIM), np.float32)
+                    np.add.at(total, inverse, g)
+                    g2["t"][k][u] += (total * total).mean(1)
+                    m.tables[k][u] -= rate * total / np.sqrt(g2["t"][k][u])[:, None]
     return m
 
 
-def calibrate(m: Model, ids: list, langs: np.ndarray, y: np.ndarray, toxic_share: float) -> None:
+def calibrate(m: Model, ids: list, y: np.ndarray, toxic_share: float) -> None:
     """Set the slope and, by guessed language, the threshold of the best F1 at the given share of toxic rows."""
     first = np.concatenate([[0], np.cumsum([len(x) for x in ids])])
     together = np.concatenate(ids) if len(ids) else np.zeros((0, len(STEMS)), np.uint16)
@@ -218,7 +256,7 @@ def fit(docs: DataFrame, labelled: DataFrame, rows_of_a_class: int = ROWS_OF_A_C
     rows = labelled.filter("doc_id IS NOT NULL AND label IN (0, 1)").groupBy("doc_id").agg(F.max("label").cast("int").alias("label"))
     share = rows.agg(F.avg("label")).first()[0]
     picked = bounded_sample(rows, "label", rows_of_a_class, 21)
-    got = docs.select("doc_id", "text", "lang").join(F.broadcast(picked), "doc_id").select("label", "lang", "text").mapInArrow(_collected, "label int, lang string, ids binary").toPandas()
+    got = docs.select("doc_id", "text").join(F.broadcast(picked), "doc_id").select("label", "text").mapInArrow(_collected, "label int, ids binary").toPandas()
     got = got.sort_values(["ids", "label"], kind="stable").reset_index(drop=True)
     if got.label.nunique() < 2:
         return Model(constant=float(share or 0.0))
@@ -227,14 +265,9 @@ def fit(docs: DataFrame, labelled: DataFrame, rows_of_a_class: int = ROWS_OF_A_C
     part = np.random.default_rng(4).permutation(len(ids)) % 4
     fitted = np.flatnonzero(part != 0)
     m = train([ids[i] for i in fitted], y[fitted])
-    names = sorted(x for x in got.lang.dropna().unique()) or [""]
-    counts = np.full((BUCKETS, len(names)), 0.1)
-    for i in fitted:
-        if got.lang[i] in names:
-            counts[:, names.index(got.lang[i])] += np.bincount(ids[i][:, 0], minlength=BUCKETS)
-    m.languages = np.log(counts / counts.sum(0)).astype(np.float32)
+    m.languages = word_groups([ids[i] for i in fitted])
     rest = np.flatnonzero(part == 0)
-    calibrate(m, [ids[i] for i in rest], got.lang.to_numpy()[rest], y[rest], float(share))
+    calibrate(m, [ids[i] for i in rest], y[rest], float(share))
     return m
 
 
