@@ -124,6 +124,19 @@ def test_packing_is_a_round_trip(spark):
         assert list(g.offset) == list(np.cumsum([0, *g.length])[:-1]) and n <= 4096 and n & (n - 1) == 0
 
 
+def test_other_tokenizers_encode_whole_texts(spark):
+    from tokenizers import Tokenizer
+
+    path = packing.default_tokenizer().replace("word_bpe_49k", "byte_bpe_50k")
+    assert packing.Words(packing.default_tokenizer()).by_words and not packing.Words(path).by_words
+    docs = documents().head(20)
+    got = packing.pack(spark.createDataFrame(docs), path).toPandas()
+    tool = Tokenizer.from_file(path)
+    for i, t in zip(docs.doc_id, docs.text):
+        ids = np.frombuffer(b"".join(map(bytes, got[got.doc_id == i].sort_values("start").ids)), "<u4")
+        assert list(ids) == [*tool.encode(t or "", add_special_tokens=False).ids, 2]
+
+
 def test_hilbert_curve_is_a_walk_over_neighbours():
     x = np.stack(np.meshgrid(*[np.arange(8)] * 3), -1).reshape(-1, 3)
     place = packing.hilbert(x, 3)
@@ -181,17 +194,20 @@ def test_targets_stop_at_three_times_a_source(spark):
 
 def test_mixing_expects_the_rate(spark, monkeypatch):
     rows = [(i, "w " * (1 + i * i % 40), "ab"[i % 3 == 0], None, 0) for i in range(60)]
+    rows += [(100 + i, "w " * 400, "a", None, 0) for i in range(2)]  # giants
     sized = mixing.materialised(mixing.sizes(spark.createDataFrame(rows, "doc_id long, text string, source string, lang string, n_chars long")))
     total, draws = Counter(), 12
     for seed in range(draws):
         monkeypatch.setattr(mixing, "SEED", 100 + seed)
         got = mixing.rounded(sized, mixing.targets(sized), chunk=8, giants=16).toPandas()
         by = got.assign(taken=got.copies * got["size"]).groupby("source").agg(taken=("taken", "sum"), target=("target", "first"))
-        assert ((by.taken - by.target).abs() <= 20).all()
+        assert ((by.taken - by.target).abs() <= [200, 40]).all()  # giants make up half of source a
         for i, c in zip(got.doc_id, got.copies):
             total[i] += c
-    rate = dict(zip(got.doc_id, got.target / got.source_size))
-    assert np.mean([total[i] / draws - rate[i] for i in rate]) == pytest.approx(0, abs=0.05)
+    rate = {i: r for i, r in zip(got.doc_id, got.target / got.source_size) if i < 100}
+    miss = np.array([total[i] / draws - rate[i] for i in rate])
+    spread = np.array([(rate[i] % 1 * (1 - rate[i] % 1) / draws) ** 0.5 for i in rate])
+    assert miss.mean() == pytest.approx(0, abs=0.06) and (np.abs(miss) < 4.5 * spread + 1e-9).all()  # each document expects its own rate
 
 
 def test_quality_scores_held_out_documents(spark):
@@ -211,10 +227,89 @@ def test_quality_odds_do_not_depend_on_the_sample(spark):
         assert abs(scores.mean() - 6 / 7) < 0.06, bound
 
 
+def test_quality_scores_equal_plain_compression(spark):
+    docs = spark.read.parquet(f"{SF}/documents.parquet")
+    model = quality_classifier.fitted(spark, docs, SF)
+    got = {r.doc_id: r.score for r in quality_classifier.score(docs, model).collect()}
+    good, bad = quality_classifier.compressors(model)
+    for i, text in zip(documents().doc_id, documents().text):
+        data = (text or "").encode()
+        diff = sum(len(bad.compress(data[k : k + 1024])) - len(good.compress(data[k : k + 1024])) for k in range(0, len(data), 1024))
+        z = model.slope * np.arcsinh(200 * (diff + 1) / (len(data) + 32)) + model.bias
+        assert got[i] == pytest.approx(1 / (1 + np.exp(-z)), abs=1e-9)
+
+
 def test_toxicity_scores_held_out_documents(spark):
-    got = toxicity.op3(spark, LARGER).toPandas().merge(pd.read_parquet(f"{LARGER}/labels.parquet"), on="doc_id")
+    folder = "/root/testdata/sf0.1"
+    docs = spark.read.parquet(f"{folder}/documents.parquet")
+    labels = pd.read_parquet(f"{folder}/labels.parquet")
+    assert (toxicity.op3(spark, LARGER).toPandas().score.between(0, 1)).all()
+    got = toxicity.op3(spark, folder).toPandas().merge(labels, on="doc_id")
     rest = got[got.held_out]
-    assert (rest.predicted == rest.toxic).mean() > 0.9 and (rest.predicted[rest.toxic == 0] == 0).mean() > 0.95 and got.score.between(0, 1).all()
+    toxic = rest.toxic == 1
+    assert auc(rest.toxic, rest.score) > 0.95 and rest.predicted[toxic].mean() > 0.8 and rest.predicted[~toxic].mean() < 0.02
+    assert "lang" not in toxicity.score(docs.drop("lang", "source"), toxicity.Model(constant=0.5)).columns
+
+
+def test_words_group_texts_by_language():
+    docs = documents("/root/testdata/sf0.1").dropna(subset=["text", "lang"]).head(800)
+    data = [t.encode() for t in docs.text]
+    ids, first = toxicity.word_ids(np.frombuffer(b"".join(data), np.uint8), np.cumsum([0, *map(len, data)]))
+    m = toxicity.Model(languages=toxicity.word_groups([ids[a:b] for a, b in zip(first[:-1], first[1:])]))
+    counts = pd.crosstab(m.language(ids, first), docs.lang.to_numpy())
+    assert counts.max(1).sum() > 0.95 * len(docs)
+
+
+def test_thresholds_are_the_best_of_all():
+    rng = np.random.default_rng(8)
+    ids = [rng.integers(0, 300, (20, 3)).astype(np.uint16) + (60_000 if k % 5 == 0 and j > 3 else 0) for k in range(200) for j in [rng.integers(0, 8)]]
+    y = np.array([int(k % 5 == 0) for k in range(200)])
+    m = toxicity.train(ids, y, epochs=2)
+    m.languages = np.zeros((toxicity.BUCKETS, 1), np.float32)
+    toxicity.calibrate(m, ids, y, 0.2)
+    z = m.logits(np.concatenate(ids), np.arange(0, 20 * 201, 20), m.projected())
+    f1 = lambda t: 2 * ((z >= t) & (y == 1)).sum() / ((z >= t).sum() + (y == 1).sum())
+    assert f1(m.thresholds[0]) == pytest.approx(max(f1(t) for t in z), abs=1e-9) and f1(m.thresholds[0]) > 0.6
+
+
+def test_training_follows_the_gradient(monkeypatch):
+    """One step on a batch moves each filter weight against the sign of the numeric gradient of the loss."""
+    rng = np.random.default_rng(6)
+    ids, y = [rng.integers(0, 12, (n, 3)).astype(np.uint16) + 20 * (k % 2) for k, n in enumerate((9, 12, 10, 11, 9, 9))], np.array([1, 0] * 3)
+    first = np.cumsum([0, *map(len, ids)])
+
+    class Dense:  # no drop-out
+        def __init__(self, rng):
+            self.rng = rng
+
+        def __getattr__(self, name):
+            return getattr(self.rng, name)
+
+        def random(self, shape):
+            return np.ones(shape)
+
+    real = np.random.default_rng
+    monkeypatch.setattr(np.random, "default_rng", lambda seed: Dense(real(seed)))
+    before, after = toxicity.train(ids, y, epochs=0), toxicity.train(ids, y, epochs=1)
+
+    def loss(m):
+        z = m.logits(np.concatenate(ids), first, m.projected()).astype(float)
+        z = (z - m.constant) / 0.8 + m.constant  # what is kept is scaled up
+        return np.log1p(np.exp(np.where(y == 1, -z, z))).sum()
+
+    checked = 0
+    for k, w in enumerate(before.filters):
+        for at in np.ndindex(w.shape):
+            old = w[at]
+            w[at] = old + 1e-2
+            up = loss(before)
+            w[at] = old - 1e-2
+            slope = (up - loss(before)) / 2e-2
+            w[at] = old
+            if abs(slope) > 1e-2:
+                checked += 1
+                assert np.sign(after.filters[k][at] - old) == -np.sign(slope)
+    assert checked > 20
 
 
 def test_pooled_maxima_equal_a_plain_convolution():
@@ -244,6 +339,36 @@ def test_languages_of_held_out_documents(spark):
     assert model.predict(["", "12 !"])[0] == ["und", "und"]
 
 
+def test_language_sets_equal_all_sets(spark):
+    """Against plain EM over every set of languages: the chosen set has the best penalised likelihood."""
+    model = language_id.fit(spark.read.parquet(f"{LARGER}/documents.parquet"))
+    texts = documents(LARGER).dropna(subset=["text"])
+    whole = [t for t in texts.text if 5 < len(t.split()) < 400][:60]
+    by = [t.text.iloc[0].split()[:40] for _, t in texts.groupby("lang")]
+    whole += [" ".join(a[: 40 - k] + b[:k]) for a, b in zip(by, by[1:]) for k in (2, 8, 20)]
+    _, _, sets = model.predict(whole)
+    singles = 0
+    for text, chosen in zip(whole, sets):
+        grams, first = language_id.trigrams(text)
+        like = np.add.reduceat(model.table[grams], first[:-1], 0).astype(float)
+        costs = {}
+        for bits in range(1, 1 << len(model.names)):
+            own = [k for k in range(len(model.names)) if bits >> k & 1]
+            pi = np.full(len(own), 1 / len(own))
+            top = like[:, own].max(1, keepdims=True)
+            p = np.exp(like[:, own] - top)
+            for _ in range(language_id.ROUNDS):
+                w = p * pi
+                pi = (w / w.sum(1, keepdims=True)).mean(0)
+            fit = (top[:, 0] + np.log((p * pi).sum(1))).sum()
+            costs[tuple(model.names[k] for k in own)] = -2 * fit + language_id.PENALTY * (len(own) - 1) * np.log(max(2, len(like)))
+        best = min(costs.values())
+        singles += len(chosen) == 1
+        got = [c for names, c in costs.items() if set(n for n, s in chosen if s > 1e-6) <= set(names)]
+        assert min(got) <= best + (0.5 if len(chosen) == 1 else 0.002 * best), text  # larger sets are tried in the order of their shares
+    assert 20 < singles < len(whole)
+
+
 def test_line_rules_equal_sql(spark):
     con = duckdb.connect()
     con.sql(f"CREATE VIEW documents AS SELECT * FROM '{SF}/documents.parquet'")
@@ -255,9 +380,19 @@ def test_line_rules_equal_sql(spark):
 def test_documents_of_common_lines_are_depleted(spark):
     menu = "\n".join(f"menu entry {k} of the site with some more words" for k in range(6))
     rows = [(i, menu + "\n" + " ".join(f"own{chr(97 + i)}x{j}" for j in range(10 if i < 5 else 200)), "h", None, 0) for i in range(26)]
-    rows += [(100 + i, " ".join(f"copy{j}" for j in range(60)), "h", None, 0) for i in range(40)]  # exact copies deplete nothing
-    got = {r.doc_id: r for r in quality_rules.rules(spark.createDataFrame(rows, "doc_id long, text string, source string, lang string, n_chars long")).collect()}
-    assert all(got[i].kept == (i >= 5) and got[i].n_common_words == 60 for i in range(26)) and all(got[100 + i].kept for i in range(40))
+    rows += [(100 + i, " ".join(f"copy{j}" for j in range(60)), "h", None, 0) for i in range(40)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, source string, lang string, n_chars long")
+    for copies in (False, True):  # exact copies deplete nothing where they count once
+        got = {r.doc_id: r for r in quality_rules.rules(docs, copies).collect()}
+        assert all(got[i].kept == (i >= 5) and got[i].n_common_words == 60 for i in range(26)) and all(got[100 + i].kept != copies for i in range(40))
+
+
+def test_lines_of_many_documents_are_common_in_any_host(spark, monkeypatch):
+    own = lambda i: "".join(chr(97 + int(d)) for d in str(i))  # noqa: E731 (digits are all alike in a line)
+    rows = [(i, f"own{own(i)} words here\n" + ("shared line of a few\n" if i % 200 == 0 else "") + "x", "h") for i in range(6000)]
+    docs = quality_rules.measures(spark.createDataFrame(rows, "doc_id long, text string, source string"))
+    common = lambda **limits: {r.docs for r in quality_rules.common_lines(docs, **limits).collect()}
+    assert common() == {6000} and common(many=30) == {6000, 30} and common(least_docs=31, many=30) == {6000}
 
 
 def test_common_lines_are_removed(spark):
@@ -273,6 +408,7 @@ def test_common_lines_are_removed(spark):
     assert dict(got) == want | {50: [rows[4][1]]}
     every = {r.doc_id: r for r in quality_rules.rules(docs).collect()}
     assert every[52].cleaned == "" and every[51].cleaned == "" and every[0].n_common_words == 12
+    assert all(r.n_left == len(words(r.cleaned)) for r in every.values())
 
 
 @pytest.mark.parametrize(
@@ -341,10 +477,11 @@ def per_document(spark, docs):
         "quality": quality_classifier.score(docs, quality_classifier.fit(docs, labelled)),
         "rules": quality_rules.rules(docs),
         "toxicity": toxicity.score(docs, toxicity.fit(docs, labelled)),
-        "packing": packing.pack(docs, packing.default_tokenizer()),
+        "packing": packing.pack(docs),
         "near": minhash.near_duplicates(docs),
         "language": language_id.predict(docs, language_id.fit(docs)),
         "mixing": mixing.plan(docs),
+        "rules_copies": quality_rules.rules(docs, copies=False),
         "repeats": repeats.without_repeats(docs, EXTRA),
     }
 
@@ -374,6 +511,9 @@ def test_empty_tables(spark):
 def test_mix_keeps_all_columns(spark):
     docs = odd(spark)
     assert mixing.mix(docs).columns == docs.columns
+    clash = docs.withColumns({c: F.lit("mine") for c in ("__key", "__content", "__copies", "__rows", "__own", "__n", "row", "own", "turn", "copies")})
+    got = mixing.mix(clash).collect()
+    assert got and all(r["__key"] == r["own"] == r["copies"] == "mine" for r in got)
 
 
 def test_every_operator_has_its_query():
