@@ -147,21 +147,13 @@ def words(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray
     return starts, ends, np.searchsorted(starts, offsets)
 
 
-#: A key with more than one in so many rows is hot; there are fewer hot keys than this.
-HOT = 1000
+def with_keys(rows: DataFrame, keyed: DataFrame, keys: list[str]) -> DataFrame:
+    """rows joined to keyed, which has one row for each key.
 
-
-def with_keys(rows: DataFrame, keyed: DataFrame, keys: list[str], total: int, spread: list[str], count: str = "n") -> DataFrame:
-    """rows joined to keyed, which has one row for each key and the number of rows of that key.
-
-    total: the number of all rows. The rows of a key with more than total / HOT rows are dealt by a hash of the columns
-    in spread, and its row of keyed is repeated as often; only the list of hot keys, fewer than HOT, is broadcast.
+    keyed is kept in the shared folder first: an aggregate that goes straight into a join ties all rows of a key to one
+    task, while adaptive execution splits the rows of a hot key where both sides are plain tables.
     """
-    parts = F.ceil(F.col(count) * HOT / F.lit(float(max(total, 1)))).cast("long")
-    hot = keyed.filter(F.col(count) * HOT > total).select(*keys, parts.alias("__parts"))
-    dealt = rows.join(F.broadcast(hot), keys, "left").withColumn("__part", F.coalesce(F.pmod(F.xxhash64(*spread), "__parts"), F.lit(0).cast("long"))).drop("__parts")
-    other = keyed.withColumn("__part", F.explode(F.sequence(F.lit(0).cast("long"), F.greatest(parts, F.lit(1).cast("long")) - 1))).drop(count)
-    return dealt.join(other, [*keys, "__part"]).drop("__part")
+    return rows.join(materialised(keyed), keys)
 
 
 def components(edges: DataFrame) -> DataFrame:
@@ -171,20 +163,17 @@ def components(edges: DataFrame) -> DataFrame:
     Each step is kept in the shared folder; a hub with very many neighbours is a hot key of with_keys.
     Nulls and loops are left out; repeated edges count once; no edge gives no row.
     """
-
-    def settled(e: DataFrame) -> tuple[DataFrame, tuple]:
-        e = materialised(e)
-        return e, tuple(e.agg(F.count("*"), F.sum(F.xxhash64("u", "v").cast("decimal(38,0)"))).first())
-
-    e, state = settled(edges.select(F.greatest("a", "b").alias("u"), F.least("a", "b").alias("v")).filter("u <> v").distinct())
-    while state[0]:
+    e = materialised(edges.select(F.greatest("a", "b").alias("u"), F.least("a", "b").alias("v")).filter("u <> v").distinct())
+    state = None
+    while True:
         both = e.unionByName(e.select(F.col("v").alias("u"), F.col("u").alias("v")))
-        least = both.groupBy("u").agg(F.min("v").alias("o"), F.count("*").alias("n")).select("u", F.least("o", "u").alias("m"), "n")
-        e, (count, _) = settled(with_keys(both, least, ["u"], 2 * state[0], ["v"]).filter("v > u").select(F.col("v").alias("u"), F.col("m").alias("v")).distinct())
-        least = e.groupBy("u").agg(F.min("v").alias("m"), F.count("*").alias("n"))
-        near = with_keys(e, least, ["u"], count, ["v"])
-        e, now = settled(near.filter("v <> m").select(F.col("v").alias("u"), F.col("m").alias("v")).unionByName(least.select("u", F.col("m").alias("v"))).distinct())
-        if now == state:
+        least = both.groupBy("u").agg(F.min("v").alias("o")).select("u", F.least("o", "u").alias("m"))
+        e = materialised(with_keys(both.filter("v > u"), least, ["u"]).select(F.col("v").alias("u"), F.col("m").alias("v")).distinct())
+        least = materialised(e.groupBy("u").agg(F.min("v").alias("m")))
+        near = e.join(least, "u").filter("v <> m").select(F.col("v").alias("u"), F.col("m").alias("v"))
+        e = materialised(near.unionByName(least.select("u", F.col("m").alias("v"))).distinct())
+        now = tuple(e.agg(F.count("*"), F.sum(F.xxhash64("u", "v").cast("decimal(38,0)"))).first())
+        if now == state or not now[0]:
             break
         state = now
     return e.select(F.col("u").alias("node"), F.col("v").alias("component")).unionByName(

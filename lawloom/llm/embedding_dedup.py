@@ -132,8 +132,7 @@ def near_vectors(vectors: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
     every = materialised(vectors.select("vec_id", "label", *keys))
     full = vectors.filter(usable & F.col("vec_id").isNotNull()).select("vec_id", "label", *keys, F.size(value).alias("dim"), value.cast("array<double>").alias("value"))
     classes = materialised(full.groupBy("label", "a", "b", "dim").agg(F.min("vec_id").alias("rep"), F.count("*").alias("copies"), F.any_value("value").alias("value")))
-    counted = classes.groupBy("label", "dim").agg(F.count("*").alias("n"), F.ceil(F.count("*") / BLOCK).cast("long").alias("blocks"))
-    total = classes.count()
+    counted = classes.groupBy("label", "dim").agg(F.ceil(F.count("*") / BLOCK).cast("long").alias("blocks"))
 
     def narrow(batches):
         for batch in batches:
@@ -149,7 +148,7 @@ def near_vectors(vectors: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
 
     kind = vectors.schema["label"].dataType.simpleString()
     dealt = classes.select("label", "dim", "rep", "copies", "value").mapInArrow(narrow, f"label {kind}, dim int, rep long, copies long, {ROUNDED}")
-    dealt = with_keys(dealt, counted, ["label", "dim"], total, ["rep"]).withColumn("block", F.pmod(F.xxhash64("rep"), F.col("blocks")))
+    dealt = with_keys(dealt, counted, ["label", "dim"]).withColumn("block", F.pmod(F.xxhash64("rep"), F.col("blocks")))
     other = F.explode(F.sequence(F.lit(0).cast("long"), F.col("blocks") - 1)).alias("other")
     tiles = dealt.select("*", other).withColumns({"i": F.least("block", "other"), "j": F.greatest("block", "other")}).drop("other", "blocks")
     schema = pa.schema([(n, pa.int64()) for n in ("rep", "n", "least", "other")])

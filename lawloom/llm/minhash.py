@@ -44,7 +44,7 @@ MISS = 1e-6
 BLOCK = 256
 SHINGLES = 1 << 20
 #: Rounds in which the classes of a crowd meet a hub of each key.
-ROUNDS = 2
+ROUNDS = 1
 
 _RNG = np.random.default_rng(55)
 _A = _RNG.integers(1, 2**32, HASHES, dtype=np.uint32) | np.uint32(1)
@@ -239,7 +239,6 @@ def crowded_links(keys: DataFrame, texts: DataFrame, size: int, percent: int) ->
     from then on, so a group of near copies is one component after a round or two. In the end the classes of a key
     outside its largest component meet all classes of the key that they are not connected with, block by block.
     """
-    total = keys.count()
     found = None
     members = keys.withColumn("known", F.col("rep"))
     for turn in range(ROUNDS + 1):
@@ -252,19 +251,19 @@ def crowded_links(keys: DataFrame, texts: DataFrame, size: int, percent: int) ->
         by = by.groupBy("key").agg(main, F.sum("c").alias("n"), F.sum("w").alias("w"), F.count("*").alias("parts")).filter("parts > 1")
         if turn < ROUNDS:
             order = F.xxhash64(F.lit(turn), "rep")
-            hubs = members.groupBy("key").agg(F.min_by("rep", order).alias("hub"), F.min_by("known", order).alias("of_hub"), F.count("*").alias("n"))
-            pairs = with_keys(members, hubs.join(by.select("key"), "key", "left_semi"), ["key"], total, ["rep"])
+            hubs = members.groupBy("key").agg(F.min_by("rep", order).alias("hub"), F.min_by("known", order).alias("of_hub"))
+            pairs = with_keys(members, hubs.join(by.select("key"), "key", "left_semi"), ["key"])
             pairs = materialised(pairs.filter("known <> of_hub").select("rep", "known", "weight", "hub", "of_hub").distinct())
             counted = pairs.groupBy("hub", "of_hub").agg(F.count("*").alias("n"), F.sum("weight").alias("w"))
-            cut = counted.select("hub", "of_hub", "n", blocks_of(F.col("n"), F.col("w")).alias("blocks"))
-            with_blocks = with_keys(pairs.drop("of_hub"), cut.drop("of_hub"), ["hub"], total, ["rep"])
+            cut = counted.select("hub", "of_hub", blocks_of(F.col("n"), F.col("w")).alias("blocks"))
+            with_blocks = with_keys(pairs.drop("of_hub"), cut.drop("of_hub"), ["hub"])
             tasks = with_blocks.select(*_task(F.col("hub"), F.pmod(F.xxhash64("rep"), "blocks"), F.lit(0), F.lit(0)))
             centres = cut.select(F.col("hub").alias("rep"), F.col("of_hub").alias("known"), _numbers(F.col("blocks")).alias("block"))
             tasks = tasks.unionByName(centres.select(*_task(F.col("rep"), F.col("block"), F.lit(0), F.lit(0))))
         else:
             few = blocks_of(F.col("n") - F.col("main.c"), F.col("w") - F.col("main.w"))
-            cut = by.select("key", F.col("main.known").alias("main"), few.alias("few"), blocks_of(F.col("main.c"), F.col("main.w")).alias("many"), "n")
-            rows = with_keys(members, cut, ["key"], total, ["rep"])
+            cut = by.select("key", F.col("main.known").alias("main"), few.alias("few"), blocks_of(F.col("main.c"), F.col("main.w")).alias("many"))
+            rows = with_keys(members, cut, ["key"])
             own = F.pmod(F.xxhash64("rep"), F.when(F.col("known") == F.col("main"), F.col("many")).otherwise(F.col("few")))
             rows = materialised(rows.withColumn("block", own))
             outside = rows.filter("known <> main")
@@ -283,12 +282,11 @@ def links(docs: DataFrame, classes: DataFrame, size: int, percent: int) -> DataF
     """(a, b): confirmed links that connect all linked classes; classes: rep, bands and weight (shingles)."""
     keys = classes.select("rep", "weight", F.explode("bands").alias("key"))
     hubs = keys.groupBy("key").agg(F.min("rep").alias("hub"), F.count("*").alias("n")).filter("n > 1")
-    total = classes.count() * (HASHES // band_rows(percent))
-    stars = with_keys(keys, hubs, ["key"], total, ["rep"]).filter("rep <> hub").select(F.col("rep").alias("a"), F.col("hub").alias("b"))
+    stars = with_keys(keys, hubs.drop("n"), ["key"]).filter("rep <> hub").select(F.col("rep").alias("a"), F.col("hub").alias("b"))
     clusters = components(stars)
     sized = clusters.join(classes.groupBy("rep").agg(F.sum("weight").alias("weight")), F.col("node") == F.col("rep"))
-    counted = sized.groupBy("component").agg(F.count("*").alias("n"), blocks_of(F.count("*"), F.sum("weight")).alias("blocks"))
-    members = materialised(with_keys(sized.select("rep", "component"), counted, ["component"], total, ["rep"]))
+    counted = sized.groupBy("component").agg(blocks_of(F.count("*"), F.sum("weight")).alias("blocks"))
+    members = materialised(with_keys(sized.select("rep", "component"), counted, ["component"]))
     texts = materialised(docs.select(F.col("doc_id").alias("rep"), "text").join(members.select("rep"), "rep"))
     small = members.filter("blocks = 1").withColumn("known", F.col("rep"))
     found = confirmed(small.select(*_task(F.col("component"), F.lit(0), F.lit(0), F.lit(0))), texts, size, percent)
@@ -302,11 +300,11 @@ def near_duplicates(docs: DataFrame, size: int = 5, percent: int = 80) -> DataFr
     """doc_id, n_shingles, component_id and kept of every row: links have 100 * intersection >= percent * union."""
     every = materialised(described(docs, size, percent))
     full = every.filter("doc_id IS NOT NULL AND n_shingles > 0")
-    classes = full.groupBy("a", "b").agg(F.min("doc_id").alias("rep"), F.any_value("bands").alias("bands"), F.max("n_shingles").alias("weight"), F.count("*").alias("n"))
+    classes = full.groupBy("a", "b").agg(F.min("doc_id").alias("rep"), F.any_value("bands").alias("bands"), F.max("n_shingles").alias("weight"))
     classes = materialised(classes)
-    copies = with_keys(full.select("doc_id", "a", "b"), classes.select("a", "b", "rep", "n"), ["a", "b"], every.count(), ["doc_id"]).select(F.col("doc_id").alias("a"), F.col("rep").alias("b"))
+    copies = full.select("doc_id", "a", "b").join(classes.select("a", "b", "rep"), ["a", "b"]).select(F.col("doc_id").alias("a"), F.col("rep").alias("b"))
     # one doc_id with several texts is a node of several classes, so copies are edges as well
-    parts = components(links(docs, classes.drop("n"), size, percent).unionByName(copies))
+    parts = components(links(docs, classes, size, percent).unionByName(copies))
     joined = every.join(parts, every["doc_id"] == parts["node"], "left")
     component = F.coalesce("component", "doc_id")
     return joined.select("doc_id", "n_shingles", component.alias("component_id"), F.coalesce(F.col("doc_id") == component, F.lit(True)).alias("kept"))

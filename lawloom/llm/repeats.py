@@ -451,15 +451,15 @@ def without_repeats(docs: DataFrame, carry: list[str] | None = None) -> DataFram
     carry = carry or []
     text_keys = [F.xxhash64("doc_id", "text").alias("key"), F.xxhash64(F.lit(7), "doc_id", "text").alias("deal"), *(F.xxhash64(F.lit(k), "text").alias(f"c{k}") for k in (1, 2))]
     prints = materialised(docs.select("doc_id", "text").filter("doc_id IS NOT NULL AND text IS NOT NULL").select("doc_id", *text_keys, F.octet_length("text").alias("bytes")))
-    total, held = prints.agg(F.count("*"), F.coalesce(F.sum("bytes"), F.lit(0))).first()
+    held = prints.agg(F.coalesce(F.sum("bytes"), F.lit(0))).first()[0]
     buckets = groups = held // GROUP_BYTES + 1
     group = F.pmod("deal", F.lit(groups).cast("long")).alias("group")
     carried = F.struct(F.lit(0).alias("_"), *carry).alias("__carried")  # names of their own cannot clash
     rows = docs.select("doc_id", "text", carried, *text_keys[:2]).withColumn("group", group)
     sent = rows.filter("doc_id IS NOT NULL AND text IS NOT NULL").select("key", "text", "deal").mapInArrow(_sent_hashes(buckets), "bucket int, keys binary, counts binary, low binary, high binary")
     shared = sent.repartition(buckets, "bucket").groupBy("bucket").applyInArrow(_shared(buckets, groups), "group long, bucket int, keys binary, counts binary, low binary, high binary")
-    firsts = prints.groupBy("c1", "c2").agg(F.min("doc_id").alias("first"), F.count("*").alias("n")).filter("n > 1")
-    copies = with_keys(prints.select("doc_id", "key", group, "c1", "c2"), firsts, ["c1", "c2"], total, ["key"])
+    firsts = prints.groupBy("c1", "c2").agg(F.min("doc_id").alias("first"), F.count("*").alias("n")).filter("n > 1").drop("n")
+    copies = with_keys(prints.select("doc_id", "key", group, "c1", "c2"), firsts, ["c1", "c2"])
     copies = materialised(copies.filter("doc_id > first").select("group", F.col("key").alias("copy")).distinct())
     dealt = rows.repartition(groups, "group").groupBy("group")
 
