@@ -32,9 +32,9 @@ DEFAULT_THEME = "Risk Control"
 _DEFINED = "means|includes|does not include|is (?:information|the)|are|to be read as|are references to|consists"
 KINDS = {
     "Enactment, Citation, Commencement": ["(?:Act|Regulations?|Order) may be cited as", "(?:Act|Regulations?|Order).*?shall have effect", "(?:Act|Regulations?|Order) shall come into (?:force|operation)", "comes? into force", "has effect.*?on or after", "commencement"],
+    "Extent": ["(?:Act|Regulation|section)(?: does not | do not | )extends? to", "(?:Act|Regulations?|Section).*?extends? (?:only )?to", "[Oo]nly.*?extend to", "do not extend to", "[R|r]egulations under", "enactment amended or repealed by this Act extends", "[Cc]orresponding provisions for Northern Ireland", "shall not (?:extend|apply) to (?:Scotland|Wales|Northern Ireland)"],
     "Interpretation, Definition": [f"[A-Za-z\\d ]”.*?(?:{_DEFINED})[ —,]", "“.*?” is.*?[ —,]", "In thi?e?se? [Rr]egulations?.*?—", "has?v?e? the (?:same )?(?:respective )?meanings?", "(?<!prepared) [Ff]or the purposes? of (?:this Act|determining|these Regulations) ", "(?:any reference|references?).*?to", "[Ii]nterpretation", "interpreting these Regulation", "for the meaning of “", "provisions.*?are reproduced", "an?y? reference.*?in these Regulations?", "[Ww]here an expression is defined.*?and is not defined.*?it has the same meaning", "are to be read", "[Ff]or the purposes of (?:this Act|these Regulations|the definition of|subsection)"],
     "Application, Scope": ["Application", "(?:Act|Part|Chapter|[Ss]ections?|[Ss]ubsection|[Rr]egulations?|[Pp]aragraphs?|Article).*?apply?i?e?s?", "(?:Act|Part|Chapter|[Ss]ections?|[Ss]ubsection|[Rr]egulations?|[Pp]aragraphs?).*?doe?s? not apply", "(?:Act|Part|Chapter|[Ss]ections?|[Ss]ubsection|[Rr]egulations?|[Pp]aragraphs?|[Ss]chedules?).*?has effect", "This.*?was enacted.*?for the purpose of making such provision as.*?necessary in order to comply with", "does not apply", "shall.*?apply", "shall have effect", "shall have no effect", "ceases to have effect", "shall remain in force until", "provisions of.*?apply", "application of this (?:Part|Chapter|[Ss]ection)", "apply to any work outside", "apply to a self-employed person", "Save where otherwise expressly provided, nothing in.*?shall impose a duty", "need not be complied with until", "Section.*?apply for the purposes", "[Ff]or the purposes of.*?the requirements? (?:of|set out in)", "[Ff]or the purposes of paragraph", "requirements.*?which cannot be complied with are to be disregarded", "(?:[Rr]egulations|provisions) referred to", "without prejudice to (?:regulation|the generality of the requirements?)", "Nothing in.*?shall prejudice the operation", "[Nn]othing in these (?:Regulations) prevents", "shall bind the Crown"],
-    "Extent": ["(?:Act|Regulation|section)(?: does not | do not | )extends? to", "(?:Act|Regulations?|Section).*?extends? (?:only )?to", "[Oo]nly.*?extend to", "do not extend to", "[R|r]egulations under", "enactment amended or repealed by this Act extends", "[Cc]orresponding provisions for Northern Ireland", "shall not (?:extend|apply) to (?:Scotland|Wales|Northern Ireland)"],
     "Exemption": [" shall not apply in any case where[, ]", " by a certificate in writing exempt", " exemption"],
     "Repeal, Revocation": [" \\. \\. \\. \\. \\. \\. \\. ", "(?:revoked|repealed)[ [:punct:]—]", "(?:[Rr]epeals|revocations)", "following Acts shall cease to have effect"],
     "Transitional Arrangement": ["transitional provision"],
@@ -45,6 +45,10 @@ KINDS = {
     "Power Conferred": [" functions.*(?:exercis(?:ed|able)|conferred) ", " exercising.*functions ", "power to make regulations", "[Tt]he power under (?:subsection)"],
 }
 AMENDMENT = ["shall be inserted the words— ?\\n?“[\\s\\S]*”", "shall be inserted— ?\\n?“[\\s\\S]*”", "there is inserted", "insert the following after", " (?:substituted?|inserte?d?)—? ?\\n?“[\\s\\S]*”", "shall be (?:inserted|substituted) the words", "for.*?substitute", "omit the (?:words?|entr(?:y|ies) relat(?:ing|ed) to|entry for)", "omit the following", "[Oo]mit “?(?:section|paragraph)", "[Oo]mit[ ]+(?:section|paragraph)", "entry.*?shall be omitted", "shall be amended", "there shall be added the following paragraph", "add the following after (?:subsection|paragraph)", "[Aa]mendments?", "[Aa]mended as follows", "are amended in accordance with"]
+# Kinds of duty in order of rank; others are dropped.
+RANKED_KINDS = ["Duty", "Right", "Responsibility", "Power", "Enactment, Citation, Commencement", "Purpose", "Interpretation, Definition", "Application, Scope", "Extent", "Exemption", "Process, Rule, Constraint, Condition", "Power Conferred", "Charge, Fee", "Offence", "Enforcement, Prosecution", "Defence, Appeal", "Liability", "Repeal, Revocation", "Amendment", "Transitional Arrangement"]
+#: Kinds whose provisions bind nobody.
+UNBINDING_KINDS = ["Amendment", "Repeal, Revocation", "Interpretation, Definition"]
 DEFAULT_KIND = "Process, Rule, Constraint, Condition"
 #: Kinds that open a provision to the management themes.
 THEMED_KINDS = ["Duty", "Right", "Responsibility", "Discretionary", DEFAULT_KIND]
@@ -185,6 +189,92 @@ GOVERNED = {
 # Phrases that hold the word of an actor and name none.
 NO_ACTORS = ["local authority collected municipal waste", "[Pp]ublic (?:nature|sewer|importance|functions?|interest|[Ss]ervices)", "[Rr]epresentatives? of"]
 
+# Phrases between an actor and a verb that is not the actor's; each becomes a blank.
+NO_ROLES = ["[ ]area of the authority", "[ ]said report (?:shall|must)|shall[ ]not[ ]apply", "[ ]may[ ]be[ ](?:approved|reduced|reasonably foreseeably|required)", "[ ]may[ ]reasonably[ ]require", "[ ]as[ ]the[ ]case[ ]may[ ]be", "[ ]as may reasonably foreseeably", "[ ]and[ ](?:shall|must|may[ ]only|may[ ]not)"]
+
+# Parts of the patterns of roles.
+_MODALS = "(?:shall|must|may[ ]only|may[ ]not)"
+_DETERMINERS = "(?:[Aa]n?y?|[Tt]he|[Ee]ach|[Ee]very|[Ee]ach such|[Tt]hat|[Nn]ew|,)"
+_NOT_BEFORE = "(?<! by | of |send it to |given |appointing | to expose | to whom | to pay | to permit |before which )"
+_NOT_BEFORE_OR_AND = "(?<! by | of |send it to |given |appointing | to expose | to whom | to pay | to permit |before which |and )"
+_NOT_BETWEEN = "(?!is found to |is likely to |to a |to carry |to assess |to analyse|to perform )"
+_NOT_AFTER = "(?!be entitled|be carried out by|be construed|be consulted|be notified|be informed|be appointed|be retained|be included|be extended|be treated|be necessary|be subjected|be suitable|be made|not apply|consist|have effect|apply)"
+_MODAL_END = "[[:blank:][:punct:]—]"
+# Patterns of the roles of an actor @, in the order in which they are listed, and whether a match is taken out of the text.
+HE_DUTY = [(f"@{_MODALS}", True)]
+ROLES = {
+    "duty": [
+        (f"Where.*?(?:an?y?|the|each|every)@.*?,[ ]he[ ]{_MODALS}", True),
+        (f"{_NOT_BEFORE_OR_AND}{_DETERMINERS}@{_MODALS}{_MODAL_END}{_NOT_AFTER}", True),
+        (f"{_MODALS} be (?:carried out|reviewed|prepared).*?@", False),
+        (f"{_MODALS} be (?:affixed|carried out) by—$[\\s\\S]*?@", False),
+        (f"{_DETERMINERS}@(?s:.)*?^{_MODALS} (?!be carried out by)", False),
+        ("[Nn]o@(?:at work )?(?:shall|is to)", False),
+        (f"{_NOT_BEFORE}{_DETERMINERS}@{_NOT_BETWEEN}.*?{_MODALS}{_MODAL_END}[ ]?{_NOT_AFTER}", False),
+        (f"@{_NOT_BETWEEN}.*?{_MODALS}{_MODAL_END}[ ]?{_NOT_AFTER}", False),
+        (f"@{_NOT_BETWEEN}[^—\\.]*?he[ ]shall", False),
+        ("shall apply to a.*?@.*?as they apply to", False),
+        (f"shall be the duty of {_DETERMINERS}@", False),
+        (f"shall be the duty of the.*?and of {_DETERMINERS}@", False),
+        ("shall be (?:selected by|reviewed by|given.*?by) the@", False),
+        ("shall also be imposed on a@", False),
+        ("[Nn]o@may", False),
+        ("@may[ ](?:not|only)", False),
+        ("requiring a@.*?to", False),
+        ("@is.*?under a like duty", False),
+        ("@has taken all.*?steps", False),
+        ("Where a duty is placed.*?on an?@", False),
+        ("provided by an?@", False),
+        (f"@{_NOT_BETWEEN}.*?(?:remains|is) (?:responsible|financially liable) for", False),
+        ("@.*?(?:shall be|is) liable (?!to)", False),
+    ],
+    "right": [
+        ("Where.*?(?:an?y?|the|each|every)@.*?,[ ]he[ ]may", True),
+        ("requested by a@", False),
+        ("(?:shall|must) (?:be notified to the|consult).*?@", False),
+        (f"may be (?:varied|terminated|presented).*?by {_DETERMINERS}@", False),
+        ("@may[[:blank:][:punct:]][ ]?(?!exceed|need|have|require|be[ ]|not|only)", True),
+        (f"{_NOT_BEFORE}{_DETERMINERS}@.*?(?<!which|who)[ ]may[[:blank:][:punct:]][ ]?(?!need|have|require|be[ ]|not|only)", False),
+        ("@.*?shall be entitled", False),
+        ("@.*?is not required", False),
+        ("@may.*?, but may not", False),
+        ("permission of that@", False),
+        (f"may be made by {_DETERMINERS}.*?@", False),
+        (f"may be made—(?s:.)*\\([a-z]\\) by {_DETERMINERS}@", False),
+    ],
+    "responsibility": [
+        ("@(?:must|shall)(?! have the power)", False),
+        ("@[^—\\.]*?(?:must|shall)(?! have the power)", False),
+        ("@[^—\\.]*?[\\.\\.\\.].*?(?:must|shall)", False),
+        ("must be (?:carried out|reviewed|sent|prepared|specified by).*?@", False),
+        ("@[^—\\.]*?has determined", False),
+        ("[Ii]t shall be the duty of a?n?[^—\\.]*?@", False),
+        ("@ owes a duty to", False),
+        ("is to be.*?by a@", False),
+        ("@is to (?:perform|have regard)", False),
+        ("@may not", False),
+        ("@is (?:liable|responsible for)", False),
+        ("[Ii]t is the duty of the@", False),
+        ("@.*?—(?s:.)*?^.*?(?:must|shall)", False),
+    ],
+    "power": [
+        ("@.*?may.*?by regulations?.*?(?:specify|substitute|prescribe|make)", False),
+        ("@ may.*?direct ", False),
+        ("@ may vary the terms", False),
+        ("@ may.*make.*(?:scheme|plans?|regulations?) ", False),
+        ("@ considers necessary", False),
+        ("@.*?shall (?:have the power|be entitled)", False),
+        ("@ may by regulations?", False),
+        ("@[^—\\.]*?may(?![ ]not|[ ]be)", False),
+        ("@[^—\\.]*?[\\.\\.\\.].*?may(?![ ]not)", False),
+        ("@is not required", False),
+        ("may be (?:varied|terminated) by the@", False),
+        ("may be excluded.*?by directions of the @", False),
+        (" in the opinion of the @ ", False),
+        ("@.*?—(?s:.)*?^.*?may(?![ ]not|[ ]be)", False),
+    ],
+}
+
 # Titles that a register leaves out (lower case).
 EXCLUDED_TITLES = ["railways?.*station.*order", "railways?.*junction.*order", "(?:network rail|railways?).*(?:extensions?|improvements?|preparation|enhancement|reduction).*order", "rail freight.*order", "light railway order", "drought.*order", "restriction of flying", "correction slip", "trunk road", "harbour empowerment order", "harbour revision order", "parking places", "parking prohibition", "parking and waiting", "development consent order", "electrical system order"]
 

@@ -166,7 +166,13 @@ def first_date(*dates: Column) -> Column:
     return F.coalesce(*[F.nullif(d, F.lit("")) for d in dates], F.lit(""))
 
 
-def natural_key(c: Column, width: int = 12) -> Column:
-    """A string that sorts digit runs by value: each run of digits is padded to width."""
+def natural_key(c: Column) -> Column:
+    """A string that sorts digit runs by value, however long: each is written as the length of its length, its length and its digits."""
     runs = F.regexp_extract_all(c, F.lit(r"(\d+|\D+)"), F.lit(1))
-    return F.array_join(F.transform(runs, lambda x: F.when(x.rlike(r"^\d"), F.lpad(x, width, "0")).otherwise(x)), "")
+
+    def key(x: Column) -> Column:
+        digits = F.regexp_replace(x, "^0+(?=.)", "")
+        size = F.length(digits).cast("string")
+        return F.when(x.rlike(r"^\d"), F.concat(F.length(size).cast("string"), size, F.lit("."), digits)).otherwise(x)
+
+    return F.array_join(F.transform(runs, key), "")

@@ -5,6 +5,7 @@ from __future__ import annotations
 import re
 
 import pandas as pd
+import regex
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -44,13 +45,21 @@ def themes(text: Column, kinds: Column) -> Column:
     return F.when(F.arrays_overlap(kinds, F.array(*map(F.lit, t.THEMED_KINDS))), F.when(F.size(found) > 0, found).otherwise(F.array(F.lit(t.DEFAULT_THEME)))).otherwise(F.array().cast("array<string>"))
 
 
-def consumed(table: dict[str, list[str]], before: list[str] = (), edges: bool = False, rest: bool = False):
+_EDGES = "[[:blank:][:punct:]“]{}[[:blank:][:punct:]”]"
+
+
+def actor_pattern(patterns: list[str]) -> str:
+    """An actor with a blank or a mark on both sides; its last name is tried first."""
+    wrapped = [_EDGES.format(p) for p in reversed(patterns)]
+    return wrapped[0] if len(wrapped) == 1 else f"(?:{'|'.join(wrapped)})"
+
+
+def consumed(table: dict[str, list[str]], before: list[str] = (), edges: bool = False):
     """An Arrow function from texts to the names of the classes they hold, each class taking its matches out of the text before the next one looks.
 
     edges: a match needs a blank or a mark on both sides, which it consumes as well.
     """
-    wrap = "[[:blank:][:punct:]“]{}[[:blank:][:punct:]”]" if edges else "{}"
-    patterns = [(n, "|".join(wrap.format(f"(?:{x})") for x in p)) for n, p in table.items()]
+    patterns = [(n, actor_pattern(p) if edges else "|".join(f"(?:{x})" for x in p)) for n, p in table.items()]
 
     def fold(texts: pd.Series) -> pd.Series:
         compiled = [(n, re.compile(t.python(p), re.M)) for n, p in patterns]
@@ -85,16 +94,118 @@ def government(text: Column) -> Column:
     return F.array_sort(actors(dict(sorted(t.GOVERNMENT.items(), reverse=True)))(text))
 
 
-def kinds(text: Column) -> Column:
-    """Kinds of a provision: Amendment alone where it amends; else those of the fold, and the default where there is none."""
-    found = consumed(t.KINDS)(text)
-    return F.when(matches_any(text, t.AMENDMENT), F.array(F.lit("Amendment"))).otherwise(F.when(F.size(found) > 0, found).otherwise(F.array(F.lit(t.DEFAULT_KIND))))
+def generic_kinds():
+    """An Arrow function from texts to their kinds: each pattern in turn takes its matches out of the text.
+
+    A pattern looks at the text as one line, and takes its matches out of all lines.
+    """
+    patterns = [(n, t.python(p)) for n, ps in t.KINDS.items() for p in ps]
+
+    def fold(texts: pd.Series) -> pd.Series:
+        compiled = [(n, re.compile(p), re.compile(p, re.M)) for n, p in patterns]
+
+        def one(text: str | None) -> list[str]:
+            text, found = text or "", {}
+            for name, test, take in compiled:
+                if test.search(text):
+                    found[name] = True
+                    text = take.sub("", text)
+            return list(found)
+
+        return texts.map(one)
+
+    return F.pandas_udf(fold, "array<string>")
+
+
+HOLDER = "struct<holders:array<string>,text:string>"
+
+
+def role_holders(role: str, actors: dict[str, list[str]]):
+    """An Arrow function from texts and the actors found in them to those that hold a role, and the clauses that say so.
+
+    Actors and clauses stand in the reverse order in which they were found. Actors found later are tried first.
+    """
+    he = actor_pattern(t.GOVERNED[": He"])
+
+    def fold(texts: pd.Series, found: pd.Series) -> pd.DataFrame:
+        known = {n: actor_pattern(p) for n, p in actors.items()}
+        gone = [regex.compile(p) for p in t.NO_ROLES]
+        compiled: dict = {}
+
+        def patterns(actor: str) -> list:
+            if actor not in compiled:
+                own = known[actor]
+                rules = t.HE_DUTY if role == "duty" and own == he else t.ROLES[role]
+                compiled[actor] = [(regex.compile(t.python(p.replace("@", own)), regex.M), take) for p, take in rules]
+            return compiled[actor]
+
+        def one(text: str | None, names) -> dict:
+            text, holders, clauses = text or "", [], []
+            for p in gone:
+                text = p.sub(" ", text)
+            for actor in names if names is not None else []:
+                if actor not in known:
+                    continue
+                for p, take in patterns(actor):
+                    m = p.search(text)
+                    if m:
+                        holders.insert(0, actor)
+                        clauses.insert(0, f"{role.upper()}\n👤{actor}\n📌{m[0]}\n")
+                        if take:
+                            text = p.sub("", text)
+            return {"holders": list(dict.fromkeys(holders)), "text": "\n".join(c.strip() for c in dict.fromkeys(clauses))}
+
+        return pd.DataFrame([one(x, n) for x, n in zip(texts, found)], columns=["holders", "text"])
+
+    return F.pandas_udf(fold, HOLDER)
+
+
+def ranked(kinds: Column) -> Column:
+    """The known kinds in order of rank, once each."""
+    return F.filter(F.array(*map(F.lit, t.RANKED_KINDS)), lambda k: F.array_contains(kinds, k))
+
+
+#: The roles, the column of their actors, and the columns of their holders and clauses.
+ROLE_COLUMNS = {
+    "duty": ("duty_actor", "dutyholder", "dutyholder_txt"),
+    "right": ("duty_actor", "rights_holder", "rights_holder_txt"),
+    "responsibility": ("duty_actor_gvt", "responsibility_holder", "responsibility_holder_txt"),
+    "power": ("duty_actor_gvt", "power_holder", "power_holder_txt"),
+}
+
+
+def with_roles(records: DataFrame, text: str = "text", record_type: str | None = None) -> DataFrame:
+    """Records with duty_actor and duty_actor_gvt get the holders of each role, their clauses, and duty_type.
+
+    A provision that amends is an Amendment and nothing else. Headings, parts and chapters have no kinds; a section of
+    one line has only the generic ones; without any kind a provision is of the default kind.
+    """
+    c, none = F.col(text), F.array().cast("array<string>")
+    kind = F.col(record_type) if record_type else F.lit("article")
+    full = kind.isin("sub-section", "article", "sub-article") | ((kind == "section") & c.contains("\n"))
+    full = F.coalesce(full & (c != ""), F.lit(False))
+    amends = matches_any(c, t.AMENDMENT)
+    out = records.withColumn("__kinds", generic_kinds()(c))
+    for role, (actors, holders, clauses) in ROLE_COLUMNS.items():
+        table = t.GOVERNED if actors == "duty_actor" else t.GOVERNMENT
+        found = role_holders(role, table)(F.when(full & ~amends, c), F.when(full & ~amends, F.col(actors)))
+        out = out.withColumn("__role", found).withColumns({holders: F.col("__role.holders"), clauses: F.col("__role.text")}).drop("__role")
+    roles = F.concat(*[F.when(F.size(h) > 0, F.array(F.lit(role.capitalize()))).otherwise(none) for role, (_, h, _) in ROLE_COLUMNS.items()], "__kinds")
+    kinds = F.when(full & amends, F.array(F.lit("Amendment"))).when(full, F.when(F.size(roles) > 0, ranked(roles)).otherwise(F.array(F.lit(t.DEFAULT_KIND)))).when(kind == "section", F.col("__kinds")).otherwise(none)
+    return out.withColumn("duty_type", kinds).drop("__kinds")
+
+
+def without_unbinding(records: DataFrame) -> DataFrame:
+    """No dutyholder where the kinds of a provision are none, or one that binds nobody."""
+    k = F.col("duty_type")
+    free = (F.size(k) == 0) | ((F.size(k) == 1) & F.get(k, F.lit(0)).isin(t.UNBINDING_KINDS))
+    return records.withColumn("dutyholder", F.when(free, F.array().cast("array<string>")).otherwise(F.col("dutyholder")))
 
 
 def provisions(records: DataFrame, text: str = "text") -> DataFrame:
-    """Records with actors, kinds and themes of their text."""
+    """Records with actors, role holders, kinds and themes of their text."""
     c = F.col(text)
-    out = records.withColumns({"duty_actor": governed(c), "duty_actor_gvt": government(c), "duty_type": kinds(c)})
+    out = with_roles(records.withColumns({"duty_actor": governed(c), "duty_actor_gvt": government(c)}), text)
     return out.withColumn("popimar", themes(c, F.col("duty_type")))
 
 

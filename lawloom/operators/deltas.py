@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ..functions.titles import is_empty
+from ..functions.titles import is_empty, split_name
 
 
 def csv_set(c: Column) -> Column:
@@ -49,3 +49,44 @@ def missing_keys(master: DataFrame, copy: DataFrame, column: str, copy_column: s
     m = master.select(F.explode(csv_set(F.col(column))).alias("name")).filter("name <> ''").distinct()
     c = copy.select(F.explode(csv_set(F.col(copy_column))).alias("name"))
     return m.join(c, "name", "left_anti")
+
+
+def dotted(name: str, width: int) -> str:
+    """A name and as many dots as its field asks for."""
+    return name + "." * width
+
+
+# Fields of the change logs of metadata and of repeals, and the dots after their names.
+METADATA_FIELDS = {"md_description": 20, "md_subjects": 24, "md_modified": 23, "md_total_paras": 18, "md_body_paras": 18, "md_schedule_paras": 11, "md_attachment_paras": 6, "md_images": 26}
+
+
+def logged(old: DataFrame, new: DataFrame, key: list[str], fields: dict[str, int], day: str, log: str, sets: list[str] = (), first: str | None = None, sep: str = "\n", newest_first: bool = False) -> DataFrame:
+    """Rows of new with a log of what has changed in the fields: the day, then each field, its dots and 'old -> new'.
+
+    first: what is told of a field that had no value before; None tells nothing. sets: comma-separated fields of which
+    only new members are told. A field that is empty now is never told.
+    """
+    o = old.select(*key, *[F.col(c).alias(f"__{c}") for c in [*fields, log]])
+    joined = new.drop(log).join(o, key, "left")
+
+    def told(c: str) -> Column:
+        a, b = F.col(f"__{c}").cast("string"), F.col(c).cast("string")
+        if c in sets:
+            return F.nullif(F.array_join(added(a, b), sep), F.lit(""))
+        fresh = F.lit(first).cast("string") if first else F.lit(None).cast("string")
+        return F.when(is_empty(b), F.lit(None)).when(is_empty(a), fresh).when(a != b, F.concat(a, F.lit(" -> "), b))
+
+    lines = F.concat_ws(sep, *[F.concat(F.lit(dotted(c, n)), told(c)) for c, n in fields.items()])
+    entry = F.when(lines != "", F.concat_ws(sep, F.lit(day), lines))
+    history = F.nullif(F.col(f"__{log}"), F.lit(""))
+    parts = (entry, history) if newest_first else (history, entry)
+    return joined.withColumn(log, F.concat_ws(sep, *parts)).drop(*[f"__{c}" for c in [*fields, log]])
+
+
+def missing_laws(master: DataFrame, copy: DataFrame, pairs: dict[str, str]) -> DataFrame:
+    """Distinct identities in the lists of master that no list of the paired column of copy holds, split, latest year first."""
+    parts = [missing_keys(master, copy, a, b).select("name") for a, b in pairs.items()]
+    out = parts[0]
+    for p in parts[1:]:
+        out = out.unionByName(p)
+    return out.distinct().select("name", split_name(F.col("name")).alias("s")).select("name", "s.*").orderBy(F.col("year").desc_nulls_last(), "name")

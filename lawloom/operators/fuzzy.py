@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 import pandas as pd
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import DoubleType
 
@@ -51,8 +51,28 @@ def bag_similarity(a: pd.Series, b: pd.Series) -> pd.Series:
     return pd.Series([bag_distance(x or "", y or "") for x, y in zip(a, b)])
 
 
-def best_match(names: DataFrame, candidates: DataFrame, block: list[str], name: str, candidate: str, key: str) -> DataFrame:
-    """Each row of names with its best candidate of the same block and the score; ties go to the first by name."""
-    pairs = names.join(candidates, block).withColumn("score", F.round(jaro_similarity(F.col(name), F.col(candidate)), 6))
-    best = F.min(F.struct((-F.col("score")).alias("s"), F.col(candidate).alias("c")))
-    return pairs.groupBy(*block, key, name).agg(best.alias("b")).select(*block, key, name, F.col("b.c").alias("match"), (-F.col("b.s")).alias("score"))
+def best_match(names: DataFrame, candidates: DataFrame, block: list[str], name: str, candidate: str, key: str, least: float = 0.0) -> DataFrame:
+    """Each row of names with its best candidate of the same block and the score; ties go to the first by name.
+
+    A candidate that equals the name is its match at once. Others are compared only where their lengths, and the
+    letters they share, leave a score of `least` possible. Names without such a candidate have a null match.
+    """
+    wanted = names.select(*block, key, name)
+    each = candidates.select(*block, candidate).distinct()
+    same = wanted.join(each.select(*block, F.col(candidate).alias(name), F.lit(True).alias("same")), [*block, name], "left")
+    rest = same.filter("same IS NULL").drop("same")
+    a, b = F.col(name), F.col(candidate)
+
+    def possible(shared: Column) -> Column:
+        """The Jaro similarity that so many shared letters allow, at most."""
+        return F.when(shared > 0, (shared / F.length(a) + shared / F.length(b) + 1) / 3).otherwise(F.lit(0.0))
+
+    pairs = rest.join(each, block).filter(possible(F.least(F.length(a), F.length(b))) >= least)
+    if least > 0:
+        letters = lambda c: F.array_sort(F.split(c, ""))
+        bag = F.size(F.filter(letters(a), lambda x: F.array_contains(F.split(b, ""), x)))
+        pairs = pairs.filter(possible(F.least(bag, F.length(b))) >= least)
+    pairs = pairs.withColumn("score", F.round(jaro_similarity(a, b), 6)).filter(F.col("score") >= least)
+    best = pairs.groupBy(*block, key, name).agg(F.min(F.struct((-F.col("score")).alias("s"), b.alias("c"))).alias("b"))
+    near = rest.join(best, [*block, key, name], "left").select(*block, key, name, F.col("b.c").alias("match"), (-F.col("b.s")).alias("score"))
+    return same.filter("same").select(*block, key, name, a.alias("match"), F.lit(1.0).alias("score")).unionByName(near)

@@ -59,9 +59,16 @@ def carried(rows: DataFrame, key: list[str], seq: str, columns: list[str], start
 
 
 def distinct_ids(rows: DataFrame, key: list[str], column: str, seq: str) -> DataFrame:
-    """Repeated values of a column told apart by A, B, C, ... in the order in which they come; the first stays as it is."""
+    """Repeated values of a column told apart by A, ..., Z, AA, ... in the order in which they come; the first stays as it is."""
     n = F.row_number().over(Window.partitionBy(*key, column).orderBy(seq))
-    return rows.withColumn("__n", n).withColumn(column, F.when(F.col("__n") == 1, F.col(column)).otherwise(F.concat(F.col(column), F.chr(F.col("__n") + 63)))).drop("__n")
+    return rows.withColumn("__n", n).withColumn(column, F.when(F.col("__n") == 1, F.col(column)).otherwise(F.concat(F.col(column), letters(F.col("__n") - 1)))).drop("__n")
+
+
+def letters(n: Column) -> Column:
+    """1, 2, ... as A, ..., Z, AA, ..., as wide as any int needs."""
+    state = F.struct(n.cast("long").alias("n"), F.lit("").alias("text"))
+    step = lambda s, _: F.when(s["n"] > 0, F.struct(F.floor((s["n"] - 1) / 26).alias("n"), F.concat(F.chr(F.pmod(s["n"] - 1, F.lit(26)) + 65), s["text"]).alias("text"))).otherwise(s)
+    return F.aggregate(F.sequence(F.lit(1), F.lit(7)), state, step, lambda s: s["text"])
 
 
 def skipped_numbers(rows: DataFrame, key: list[str], seq: str, number: str) -> DataFrame:

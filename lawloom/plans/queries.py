@@ -64,17 +64,32 @@ WITH edges AS (
 """
 
 
+def _condensed(text: str, limit: int) -> str:
+    """SQL of operators.amendments.condensed."""
+    short = text
+    for pattern, form in am.SHORT_FORMS:
+        form = form.replace("$", "\\")
+        short = f"regexp_replace({short}, '{pattern}', '{form}', 'g')"
+    short = f"'{am.CONDENSED}' || chr(10) || chr(10) || {short}"
+    bare = f"CASE WHEN length({short}) > {am.CELL} THEN replace({short}, '{am.LINK}', '') ELSE {short} END"
+    return f"CASE WHEN length({text}) > {limit} THEN left({bare}, {am.CELL}) ELSE {text} END"
+
+
 @query(
     _EDGES
-    + """, g AS (SELECT law, path, count(*) AS n, max(name) AS name, max(title) AS title, max(year) AS year,
-                 count(*) FILTER (path = path_of_law) AS s FROM edges GROUP BY law, path)
-SELECT law, sum(n)::BIGINT AS amendments, sum(s)::BIGINT AS self, count(*) AS laws,
+    + """, g AS (SELECT law, path, count(*) AS n, max(name) AS name, max(title) AS title, max(year) AS year, count(*) FILTER (path = path_of_law) AS s,
+                 string_agg(target || ' ' || affect || ' [' || applied || ']', chr(10) || ' ' ORDER BY target || ' ' || affect || ' [' || applied || ']') AS details FROM edges GROUP BY law, path),
+t AS (SELECT law, sum(n)::BIGINT AS amendments, sum(s)::BIGINT AS self, count(*) AS laws,
        string_agg(name, ',' ORDER BY year DESC, path) AS links,
-       string_agg(name || ' - ' || n || chr(10) || title || chr(10) || 'https://legislation.gov.uk' || path, chr(10) || chr(10) ORDER BY year DESC, path) AS counts
-FROM g GROUP BY law"""
+       string_agg(name || ' - ' || n || chr(10) || title || chr(10) || 'https://legislation.gov.uk' || path, chr(10) || chr(10) ORDER BY year DESC, path) AS counts,
+       string_agg(n || ' - ' || title || chr(10) || 'https://legislation.gov.uk' || path || chr(10) || ' ' || details, chr(10) || chr(10) ORDER BY year DESC, path) AS d
+FROM g GROUP BY law)
+SELECT law, amendments, self, laws, links, counts, """
+    + _condensed("d", 50_000)
+    + " AS counts_detailed FROM t"
 )
 def amendment_statistics(spark, sf_dir):
-    return am.statistics(edges(spark, sf_dir)).drop("counts_detailed")
+    return am.statistics(edges(spark, sf_dir))
 
 
 @query(
@@ -378,14 +393,17 @@ def line_headings(spark, sf_dir):
 
 
 @query(
-    """SELECT n_regionkey, n_nationkey, n_name, match, score FROM (
-  SELECT a.n_regionkey, a.n_nationkey, a.n_name, b.n_name AS match, round(jaro_similarity(a.n_name, b.n_name), 6) AS score,
-    row_number() OVER (PARTITION BY a.n_nationkey ORDER BY round(jaro_similarity(a.n_name, b.n_name), 6) DESC, b.n_name) AS k
-  FROM nation a JOIN nation b ON a.n_regionkey = b.n_regionkey) WHERE k = 1"""
+    """WITH c AS (SELECT DISTINCT p_brand, p_size, p_name || ' act' AS other FROM part WHERE p_partkey % 2 = 0),
+n AS (SELECT p_partkey, p_brand, p_size, p_name || CASE WHEN p_partkey % 3 = 0 THEN ' act' ELSE ' order' END AS name FROM part),
+s AS (SELECT p_partkey, other, round(jaro_similarity(name, other), 6) AS score FROM n JOIN c USING (p_brand, p_size) WHERE jaro_similarity(name, other) >= 0.5),
+b AS (SELECT *, row_number() OVER (PARTITION BY p_partkey ORDER BY score DESC, other) AS k FROM s)
+SELECT n.p_partkey, n.name, b.other AS match, b.score FROM n LEFT JOIN (SELECT * FROM b WHERE k = 1) b USING (p_partkey)"""
 )
 def fuzzy_names(spark, sf_dir):
-    n = read(spark, sf_dir, "nation")
-    return fz.best_match(n.select("n_regionkey", "n_nationkey", "n_name"), n.select("n_regionkey", F.col("n_name").alias("other")), ["n_regionkey"], "n_name", "other", "n_nationkey")
+    part = read(spark, sf_dir, "part")
+    names = part.select("p_partkey", "p_brand", "p_size", F.concat("p_name", F.when(F.col("p_partkey") % 3 == 0, " act").otherwise(" order")).alias("name"))
+    others = part.filter("p_partkey % 2 = 0").select("p_brand", "p_size", F.concat("p_name", F.lit(" act")).alias("other"))
+    return fz.best_match(names, others, ["p_brand", "p_size"], "name", "other", "p_partkey", 0.5).drop("p_brand", "p_size")
 
 
 @query()
