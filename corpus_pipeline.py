@@ -55,7 +55,7 @@ def mixed(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def packed(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Pieces of sequences along the curve."""
-    return packing.digest(packing.pack(docs, packing.default_tokenizer()))
+    return packing.digest(packing.pack(docs))
 
 
 STAGES = [
