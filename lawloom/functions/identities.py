@@ -83,9 +83,14 @@ ACT_CODES = ["ukpga", "anaw", "asp", "nia", "apni"]
 MONTHS = "january february march april may june july august september october november december".split()
 
 
+def _sql(value: str | int) -> str:
+    """A literal as SQL writes it."""
+    return str(value) if isinstance(value, int) else "'" + value.replace("\\", "\\\\").replace("'", "\\'") + "'"
+
+
 def lookup(table: dict, key: Column, other: Column | None = None) -> Column:
     """The value of a key in a small fixed table."""
-    found = F.try_element_at(F.create_map(*[F.lit(x) for kv in table.items() for x in kv]), key)
+    found = F.try_element_at(F.expr(f"map({', '.join(_sql(x) for kv in table.items() for x in kv)})"), key)
     return found if other is None else F.coalesce(found, other)
 
 

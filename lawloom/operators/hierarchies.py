@@ -30,17 +30,16 @@ def joined_lines(lines: DataFrame, key: str) -> DataFrame:
 def levelled(lines: DataFrame, key: str, levels: list[str] = LEVELS) -> DataFrame:
     """Each line with the number of every level that it stands in; a wider level resets the narrower ones.
 
-    lines: key, seq, tag, number. One window a level: the last number since the last line of a wider level.
+    lines: key, seq, tag, number. All levels share one window: a level holds its last number unless a wider level came after it.
     """
     run = Window.partitionBy(key).orderBy("seq")
-    out = lines
+    last = lambda c: F.last(c, ignorenulls=True).over(run)
+    out = {}
     for k, level in enumerate(levels):
-        wider = F.col("tag").isin(levels[:k]) if k else F.lit(False)
-        out = out.withColumn(f"__g{k}", F.sum(wider.cast("int")).over(run))
-    for k, level in enumerate(levels):
-        inside = Window.partitionBy(key, f"__g{k}").orderBy("seq")
-        out = out.withColumn(level, F.last(F.when(F.col("tag") == level, F.col("number")), ignorenulls=True).over(inside))
-    return out.drop(*[f"__g{k}" for k in range(len(levels))])
+        own = (F.col("tag") == level) & F.col("number").isNotNull()
+        at, number = last(F.when(own, F.col("seq"))), last(F.when(own, F.col("number")))
+        out[level] = F.when(at >= F.coalesce(last(F.when(F.col("tag").isin(levels[:k]), F.col("seq"))), at), number) if k else number
+    return lines.withColumns(out)
 
 
 def running_counters(rows: DataFrame, key: list[str], seq: str, counted: dict[str, Column]) -> DataFrame:
