@@ -42,9 +42,10 @@ def shared_dir(spark: SparkSession) -> str:
 
 
 def materialised(df: DataFrame) -> DataFrame:
-    """The same rows, kept in the shared folder so that no later step repeats the work."""
-    shared_dir(df.sparkSession)
-    return df.checkpoint(eager=True)
+    """The same rows as a table in the shared folder, so that no later step repeats the work or carries its plan."""
+    path = scratch(df.sparkSession, "table")
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
 def scratch(spark: SparkSession, name: str) -> str:
@@ -164,7 +165,6 @@ def components(edges: DataFrame) -> DataFrame:
     Nulls and loops are left out; repeated edges count once; no edge gives no row.
     """
     e = materialised(edges.select(F.greatest("a", "b").alias("u"), F.least("a", "b").alias("v")).filter("u <> v").distinct())
-    state = None
     while True:
         both = e.unionByName(e.select(F.col("v").alias("u"), F.col("u").alias("v")))
         least = both.groupBy("u").agg(F.min("v").alias("o")).select("u", F.least("o", "u").alias("m"))
@@ -172,10 +172,11 @@ def components(edges: DataFrame) -> DataFrame:
         least = materialised(e.groupBy("u").agg(F.min("v").alias("m")))
         near = e.join(least, "u").filter("v <> m").select(F.col("v").alias("u"), F.col("m").alias("v"))
         e = materialised(near.unionByName(least.select("u", F.col("m").alias("v"))).distinct())
-        now = tuple(e.agg(F.count("*"), F.sum(F.xxhash64("u", "v").cast("decimal(38,0)"))).first())
-        if now == state or not now[0]:
+        # stars: every node but the centres has one edge, and centres have none of their own
+        ends = e.select(F.col("u").alias("node"), F.lit(1).alias("own"), F.lit(0).alias("other")).unionByName(e.select(F.col("v").alias("node"), F.lit(0).alias("own"), F.lit(1).alias("other")))
+        loose = ends.groupBy("node").agg(F.sum("own").alias("own"), F.max("other").alias("other")).filter("own > 1 OR own > 0 AND other > 0")
+        if loose.isEmpty():
             break
-        state = now
     return e.select(F.col("u").alias("node"), F.col("v").alias("component")).unionByName(
         e.select(F.col("v").alias("node"), F.col("v").alias("component")).distinct()
     )
