@@ -23,23 +23,34 @@ def latest(rows: DataFrame, key: list[str], order: str) -> DataFrame:
     return rows.groupBy(*key).agg(F.max_by(F.struct(*values), order).alias("r")).select(*key, "r.*")
 
 
-def maintained(stream: DataFrame, path: str, key: list[str], order: str, checkpoint: str, transform: Callable[[DataFrame], DataFrame] = lambda d: d) -> StreamingQuery:
-    """Keep a register under path: each batch is merged into the last version and written as the next one.
+def maintained(stream: DataFrame, path: str, key: list[str], order: str, checkpoint: str, parts: int = 64, transform: Callable[[DataFrame], DataFrame] = lambda d: d) -> StreamingQuery:
+    """Keep a register under path: each batch is merged into the parts of it that its keys fall into, and only these are written anew.
 
-    Versions are folders named by batch, so a batch that is run again after a failure writes the same version, and
-    readers see whole versions only.
+    Keys are dealt into parts by a hash. A batch writes its parts as v<batch>, and a list of the version of every part
+    as m<batch>; a batch that is run again after a failure writes the same, and readers see whole states only.
     """
 
     def step(batch: DataFrame, number: int) -> None:
         spark = batch.sparkSession
-        rows = latest(transform(batch), key, order)
-        base = version(spark, path, number - 1)
-        out = merged(base, rows, key).drop("action") if base is not None else rows
-        out.write.mode("overwrite").parquet(f"{path}/v{number}")
+        part = F.pmod(F.xxhash64(*key), F.lit(parts)).cast("int")
+        rows = latest(transform(batch), key, order).persist()
+        held = _versions(spark, path, number - 1)
+        touched = [r[0] for r in rows.select(part).distinct().collect()]  # parts at most
+        known = [f"{path}/v{held[p]}/part={p}" for p in touched if p in held]
+        out = merged(spark.read.parquet(*known), rows, key).drop("action") if known else rows
+        out.withColumn("part", part).write.mode("overwrite").partitionBy("part").parquet(f"{path}/v{number}")
+        state = sorted((held | dict.fromkeys(touched, number)).items())
+        spark.createDataFrame(state, "part int, version long").coalesce(1).write.mode("overwrite").parquet(f"{path}/m{number}")
+        rows.unpersist()
 
     return stream.writeStream.foreachBatch(step).option("checkpointLocation", checkpoint).trigger(availableNow=True).start()
 
 
+def _versions(spark: SparkSession, path: str, number: int) -> dict[int, int]:
+    return {r["part"]: r["version"] for r in spark.read.parquet(f"{path}/m{number}").collect()} if number >= 0 else {}
+
+
 def version(spark: SparkSession, path: str, number: int) -> DataFrame | None:
-    """A version of the register; None before the first."""
-    return spark.read.parquet(f"{path}/v{number}") if number >= 0 else None
+    """The register after a batch; None before the first."""
+    held = _versions(spark, path, number)
+    return spark.read.parquet(*[f"{path}/v{v}/part={p}" for p, v in held.items()]) if held else None
