@@ -6,6 +6,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions import identities as ids
+from ..functions import texts as tx
 from ..functions import titles as tt
 from ..operators import articles as ar
 from ..operators import breaches as br
@@ -471,3 +472,10 @@ def dated_rows(spark, sf_dir):
 def lettered_ids(spark, sf_dir):
     rows = read(spark, sf_dir, "nation").select("n_nationkey", F.col("n_name").alias("id"), F.explode(F.sequence(F.lit(1).cast("long"), F.lit(26).cast("long"))).alias("k"))
     return hi.distinct_ids(rows, ["n_nationkey"], "id", "k").select("n_nationkey", "k", "id")
+
+
+@query("SELECT p_partkey, '“' || p_name || '” means (“x y”) and “' || p_brand || '”.' AS curly, '(a) ' || p_name || chr(10) || '7(b) x' AS joined, CASE WHEN length(p_type) > 18 THEN left(p_type, 5) || '📌...📌' || right(p_type, 5) ELSE p_type END AS short FROM part")
+def cleaned_texts(spark, sf_dir):
+    quoted = F.concat(F.lit('"'), "p_name", F.lit('" means ("x y") and "'), "p_brand", F.lit('".'))
+    numbers = F.concat(F.lit("\n\n(a)\n"), "p_name", F.lit("\n\n7\n(b)\nx"))
+    return read(spark, sf_dir, "part").select("p_partkey", tx.curly_quotes(quoted).alias("curly"), tx.numbered_text(tx.without_empty_lines(numbers)).alias("joined"), tx.elided(F.col("p_type"), 18, 5).alias("short"))

@@ -100,3 +100,13 @@ def test_long_bodies_are_cut(spark):
 
 def test_deltas(spark):
     assert one(spark, deltas.added(F.lit("a, b"), F.lit("b,c ,d"))) == ["c", "d"] and one(spark, deltas.change(F.lit(""), F.lit("x"))) == "nil -> x"
+
+
+def test_inserted_blocks_are_joined(spark):
+    from lawloom.functions import texts
+
+    join = lambda s: one(spark, texts.joined_inserts(F.lit(s)))
+    assert join("there is inserted—\n“1 A “b” c\nd.”\nNext\nline") == "there is inserted— 📌“1 A “b” c 📌d.”\nNext\nline"
+    long = join("there is substituted—\n“" + "x\n" * 400 + "”\nend")
+    assert long.startswith("there is substituted— 📌“x 📌x") and "📌...📌" in long and long.endswith("”\nend") and "\n" not in long[:-4]
+    assert join("inserted—\n“never closed\nmore") == "inserted—\n“never closed\nmore" and join(None) is None
