@@ -479,3 +479,14 @@ def cleaned_texts(spark, sf_dir):
     quoted = F.concat(F.lit('"'), "p_name", F.lit('" means ("x y") and "'), "p_brand", F.lit('".'))
     numbers = F.concat(F.lit("\n\n(a)\n"), "p_name", F.lit("\n\n7\n(b)\nx"))
     return read(spark, sf_dir, "part").select("p_partkey", tx.curly_quotes(quoted).alias("curly"), tx.numbered_text(tx.without_empty_lines(numbers)).alias("joined"), tx.elided(F.col("p_type"), 18, 5).alias("short"))
+
+
+#: A title for each pattern of excluded titles, and one that none excludes.
+EXCLUSIONS = ["Railways (X Station) Order", "Railway Junction Order", "Network Rail (Extension) Order", "Rail Freight (X) Order", "Light Railway Order", "Drought (X) Order", "Restriction of Flying", "Correction Slip", "Trunk Road", "Harbour Empowerment Order", "Harbour Revision Order", "Parking Places", "Parking Prohibition", "Parking and Waiting", "Development Consent Order", "Electrical System Order", "Safety Order"]
+
+
+@query(f"SELECT p_partkey, CASE WHEN p_partkey % {len(EXCLUSIONS)} < {len(EXCLUSIONS) - 1} THEN 'exc' WHEN p_partkey % 5 = 0 THEN 'inc_w_si' WHEN contains(p_name, 'red') THEN 'inc' ELSE 'inc_wo_si' END AS category FROM part")
+def excluded_titles(spark, sf_dir):
+    k = F.col("p_partkey")
+    rows = read(spark, sf_dir, "part").select("p_partkey", F.concat("p_name", F.lit(" "), one_of(EXCLUSIONS, k)).alias("title"), F.when(k % 5 == 0, F.array(F.lit("HEALTH AND SAFETY"))).otherwise(F.array().cast("array<string>")).alias("codes"))
+    return cl.categorised(rows, "title", "codes", ["HEALTH AND SAFETY"], {"colours": ["red"]}).select("p_partkey", "category")

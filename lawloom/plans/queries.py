@@ -135,9 +135,10 @@ def register_known(spark, sf_dir):
     return rg.known(read(spark, sf_dir, "customer").select("c_custkey", "c_name"), read(spark, sf_dir, "orders").withColumnRenamed("o_custkey", "c_custkey"), ["c_custkey"])
 
 
-@query("SELECT c_custkey, c_name FROM customer WHERE c_custkey NOT IN (SELECT o_custkey FROM orders)")
+@query("SELECT c_custkey, c_name FROM customer WHERE c_custkey NOT IN (SELECT o_custkey FROM orders WHERE o_orderstatus = 'F')")
 def register_unknown(spark, sf_dir):
-    return rg.unknown(read(spark, sf_dir, "customer").select("c_custkey", "c_name"), read(spark, sf_dir, "orders").withColumnRenamed("o_custkey", "c_custkey"), ["c_custkey"])
+    base = read(spark, sf_dir, "orders").filter("o_orderstatus = 'F'").withColumnRenamed("o_custkey", "c_custkey")
+    return rg.unknown(read(spark, sf_dir, "customer").select("c_custkey", "c_name"), base, ["c_custkey"])
 
 
 @query(
@@ -346,9 +347,13 @@ def condensed_text(spark, sf_dir):
     return read(spark, sf_dir, "documents").select("doc_id", am.condensed(F.col("text"), 3000).alias("text"))
 
 
-@query("SELECT p_partkey, array_to_string(generate_series(p_size::BIGINT, p_size::BIGINT + 3), ',') AS provisions FROM part")
+@query(
+    """SELECT p_partkey, CASE p_partkey % 4 WHEN 0 THEN array_to_string(generate_series(p_size::BIGINT, p_size::BIGINT + 3), ',') WHEN 1 THEN p_size || 'B,' || p_size || 'C,' || p_size || 'D,' || p_size
+  WHEN 2 THEN p_size || ',' || (p_size + 1) || ',' || (p_size + 1) || 'A,' || (p_size + 1) || 'B' ELSE p_size || 'ZA,' || p_size || 'ZB,' || p_size || 'Z' END AS provisions FROM part"""
+)
 def section_ranges(spark, sf_dir):
-    text = F.concat("p_size", F.lit("-"), F.col("p_size") + 3)
+    n, k = F.col("p_size").cast("string"), F.col("p_partkey") % 4
+    text = F.when(k == 0, F.concat(n, F.lit("-"), F.col("p_size") + 3)).when(k == 1, F.concat(n, F.lit("B-"), n, F.lit("D"))).when(k == 2, F.concat(n, F.lit("-"), F.col("p_size") + 1, F.lit("B"))).otherwise(F.concat(n, F.lit("ZA-"), n, F.lit("ZB")))
     return read(spark, sf_dir, "part").select("p_partkey", F.array_join(pv.expand_range(text), ",").alias("provisions"))
 
 
@@ -412,7 +417,12 @@ def provision_taxa(spark, sf_dir):
     return cl.provisions(read(spark, sf_dir, "documents").select("doc_id", "text")).drop("text")
 
 
-@query()
+@query(
+    """SELECT p_partkey, k AS row, CASE k WHEN 0 THEN [p_name, p_brand] ELSE ['a & b', '<' || p_size || '>', ''] END AS cells, CASE k WHEN 0 THEN ['', '/id/' || p_partkey] ELSE ['', '', ''] END AS links
+FROM part, (VALUES (0), (1)) t(k)"""
+)
 def page_cells(spark, sf_dir):
-    """Cells of the table rows of every page."""
-    return rd.table_rows(read(spark, sf_dir, "pages"), "page_id", "html")
+    """Cells of the rows of tables, which are made of the rows of part."""
+    first = F.concat(F.lit("<table><tr><td>"), F.replace("p_name", F.lit(" "), F.lit(" \n ")), F.lit("<td><a class=x href='/id/"), "p_partkey", F.lit("'>"), "p_brand", F.lit("</a> <a href='/more'></a></td></tr>"))
+    pages = read(spark, sf_dir, "part").select("p_partkey", F.concat(first, F.lit("<tr><th>a &amp; b</th><td>&lt;"), "p_size", F.lit("&gt;</td><td></td></tr></table><p>x</p>")).alias("html"))
+    return rd.table_rows(pages, "p_partkey", "html")
