@@ -107,3 +107,15 @@ def rendered(index: DataFrame, by: list[str]) -> DataFrame:
     part = F.concat(F.lit("["), "tag", F.lit("]\n"), F.array_join("refs", "\n"))
     items = F.array_sort(F.collect_list(F.struct("tag", part.alias("text"))))
     return index.groupBy(*by).agg(F.array_join(F.transform(items, lambda x: x["text"]), "\n\n").alias("text"))
+
+
+def lettered_headings(rows: DataFrame, key: list[str], seq: str) -> DataFrame:
+    """Headings (tag heading) without a number get the number of the last one that has it and a letter, A, B, ..., in the order in which they come."""
+    run = Window.partitionBy(*key).orderBy(seq)
+    heading, own = F.col("tag") == "heading", F.col("number").isNotNull()
+    last = F.last(F.when(heading & own, F.col("number")), ignorenulls=True).over(run)
+    start = F.sum((heading & own).cast("int")).over(run)
+    count = F.sum((heading & ~own).cast("int")).over(Window.partitionBy(*key, "__start").orderBy(seq))
+    out = rows.withColumns({"__last": last, "__start": start}).withColumn("__count", count)
+    number = F.when(heading & ~own, F.concat(F.coalesce("__last", F.lit("")), letters(F.col("__count")))).otherwise(F.col("number"))
+    return out.withColumn("number", number).drop("__last", "__start", "__count")

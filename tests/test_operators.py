@@ -110,3 +110,19 @@ def test_inserted_blocks_are_joined(spark):
     long = join("there is substituted—\n“" + "x\n" * 400 + "”\nend")
     assert long.startswith("there is substituted— 📌“x 📌x") and "📌...📌" in long and long.endswith("”\nend") and "\n" not in long[:-4]
     assert join("inserted—\n“never closed\nmore") == "inserted—\n“never closed\nmore" and join(None) is None
+
+
+def test_clauses_stand_with_their_tags(spark):
+    from lawloom.operators import articles
+
+    clauses = "DUTY\n👤Org: Owner\n📌the owner must\nDUTY\n👤Org: Employer\n📌every employer shall"
+    rows = spark.createDataFrame([("l", ["Org: Owner", "Org: Employer"], clauses, "u10"), ("l", ["Org: Owner"], "DUTY\n👤Org: Owner\n📌no owner may", "u9")], "law string, tags array<string>, clauses string, url string")
+    got = {r.tag: r.text for r in articles.tag_clauses(rows, "law", "tags", "clauses", "url").collect()}
+    assert got == {"Org: Owner": "u9\nDUTY\n👤Org: Owner\n📌no owner may\nu10\nDUTY\n👤Org: Owner\n📌the owner must", "Org: Employer": "u10\nDUTY\n👤Org: Employer\n📌every employer shall"}
+
+
+def test_headings_without_a_number(spark):
+    from lawloom.operators import hierarchies
+
+    rows = spark.createDataFrame([("l", 0, "heading", None), ("l", 1, "heading", "1"), ("l", 2, "section", "4"), ("l", 3, "heading", None), ("l", 4, "heading", None), ("l", 5, "heading", "2"), ("l", 6, "heading", None)], "law string, seq int, tag string, number string")
+    assert [r.number for r in hierarchies.lettered_headings(rows, ["law"], "seq").orderBy("seq").collect()] == ["A", "1", "4", "1A", "1B", "2", "2A"]
