@@ -17,6 +17,7 @@ from ..operators import hierarchies as hi
 from ..operators import interpretations as ip
 from ..operators import registers as rg
 from ..operators import rules as ru
+from . import workflows as wf
 from .queries import _EDGES, edges, query, read
 
 
@@ -490,3 +491,16 @@ def excluded_titles(spark, sf_dir):
     k = F.col("p_partkey")
     rows = read(spark, sf_dir, "part").select("p_partkey", F.concat("p_name", F.lit(" "), one_of(EXCLUSIONS, k)).alias("title"), F.when(k % 5 == 0, F.array(F.lit("HEALTH AND SAFETY"))).otherwise(F.array().cast("array<string>")).alias("codes"))
     return cl.categorised(rows, "title", "codes", ["HEALTH AND SAFETY"], {"colours": ["red"]}).select("p_partkey", "category")
+
+
+@query(
+    f"""WITH x AS (SELECT p_partkey, 'UK_uksi_' || (1990 + p_size) || '_' || p_partkey AS name, CASE WHEN p_partkey % {len(EXCLUSIONS)} < {len(EXCLUSIONS) - 1} AND p_partkey % 2 = 0 THEN 'exc' WHEN p_partkey % 5 = 0 THEN 'inc_w_si' WHEN contains(p_name, 'red') THEN 'inc' ELSE 'inc_wo_si' END AS category FROM part)
+SELECT p_partkey, name, category, CASE WHEN category <> 'exc' THEN CASE WHEN p_partkey % 3 = 0 THEN 'patch' ELSE 'post' END END AS action, CASE WHEN category = 'exc' THEN row_number() OVER (PARTITION BY category ORDER BY name)::INT END AS number_excluded,
+  '2001/' || p_partkey AS old_number, 'UK Statutory Instrument' AS type FROM x"""
+)
+def new_law_workflow(spark, sf_dir):
+    part, k = read(spark, sf_dir, "part"), F.col("p_partkey")
+    title = F.concat("p_name", F.when(k % 2 == 0, F.concat(F.lit(" "), one_of(EXCLUSIONS, k))).otherwise(F.lit(" Order")))
+    laws = part.select("p_partkey", title.alias("title"), F.lit("uksi").alias("type_code"), (F.col("p_size") + 1990).alias("year"), F.concat(F.lit("2001/"), k).alias("number"), F.when(k % 5 == 0, F.array(F.lit("A"))).otherwise(F.array().cast("array<string>")).alias("codes"))
+    base = laws.filter(k % 3 == 0).select(F.concat(F.lit("UK_uksi_"), "year", F.lit("_"), "p_partkey").alias("name"))
+    return wf.new_laws(laws, base, ["A"], {"colours": ["red"]}).select("p_partkey", "name", "category", "action", "number_excluded", "old_number", "type")
