@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import ctypes
 import uuid
 
 import numpy as np
@@ -9,6 +10,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+_C = ctypes.CDLL(None)
 #: White space of the contracts: blank and the control characters 9 to 13.
 SPACE = r"[\x20\x09-\x0D]"
 WORD = r"[^\x20\x09-\x0D]+"
@@ -53,6 +55,13 @@ def scratch(spark: SparkSession, name: str) -> str:
     return f"{shared_dir(spark)}/{name}-{uuid.uuid4().hex}"
 
 
+def give_back() -> None:
+    """Return memory that a task no longer uses: workers live on, and what they hold counts for the next task as well."""
+    pa.default_memory_pool().release_unused()
+    if hasattr(_C, "malloc_trim"):
+        _C.malloc_trim(0)
+
+
 def slices(batches, column: str = "text", most: int = 2 << 20):
     """Cut record batches so that a column of texts holds about `most` bytes a slice; a longer text comes alone."""
     for batch in batches:
@@ -65,6 +74,7 @@ def slices(batches, column: str = "text", most: int = 2 << 20):
             to = min(max(to, at + 1), batch.num_rows)
             yield batch.slice(at, to - at)
             at = to
+    give_back()
 
 
 def raw(texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:

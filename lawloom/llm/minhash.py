@@ -34,7 +34,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import LOWER, components, materialised, mixed, raw, slices, span_hashes, with_keys, words
+from .common import LOWER, components, give_back, materialised, mixed, raw, slices, span_hashes, with_keys, words
 
 HASHES = 256
 LSH_MISS = 1e-4
@@ -209,6 +209,9 @@ def confirmed(tasks: DataFrame, texts: DataFrame, size: int, percent: int) -> Da
         sets = [np.frombuffer(x, np.uint64) for x in column["set"]]
         sig = np.frombuffer(b"".join(column["sig"]), np.uint32).reshape(-1, HASHES)
         found = verified(*(np.array(column[n]) for n in ("rep", "known", "side")), sets, sig, percent)
+        if len(sets) >= BLOCK // 8:
+            del column, sets, sig
+            give_back()
         return pa.table({"a": pa.array([x for x, _ in found], pa.int64()), "b": pa.array([x for _, x in found], pa.int64())})
 
     names = [x.split()[0] for x in TASK.split(", ")]

@@ -33,7 +33,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
-from .common import _BASE, _BYTE, materialised, mixed, raw, slices, span_hashes, with_keys
+from .common import _BASE, _BYTE, give_back, materialised, mixed, raw, slices, span_hashes, with_keys
 
 LENGTH = 50
 K = 24
@@ -399,6 +399,7 @@ def _marks(table: pa.Table, groups: int) -> pa.Table:
     marks = np.stack([pos[rows], bits], 1)
     schema = pa.schema([("group", pa.int64()), ("keys", pa.binary()), ("counts", pa.binary()), ("marks", pa.binary())])
     out = [(group, keys.tobytes(), n.tobytes(), marks[at].tobytes()) for group, at, keys, n in _by_group(key[rows], groups)]
+    give_back()
     return pa.table([pa.array(c, f.type) for c, f in zip(zip(*out) if out else [[]] * 4, schema)], schema=schema)
 
 
