@@ -64,7 +64,7 @@ _BYTE_LETTERS = _byte_letters()
 
 
 class Words:
-    """Ids of texts as little-endian unsigned 32-bit numbers, by way of their distinct words.
+    """Ids of texts as little-endian unsigned numbers of 16 bits, or 32 where the vocabulary asks for it, by way of their distinct words.
 
     A tokenizer whose file has other rules than those of NORMALIZER and PIECES encodes whole texts itself. The tokenizer never joins ids over white space, nor over the pieces into which it cuts a word, so words and pieces
     stand for themselves and their ids can be remembered. A plain piece goes to the tokenizer's model at once; words
@@ -77,13 +77,15 @@ class Words:
 
         self.tokenizer = Tokenizer.from_file(path)
         rules = json.loads(self.tokenizer.to_str())
+        self.width = 2 if self.tokenizer.get_vocab_size() <= 1 << 16 else 4
+        self.kind = f"<u{self.width}"
         self.by_words = (rules["normalizer"], rules["pre_tokenizer"]) == (NORMALIZER, PRE_TOKENIZER)
         self.words: dict[str, bytes] = {}
         self.pieces: dict[str, bytes] = {}
 
     def _word(self, word: str) -> bytes:
         if "<|" in word or not _PLAIN.fullmatch(word):
-            ids = np.array(self.tokenizer.encode(word, add_special_tokens=False).ids, "<u4").tobytes()
+            ids = np.array(self.tokenizer.encode(word, add_special_tokens=False).ids, self.kind).tobytes()
         else:
             ids = b"".join(map(self._piece, _PIECES.findall(word.lower())))
         if len(word) <= 64:
@@ -96,7 +98,7 @@ class Words:
         ids = self.pieces.get(piece)
         if ids is None:
             letters = piece if piece.isascii() else piece.encode().decode("latin-1").translate(_BYTE_LETTERS)
-            ids = b"".join([t.id.to_bytes(4, "little") for t in self.tokenizer.model.tokenize(letters)])
+            ids = b"".join([t.id.to_bytes(self.width, "little") for t in self.tokenizer.model.tokenize(letters)])
             if len(piece) <= 64:
                 if len(self.pieces) >= REMEMBERED:
                     self.pieces.clear()
@@ -107,19 +109,19 @@ class Words:
         """Ids of each text; nulls are empty."""
         if not self.by_words:
             whole = self.tokenizer.encode_batch([x or "" for x in texts.to_pylist()], add_special_tokens=False)
-            return [np.array(x.ids, "<u4").tobytes() for x in whole]
+            return [np.array(x.ids, self.kind).tobytes() for x in whole]
         data, offsets = raw(texts)
         blank = pa.LargeStringArray.from_buffers(len(texts), pa.py_buffer(offsets), pa.py_buffer(_BLANK[data]))
         parts = pc.split_pattern(blank, " ")
         distinct = parts.flatten().dictionary_encode()
         known = self.words
         of = [ids if (ids := known.get(word)) is not None else self._word(word) for word in distinct.dictionary.to_pylist()]
-        size = np.fromiter(map(len, of), np.int64, len(of)) // 4
+        size = np.fromiter(map(len, of), np.int64, len(of)) // self.width
         start = np.cumsum(size) - size
         word = distinct.indices.to_numpy()
         n = size[word]
         ends = np.concatenate([[0], np.cumsum(n)])
-        out = np.frombuffer(b"".join(of), "<u4")[np.repeat(start[word] - ends[:-1], n) + np.arange(ends[-1])]
+        out = np.frombuffer(b"".join(of), self.kind)[np.repeat(start[word] - ends[:-1], n) + np.arange(ends[-1])]
         edges = ends[parts.offsets.to_numpy()]
         return [out[i:j].tobytes() for i, j in zip(edges[:-1], edges[1:])]
 
@@ -158,12 +160,12 @@ def hilbert(points: np.ndarray, bits: int) -> np.ndarray:
     return place
 
 
-def places(ids: list[bytes]) -> np.ndarray:
-    """Hilbert place of each document from its ids."""
+def places(ids: list[bytes], kind: str = "<u2") -> np.ndarray:
+    """Hilbert place of each document from its ids, numbers of that kind."""
     axes = np.random.default_rng(44).normal(size=(DIMENSIONS, AXES))
     tf = np.zeros((len(ids), DIMENSIONS))
     for row, data in zip(tf, ids):
-        row += np.bincount(np.frombuffer(data, "<u4") % DIMENSIONS, minlength=DIMENSIONS)
+        row += np.bincount(np.frombuffer(data, kind) % DIMENSIONS, minlength=DIMENSIONS)
     tf /= np.maximum(np.sqrt((tf * tf).sum(1, keepdims=True)), 1e-12)
     unit = (np.clip(tf @ axes, -4, 4) + 4) / 8
     return hilbert(np.minimum(unit * (1 << BITS), (1 << BITS) - 1), BITS)
@@ -171,13 +173,13 @@ def places(ids: list[bytes]) -> np.ndarray:
 
 def tokenised(docs: DataFrame, tokenizer: str | None, end: int = END) -> DataFrame:
     """doc_id, content, place, tokens and compressed ids of every row."""
-    last = np.array([end], "<u4").tobytes()
 
     def work(batches):
         words, press = remembering(tokenizer or default_tokenizer()), zstandard.ZstdCompressor(level=1)
+        last = np.array([end], words.kind).tobytes()
         for batch in slices(batches, most=4 << 20):
             ids = [x + last for x in words.ids(batch.column(1))]
-            out = [batch.column(0), batch.column(2), pa.array(places(ids)), pa.array([len(x) // 4 for x in ids], pa.int64()), pa.array([press.compress(x) for x in ids], pa.binary())]
+            out = [batch.column(0), batch.column(2), pa.array(places(ids, words.kind)), pa.array([len(x) // words.width for x in ids], pa.int64()), pa.array([press.compress(x) for x in ids], pa.binary())]
             yield pa.RecordBatch.from_arrays(out, ["doc_id", "content", "place", "doc_tokens", "packed"])
 
     return docs.select("doc_id", "text", F.xxhash64("text").alias("content")).mapInArrow(work, "doc_id long, content long, place long, doc_tokens long, packed binary")
@@ -221,7 +223,8 @@ def pack(docs: DataFrame, tokenizer: str | None = None, length: int = LENGTH, en
 
         for record in batches:
             for doc_id, total, packed in zip(*(record.column(record.schema.get_field_index(n)).to_pylist() for n in ("doc_id", "doc_tokens", "packed"))):
-                ids = np.frombuffer(unpress.decompress(packed), "<u4")
+                data = unpress.decompress(packed)
+                ids = np.frombuffer(data, f"<u{len(data) // total}").astype("<u4")
                 held.append((doc_id, 0, ids, total))
                 filled += len(ids)
                 if filled >= length:
