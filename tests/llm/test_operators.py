@@ -518,3 +518,30 @@ def test_mix_keeps_all_columns(spark):
 
 def test_every_operator_has_its_query():
     assert [sum(name.startswith(f"op{n}_") for name in queries()) for n in range(1, 11)] == [1] * 10
+
+
+def test_rows_of_one_id_with_different_texts(spark):
+    long = lambda tag: " ".join(f"{tag}{k}" for k in range(40))
+    a, b, c = long("alpha"), long("beta"), long("gamma")
+    docs = spark.createDataFrame([(1, a + " " + c), (1, b + " " + c), (2, b + " " + c), (3, a + " " + c), (4, c)], "doc_id long, text string")
+    near = minhash.near_duplicates(docs).collect()
+    assert sorted((r.doc_id, r.component_id) for r in near) == [(1, 1), (1, 1), (2, 1), (3, 1), (4, 4)]
+    left = sorted((r.doc_id, bytes(r.kept).decode()) for r in repeats.without_repeats(docs).collect())
+    assert left == sorted([(1, a + " " + c), (1, b + " " + c), (2, ""), (3, ""), (4, "")])
+    sizes = {(r.doc_id, r.size) for r in mixing.plan(docs.withColumn("source", F.lit("s"))).collect()}
+    assert sizes == {(1, 80), (2, 80), (3, 80), (4, 40)}
+
+
+def test_pairs_that_steps_leave_open_are_recomputed(spark):
+    rng = np.random.default_rng(4)
+    base = rng.normal(size=64)
+    other = rng.normal(size=64)
+    base, other = base / np.linalg.norm(base), other - other @ base / (base @ base) * base
+    other /= np.linalg.norm(other)
+    angles = np.arccos(0.93 + np.array([-1e-3, -1e-7, -1e-9, 1e-9, 1e-7, 1e-3]))
+    rows = [(0, base.tolist(), 1)] + [(k + 1, (np.cos(t) * base + np.sin(t) * other).tolist(), 1) for k, t in enumerate(angles)]
+    unit = np.array([r[1] for r in rows])
+    near = unit @ unit.T >= 0.93
+    np.fill_diagonal(near, False)
+    got = {r.vec_id: r.n_links for r in embedding_dedup.near_vectors(spark.createDataFrame(rows, "vec_id long, embedding array<double>, label int")).collect()}
+    assert got == dict(enumerate(near.sum(1))) and near[0].sum() == 3
