@@ -163,11 +163,13 @@ def hilbert(points: np.ndarray, bits: int) -> np.ndarray:
 def places(ids: list[bytes], kind: str = "<u2") -> np.ndarray:
     """Hilbert place of each document from its ids, numbers of that kind."""
     axes = np.random.default_rng(44).normal(size=(DIMENSIONS, AXES))
-    tf = np.zeros((len(ids), DIMENSIONS))
-    for row, data in zip(tf, ids):
-        row += np.bincount(np.frombuffer(data, kind) % DIMENSIONS, minlength=DIMENSIONS)
-    tf /= np.maximum(np.sqrt((tf * tf).sum(1, keepdims=True)), 1e-12)
-    unit = (np.clip(tf @ axes, -4, 4) + 4) / 8
+    unit = np.zeros((len(ids), AXES))
+    for at in range(0, len(ids), 256):  # so many documents have their vectors at a time
+        tf = np.zeros((len(ids[at : at + 256]), DIMENSIONS))
+        for row, data in zip(tf, ids[at : at + 256]):
+            row += np.bincount(np.frombuffer(data, kind) % DIMENSIONS, minlength=DIMENSIONS)
+        tf /= np.maximum(np.sqrt((tf * tf).sum(1, keepdims=True)), 1e-12)
+        unit[at : at + 256] = (np.clip(tf @ axes, -4, 4) + 4) / 8
     return hilbert(np.minimum(unit * (1 << BITS), (1 << BITS) - 1), BITS)
 
 
@@ -177,7 +179,7 @@ def tokenised(docs: DataFrame, tokenizer: str | None, end: int = END) -> DataFra
     def work(batches):
         words, press = remembering(tokenizer or default_tokenizer()), zstandard.ZstdCompressor(level=1)
         last = np.array([end], words.kind).tobytes()
-        for batch in slices(batches, most=4 << 20):
+        for batch in slices(batches, most=2 << 20):
             ids = [x + last for x in words.ids(batch.column(1))]
             out = [batch.column(0), batch.column(2), pa.array(places(ids, words.kind)), pa.array([len(x) // words.width for x in ids], pa.int64()), pa.array([press.compress(x) for x in ids], pa.binary())]
             yield pa.RecordBatch.from_arrays(out, ["doc_id", "content", "place", "doc_tokens", "packed"])
