@@ -12,9 +12,12 @@ _QUERIES = {
     "op5_bayesian_minhash": ("minhash", "op5"),
     "op6_int8_tiles": ("embedding_dedup", "op6"),
     "op7_mixture_language": ("language_id", "op7"),
-    "op10_run_length_repeats": ("repeats", "op10"),
     "op8_pivotal_mixing": ("mixing", "op8"),
     "op9_line_block_text": ("html_text", "op9"),
+    "op10_run_length_repeats": ("repeats", "op10"),
+    "op11_trie_repair": ("conversations", "op11"),
+    "op12_two_tier_bpe": ("bpe", "op12"),
+    "op13_suffix_phrases": ("phrases", "op13"),
 }
 
 
@@ -27,4 +30,4 @@ def queries() -> dict:
 
 
 def oracle_sql() -> dict[str, str]:
-    return {"op2_line_frequency_rules": _bound("quality_rules", "OP2_SQL")}
+    return {"op2_line_frequency_rules": _bound("quality_rules", "OP2_SQL"), "op13_suffix_phrases": _bound("phrases", "OP13_SQL")}
