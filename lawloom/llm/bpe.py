@@ -32,7 +32,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import ArrayType, BinaryType, IntegerType, StructField, StructType
 
-from .common import mixed, raw, slices, span_hashes
+from .common import contractions, mixed, raw, slices, span_hashes, valid
 
 #: Fixed value: the pattern of pre-tokens that this module cuts by.
 PATTERN = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
@@ -131,9 +131,8 @@ def kinds() -> np.ndarray:
     return out
 
 
-def pre_tokens(data: np.ndarray, offsets: np.ndarray) -> np.ndarray:
-    """Byte positions at which the pre-tokens of all texts (UTF-8, one after the other) begin, and the end."""
-    points = np.frombuffer(data.tobytes().decode().encode("utf-32-le"), "<u4")
+def pre_tokens(data: np.ndarray, offsets: np.ndarray, points: np.ndarray) -> np.ndarray:
+    """Byte positions at which the pre-tokens of all texts (UTF-8, one after the other; points: their characters) begin, and the end."""
     n = len(points)
     if not n:
         return np.zeros(1, np.int64)
@@ -151,21 +150,7 @@ def pre_tokens(data: np.ndarray, offsets: np.ndarray) -> np.ndarray:
     end = end[~edge[end]]  # white space before something in the same text: its last character stands apart,
     begins[end - 1] = True
     begins[end[points[end - 1] == 32]] = False  # or goes with what follows, if it is a blank
-    mark = np.flatnonzero(begins & (points == 39))
-    begun = np.append(np.cumsum(edge[:n]), -1)  # number of the text of each character
-
-    def after(k: int) -> np.ndarray:
-        """The k-th character after the mark in the same text, or 0."""
-        at = np.minimum(mark + k, n)
-        return np.where(begun[at] == begun[mark], points[np.minimum(at, n - 1)], 0)
-
-    one, two = after(1), after(2)
-    short = np.isin(one, [ord(c) for c in "stmd"])
-    long = (two == ord("e")) & ((one == ord("r")) | (one == ord("v"))) | (one == ord("l")) & (two == ord("l"))
-    for which, length in ((mark[short], 2), (mark[long], 3)):
-        begins[which + 1] = False
-        to = which + length
-        begins[to[to < n]] = True
+    contractions(begins, points, edge)
     return np.append(lead[begins], len(data))
 
 
@@ -234,14 +219,8 @@ class Encoder:
 
     def encode(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
         """Ids of all texts one after the other (32 bits each), and where each text begins, with the end."""
-        data, offsets = raw(texts)
-        try:
-            bounds = pre_tokens(data, offsets)
-        except UnicodeDecodeError:
-            data = data.tobytes()
-            whole = [data[i:j].decode("utf-8", "replace") for i, j in zip(offsets[:-1], offsets[1:])]
-            data, offsets = raw(pa.array(whole, pa.large_string()))
-            bounds = pre_tokens(data, offsets)
+        data, offsets, points = valid(texts)
+        bounds = pre_tokens(data, offsets, points)
         cut = pa.LargeBinaryArray.from_buffers(pa.large_binary(), len(bounds) - 1, [None, pa.py_buffer(bounds), pa.py_buffer(data)])
         distinct = cut.dictionary_encode()
         values, token = distinct.dictionary.to_pylist(), distinct.indices.to_numpy()

@@ -91,6 +91,39 @@ def raw(texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     return bytes_, offsets - offsets[0]
 
 
+def valid(texts: pa.Array) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """raw(), and the code points of all texts; bytes that are no UTF-8 become U+FFFD."""
+    data, offsets = raw(texts)
+    try:
+        points = data.tobytes().decode()
+    except UnicodeDecodeError:
+        data = data.tobytes()
+        whole = [data[i:j].decode("utf-8", "replace") for i, j in zip(offsets[:-1], offsets[1:])]
+        data, offsets = raw(pa.array(whole, pa.large_string()))
+        points = "".join(whole)
+    return data, offsets, np.frombuffer(points.encode("utf-32-le"), "<u4")
+
+
+def contractions(begins: np.ndarray, points: np.ndarray, edge: np.ndarray) -> None:
+    """Let 's, 't, 'm, 'd, 're, 've and 'll be tokens of their own wherever an apostrophe begins one; edge: a text begins or ends here."""
+    n = len(points)
+    mark = np.flatnonzero(begins & (points == 39))
+    text = np.append(np.cumsum(edge[:n]), -1)  # number of the text of each character
+
+    def after(k: int) -> np.ndarray:
+        """The k-th character after the mark in the same text, or 0."""
+        at = np.minimum(mark + k, n)
+        return np.where(text[at] == text[mark], points[np.minimum(at, n - 1)], 0)
+
+    one, two = after(1), after(2)
+    short = np.isin(one, [ord(c) for c in "stmd"])
+    long = (two == ord("e")) & ((one == ord("r")) | (one == ord("v"))) | (one == ord("l")) & (two == ord("l"))
+    for which, length in ((mark[short], 2), (mark[long], 3)):
+        begins[which + 1] = False
+        to = which + length
+        begins[to[to < n]] = True
+
+
 _RNG = np.random.default_rng(20240607)
 _BYTE = _RNG.integers(1, 2**63, 256, dtype=np.uint64) | np.uint64(1)
 _BASE = np.uint64(0x9E3779B97F4A7C15)

@@ -128,10 +128,12 @@ def near_vectors(vectors: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
     value = F.col("embedding")
     finite = F.forall(value, lambda x: x.isNotNull() & ~F.isnan(x) & (F.abs(x) < float("inf")))
     usable = F.coalesce(F.col("label").isNotNull() & (F.size(value) > 0) & finite & F.exists(value, lambda x: x != 0), F.lit(False))
+    usable = usable & F.col("vec_id").isNotNull()
     keys = [F.when(usable, F.xxhash64(F.lit(s), F.size(value), value)).alias(k) for s, k in ((1, "a"), (2, "b"))]
     every = materialised(vectors.select("vec_id", "label", *keys))
-    full = vectors.filter(usable & F.col("vec_id").isNotNull()).select("vec_id", "label", *keys, F.size(value).alias("dim"), value.cast("array<double>").alias("value"))
-    classes = materialised(full.groupBy("label", "a", "b", "dim").agg(F.min("vec_id").alias("rep"), F.count("*").alias("copies"), F.any_value("value").alias("value")))
+    full = vectors.filter(usable).select("vec_id", "label", *keys, F.size(value).alias("dim"), value.cast("array<double>").alias("value"))
+    # a class is named by its row in this table: one vec_id may stand for several vectors
+    classes = materialised(full.groupBy("label", "a", "b", "dim").agg(F.min("vec_id").alias("least_id"), F.count("*").alias("copies"), F.any_value("value").alias("value")).withColumn("rep", F.monotonically_increasing_id()))
     counted = classes.groupBy("label", "dim").agg(F.ceil(F.count("*") / BLOCK).cast("long").alias("blocks"))
 
     def narrow(batches):
@@ -171,10 +173,12 @@ def near_vectors(vectors: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
     found = answers.filter("other IS NULL").select("rep", "n", "least")
     found = found.unionByName(pairs.select("rep", F.col("n_other").alias("n"), F.col("other").alias("least")))
     found = found.unionByName(pairs.select(F.col("other").alias("rep"), F.col("n_rep").alias("n"), F.col("other").alias("least")))
-    parts = components(found.select(F.col("rep").alias("a"), F.col("least").alias("b")))
+    parts = materialised(components(found.select(F.col("rep").alias("a"), F.col("least").alias("b"))).withColumnRenamed("node", "rep").join(classes.select("rep", "least_id"), "rep"))
+    least = parts.groupBy("component").agg(F.min("least_id").alias("least_id"))
+    parts = with_keys(parts.select("rep", "component"), least, ["component"]).select("rep", F.col("least_id").alias("component_id"))
     linked = found.groupBy("rep").agg(F.sum("n").alias("n"))
-    known = classes.select("label", "a", "b", "rep", "copies").join(linked, "rep", "left").join(parts.withColumnRenamed("node", "rep"), "rep", "left")
-    known = known.select("label", "a", "b", (F.col("copies") - 1 + F.coalesce("n", F.lit(0))).alias("n"), F.coalesce("component", "rep").alias("component"))
+    known = classes.select("label", "a", "b", "rep", "copies", "least_id").join(linked, "rep", "left").join(parts, "rep", "left")
+    known = known.select("label", "a", "b", (F.col("copies") - 1 + F.coalesce("n", F.lit(0))).alias("n"), F.coalesce("component_id", "least_id").alias("component"))
     out = every.join(known, ["label", "a", "b"], "left")
     component = F.coalesce("component", "vec_id")
     return out.select("vec_id", F.coalesce("n", F.lit(0)).cast("long").alias("n_links"), component.alias("component_id"), F.coalesce(F.col("vec_id") == component, F.lit(True)).alias("kept"))

@@ -23,34 +23,44 @@ from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
-import pyarrow.compute as pc
 import regex
 import zstandard
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import raw, scratch, slices
+from .common import contractions, scratch, slices, valid
 
 LENGTH = 4096
 END = 2
 AXES = 4
 BITS = 10
 DIMENSIONS = 1024
-#: Words, and pieces, whose ids a worker remembers; beyond it, it starts anew.
-REMEMBERED = 300_000
+#: Pieces whose ids a worker remembers; beyond it, it starts anew.
+REMEMBERED = 400_000
 
 
 #: Words of these characters only are composed already and lower-cased one by one, so their pieces are those of the tokenizer.
-_PLAIN = regex.compile(r"[\x21-\x7e\u00a1-\u012f\u0131-\u017e]+")
+_PLAIN = regex.compile(r"[\x21-\x7e\u00a1-\u012f\u0131-\u017e]")
 #: The rules of the tokenizer file for which words and pieces stand for themselves.
 NORMALIZER = {"type": "Sequence", "normalizers": [{"type": "NFC"}, {"type": "Replace", "pattern": {"Regex": r"\s+"}, "content": " "}, {"type": "Lowercase"}]}
 PIECES = r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+"
 PRE_TOKENIZER = {"type": "Sequence", "pretokenizers": [{"type": "Split", "pattern": {"Regex": PIECES}, "behavior": "Removed", "invert": True}, {"type": "ByteLevel", "add_prefix_space": False, "trim_offsets": True, "use_regex": False}]}
-_PIECES = regex.compile(PIECES)
-#: Blank, tab, line feed and carriage return end a word here; the tokenizer sees any other white space itself.
-_BLANK = np.arange(256, dtype=np.uint8)
-_BLANK[[9, 10, 13]] = 32
+SPACE, LETTER, NUMBER, OTHER, ODD = range(5)
+
+
+def _kinds() -> tuple[np.ndarray, np.ndarray]:
+    """What each plain character is, and its lower-case form; all others are ODD, but for the blanks that end a word."""
+    kind, lower = np.full(0x181, ODD, np.uint8), np.arange(0x181, dtype=np.uint32)
+    for c in range(0x180):
+        if _PLAIN.match(chr(c)):
+            kind[c] = LETTER if regex.match(r"\p{L}", chr(c)) else NUMBER if regex.match(r"\p{N}", chr(c)) else OTHER
+            lower[c] = ord(chr(c).lower())
+    kind[[32, 9, 10, 13]] = SPACE  # the tokenizer sees any other white space itself
+    return kind, lower
+
+
+_KIND, _LOWER = _kinds()
 
 
 def _byte_letters() -> dict[int, int]:
@@ -64,11 +74,12 @@ _BYTE_LETTERS = _byte_letters()
 
 
 class Words:
-    """Ids of texts as little-endian unsigned numbers of 16 bits, or 32 where the vocabulary asks for it, by way of their distinct words.
+    """Ids of texts as little-endian unsigned numbers of 16 bits, or 32 where the vocabulary asks for it, by way of their distinct pieces.
 
-    A tokenizer whose file has other rules than those of NORMALIZER and PIECES encodes whole texts itself. The tokenizer never joins ids over white space, nor over the pieces into which it cuts a word, so words and pieces
-    stand for themselves and their ids can be remembered. A plain piece goes to the tokenizer's model at once; words
-    with other characters go through the whole tokenizer.
+    A tokenizer whose file has other rules than those of NORMALIZER and PIECES encodes whole texts itself. The tokenizer
+    never joins ids over white space, nor over the pieces into which it cuts a word, so these stand for themselves and
+    their ids can be remembered. A piece goes to the tokenizer's model at once; words with characters that are not plain,
+    or with what may be a special token, are not cut but go through the whole tokenizer.
     """
 
     def __init__(self, path: str):
@@ -80,29 +91,18 @@ class Words:
         self.width = 2 if self.tokenizer.get_vocab_size() <= 1 << 16 else 4
         self.kind = f"<u{self.width}"
         self.by_words = (rules["normalizer"], rules["pre_tokenizer"]) == (NORMALIZER, PRE_TOKENIZER)
-        self.words: dict[str, bytes] = {}
-        self.pieces: dict[str, bytes] = {}
+        self.known: dict[bytes, bytes] = {}
 
-    def _word(self, word: str) -> bytes:
-        if "<|" in word or not _PLAIN.fullmatch(word):
-            ids = np.array(self.tokenizer.encode(word, add_special_tokens=False).ids, self.kind).tobytes()
+    def _ids(self, piece: bytes, whole: bool) -> bytes:
+        if whole:
+            ids = np.array(self.tokenizer.encode(piece.decode(), add_special_tokens=False).ids, self.kind).tobytes()
         else:
-            ids = b"".join(map(self._piece, _PIECES.findall(word.lower())))
-        if len(word) <= 64:
-            if len(self.words) >= REMEMBERED:
-                self.words.clear()
-            self.words[word] = ids
-        return ids
-
-    def _piece(self, piece: str) -> bytes:
-        ids = self.pieces.get(piece)
-        if ids is None:
-            letters = piece if piece.isascii() else piece.encode().decode("latin-1").translate(_BYTE_LETTERS)
+            letters = piece.decode() if piece.isascii() else piece.decode("latin-1").translate(_BYTE_LETTERS)
             ids = b"".join([t.id.to_bytes(self.width, "little") for t in self.tokenizer.model.tokenize(letters)])
-            if len(piece) <= 64:
-                if len(self.pieces) >= REMEMBERED:
-                    self.pieces.clear()
-                self.pieces[piece] = ids
+        if len(piece) <= 64:
+            if len(self.known) >= REMEMBERED:
+                self.known.clear()
+            self.known[piece] = ids
         return ids
 
     def ids(self, texts: pa.Array) -> list[bytes]:
@@ -110,19 +110,43 @@ class Words:
         if not self.by_words:
             whole = self.tokenizer.encode_batch([x or "" for x in texts.to_pylist()], add_special_tokens=False)
             return [np.array(x.ids, self.kind).tobytes() for x in whole]
-        data, offsets = raw(texts)
-        blank = pa.LargeStringArray.from_buffers(len(texts), pa.py_buffer(offsets), pa.py_buffer(_BLANK[data]))
-        parts = pc.split_pattern(blank, " ")
-        distinct = parts.flatten().dictionary_encode()
-        known = self.words
-        of = [ids if (ids := known.get(word)) is not None else self._word(word) for word in distinct.dictionary.to_pylist()]
+        data, offsets, points = valid(texts)
+        n = len(points)
+        if not n:
+            return [b""] * len(texts)
+        lead = np.flatnonzero((data & 0xC0) != 0x80)
+        small = np.minimum(points, 0x180)
+        kind = _KIND[small]
+        edge = np.zeros(n + 1, bool)  # a text begins here, or ends before
+        edge[np.searchsorted(lead, offsets)] = True
+        begins = edge[:n].copy()
+        begins[1:] |= kind[1:] != kind[:-1]
+        begins |= kind == NUMBER
+        new_word = (kind == SPACE) != np.concatenate([[True], kind[:-1] == SPACE])
+        new_word |= edge[:n]
+        odd = kind == ODD
+        odd[:-1] |= (points[:-1] == ord("<")) & (points[1:] == ord("|"))
+        word = np.cumsum(new_word) - 1
+        odd = (np.bincount(word[odd], minlength=word[-1] + 1) > 0)[word] & (kind != SPACE)
+        lowered = np.where(odd, points, np.where(points < 0x180, _LOWER[small], points)).astype("<u4")
+        contractions(begins, lowered, edge)
+        begins = np.where(odd, new_word, begins)
+        begins |= new_word
+        cut = np.flatnonzero(begins)
+        bounds = np.append(lead[cut], len(data))
+        text = lowered.tobytes().decode("utf-32-le").encode()
+        pieces = pa.LargeBinaryArray.from_buffers(pa.large_binary(), len(cut), [None, pa.py_buffer(bounds), pa.py_buffer(text)]).dictionary_encode()
+        values, piece = pieces.dictionary.to_pylist(), pieces.indices.to_numpy()
+        what = np.zeros(len(values), np.uint8)
+        what[piece] = np.where(kind[cut] == SPACE, 2, odd[cut])
+        known = self.known.get
+        of = [b"" if w == 2 else ids if (ids := known(v)) is not None else self._ids(v, w == 1) for v, w in zip(values, what.tolist())]
         size = np.fromiter(map(len, of), np.int64, len(of)) // self.width
         start = np.cumsum(size) - size
-        word = distinct.indices.to_numpy()
-        n = size[word]
-        ends = np.concatenate([[0], np.cumsum(n)])
-        out = np.frombuffer(b"".join(of), self.kind)[np.repeat(start[word] - ends[:-1], n) + np.arange(ends[-1])]
-        edges = ends[parts.offsets.to_numpy()]
+        many = size[piece]
+        ends = np.concatenate([[0], np.cumsum(many)])
+        out = np.frombuffer(b"".join(of), self.kind)[np.repeat(start[piece] - ends[:-1], many) + np.arange(ends[-1])]
+        edges = ends[np.searchsorted(bounds, offsets)]
         return [out[i:j].tobytes() for i, j in zip(edges[:-1], edges[1:])]
 
 
@@ -179,7 +203,7 @@ def tokenised(docs: DataFrame, tokenizer: str | None, end: int = END) -> DataFra
     def work(batches):
         words, press = remembering(tokenizer or default_tokenizer()), zstandard.ZstdCompressor(level=1)
         last = np.array([end], words.kind).tobytes()
-        for batch in slices(batches, most=4 << 20):
+        for batch in slices(batches):
             ids = [x + last for x in words.ids(batch.column(1))]
             out = [batch.column(0), batch.column(2), pa.array(places(ids, words.kind)), pa.array([len(x) // words.width for x in ids], pa.int64()), pa.array([press.compress(x) for x in ids], pa.binary())]
             yield pa.RecordBatch.from_arrays(out, ["doc_id", "content", "place", "doc_tokens", "packed"])

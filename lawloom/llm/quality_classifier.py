@@ -136,8 +136,8 @@ def fit(docs: DataFrame, labelled: DataFrame, rows_of_a_class: int = ROWS_OF_A_C
     return model
 
 
-def scored(docs: DataFrame, model: Model) -> DataFrame:
-    """The rows of docs with their score in the column __score; the whole text counts."""
+def scored(docs: DataFrame, model: Model, to: str = "score") -> DataFrame:
+    """The rows of docs with their score in one more column, whose name must be free; the whole text counts."""
     tools: list = []
 
     def work(batches):
@@ -147,14 +147,14 @@ def scored(docs: DataFrame, model: Model) -> DataFrame:
             data, at = raw(batch.column(batch.schema.get_field_index("text")))
             data = data.tobytes()
             x = np.array([model.evidence(data[a:b], tools) for a, b in zip(at[:-1], at[1:])])
-            yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(model.score(x), pa.float64())], [*batch.schema.names, "__score"])
+            yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(model.score(x), pa.float64())], [*batch.schema.names, to])
 
-    return docs.mapInArrow(work, StructType([*docs.schema.fields, StructField("__score", DoubleType())]))
+    return docs.mapInArrow(work, StructType([*docs.schema.fields, StructField(to, DoubleType())]))
 
 
 def score(docs: DataFrame, model: Model) -> DataFrame:
     """(doc_id, score) of every row."""
-    return scored(docs.select("doc_id", "text"), model).select("doc_id", F.col("__score").alias("score"))
+    return scored(docs.select("doc_id", "text"), model).select("doc_id", "score")
 
 
 def fitted(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Model:

@@ -21,7 +21,7 @@ ODD = [
     (1, TEXT, "en", "a", 1), (2, None, "en", "a", 2), (3, "", None, None, 3), (4, TEXT, "en", "b", 4), (4, TEXT, "en", "b", 4), (5, " \n\t ", "fr", "b", 5),
     (6, LONG, "en", "c", 6), (7, "é" * 60, "fr", None, 7), (8, "a", "en", "a", 8), (None, TEXT + " More.", None, "a", 9), (9, TEXT + " And more words follow here.", "en", "a", 10),
 ]
-EXTRA = "key group bucket place score kept label component node size rep host row content chunk p n marks copy target held_out".split()
+EXTRA = "key group bucket place score kept label component node size rep host row content chunk p n marks copy target held_out __score _ had _had many __rest".split()
 
 
 def words(text):
@@ -118,12 +118,34 @@ def test_packing_is_a_round_trip(spark):
         ids, g = [*tool.encode(t or "", add_special_tokens=False).ids, 2], pieces[i]
         assert list(np.frombuffer(b"".join(map(bytes, g.ids)), "<u4")) == ids
         assert list(g.start) == list(np.cumsum([0, *g.length])[:-1]) and set(g.doc_tokens) == {len(ids)}
+    # documents of full sequences follow the curve: places do not fall within a task, whose number the id holds
+    place = {r.doc_id: r.place for r in packing.tokenised(spark.createDataFrame(docs), None).collect()}
+    full = got[got.groupby("sequence_id")["length"].transform("sum") == 4096].sort_values(["sequence_id", "offset"])
+    for _, g in full.groupby(full.sequence_id // 2**36):
+        at = g.doc_id.map(place).tolist()
+        assert at == sorted(at)
     for _, g in got.groupby("sequence_id"):
         g = g.sort_values("offset")
         n = g.length.sum()
         assert list(g.offset) == list(np.cumsum([0, *g.length])[:-1]) and n <= 4096 and n & (n - 1) == 0
 
 
+def test_one_vec_id_may_have_several_vectors(spark):
+    rng = np.random.default_rng(8)
+    rows = [(1, [1.0, 0.0], 1), (1, [0.0, 1.0], 1), (2, [0.999, 0.01], 1), (3, [1.0, 0.0], 2), (3, [1.0, 0.0], 3), (4, [1.0, 0.01], 2), (5, [1.0, 0.01], 3), (5, [1.0, 0.01], 3), (None, [1.0, 0.0], 1)]
+    rows += [(int(rng.integers(10, 30)), [float(x) for x in rng.integers(-2, 3, 2)], int(rng.integers(4, 6))) for _ in range(80)]
+    vectors = [np.array(v) / (np.linalg.norm(v) or 1) for _, v, _ in rows]
+    links = [(i, j) for i in range(len(rows)) for j in range(i) if None not in (rows[i][0], rows[j][0]) and rows[i][2] == rows[j][2] and vectors[i] @ vectors[j] >= 0.93]
+    count, part = Counter(x for pair in links for x in pair), components(range(len(rows)), links)
+    least = {}
+    for k, p in part.items():
+        least[p] = min(least.get(p, rows[k][0] or 0), rows[k][0] or 0)
+    want = sorted((r[0] or 0, count[k], least[part[k]]) for k, r in enumerate(rows))
+    got = embedding_dedup.near_vectors(spark.createDataFrame(rows, "vec_id long, embedding array<double>, label int")).collect()
+    assert sorted((r.vec_id or 0, r.n_links, r.component_id or 0) for r in got) == want
+    assert all(r.kept == (r.vec_id == r.component_id) for r in got if r.vec_id)
+
+
 def test_other_tokenizers_encode_whole_texts(spark):
     from tokenizers import Tokenizer
 

@@ -52,3 +52,11 @@ def test_stages_take_odd_and_no_rows(spark, stage):
     rows = out.collect()
     assert rows and (stage is corpus_pipeline.packed or out.columns == docs.columns and set(EXTRA) < set(out.columns))
     assert stage(spark, docs.limit(0), SF).count() == 0
+
+
+def test_near_duplicates_keep_one_of_equal_rows(spark):
+    text = " ".join(f"word{k}" for k in range(30))
+    rows = [(1, text, "a"), (1, text, "a"), (2, text, "a"), (3, text + " more", "b"), (4, "other words of this document only", "b"), (4, "other words of this document only", "c"), (None, text, "a"), (None, text, "a")]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, source string")
+    got = sorted((r.doc_id or 0, r.source) for r in corpus_pipeline.near_duplicates(spark, docs, SF).collect())
+    assert got == [(0, "a"), (0, "a"), (1, "a"), (4, "b"), (4, "c")]
