@@ -12,23 +12,38 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import BinaryType, LongType, StructField, StructType
 
 from lawloom.llm import minhash, mixing, packing, quality_classifier, repeats
-from lawloom.llm.common import scratch
+from lawloom.llm.common import materialised, scratch
 
 #: A document below this score is rejected.
 LEAST_QUALITY = 0.3
 
 
+def free(name: str, taken: list[str]) -> str:
+    """The name, or the name with as many underscores before it as it takes to be none of the taken ones."""
+    while name.lower() in {x.lower() for x in taken}:
+        name = "_" + name
+    return name
+
+
 def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that the compression classifier scores LEAST_QUALITY or more."""
     model = quality_classifier.fitted(spark, docs, sf_dir)
-    return quality_classifier.scored(docs, model).filter(F.col("__score") >= LEAST_QUALITY).select(*docs.columns)
+    score = free("score", docs.columns)
+    return quality_classifier.scored(docs, model, score).filter(F.col(score) >= LEAST_QUALITY).select(*docs.columns)
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """The first document of each group of near-duplicates (five-word shingles, similarity 0.8)."""
-    kept = minhash.near_duplicates(docs).filter("kept").select("doc_id").distinct()
-    named = docs.filter("doc_id IS NOT NULL").join(kept, "doc_id", "left_semi")
-    return named.unionByName(docs.filter("doc_id IS NULL")).select(*docs.columns)
+    """The first document of each group of near-duplicates (five-word shingles, similarity 0.8).
+
+    A document is what bears one doc_id: equal rows of it become one row, rows that differ stay together. Rows without
+    a doc_id stay as they are.
+    """
+    rows = docs.filter("doc_id IS NOT NULL").groupBy("doc_id").agg((F.count("*") > 1).alias("many"))
+    kept = minhash.near_duplicates(docs).filter("kept AND doc_id IS NOT NULL").select("doc_id").distinct()
+    first = materialised(kept.join(rows, "doc_id"))
+    once = docs.join(first.filter("NOT many").select("doc_id"), "doc_id", "left_semi").select(*docs.columns)
+    more = docs.join(first.filter("many").select("doc_id"), "doc_id", "left_semi").select(*docs.columns).dropDuplicates()
+    return once.unionByName(more).unionByName(docs.filter("doc_id IS NULL"))
 
 
 def repeated_strings(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -38,10 +53,12 @@ def repeated_strings(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataF
     """
     rest = [c for c in docs.columns if c not in ("doc_id", "text", "n_chars")]
     word = r"[^\x20\x09-\x0D]"
-    whole = docs.select("doc_id", "text", F.struct(F.struct(F.col("text").isNull().alias("null"), F.coalesce(F.col("text").rlike(word), F.lit(False)).alias("words")).alias("_"), *rest).alias("__rest"))  # its names cannot clash
+    had = free("had", rest)
+    was = F.struct(F.col("text").isNull().alias("null"), F.coalesce(F.col("text").rlike(word), F.lit(False)).alias("words"))
+    whole = docs.select("doc_id", "text", F.struct(was.alias(had), *rest).alias("__rest"))
     cut = repeats.without_repeats(whole, ["__rest"]).select("doc_id", "removed", "kept", "__rest")
     cut = cut.mapInArrow(repeats.whole_characters, StructType([StructField("doc_id", LongType()), StructField("kept", BinaryType()), cut.schema["__rest"]]))
-    was = F.col("__rest").getField("_")
+    was = F.col("__rest").getField(had)
     text = F.col("kept").cast("string")
     out = cut.select("doc_id", F.when(~was["words"] & was["null"], F.lit(None)).otherwise(text).alias("text"), "__rest").filter(~was["words"] | F.col("text").rlike(word))
     named = {c: F.col("__rest")[c] for c in rest} | {"doc_id": F.col("doc_id"), "text": F.col("text"), "n_chars": F.length("text").cast("long")}
