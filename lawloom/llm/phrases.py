@@ -7,12 +7,13 @@ the longest phrase is covered. Neighbours in that order share their longest comm
 (LCP); an interval of the order in which it stays at m words or more is one phrase of m
 words, and the size of the interval its count. Shards' counts are merged by key.
 
-Only phrases of `least` occurrences or more are asked for, and all parts of such a phrase
+Only phrases of `least` occurrences or more are asked for, and all pairs in such a phrase
 are as frequent themselves, so there are two passes:
 
-1. shards emit hashes and counts of their words and word pairs; hashes that reach `least`
-   are marked in a bitmap of FILTER_BITS bits, whatever the size of the input;
-2. shards cut their pieces where a pair is not marked and emit the phrases of what is left.
+1. shards emit hashes and counts of their word pairs; hashes that reach `least` are marked
+   in a bitmap of FILTER_BITS bits, whatever the size of the input;
+2. shards emit their words, cut their pieces where a pair is not marked, and emit the
+   phrases of what is left.
 
 A mark can be wrong only by letting a phrase through, whose merged count then drops it, so
 counts are exact; with very many frequent pairs the bitmap fills and spares less.
@@ -34,7 +35,7 @@ from .common import LOWER, materialised, mixed, raw, runs, slices, span_hashes
 
 LEAST, LONGEST, TOP = 100, 5, 2000
 FILTER_BITS = 1 << 26
-SHARD_BYTES = 8 << 20
+SHARD_BYTES = 4 << 20
 
 _CUTS, _BLANKS = np.zeros(256, bool), np.zeros(256, bool)
 _CUTS[list(b".,;:!?\n\x0b\x0c\r")] = True
@@ -64,7 +65,7 @@ class Shard:
         word, own = np.divmod(both, max(1, len(spoken.dictionary)))
         self.names = words.dictionary.take(pa.array(word)).cast(pa.binary()).cast(pa.string())
         self.langs = spoken.dictionary.take(pa.array(own)).cast(pa.string())
-        tongue, _, name = _hashes(spoken.dictionary), None, _hashes(words.dictionary)
+        tongue, name = _hashes(spoken.dictionary), _hashes(words.dictionary)
         with np.errstate(over="ignore"):
             self.hashes = mixed(name[word] + tongue[own] * np.uint64(3))
         cuts = np.cumsum(_CUTS[data], dtype=np.int64)[starts] if n else starts
@@ -153,14 +154,14 @@ def _shards(batches):
         yield Shard(batch.column(0), batch.column(1))
 
 
-def hash_counts(docs: DataFrame) -> DataFrame:
-    """(hash, f) of all words and pairs, merged; two that share a hash count as one."""
+def pair_counts(docs: DataFrame) -> DataFrame:
+    """(hash, f) of all word pairs, merged; two that share a hash count as one."""
 
     def work(batches):
         for s in _shards(batches):
             for m, at, n in s.phrases(2):
-                h = s.hashes[s.ids[at]] if m == 1 else s.pairs()[at]
-                yield pa.RecordBatch.from_arrays([pa.array(h.view(np.int64)), pa.array(n.astype(np.int64))], ["hash", "f"])
+                if m == 2:
+                    yield pa.RecordBatch.from_arrays([pa.array(s.pairs()[at].view(np.int64)), pa.array(n.astype(np.int64))], ["hash", "f"])
 
     return docs.select("text", "lang").mapInArrow(work, "hash long, f long").groupBy("hash").agg(F.sum("f").alias("f"))
 
@@ -185,7 +186,7 @@ def marked(bitmap: np.ndarray, hashes: np.ndarray) -> np.ndarray:
 def phrase_counts(docs: DataFrame, least: int = LEAST, longest: int = LONGEST) -> DataFrame:
     """(lang, phrase, f): phrases of 1 to `longest` words with f >= least, and the count of all words of each language under a null phrase."""
     spark = docs.sparkSession
-    bitmap = spark.sparkContext.broadcast(marks(hash_counts(docs).filter(F.col("f") >= least)))
+    bitmap = spark.sparkContext.broadcast(marks(pair_counts(docs).filter(F.col("f") >= least)))
 
     def work(batches):
         def rows(langs, phrases, counts):
@@ -196,8 +197,7 @@ def phrase_counts(docs: DataFrame, least: int = LEAST, longest: int = LONGEST) -
             of = s.langs.dictionary_encode()
             total = np.bincount(of.indices.to_numpy(), n, len(of.dictionary)).astype(np.int64)
             yield rows(of.dictionary, pa.nulls(len(total), pa.string()), total)
-            often = np.flatnonzero(marked(bitmap.value, s.hashes))
-            yield rows(s.langs.take(pa.array(often)), s.names.take(pa.array(often)), n[often])
+            yield rows(s.langs, s.names, n)
             s.cut(marked(bitmap.value, s.pairs()) & (s.left > 1))
             for m, at, counts in s.phrases(longest):
                 if m > 1 and len(at):
