@@ -218,12 +218,6 @@ def fit_id(kind: Column, pattern: Column, fields: dict[str, Column]) -> Column:
     return F.concat_ws("|", kind, F.array_join(F.transform(pattern, lambda p: F.coalesce(F.try_element_at(values, p), F.lit(""))), "|"))
 
 
-def fit_lines(kind: Column, pattern: Column, fields: dict[str, Column]) -> Column:
-    """The same, a field a line, each with its name."""
-    values = F.create_map(*[x for k, v in fields.items() for x in (F.lit(f"<{k}>"), F.concat(F.lit('["'), F.array_join(v, '", "'), F.lit('"]')))])
-    return F.concat_ws("\n", F.concat(F.lit("category: "), kind), F.array_join(F.transform(pattern, lambda p: F.concat_ws(": ", p, F.coalesce(F.try_element_at(values, p), F.lit("[]")))), "\n"))
-
-
 def outside_gb(rules: DataFrame, law: str) -> DataFrame:
     """What laws apply to outside Great Britain: law, rule, category and process; a law without such a rule gets a row that says so."""
     activity = F.trim(F.regexp_extract("rule", r"^.*?shall.*?apply(.*?) outside Great Britain.*$", 1))
