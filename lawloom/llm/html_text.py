@@ -1,19 +1,25 @@
 """Main text of web pages by the distribution of text over blocks of lines.
 
-Markup is stripped to lines, one for each block element, and each line gets a weight:
-
-- its characters outside links; a line of a text element (paragraph, heading, list item,
-  ...) or one that ends like a sentence counts EDGE at least, so short ones are text too;
-- inside an article or main element such a line counts THRESHOLD at least, and if the page
-  has an article with text, lines outside it count nothing;
-- text that the markup names as no article text (menus, headers, footers, sidebars,
-  notices, adverts, forms, comments, code) counts nothing and is never part of the result.
-
-The weights are summed over sliding windows of WINDOW lines. Windows that reach THRESHOLD
-(or the largest sum, where none does) cover regions; the surge of a region is its first
-line of weight EDGE, the dive its last one, and the lines between them are the text.
-The threshold is absolute, so no long paragraph raises it. A page whose windows all hold
-fewer characters than that has no surge to speak of: any line of weight may end its text.
+Markup is stripped to lines, one for each block element, and each line gets a weight. What
+the markup says only weighs; which lines are text is decided by windows:
+
+- a line weighs its characters outside links (of titles and paragraphs, those in links as
+  well); a text element (paragraph, heading, list item, ...) or a line that ends like a
+  sentence weighs EDGE at least, so short ones are text too, and THRESHOLD at least inside an
+  article or main element. Short lines of legal small print outside articles weigh nothing;
+- lines that the markup names as no article text (menus, headers, footers, sidebars, notices,
+  adverts, forms, comments), and lines outside the article of a page that has one, weigh
+  against: more than all the others of the page together.
+
+Weights are summed over sliding windows of up to WINDOW lines. Windows that reach THRESHOLD (or
+the largest sum, where none does) cover regions; the surge of a region is its first line of
+weight EDGE, the dive its last one, and the lines between them are the text. No window that
+holds a line that weighs against can reach it, so regions end there. The threshold is absolute,
+so no long paragraph raises it. A page whose windows all hold fewer characters than that has no
+surge to speak of: any line of weight may end its text.
+
+What is not shown (code, styles, templates, hidden elements, buttons and lists of choices) is
+no line at all.
 
 Defined results: null or empty html gives the empty text; html without tags is one
 line; broken markup is read as far as it goes (an end tag closes what it can, a new
@@ -45,14 +51,20 @@ EDGE = 30
 BLOCKS = frozenset("address article aside blockquote body center dd details dialog div dl dt fieldset figcaption figure footer form h1 h2 h3 h4 h5 h6 header hr html legend li main menu nav ol optgroup option p pre section select summary table tbody tfoot thead tr ul caption noscript".split())
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
 RAW = frozenset("script style textarea title iframe noembed noframes xmp".split())
-DROPPED = frozenset("head nav header footer aside form button select dialog menu template svg noscript canvas object map datalist fieldset".split())
+UNSEEN = frozenset("head button select template svg noscript canvas object map datalist option".split())
+ASIDE = frozenset("nav header footer aside form dialog menu fieldset".split())
 CELLS = frozenset("td th br".split())
 CLOSES = {"p": BLOCKS - {"body", "html"}, "li": {"li"}, "dt": {"dt", "dd"}, "dd": {"dt", "dd"}, "tr": {"tr"}, "option": {"option"}}
 ROLES = frozenset("navigation banner contentinfo complementary search form dialog alert alertdialog menu menubar toolbar".split())
 MARKS = frozenset(
     "ad ads adv advert adverts advertisement advertising adsense adbox banner sponsor sponsored promo promotion cookie cookies consent gdpr notice notices alert popup modal overlay sidebar rail menu nav navbar navigation breadcrumb breadcrumbs footer masthead topbar comment comments disqus replies respond related recommended share sharing social newsletter subscribe subscription signup login widget widgets toolbar pagination pager".split()
 )
-#: Words that may stand beside a mark in one class or id ("site-menu", "post-comments"); any other word makes it a name of its own.
+#: Marks that name what a class or id is about wherever they begin or end it ("reader-comments", "advert-box-wide"), also with an ending of LISTS.
+STRONG = frozenset("advert adverts advertisement advertising adsense sponsored cookie cookies gdpr sidebar nav navbar navigation breadcrumb breadcrumbs footer masthead topbar comment comments disqus newsletter popup modal pagination".split())
+LISTS = ("", "list", "lists", "box", "bar", "area", "form", "section", "thread", "wrap", "wrapper", "item", "items")
+#: Words that make a name of its own of any mark ("notice-of-appeal", "comment-on-the-bill").
+JOINTS = frozenset("of on in for to and the or with without has no about hoc".split())
+#: Words that may stand beside any other mark in one class or id ("site-menu", "share-links"); other words make it a name of its own.
 BESIDE = frozenset("main site page post article blog global primary secondary top bottom left right header inner outer box bar block container wrapper wrap content section area list item items group links link button buttons icons policy unit slot form title text".split())
 #: Elements of running text, whose id is an anchor named after their content.
 TEXT = frozenset("h1 h2 h3 h4 h5 h6 p".split())
@@ -67,6 +79,9 @@ _RAW_END = {name: re.compile(rf"</{name}(?=[\s/>]|\Z)[^>]*>?", re.I) for name in
 _ATTRIBUTE = re.compile(r"(?:^|\s)(class|id|role|hidden|aria-hidden)(?:\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s\"'>]+)))?", re.I)
 _WORDS = re.compile(r"[A-Z]?[a-z]+|[A-Z]+(?![a-z])|\d+")
 #: Fixed value: characters that end a sentence.
+#: Fixed value: small print of sites; only lines of up to SMALL characters are.
+SMALL = 100
+_SMALL_PRINT = re.compile(r"©|\(c\) ?\d|\bcopyright\b|all rights reserved|\bterms of (?:use|service)\b|\bprivacy policy\b", re.I)
 _SENTENCE_ENDS = tuple('.!?:;…。！？"\'”’»)')
 
 
@@ -123,56 +138,57 @@ def tokens(html: str):
             at = raw_end.end() if raw_end else n
 
 
-def _dropped(name: str, attributes: str, in_article: bool) -> bool:
-    if name in ("article", "main", "body", "html"):
-        own = False
-    else:
-        own = name in DROPPED and not (name == "header" and in_article)
-    if own or not attributes:
-        return own
-    for key, *values in _ATTRIBUTE.findall(attributes):
+def _marked(token: str, marks: frozenset[str]) -> bool:
+    """Whether a class or id names something beside the text."""
+    words = [w.lower() for w in _WORDS.findall(token) if not w.isdigit()]
+    if not words or JOINTS & set(words):
+        return False
+    strong = any(w == m + e for w in (words[0], words[-1]) for m in STRONG & marks for e in LISTS if w.startswith(m))
+    return strong or bool(set(words) & marks) and set(words) <= marks | BESIDE
+
+
+def _place(name: str, attributes: str, in_article: bool) -> int:
+    """0: where text may be; 1: what weighs against; 2: what is not shown. Inline elements that are marked are not shown."""
+    aside = 1 if name in BLOCKS else 2
+    place = 2 if name in UNSEEN else aside if name in ASIDE and not (name == "header" and in_article) else 0
+    for key, *values in _ATTRIBUTE.findall(attributes) if attributes and name not in ("body", "html") else ():
         key, value = key.lower(), next((v for v in values if v), "")
-        if key == "hidden" and name not in ("body", "html") or key == "aria-hidden" and value.lower() == "true":
-            return True
-        if name in ("body", "html", "main"):
+        if key == "hidden" or key == "aria-hidden" and value.lower() == "true":
+            return 2
+        if name == "main" or key == "id" and in_article and name in TEXT:
             continue
-        if key == "role" and value.lower() in ROLES:
-            return True
-        if key in ("class", "id"):
-            if key == "id" and in_article and name in TEXT:
-                continue
-            marks = MARKS if in_article else MARKS | OUTER_MARKS
-            for token in value.split():
-                words = {w.lower() for w in _WORDS.findall(token) if not w.isdigit()}
-                if words & marks and words <= marks | BESIDE:
-                    return True
-    return False
+        marks = MARKS if in_article else MARKS | OUTER_MARKS
+        if key == "role" and value.lower() in ROLES or key in ("class", "id") and any(_marked(t, marks) for t in value.split()):
+            place = max(place, aside)
+    return place
 
 
 @dataclass
 class Line:
-    text: str  # empty if the markup names it as no article text
+    text: str
     plain: int  # characters outside links
+    linked: int  # characters in links
     element: str  # innermost block
     article: bool
+    aside: bool  # the markup names it as no article text
 
 
 def lines(html: str) -> list[Line]:
     """The lines of a page in order."""
     found: list[Line] = []
-    stack: list[tuple[str, bool, bool, str]] = []  # name, dropped, article, innermost block
+    stack: list[tuple[str, int, bool, str]] = []  # name, place, article, innermost block
     opened: Counter = Counter()
     parts: list[str] = []
-    plain, in_link, hidden = 0, False, False
+    plain, linked, in_link = 0, 0, False
 
     def end_line() -> None:
-        nonlocal plain, hidden
+        nonlocal plain, linked
         text = " ".join("".join(parts).split())
-        if text or hidden:
-            _, _, article, block = stack[-1] if stack else ("", False, False, "")
-            found.append(Line(text, plain, block, article))
+        if text:
+            _, place, article, block = stack[-1] if stack else ("", 0, False, "")
+            found.append(Line(text, plain, linked, block, article, place > 0))
         parts.clear()
-        plain, hidden = 0, False
+        plain, linked = 0, 0
 
     def close(k: int) -> None:
         for name, *_ in stack[k:]:
@@ -181,12 +197,13 @@ def lines(html: str) -> list[Line]:
 
     for closing, name, attributes, text in tokens(html):
         if name is None:
-            if stack and stack[-1][1]:
-                hidden = hidden or not text.isspace()
+            if stack and stack[-1][1] == 2:
                 continue
             text = unescape(text)
             parts.append(text)
-            if not in_link:
+            if in_link:
+                linked += len("".join(text.split()))
+            else:
                 plain += len("".join(text.split()))
             continue
         if name in CELLS:
@@ -210,58 +227,65 @@ def lines(html: str) -> list[Line]:
         for inner, closers in CLOSES.items():
             if stack and stack[-1][0] == inner and name in closers:
                 close(len(stack) - 1)
-        _, dropped, article, block = stack[-1] if stack else ("", False, False, "")
-        if name not in BLOCKS and name not in DROPPED and not attributes:
+        _, place, article, block = stack[-1] if stack else ("", 0, False, "")
+        if name not in BLOCKS and name not in UNSEEN and name not in ASIDE and not attributes:
             continue
-        article = article or name in ("article", "main") and not dropped
-        stack.append((name, dropped or _dropped(name, attributes, article), article, name if name in BLOCKS else block))
+        article = article or name in ("article", "main") and not place
+        stack.append((name, max(place, _place(name, attributes, article)), article, name if name in BLOCKS else block))
         opened[name] += 1
     end_line()
     return found
 
 
 def weights(found: list[Line]) -> list[int]:
-    """How much each line counts as text."""
-    inside = any(x.article and x.plain for x in found)
+    """How much each line counts as text; less than nothing where it counts against."""
+    inside = any(x.article and not x.aside and x.plain + x.linked for x in found)
     out = []
     for x in found:
-        if not x.plain or inside and not x.article:
+        shown = x.plain + (x.linked if x.element in TEXT else 0)
+        if x.aside or inside and not x.article:
+            out.append(-1)
+        elif not shown or not inside and len(x.text) <= SMALL and _SMALL_PRINT.search(x.text):
             out.append(0)
         elif x.element in TEXT_BLOCKS or x.text.endswith(_SENTENCE_ENDS):
-            out.append(max(x.plain, THRESHOLD if inside else EDGE))
+            out.append(max(shown, THRESHOLD if inside else EDGE))
         else:
-            out.append(x.plain)
-    return out
+            out.append(shown)
+    against = sum(w for w in out if w > 0) + 1
+    return [w if w >= 0 else -against for w in out]
 
 
 def window_sums(weight: list[int]) -> list[int]:
-    """Sums of the windows that end at each line, those over the end of the page included."""
-    sums = [0] * (len(weight) + WINDOW - 1)
-    for k, w in enumerate(weight):
-        for j in range(WINDOW):
-            sums[k + j] += w
-    return sums
+    """The largest sum of the windows of 1 to WINDOW lines that end at each line."""
+    return [max(sum(weight[k - n + 1 : k + 1]) for n in range(1, min(WINDOW, k + 1) + 1)) for k in range(len(weight))]
+
+
+def covered(weight: list[int], least: int) -> list[bool]:
+    """Lines that some window of 1 to WINDOW lines with a sum of `least` or more holds."""
+    out = [False] * len(weight)
+    for k in range(len(weight)):
+        total = 0
+        for n in range(min(WINDOW, k + 1)):
+            total += weight[k - n]
+            if total >= least:
+                out[k - n : k + 1] = [True] * (n + 1)
+    return out
 
 
-def surges(weight: list[int], plain: list[int]) -> list[tuple[int, int]]:
+def surges(weight: list[int], shown: list[int]) -> list[tuple[int, int]]:
     """Surge and dive of each region, its first line and one past its last, from the weights and characters of lines."""
-    n, sums = len(weight), window_sums(weight)
-    least = min(THRESHOLD, max(sums, default=0))
-    if not least:
+    least = min(THRESHOLD, max(window_sums(weight), default=0))
+    if least <= 0:
         return []
-    flat = max(window_sums([p for p, w in zip(plain, weight) if w])) < THRESHOLD
+    flat = max(window_sums([p for p, w in zip(shown, weight) if w > 0])) < THRESHOLD
     edge = 1 if flat else min(EDGE, max(weight))
-    covered = [False] * n
-    for k, s in enumerate(sums):
-        if s >= least:
-            covered[max(0, k - WINDOW + 1) : k + 1] = [True] * (min(k + 1, n) - max(0, k - WINDOW + 1))
-    out, k = [], 0
-    while k < n:
-        if not covered[k]:
+    held, out, k = covered(weight, least), [], 0
+    while k < len(weight):
+        if not held[k]:
             k += 1
             continue
         end = k
-        while end < n and covered[end]:
+        while end < len(weight) and held[end]:
             end += 1
         text = [j for j in range(k, end) if weight[j] >= edge]
         if text:
@@ -273,11 +297,8 @@ def surges(weight: list[int], plain: list[int]) -> list[tuple[int, int]]:
 def extract(html: str | None) -> tuple[str, list[tuple[int, int]]]:
     """The text, and the surge and dive of each region of it."""
     found = lines(html or "")
-    weight = weights(found)
-    inside = any(x.article and x.plain for x in found)
-    spans = surges(weight, [x.plain for x in found])
-    kept = (x for a, b in spans for x in found[a:b])
-    return "\n".join(x.text for x in kept if x.text and (x.article or not inside)), spans
+    spans = surges(weights(found), [x.plain + x.linked for x in found])
+    return "\n".join(x.text for a, b in spans for x in found[a:b]), spans
 
 
 def main_text(pages: DataFrame) -> DataFrame:

@@ -479,6 +479,54 @@ def test_windows_decide_where_text_begins_and_ends():
     assert text == body.strip() and spans == [(5, 6)]
 
 
+def test_what_stands_beside_the_text_goes_and_linked_text_stays():
+    title = "<article><h1><a href=x>The Title Of It</a></h1><p>Start text here.</p><p><a href=y>All of it is a link</a></p></article>"
+    assert html_text.extract(title)[0] == "The Title Of It\nStart text here.\nAll of it is a link"
+    remarks = "<div class='reader-comments'><p>A long remark of a reader that goes on for more than sixty letters.</p></div><section class='user-comments'>Yes, of course.</section><ol class='commentlist'><li>Hello there.</li></ol>"
+    assert html_text.extract(f"<article><p>Main.</p>{remarks}<p>End.</p></article>")[0] == "Main.\nEnd."
+    body = "<p>" + "Body of the page. " * 20 + "</p>"
+    plain = f"<div class='advert-box-wide'><p>Buy now, many words of an advert, more than sixty letters long.</p></div><h1>T</h1>{body}<p>Short.</p><ul><li>Apples</li></ul><ul><li>Terms of use apply.</li><li>Copyright 2024</li></ul>"
+    assert html_text.extract(plain)[0] == f"T\n{body[3:-5].strip()}\nShort.\nApples"
+    assert html_text.extract(f"<div class='comment-on-the-bill'>{body}</div><p class='editor has-sidebar'>More.</p>")[0].endswith("More.")
+
+
+def plain_regions(weight, shown):
+    """Surge and dive of each region, from every window there is."""
+    n = len(weight)
+    windows = [range(i, j) for i in range(n) for j in range(i + 1, min(n, i + html_text.WINDOW) + 1)]
+    sums = [sum(weight[k] for k in w) for w in windows]
+    least = min(html_text.THRESHOLD, max(sums, default=0))
+    if least <= 0:
+        return []
+    held = {k for w, s in zip(windows, sums) if s >= least for k in w}
+    weighty = [p for p, w in zip(shown, weight) if w > 0]
+    flat = max(sum(weighty[i : i + html_text.WINDOW]) for i in range(len(weighty))) < html_text.THRESHOLD
+    edge = 1 if flat else min(html_text.EDGE, max(weight))
+    out, region = [], []
+    for k in range(n + 1):
+        if k in held:
+            region.append(k)
+        elif region:
+            text = [j for j in region if weight[j] >= edge]
+            out += [(text[0], text[-1] + 1)] if text else []
+            region = []
+    return out
+
+
+def test_regions_equal_those_of_all_windows():
+    rng = np.random.default_rng(9)
+    for _ in range(2000):
+        shown = rng.choice([0, 3, 12, 29, 31, 59, 60, 200], rng.integers(0, 12)).tolist()
+        weight = [-1000 if rng.random() < 0.2 else x for x in shown]
+        assert html_text.surges(weight, shown) == plain_regions(weight, shown)
+
+
+def test_windows_decide_every_given_page():
+    for html in pd.read_parquet(f"{LARGER}/pages.parquet").html:
+        text, every = html_text.extract(html)[0], "\n".join(x.text for x in html_text.lines(html))
+        assert text and text != every and text in every  # without surge and dive, what stands beside it would be text
+
+
 @pytest.mark.parametrize("piece", ["<a ", '<a x="', "<div></p>", "<", "<!--", "<a x='\">", "a<b it's "])
 def test_broken_markup_takes_linear_time(piece):
     start = time.perf_counter()
@@ -539,7 +587,7 @@ def test_mix_keeps_all_columns(spark):
 
 
 def test_every_operator_has_its_query():
-    assert [sum(name.startswith(f"op{n}_") for name in queries()) for n in range(1, 11)] == [1] * 10
+    assert [sum(name.startswith(f"op{n}_") for name in queries()) for n in range(1, 14)] == [1] * 13
 
 
 def test_rows_of_one_id_with_different_texts(spark):
