@@ -8,6 +8,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from .lineage import settled
+
 # Status marks of a law.
 FULL, PART, LIVE = "❌ Revoked / Repealed / Abolished", "⭕ Part Revocation / Repeal", "✔ In force"
 LINK = "https://legislation.gov.uk"
@@ -108,13 +110,16 @@ def reach(edges: DataFrame, seeds: DataFrame, depth: int) -> DataFrame:
     """(node, level) of all nodes within depth steps of the seeds; each at its first level.
 
     edges: (a, b), followed both ways. The frontier is joined and the visited nodes taken out, level by level, so
-    each step moves only the new nodes.
+    each step moves only the new nodes. Each level is settled: the plan of a level does not hold those before it, and
+    the walk ends with the first level that finds nothing new.
     """
-    both = edges.select("a", "b").unionByName(edges.select(F.col("b").alias("a"), F.col("a").alias("b"))).distinct()
-    seen = seeds.select("node").distinct().withColumn("level", F.lit(0))
-    frontier = seen
+    both = settled(edges.select("a", "b").unionByName(edges.select(F.col("b").alias("a"), F.col("a").alias("b"))).distinct())
+    frontier = settled(seeds.select("node").distinct().withColumn("level", F.lit(0)))
+    seen = frontier
     for level in range(1, depth + 1):
         step = both.join(frontier.select(F.col("node").alias("a")), "a").select(F.col("b").alias("node")).distinct()
-        frontier = step.join(seen.select("node"), "node", "left_anti").withColumn("level", F.lit(level))
+        frontier = settled(step.join(seen.select("node"), "node", "left_anti").withColumn("level", F.lit(level)))
+        if frontier.isEmpty():
+            break
         seen = seen.unionByName(frontier)
     return seen

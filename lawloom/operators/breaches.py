@@ -75,8 +75,11 @@ def breached_laws(breaches: DataFrame, laws: DataFrame) -> DataFrame:
     found = breaches.withColumn("term", F.concat(F.lower("title"), F.lit(" "), F.col("year"))).join(known, "term", "left").withColumn("type_code", type_code(F.col("title")))
     rest = found.filter("exact IS NULL AND year IS NOT NULL AND type_code IS NOT NULL").select("breach_id", "title", "year", "type_code")
     names = laws.groupBy("year", "type_code", F.col("title").alias("other")).agg(F.min("law").alias("law"))
-    near = best_match(rest, names.select("year", "type_code", "other"), ["year", "type_code"], "title", "other", "breach_id")
-    near = near.join(names.withColumnRenamed("other", "match"), ["year", "type_code", "match"], "left").select("breach_id", F.col("law").alias("near"), "score")
+    block = ["year", "type_code"]
+    titles = rest.select(*block, "title", F.col("title").alias("key")).distinct()  # each title is compared once, however many breaches name it
+    near = best_match(titles, names.select(*block, "other"), block, "title", "other", "key")
+    near = near.join(names.withColumnRenamed("other", "match"), [*block, "match"], "left").select(*block, "title", F.col("law").alias("near"), "score")
+    near = rest.join(near, [*block, "title"]).select("breach_id", "near", "score")
     out = found.select("breach_id", "exact").join(near, "breach_id", "left")
     return out.select("breach_id", F.coalesce("exact", "near").alias("law"), F.when(F.col("exact").isNotNull(), F.lit(1.0)).otherwise(F.col("score")).alias("score"))
 

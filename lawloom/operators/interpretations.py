@@ -114,8 +114,12 @@ def taken_up(found: DataFrame, register: DataFrame) -> DataFrame:
     """
     rows = found.select("term", "law", "definition")
     pairs = rows.join(register.select("id", "term", F.col("definition").alias("known"), "laws"), "term")
-    same = (F.col("definition") == F.col("known")) | (bag_similarity(F.col("definition"), F.col("known")) > SAME)
-    scored = pairs.withColumns({"same": same, "own": F.array_contains("laws", F.col("law"))})
+    a, b = F.length("definition"), F.length("known")
+    may_be = (F.col("definition") != F.col("known")) & (F.greatest(a, b) - F.least(a, b) < (1 - SAME) * F.greatest(a, b))  # lengths alone rule out most
+    like = pairs.filter(may_be).select("definition", "known").distinct()
+    like = like.filter(bag_similarity(F.col("definition"), F.col("known")) > SAME).withColumn("like", F.lit(True))
+    same = (F.col("definition") == F.col("known")) | F.coalesce("like", F.lit(False))
+    scored = pairs.join(like, ["definition", "known"], "left").withColumns({"same": same, "own": F.array_contains("laws", F.col("law"))})
     action = F.when(F.col("own") & F.col("same"), F.lit(0)).when(F.col("own") & (F.size("laws") == 1), F.lit(1)).when(F.col("own"), F.lit(2)).when(F.col("same"), F.lit(3))
     best = scored.withColumn("rank", action).filter("rank IS NOT NULL").groupBy("term", "law", "definition").agg(F.min(F.struct("rank", "id")).alias("b"))
     names = F.array(*map(F.lit, ["none", "update", "split", "link"]))

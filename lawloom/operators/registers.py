@@ -168,7 +168,7 @@ def code_groups(rows: DataFrame, code: str) -> DataFrame:
     return rows.withColumns({"file": group, "si_code": parts["code"], "regions": F.array_join(parts["regions"], ",")})
 
 
-def days_between(spark: SparkSession, first: str, last: str) -> DataFrame:
-    """(day, path): the days of a range and the path of the list of new laws of each."""
-    days = spark.range(1).select(F.explode(F.sequence(F.lit(first).cast("date"), F.lit(last).cast("date"))).alias("day"))
-    return days.select("day", F.concat(F.lit("/new/all/"), F.date_format("day", "yyyy-MM-dd")).alias("path"))
+def days_between(ranges: DataFrame, key: list[str], first: str = "first", last: str = "last") -> DataFrame:
+    """(key, day, path): the days of each range and the path of the list of new laws of each; a range that ends before it begins has none."""
+    days = ranges.filter(F.col(first) <= F.col(last)).select(*key, F.explode(F.sequence(F.col(first).cast("date"), F.col(last).cast("date"))).alias("day"))
+    return days.select(*key, "day", F.concat(F.lit("/new/all/"), F.date_format("day", "yyyy-MM-dd")).alias("path"))

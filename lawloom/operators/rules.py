@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import logging
 import re
 
 import pandas as pd
@@ -145,12 +146,14 @@ def _except(rule: str) -> list[str] | None:
 
 
 CUTS = (_such, _but, _items, _save_that, _as_respects, _except)
-#: A text is cut no deeper than this; a cut that makes its own rule again ends earlier.
+#: A text that is cut deeper than this is left as it is by then, with a warning; a cut that makes its own rule again ends earlier.
 DEEPEST = 50
 
 
 def separate(rule: str, depth: int = DEEPEST) -> list[str]:
     """The single rules of a text, tidied, in order and once each."""
+    if not depth:
+        logging.getLogger(__name__).warning("cuts of a rule do not end: %s", rule[:200])
     for cut in CUTS if depth else ():
         parts = cut(rule)
         if parts and parts != [rule]:

@@ -340,9 +340,14 @@ def numbered_laws(spark, sf_dir):
     return rg.numbered(read(spark, sf_dir, "orders"), ["o_orderdate", "o_orderkey"], ["o_custkey"]).select("o_orderkey", "number")
 
 
-@query("SELECT strftime(d, '%Y-%m-%d') AS day, '/new/all/' || strftime(d, '%Y-%m-%d') AS path FROM generate_series(DATE '2024-02-27', DATE '2024-03-02', INTERVAL 1 DAY) t(d)")
+@query(
+    """WITH r AS (SELECT o_custkey, min(o_orderdate)::DATE AS first, min(o_orderdate)::DATE + (o_custkey % 4)::INT AS last FROM orders GROUP BY o_custkey)
+SELECT o_custkey, strftime(d, '%Y-%m-%d') AS day, '/new/all/' || strftime(d, '%Y-%m-%d') AS path FROM (SELECT o_custkey, unnest(generate_series(first::TIMESTAMP, last::TIMESTAMP, INTERVAL 1 DAY)) AS d FROM r)"""
+)
 def day_lists(spark, sf_dir):
-    return rg.days_between(spark, "2024-02-27", "2024-03-02").withColumn("day", F.col("day").cast("string"))
+    first = F.to_date(F.min("o_orderdate"))
+    ranges = read(spark, sf_dir, "orders").groupBy("o_custkey").agg(first.alias("first")).withColumn("last", F.date_add("first", (F.col("o_custkey") % 4).cast("int")))
+    return rg.days_between(ranges, ["o_custkey"]).withColumn("day", F.col("day").cast("string"))
 
 
 @query(

@@ -48,8 +48,15 @@ def statute_records(spark, sf_dir):
 
 
 @query(
-    """SELECT o_custkey, n.seq, CASE WHEN n.seq = 3 THEN '3-1' ELSE n.number END AS number FROM (SELECT DISTINCT o_custkey FROM orders) o, (VALUES (1, '1'), (2, '2'), (3, '31'), (4, '4')) n(seq, number)"""
+    """WITH r AS (SELECT l_orderkey, row_number() OVER (PARTITION BY l_orderkey ORDER BY l_linenumber, l_partkey, l_suppkey) AS seq, l_partkey FROM lineitem),
+  n AS (SELECT l_orderkey, seq, seq::VARCHAR || CASE WHEN l_partkey % 5 = 0 THEN (1 + l_partkey % 9)::VARCHAR WHEN l_partkey % 11 = 0 THEN 'A' ELSE '' END AS number FROM r),
+  b AS (SELECT *, lag(try_cast(number AS BIGINT)) OVER (PARTITION BY l_orderkey ORDER BY seq) AS before FROM n),
+  f AS (SELECT *, (before + 1)::VARCHAR AS f, before::VARCHAR AS p, length(number) > length((before + 1)::VARCHAR) AND regexp_full_match(number, '[0-9]+') AS long FROM b)
+SELECT l_orderkey, seq::INT AS seq, CASE WHEN long AND starts_with(number, f) THEN f || '-' || number[length(f) + 1:] WHEN long AND starts_with(number, p) THEN p || '-' || number[length(p) + 1:] ELSE number END AS number FROM f"""
 )
 def repaired_numbers(spark, sf_dir):
-    rows = read(spark, sf_dir, "orders").select("o_custkey").distinct().select("o_custkey", F.inline(F.array(*[F.struct(F.lit(k + 1).alias("seq"), F.lit(n).alias("number")) for k, n in enumerate(["1", "2", "31", "4"])])))
-    return st.repaired_numbers(rows, "o_custkey", "seq", "number")
+    k = F.col("l_partkey")
+    seq = F.row_number().over(Window.partitionBy("l_orderkey").orderBy("l_linenumber", "l_partkey", "l_suppkey"))
+    glued = F.when(k % 5 == 0, (1 + k % 9).cast("string")).when(k % 11 == 0, "A").otherwise("")
+    rows = read(spark, sf_dir, "lineitem").withColumn("seq", seq).select("l_orderkey", "seq", F.concat(F.col("seq").cast("string"), glued).alias("number"))
+    return st.repaired_numbers(rows, "l_orderkey", "seq", "number")

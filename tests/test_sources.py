@@ -6,7 +6,7 @@ import pytest
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from lawloom.operators import hierarchies
+from lawloom.operators import amendments, hierarchies
 from lawloom.sources import readers, writers
 from lawloom.streaming import registers as streams
 
@@ -107,6 +107,32 @@ def test_register_kept_by_a_stream(spark, tmp_path):
     assert states == [{1: "a", 2: "b"}, {1: "a", 2: "d", 3: "e"}, {1: "z", 2: "d", 3: "e"}] and streams.version(spark, path, -1) is None
 
 
+def test_late_rows_lose_and_registers_are_not_begun_anew(spark, tmp_path):
+    schema, source, path = "id long, at long, v string", tmp_path / "late", str(tmp_path / "held")
+
+    def batch(rows, checkpoint, **more):
+        spark.createDataFrame(rows, schema).coalesce(1).write.mode("append").json(str(source))
+        streams.maintained(spark.readStream.schema(schema).json(str(source)), path, ["id"], "at", str(tmp_path / checkpoint), parts=2, **more).awaitTermination()
+        return {r.id: r.v for r in streams.version(spark, path, streams.newest_version(spark, path)).collect()}
+
+    assert streams.newest_version(spark, path) is None
+    assert batch([(1, 5, "new"), (2, 1, "b")], "one") == {1: "new", 2: "b"}
+    assert batch([(1, 2, "old"), (2, 1, "same")], "one") == {1: "new", 2: "same"}
+    with pytest.raises(ValueError, match="first=2"):
+        batch([(3, 1, "c")], "two")
+    source = tmp_path / "other"
+    assert batch([(3, 1, "c"), (1, 4, "older")], "two", first=2) == {1: "new", 2: "same", 3: "c"}
+    assert batch([(1, 6, "newer")], "two", first=2) == {1: "newer", 2: "same", 3: "c"} and streams.newest_version(spark, path) == 3
+
+
+def test_reach_goes_deep_with_a_plan_that_does_not_grow(spark):
+    edges = spark.createDataFrame([(str(k), str(k + 1)) for k in range(9)] + [("3", "x"), ("x", "3")], "a string, b string")
+    got = amendments.reach(edges, spark.createDataFrame([("0",)], "node string"), 6)
+    assert {r.node: r.level for r in got.collect()} == {**{str(k): k for k in range(7)}, "x": 4}
+    assert got._jdf.queryExecution().optimizedPlan().toString().count("Join") == 0
+    assert amendments.reach(edges, spark.createDataFrame([("z",)], "node string"), 6).count() == 1
+
+
 def test_windowed_counts(spark, tmp_path):
     spark.sql("SELECT timestamp'2024-01-01 00:00:10' AS at, 'a' AS k UNION ALL SELECT timestamp'2024-01-01 00:00:50', 'a' UNION ALL SELECT timestamp'2024-01-01 00:01:10', 'b'").write.parquet(str(tmp_path / "e"))
     events = spark.readStream.schema("at timestamp, k string").parquet(str(tmp_path / "e"))
