@@ -8,6 +8,7 @@ from ..operators import annotations as an
 from ..operators import fitness as ft
 from ..operators import rules as ru
 from ..operators import schemes as sc
+from ..sources import acts
 from .law_queries import one_of, sql_list, sql_one_of
 from .queries import query, read
 
@@ -86,3 +87,32 @@ def rule_fitness(spark, sf_dir):
     numbers = ru.provision_numbers(F.col("rule"))
     rules = rules.withColumns({"category": ru.category(F.col("rule")), "provision_number": F.when(F.size("told") > 0, F.col("told")).otherwise(numbers)})
     return ft.fitnesses(rules).select("p_partkey", "category", "rule", F.array_join("pattern", "").alias("pattern"), "fit_id", "scope")
+
+
+#: A law's page with a number {n}, a Roman number {r} and a name {w}, and its lines: component, number, text, region.
+PAGE = (
+    '<html><body><p>Menu</p><div class="DocContainer"><a class="LegAnchorID" id="part-{r}"></a><h2 class="LegPart"><span class="LegPartNo">PART {r}</span><span class="LegPartTitle">{w}</span></h2>'
+    '<h3 class="LegP1GroupTitle">Use of {w}</h3><a class="LegAnchorID" id="section-{n}"></a><p class="LegP1ParaText"><span class="LegP1No" id="section-{n}">{n}</span>  The {w} shall be used .</p>'
+    '<p class="LegP2ParaText">(2) Not “ otherwise ”.</p><p class="LegClearFix LegP2Container"><span class="LegDS LegLHS LegP2No" id="section-{n}-3">(3)</span><span class="LegDS LegRHS LegP2Text">Or never.</span></p>'
+    '<div class="LegBlockNotYetInForce"><p>Later.</p></div><div class="LegAnnotations"><p class="LegAnnotationsGroupHeading">Textual Amendments</p><div class="LegCommentaryItem" id="commentary-c{n}"><span>F{n}</span><p>Words inserted</p></div></div>'
+    '<a class="LegAnchorID" id="schedule-1"></a><h1 class="LegSchedule"><span class="LegScheduleNo">SCHEDULE 1</span><span>Lists of {w}</span></h1><p class="LegClearFix LegSP1Container"><span class="LegDS LegSN1No" id="schedule-1-paragraph-{n}">{n}</span><span>First</span></p>'
+    '<p class="LegClearFix LegSP2Container"><span class="LegDS LegSN2No" id="schedule-1-paragraph-{n}-2">(2)</span><span>Second</span></p><a class="LegAnchorID" id="Legislation-ExNote"></a><p>Note</p></div></body></html>'
+)
+_PAGE_LINES = [
+    ("part", "{v}", "PART {r} {wcap}"), ("heading", "Use", "of {w}"), ("section", "{n}", "{n} The {w} shall be used."), ("sub_section", "2", "(2) Not “otherwise”."), ("sub_section", "3", "(3) Or never."),
+    ("amendment_heading", "Textual", "Amendments"), ("amendment", "F{n}", "F{n} Words inserted"), ("annex", "1", "SCHEDULE 1 Lists of {w}"), ("paragraph", "{n}", "{n} First"), ("sub_paragraph", "2", "(2) Second"),
+]
+_LINE_ROWS = ", ".join(f"({k}, '{c}', '{n}', '{t}')" for k, (c, n, t) in enumerate(_PAGE_LINES))
+_PUT = lambda c: f"replace(replace(replace(replace(replace({c}, '{{n}}', p_size::VARCHAR), '{{r}}', r), '{{v}}', v::VARCHAR), '{{wcap}}', string_split(p_name, ' ')[1] || ' ' || upper(string_split(p_name, ' ')[2])), '{{w}}', p_name)"
+
+
+@query(
+    f"""WITH p AS (SELECT *, {sql_one_of(ROMANS, 'p_size')} AS r, 1 + (p_size + 11) % 12 AS v FROM part)
+SELECT p_partkey, k AS line, component, {_PUT('number')} AS number, {_PUT('text')} AS text, '' AS region FROM p, (VALUES {_LINE_ROWS}) l(k, component, number, text)"""
+)
+def law_page_lines(spark, sf_dir):
+    fill = lambda c, name, value: F.replace(c, F.lit("{" + name + "}"), value)
+    html = fill(fill(fill(F.lit(PAGE), "n", F.col("p_size").cast("string")), "r", one_of(ROMANS, F.col("p_size"))), "w", F.col("p_name"))
+    lines = acts.law_lines(read(spark, sf_dir, "part").select("p_partkey", html.alias("html")), "p_partkey")
+    texts = lines.groupBy("p_partkey").agg(F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("line", "text"))), lambda x: x["text"]), "\n").alias("annotated"))
+    return an.components(texts, "p_partkey")
