@@ -9,8 +9,9 @@ Defined results: a null or empty text has no evidence and scores what the curve
 gives for none; rows are scored one by one, so repeated rows repeat their score;
 an empty table gives an empty result. If one of the classes has no labelled row,
 every score is the share of good labels (0.5 without labels). If labels of one
-doc_id differ, the largest counts. Columns other than
-doc_id and text are not read.
+doc_id differ, the largest counts. Where the blocks of the labelled rows are too few or
+too short to train dictionaries on, the dictionaries are the blocks themselves. Columns
+other than doc_id and text are not read.
 """
 
 from __future__ import annotations
@@ -78,9 +79,10 @@ def logistic(x: np.ndarray, y: np.ndarray, weight: np.ndarray | float = 1.0, rou
 
 
 def _trained(groups: list[list[bytes]]) -> tuple[list[bytes], bool]:
+    """A dictionary of each group's blocks, and whether they are plain: the last bytes of the blocks, where zstandard finds too little to train on (less than about ten times the dictionary)."""
     try:
         return [zstandard.train_dictionary(DICTIONARY_BYTES, g).as_bytes() for g in groups], False
-    except zstandard.ZstdError:  # too few or too short blocks to train on
+    except zstandard.ZstdError:
         return [b"".join(g)[-DICTIONARY_BYTES:] or b"\0" * 8 for g in groups], True
 
 

@@ -7,7 +7,8 @@ over the words, each keeps its largest value in the whole text, and a logistic
 layer weighs these maxima. Training is plain numpy (Adagrad; the gradient of a
 maximum touches one window, so updates are sparse). One embedding coordinate
 starts at the smoothed log-odds of its bucket between toxic and clean rows.
-The decision threshold is calibrated by language on rows that training left out.
+The decision threshold is calibrated by language on rows that training left out; each
+language's own is drawn towards that of all, the more the fewer toxic rows it has.
 Languages are learned from the words of the training texts alone, as LANGUAGES groups
 of a mixture of word distributions; the column lang is not read, in training or later.
 
@@ -41,8 +42,8 @@ EPOCHS = 8
 ROWS_OF_A_CLASS = 3000
 #: Groups of texts by their words, which stand for languages.
 LANGUAGES = 6
-#: A language with fewer toxic calibration rows than this takes the threshold of all.
-LEAST_TOXIC = 15
+#: The threshold of all languages counts like so many toxic rows of each language, so that few rows of its own move it little.
+SHRINK = 20
 
 _LETTER = np.zeros(256, bool)
 _LETTER[65:91] = _LETTER[97:123] = _LETTER[128:] = True
@@ -227,7 +228,7 @@ def train(ids: list, y: np.ndarray, seed: int = 3, epochs: int = EPOCHS) -> Mode
 
 
 def calibrate(m: Model, ids: list, y: np.ndarray, toxic_share: float) -> None:
-    """Set the slope and, by guessed language, the threshold of the best F1 at the given share of toxic rows."""
+    """Set the slope and, by guessed language, the threshold of the best F1 at the given share of toxic rows, shrunk towards that of all."""
     first = np.concatenate([[0], np.cumsum([len(x) for x in ids])])
     together = np.concatenate(ids) if len(ids) else np.zeros((0, len(STEMS)), np.uint16)
     z = m.logits(together, first, m.projected())
@@ -246,8 +247,9 @@ def calibrate(m: Model, ids: list, y: np.ndarray, toxic_share: float) -> None:
     m.thresholds = np.full(m.languages.shape[1], everywhere)
     for k in range(len(m.thresholds)):
         rows = np.flatnonzero(guessed == k)
-        if (y[rows] == 1).sum() >= LEAST_TOXIC:
-            m.thresholds[k] = best(rows)
+        toxic = int((y[rows] == 1).sum())
+        if 0 < toxic < len(rows):
+            m.thresholds[k] = (toxic * best(rows) + SHRINK * everywhere) / (toxic + SHRINK)
     m.slope = max(0.5, logistic(z.astype(float), y.astype(float))[0])
 
 

@@ -282,6 +282,18 @@ def test_words_group_texts_by_language():
     assert counts.max(1).sum() > 0.95 * len(docs)
 
 
+def test_every_language_has_a_threshold_of_its_own():
+    rng = np.random.default_rng(12)
+    n, m = 600, toxicity.Model(constant=0.0)
+    y, group = (rng.random(n) < 0.2).astype(int), rng.integers(0, 3, n)
+    y[group == 2] = np.where(np.arange((group == 2).sum()) < 2, 1, 0)  # two toxic rows alone
+    z = y * 2.0 + rng.normal(0, 0.6, n) + np.array([0.0, 3.0, 3.0])[group]
+    m.languages = np.zeros((1, 3))
+    m.logits, m.projected, m.language = lambda *_: z, lambda: None, lambda *_: group
+    toxicity.calibrate(m, [np.zeros((1, 3), np.uint16)] * n, y, float(y.mean()))
+    assert m.thresholds[0] < m.thresholds[1] and len(set(np.round(m.thresholds, 6))) == 3
+
+
 def test_thresholds_are_the_best_of_all():
     rng = np.random.default_rng(8)
     ids = [rng.integers(0, 300, (20, 3)).astype(np.uint16) + (60_000 if k % 5 == 0 and j > 3 else 0) for k in range(200) for j in [rng.integers(0, 8)]]
