@@ -91,6 +91,11 @@ def tags(title: Column) -> Column:
     return F.transform(words, lambda w: F.concat(F.upper(F.substring(F.trim(w), 1, 1)), F.lower(F.trim(w).substr(2, 1 << 20))))
 
 
+def kept_tags(existing: Column, title: Column) -> Column:
+    """Tags that stand already, where there are exactly two of them; else those of the title, and none without one."""
+    return F.when(F.size(existing) == 2, existing).when(title.isNotNull(), tags(title)).otherwise(existing)
+
+
 def si_codes(codes: Column) -> Column:
     """Subject codes: split at semicolons, upper case, without nation endings; distinct and sorted."""
 

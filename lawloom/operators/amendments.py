@@ -42,8 +42,10 @@ def is_repeal(affect: Column) -> Column:
     return affect.rlike("repeal|revoke")
 
 
-def is_full_repeal(target: Column, affect: Column) -> Column:
-    return target.isin("Regulations", "Order", "Act") & affect.isin("revoked", "repealed")
+def is_full_repeal(target: Column, affect: Column, european: Column | None = None) -> Column:
+    """Whether a row repeals a law as a whole; european: which laws are named by no target, as those of the EU are."""
+    whole = target.isin("Regulations", "Order", "Act") & affect.isin("revoked", "repealed")
+    return whole if european is None else F.when(european, (F.coalesce(target, F.lit("")) == "") & affect.isin("repeal", "revoked")).otherwise(whole)
 
 
 def by_other_law(edges: DataFrame) -> DataFrame:

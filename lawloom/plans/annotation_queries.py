@@ -4,7 +4,9 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
+from ..operators import amendments as am
 from ..operators import annotations as an
+from ..operators import categories as ca
 from ..operators import fitness as ft
 from ..operators import rules as ru
 from ..operators import schemes as sc
@@ -116,3 +118,36 @@ def law_page_lines(spark, sf_dir):
     lines = acts.law_lines(read(spark, sf_dir, "part").select("p_partkey", html.alias("html")), "p_partkey")
     texts = lines.groupBy("p_partkey").agg(F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("line", "text"))), lambda x: x["text"]), "\n").alias("annotated"))
     return an.components(texts, "p_partkey")
+
+
+TERMS = {"Metals": ["bolt", "gear"], "Colours": ["red", "blue"], "Sizes": ["small"]}
+_CODES = "CASE p_partkey % 5 WHEN 0 THEN [p_type] WHEN 1 THEN ['X', p_type] WHEN 2 THEN ['X'] WHEN 3 THEN []::VARCHAR[] END"
+_TERM = "CASE " + " ".join("WHEN " + " OR ".join(f"contains(lower(p_name), '{w}')" for w in ws) + f" THEN '{f}'" for f, ws in TERMS.items()) + " END"
+
+
+@query(
+    f"""WITH p AS (SELECT p_partkey, coalesce({_CODES}, []) AS codes, {_TERM} AS term FROM part),
+c AS (SELECT *, list_contains(codes, 'ECONOMY') OR list_contains(codes, 'SMALL') AS member, coalesce(CASE codes[1] WHEN 'ECONOMY' THEN 'E' WHEN 'SMALL' THEN 'S' END, '') AS family FROM p)
+SELECT 'term_si' AS mode, p_partkey, CASE WHEN term IS NULL THEN 'exc' WHEN member THEN 'inc_w_si' ELSE 'inc_wo_si' END AS category, CASE WHEN member AND term IS NOT NULL THEN family ELSE term END AS family FROM c
+UNION ALL SELECT 'si_term', p_partkey, CASE WHEN member THEN 'inc_w_si' WHEN term IS NULL THEN 'exc' ELSE 'inc_wo_si' END, CASE WHEN member THEN family ELSE term END FROM c"""
+)
+def new_law_categories(spark, sf_dir):
+    k, kind = F.col("p_partkey") % 5, F.col("p_type")
+    codes = F.when(k == 0, F.array(kind)).when(k == 1, F.array(F.lit("X"), kind)).when(k == 2, F.array(F.lit("X"))).when(k == 3, F.array().cast("array<string>"))
+    laws = read(spark, sf_dir, "part").select("p_partkey", "p_name", codes.alias("codes"))
+    families = spark.createDataFrame([("ECONOMY", "E"), ("SMALL", "S")], "code string, family string")
+    each = [ca.categorised(laws, ["p_partkey"], "p_name", "codes", families, TERMS, mode).select(F.lit(mode).alias("mode"), "p_partkey", "category", "family") for mode in ca.MODES]
+    return each[0].unionByName(each[1])
+
+
+@query(
+    """SELECT l_orderkey, l_linenumber, l_partkey, l_suppkey, l_linestatus = 'O' AND l_linenumber <= 4 AND l_suppkey % 3 = 1 AS classified, contains(l_returnflag || ',' || l_linestatus, 'R') OR contains(l_returnflag || ',' || l_linestatus, 'F') AS holding,
+  CASE WHEN l_linenumber % 2 = 0 THEN l_partkey % 3 = 0 AND l_suppkey % 2 = 0 ELSE l_partkey % 3 = 1 END AS repealed FROM lineitem"""
+)
+def article_filters(spark, sf_dir):
+    line, part, supplier = F.col("l_linenumber"), F.col("l_partkey"), F.col("l_suppkey")
+    kinds = one_of(["table", *ca.CLASSIFIED[:4], "annex", "figure", "note"], line)
+    target, affect = one_of(["", "Act", "s. 2"], part), one_of(["revoked", "repealed"], supplier)
+    rows = read(spark, sf_dir, "lineitem").withColumns({"flow": F.when(F.col("l_linestatus") == "O", "main").otherwise("schedule"), "record_type": kinds, "section": (supplier % 3).cast("string"), "marks": F.array("l_returnflag", "l_linestatus")})
+    repealed = am.is_full_repeal(target, affect, line % 2 == 0)
+    return rows.select("l_orderkey", "l_linenumber", "l_partkey", "l_suppkey", ca.classified(section="1").alias("classified"), ca.holding("marks", ["R", "F"]).alias("holding"), repealed.alias("repealed"))

@@ -126,3 +126,27 @@ def test_headings_without_a_number(spark):
 
     rows = spark.createDataFrame([("l", 0, "heading", None), ("l", 1, "heading", "1"), ("l", 2, "section", "4"), ("l", 3, "heading", None), ("l", 4, "heading", None), ("l", 5, "heading", "2"), ("l", 6, "heading", None)], "law string, seq int, tag string, number string")
     assert [r.number for r in hierarchies.lettered_headings(rows, ["law"], "seq").orderBy("seq").collect()] == ["A", "1", "4", "1A", "1B", "2", "2A"]
+
+
+def test_categories_bases_and_kept_tags(spark):
+    from lawloom.functions import titles
+    from lawloom.operators import categories, registers
+
+    laws = spark.createDataFrame([(1, "The Water Act", None), (2, "Air Order", ["A", "B"]), (3, "Correction Slip to water", ["B"]), (4, None, ["B", "A"]), (5, "Noise", [])], "id int, title string, codes array<string>")
+    families = spark.createDataFrame([("B", "Bees")], "code string, family string")
+    terms = {"Wet": ["water"], "Dry": ["air"]}
+    got = {m: {r.id: (r.category, r.family) for r in categories.categorised(laws, ["id"], "title", "codes", families, terms, m).collect()} for m in categories.MODES}
+    assert got["term_si"] == {1: ("inc_wo_si", "Wet"), 2: ("inc_w_si", ""), 4: ("exc", None), 5: ("exc", None)}
+    assert got["si_term"] == {1: ("inc_wo_si", "Wet"), 2: ("inc_w_si", ""), 4: ("inc_w_si", "Bees"), 5: ("exc", None)}
+    counts = categories.category_counts(categories.categorised(laws, ["id"], "title", "codes", families, terms))
+    assert {r.category: r.n for r in counts.collect()} == {"inc_wo_si": 1, "inc_w_si": 1, "exc": 2}
+    based = categories.with_base(spark.createDataFrame([("Wet",), (None,)], "family string"), spark.createDataFrame([("Wet", "app1")], "family string, base string"))
+    assert {(r.family, r.base) for r in based.collect()} == {("Wet", "app1"), (None, None)}
+    with pytest.raises(ValueError, match="mode"):
+        categories.categorised(laws, ["id"], "title", "codes", families, terms, "both")
+    tags = spark.createDataFrame([(["A", "B"], "The Water Act"), (["A"], "Water Resources Act"), (["A"], None)], "tags array<string>, title string")
+    assert [r[0] for r in tags.select(titles.kept_tags(F.col("tags"), F.col("title"))).collect()] == [["A", "B"], ["Water", "Resources", "Act"], ["A"]]
+    base = spark.createDataFrame([(1, ["a"], "x"), (2, None, "y")], "id int, links array<string>, v string")
+    new = spark.createDataFrame([(1, ["b", "a"], "x"), (2, ["c"], ""), (3, None, "z")], "id int, links array<string>, v string")
+    merged = {r.id: (r.links, r.v, r.action) for r in registers.merged(base, new, ["id"], keep_if_empty=["v"], union=["links"]).collect()}
+    assert merged == {1: (["a", "b"], "x", "update"), 2: (["c"], "y", "update"), 3: ([], "z", "insert")}
