@@ -38,12 +38,14 @@ def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFr
     A document is what bears one doc_id: equal rows of it become one row, rows that differ stay together. Rows without
     a doc_id stay as they are.
     """
-    rows = docs.filter("doc_id IS NOT NULL").groupBy("doc_id").agg((F.count("*") > 1).alias("many"))
-    kept = minhash.near_duplicates(docs).filter("kept AND doc_id IS NOT NULL").select("doc_id").distinct()
-    first = materialised(kept.join(rows, "doc_id"))
-    once = docs.join(first.filter("NOT many").select("doc_id"), "doc_id", "left_semi").select(*docs.columns)
-    more = docs.join(first.filter("many").select("doc_id"), "doc_id", "left_semi").select(*docs.columns).dropDuplicates()
-    return once.unionByName(more).unionByName(docs.filter("doc_id IS NULL"))
+    gone = minhash.near_duplicates(docs).filter("NOT kept").select("doc_id").distinct()
+    gone = materialised(gone.orderBy("doc_id"))
+    twice = docs.filter("doc_id IS NOT NULL").groupBy("doc_id").count().filter("count > 1").join(gone, "doc_id", "left_anti")
+    twice = materialised(twice.select("doc_id"))
+    # most documents stay as they are, so they meet the ids of the others: where these are few, no text moves
+    once = docs.join(gone.unionByName(twice), "doc_id", "left_anti").select(*docs.columns)
+    more = docs.join(twice, "doc_id", "left_semi").select(*docs.columns).dropDuplicates()
+    return once.unionByName(more)
 
 
 def repeated_strings(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
