@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import re
+from functools import lru_cache
 
 import pandas as pd
 import regex
@@ -54,6 +55,17 @@ def actor_pattern(patterns: list[str]) -> str:
     return wrapped[0] if len(wrapped) == 1 else f"(?:{'|'.join(wrapped)})"
 
 
+@lru_cache(4096)
+def _python(pattern: str, flags: int) -> re.Pattern:
+    """A pattern of the tables, compiled once a worker."""
+    return re.compile(t.python(pattern), flags)
+
+
+@lru_cache(16384)
+def _regex(pattern: str, flags: int) -> regex.Pattern:
+    return regex.compile(pattern, flags)
+
+
 def consumed(table: dict[str, list[str]], before: list[str] = (), edges: bool = False):
     """An Arrow function from texts to the names of the classes they hold, each class taking its matches out of the text before the next one looks.
 
@@ -62,8 +74,8 @@ def consumed(table: dict[str, list[str]], before: list[str] = (), edges: bool =
     patterns = [(n, actor_pattern(p) if edges else "|".join(f"(?:{x})" for x in p)) for n, p in table.items()]
 
     def fold(texts: pd.Series) -> pd.Series:
-        compiled = [(n, re.compile(t.python(p), re.M)) for n, p in patterns]
-        gone = [re.compile(t.python(p), re.M) for p in before]
+        compiled = [(n, _python(p, re.M)) for n, p in patterns]
+        gone = [_python(p, re.M) for p in before]
 
         def one(text: str | None) -> list[str]:
             text = text or ""
@@ -99,10 +111,10 @@ def generic_kinds():
 
     A pattern looks at the text as one line, and takes its matches out of all lines.
     """
-    patterns = [(n, t.python(p)) for n, ps in t.KINDS.items() for p in ps]
+    patterns = [(n, p) for n, ps in t.KINDS.items() for p in ps]
 
     def fold(texts: pd.Series) -> pd.Series:
-        compiled = [(n, re.compile(p), re.compile(p, re.M)) for n, p in patterns]
+        compiled = [(n, _python(p, 0), _python(p, re.M)) for n, p in patterns]
 
         def one(text: str | None) -> list[str]:
             text, found = text or "", {}
@@ -123,20 +135,20 @@ HOLDER = "struct<holders:array<string>,text:string>"
 def role_holders(role: str, actors: dict[str, list[str]]):
     """An Arrow function from texts and the actors found in them to those that hold a role, and the clauses that say so.
 
-    Actors and clauses stand in the reverse order in which they were found. Actors found later are tried first.
+    Actors are tried in the order given; they and their clauses stand in the reverse order in which they were found.
     """
     he = actor_pattern(t.GOVERNED[": He"])
 
     def fold(texts: pd.Series, found: pd.Series) -> pd.DataFrame:
         known = {n: actor_pattern(p) for n, p in actors.items()}
-        gone = [regex.compile(p) for p in t.NO_ROLES]
+        gone = [_regex(p, 0) for p in t.NO_ROLES]
         compiled: dict = {}
 
         def patterns(actor: str) -> list:
             if actor not in compiled:
                 own = known[actor]
                 rules = t.HE_DUTY if role == "duty" and own == he else t.ROLES[role]
-                compiled[actor] = [(regex.compile(t.python(p.replace("@", own)), regex.M), take) for p, take in rules]
+                compiled[actor] = [(_regex(t.python(p.replace("@", own)), regex.M), take) for p, take in rules]
             return compiled[actor]
 
         def one(text: str | None, names) -> dict:

@@ -509,3 +509,23 @@ def new_law_workflow(spark, sf_dir):
     laws = part.select("p_partkey", title.alias("title"), F.lit("uksi").alias("type_code"), (F.col("p_size") + 1990).alias("year"), F.concat(F.lit("2001/"), k).alias("number"), F.when(k % 5 == 0, F.array(F.lit("A"))).otherwise(F.array().cast("array<string>")).alias("codes"))
     base = laws.filter(k % 3 == 0).select(F.concat(F.lit("UK_uksi_"), "year", F.lit("_"), "p_partkey").alias("name"))
     return wf.new_laws(laws, base, ["A"], {"colours": ["red"]}).select("p_partkey", "name", "category", "action", "number_excluded", "old_number", "type")
+
+
+# Tags of order lines: each order is a law, each line an article with two tags of one column and one of another.
+@query(
+    """WITH r AS (SELECT l_orderkey AS law, 'id-' || l_linenumber || '-' || l_suppkey AS article, 'u/' || l_linenumber AS url, [l_returnflag, l_linestatus] AS a, CASE WHEN l_suppkey % 2 = 0 THEN ['S' || (l_suppkey % 3)] ELSE [] END AS b, l_linenumber AS n, l_suppkey AS s FROM lineitem),
+t AS (SELECT law, article, url, n, s, 'a' AS c, unnest(a) AS tag FROM r UNION ALL SELECT law, article, url, n, s, 'b', unnest(b) FROM r),
+u AS (SELECT DISTINCT * FROM t),
+tags AS (SELECT law, c, list_sort(list(DISTINCT tag)) AS tags FROM u GROUP BY law, c),
+art AS (SELECT law, c, string_agg(article || chr(10) || '[' || tags || ']', chr(10) || chr(10) ORDER BY n, s) AS text FROM (SELECT law, c, article, n, s, string_agg(DISTINCT tag, '; ' ORDER BY tag) AS tags FROM u GROUP BY law, c, article, n, s) GROUP BY law, c),
+tag AS (SELECT law, c, string_agg('[' || tag || ']' || chr(10) || urls, chr(10) || chr(10) ORDER BY tag) AS text FROM (SELECT law, c, tag, string_agg(url, chr(10) ORDER BY url) AS urls FROM (SELECT DISTINCT law, c, tag, url FROM u) GROUP BY law, c, tag) GROUP BY law, c)
+SELECT l.law, array_to_string(coalesce(a.tags, []), ',') AS a, array_to_string(coalesce(b.tags, []), ',') AS b, x.text AS article_a, y.text AS article_b, v.text AS a_article, w.text AS b_article
+FROM (SELECT DISTINCT law FROM r) l LEFT JOIN tags a ON a.law = l.law AND a.c = 'a' LEFT JOIN tags b ON b.law = l.law AND b.c = 'b' LEFT JOIN art x ON x.law = l.law AND x.c = 'a' LEFT JOIN art y ON y.law = l.law AND y.c = 'b'
+  LEFT JOIN tag v ON v.law = l.law AND v.c = 'a' LEFT JOIN tag w ON w.law = l.law AND w.c = 'b'"""
+)
+def law_taxa(spark, sf_dir):
+    n, s = F.col("l_linenumber"), F.col("l_suppkey")
+    own = F.when(s % 2 == 0, F.array(F.concat(F.lit("S"), s % 3))).otherwise(F.array().cast("array<string>"))
+    rows = read(spark, sf_dir, "lineitem").select(F.col("l_orderkey").alias("law"), F.concat_ws("-", F.lit("id"), n, s).alias("id"), F.concat(F.lit("u/"), n).alias("url"), F.array("l_returnflag", "l_linestatus").alias("a"), own.alias("b"))
+    out = ar.law_taxa(rows, "law", ["a", "b"], {})
+    return out.withColumns({c: F.array_join(c, ",") for c in ("a", "b")})

@@ -8,8 +8,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..functions import identities, titles
-from ..operators import amendments, classifiers, enactments, interpretations, registers, rules
-from ..sources import readers
+from ..operators import amendments, annotations, articles, classifiers, enactments, fitness, interpretations, registers, rules, schemes
+from ..sources import acts, readers
 
 Step = Callable[[DataFrame], DataFrame]
 
@@ -64,10 +64,30 @@ def taxa(records: DataFrame) -> DataFrame:
     return classifiers.provisions(records)
 
 
+def law_taxa(records: DataFrame) -> DataFrame:
+    """Article records (law, id, url, record_type, text) to one row a law with its actors, holders, kinds and themes, by article and by tag."""
+    found = taxa(records)
+    return articles.law_taxa(found, "law")
+
+
 def applicability(provisions: DataFrame) -> DataFrame:
     return rules.single_rules(provisions, ["law", "provision"])
 
 
+def fit(provisions: DataFrame) -> DataFrame:
+    """Provisions (law, provision, text) to what their rules are about."""
+    single = applicability(provisions).withColumn("provision", F.array().cast("array<string>"))
+    return fitness.fitnesses(single)
+
+
+def act_records(pages: DataFrame) -> DataFrame:
+    """Pages of laws (law, html) to their components: law, line, component, number, text, region."""
+    lines = schemes.with_headings(acts.law_lines(pages, "law"), "law")
+    ordered = F.transform(F.array_sort(F.collect_list(F.struct("line", "text"))), lambda x: x["text"])
+    texts = lines.groupBy("law").agg(F.array_join(ordered, "\n").alias("annotated"))
+    return annotations.components(texts, "law")
+
+
 def interpretation(records: DataFrame) -> DataFrame:
     return interpretations.defined_terms(records, ["law"], "seq")
 
@@ -87,7 +107,10 @@ WORKFLOWS: dict[str, list[Step]] = {
     "enacted_by": [enacted],
     "amended_by": [amended],
     "taxa": [taxa],
+    "law_taxa": [law_taxa],
     "applicability": [applicability],
+    "fitness": [fit],
+    "act_records": [act_records],
     "interpretation": [interpretation],
     "new_with_metadata": [metadata, credentials],
 }
