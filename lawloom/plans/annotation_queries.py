@@ -10,7 +10,7 @@ from ..operators import categories as ca
 from ..operators import fitness as ft
 from ..operators import rules as ru
 from ..operators import schemes as sc
-from ..sources import acts
+from ..sources import acts, regulators
 from .law_queries import one_of, sql_list, sql_one_of
 from .queries import query, read
 
@@ -151,3 +151,24 @@ def article_filters(spark, sf_dir):
     rows = read(spark, sf_dir, "lineitem").withColumns({"flow": F.when(F.col("l_linestatus") == "O", "main").otherwise("schedule"), "record_type": kinds, "section": (supplier % 3).cast("string"), "marks": F.array("l_returnflag", "l_linestatus")})
     repealed = am.is_full_repeal(target, affect, line % 2 == 0)
     return rows.select("l_orderkey", "l_linenumber", "l_partkey", "l_suppkey", ca.classified(section="1").alias("classified"), ca.holding("marks", ["R", "F"]).alias("holding"), repealed.alias("repealed"))
+
+
+# Pages of a regulator: a list for each nation, details of two customers of three, breaches of every other one.
+@query(
+    """SELECT c_custkey::VARCHAR AS regulator_id, c_name AS offender_name, '2024-' || lpad((1 + c_custkey % 12)::VARCHAR, 2, '0') || '-' || lpad((1 + c_custkey % 28)::VARCHAR, 2, '0') AS offence_action_date,
+  CASE WHEN c_custkey % 3 > 0 THEN 'Field Operations' END AS regulator_function, CASE WHEN c_custkey % 3 > 0 THEN '2025-01-' || lpad((1 + c_custkey % 28)::VARCHAR, 2, '0') END AS offence_compliance_date,
+  CASE WHEN c_custkey % 3 > 0 THEN 'Made of ' || lower(c_mktsegment) END AS offence_description, CASE WHEN c_custkey % 2 = 0 THEN 'Act / ' || c_nationkey || '; Rule / ' || c_custkey ELSE '' END AS breaches FROM customer"""
+)
+def regulator_notices(spark, sf_dir):
+    c, k = read(spark, sf_dir, "customer"), F.col("c_custkey")
+    row = lambda *cells: F.concat(F.lit("<tr>"), *[F.concat(F.lit("<td>"), x if not isinstance(x, str) else F.lit(x), F.lit("</td>")) for x in cells], F.lit("</tr>"))
+    two = lambda n: F.lpad(n.cast("string"), 2, "0")
+    link = F.concat(F.lit("<a title='t' href='x'> "), k, F.lit(" </a>"))
+    listed = row(link, F.col("c_name"), "Prohibition", F.concat(two(1 + k % 28), F.lit("/"), two(1 + k % 12), F.lit("/2024")), "LA", "SIC")
+    lists = c.groupBy(F.col("c_nationkey").cast("string").alias("page")).agg(F.concat(F.lit("<table>"), F.array_join(F.collect_list(listed), ""), F.lit("</table>")).alias("html"))
+    told = F.concat(F.lit("<table>"), row("a", "b", "HSE Directorate", "FIELD OPERATIONS"), row("Compliance Date", F.concat(two(1 + k % 28), F.lit("/01/2025")), "", ""), row("Description", F.concat(F.lit(" Made of "), F.lower("c_mktsegment"), F.lit(" "))), F.lit("</table>"))
+    broken = F.concat(F.lit("<table>"), row("", "", "", "Breach", ""), row("1", "", "", F.concat(F.lit("Act / "), "c_nationkey"), ""), row("2", "", "", F.concat(F.lit("Rule / "), k), ""), F.lit("</table>"))
+    detail_pages = c.filter(k % 3 > 0).select(k.cast("string").alias("regulator_id"), told.alias("html"))
+    breach_pages = c.filter(k % 2 == 0).select(k.cast("string").alias("regulator_id"), broken.alias("html"))
+    out = regulators.notices(lists, detail_pages, breach_pages)
+    return out.select("regulator_id", "offender_name", "offence_action_date", "regulator_function", "offence_compliance_date", "offence_description", F.array_join("offence_breaches", "; ").alias("breaches"))
