@@ -8,6 +8,7 @@ from ..operators import amendments as am
 from ..operators import annotations as an
 from ..operators import categories as ca
 from ..operators import fitness as ft
+from ..operators import rewritings as rw
 from ..operators import rules as ru
 from ..operators import schemes as sc
 from ..sources import acts, regulators
@@ -172,3 +173,25 @@ def regulator_notices(spark, sf_dir):
     breach_pages = c.filter(k % 2 == 0).select(k.cast("string").alias("regulator_id"), broken.alias("html"))
     out = regulators.notices(lists, detail_pages, breach_pages)
     return out.select("regulator_id", "offender_name", "offence_action_date", "regulator_function", "offence_compliance_date", "offence_description", F.array_join("offence_breaches", "; ").alias("breaches"))
+
+
+@query(
+    """SELECT p_partkey, 'Gesetz' || chr(10) || '[::content::]Inhaltsverzeichnis' || chr(10) || repeat('[::content::]§ 1. Zweck' || chr(10) || '[::content::]§ 2. Geltung ' || p_name || chr(10), p_size) || '[::content::]' || p_size || '. Abschnitt: ' || p_name || chr(10) || '§ 3 gilt' || chr(10) || '§ 4. Ende' AS text FROM part"""
+)
+def contents_lists(spark, sf_dir):
+    name, size = F.col("p_name"), F.col("p_size")
+    entries = F.repeat(F.concat(F.lit("§ 1. Zweck\n§ 2.\nGeltung "), name, F.lit("\n")), size)
+    text = F.concat(F.lit("Gesetz\nInhaltsverzeichnis\n"), entries, size.cast("string"), F.lit(". Abschnitt: "), name, F.lit("\n§ 3 gilt\n§ 4. Ende"))
+    return read(spark, sf_dir, "part").select("p_partkey", rw.with_contents(text).alias("text"))
+
+
+@query(
+    """SELECT c_custkey, CASE WHEN c_nationkey % 5 = 0 THEN 'Law of ' || c_nationkey || ': part ' || c_custkey || '.' ELSE c_name || ' ' || c_mktsegment END AS text FROM customer"""
+)
+def patched_laws(spark, sf_dir):
+    c = read(spark, sf_dir, "customer")
+    texts = c.select("c_custkey", F.col("c_nationkey").alias("law"), F.concat("c_name", F.lit(" "), "c_mktsegment").alias("text"))
+    own = read(spark, sf_dir, "nation").select(F.col("n_nationkey").cast(c.schema["c_nationkey"].dataType).alias("law")).filter("law % 5 = 0")
+    steps = F.array(F.struct(F.lit(2).alias("ord"), F.lit(r"^L(\d+)$").alias("pattern"), F.concat(F.lit("Law of "), "law", F.lit(": part $1.")).alias("replacement")), F.struct(F.lit(1).alias("ord"), F.lit(r"^\D+0*(\d+) .*$").alias("pattern"), F.lit("L$1").alias("replacement")))
+    patches = own.select("law", F.inline(steps))
+    return rw.patched(texts, patches, "law").select("c_custkey", "text")
