@@ -13,7 +13,7 @@ CONTENT, ANNEX = "[::content::]", "[::annex::]"
 # Headings of lists of contents, and entries of them: on one line, or on two, of which the second is a title.
 CONTENTS = r"^(?:Inhaltsverzeichnis|INHALTSVERZEICHNIS)"
 ONE_LINE = [r"^§ \d+\.? [A-ZÄÖÜ]", r"^\d+\. Abschnitt: ", r"^Anhang ?\d?: [A-Z]"]
-TWO_LINES = [(r"^§ \d+\.$", r"^[A-ZÄÖÜ]"), (r"^Anhang [A-Z]:$", r"^[^\[]")]
+TWO_LINES = [(r"^§ \d+\.$", r"^[A-ZÄÖÜ]"), (r"^Anhang [A-Z]:$", r"^[^\[\n]")]
 
 
 def fixpoint(text: str, rules: list[tuple[str, str]]) -> str:
