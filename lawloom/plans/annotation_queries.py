@@ -4,10 +4,16 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
+from ..functions import identities as ids
+from ..functions import provisions as pv
+from ..functions import texts as tx
+from ..functions import titles as tt
 from ..operators import amendments as am
 from ..operators import annotations as an
 from ..operators import categories as ca
+from ..operators import classifiers as cl
 from ..operators import fitness as ft
+from ..operators import registers as rg
 from ..operators import rewritings as rw
 from ..operators import rules as ru
 from ..operators import schemes as sc
@@ -195,3 +201,30 @@ def patched_laws(spark, sf_dir):
     steps = F.array(F.struct(F.lit(2).alias("ord"), F.lit(r"^L(\d+)$").alias("pattern"), F.concat(F.lit("Law of "), "law", F.lit(": part $1.")).alias("replacement")), F.struct(F.lit(1).alias("ord"), F.lit(r"^\D+0*(\d+) .*$").alias("pattern"), F.lit("L$1").alias("replacement")))
     patches = own.select("law", F.inline(steps))
     return rw.patched(texts, patches, "law").select("c_custkey", "text")
+
+
+PLANS = [*rg.PLANS, "OTHER"]
+WORDS = ["bolter", "gear", "gizmos"]
+
+
+@query(
+    f"""WITH o AS (SELECT o_orderkey, {sql_one_of(PLANS, 'o_orderkey')} AS plan, strftime(o_orderdate, '%Y-%m-%d') AS day, o_orderdate::DATE AS d, o_orderpriority AS p, o_custkey AS c FROM orders)
+SELECT o_orderkey, CASE plan WHEN 'PUBLIC' THEN 0 WHEN 'STARTER' THEN 1 WHEN 'SUPPORTER' THEN 2 WHEN 'SPONSOR' THEN 3 END AS tier, day[9:10] || '/' || day[6:7] || '/' || day[1:4] AS shown, day AS back,
+  upper(p[3:3]) AS letter, c || ' ' || p AS spaced, CASE WHEN c % 17 BETWEEN 1 AND 15 THEN (c % 17)::INT END AS numeral, c % 17 = 0 OR d < DATE '1995-05-25' AS stale,
+  plan = 'PUBLIC' AND p IN ('1-URGENT', '2-HIGH') AS wanted, CASE WHEN contains(p, 'URGENT') OR contains(p, 'HIGH') THEN 'first' WHEN contains(p, 'LOW') THEN 'last' END AS label FROM o"""
+)
+def register_marks(spark, sf_dir):
+    k, c, p = F.col("o_orderkey"), F.col("o_custkey"), F.col("o_orderpriority")
+    o = read(spark, sf_dir, "orders").withColumns({"plan": one_of(PLANS, k), "priority": p})
+    shown = tt.display_date(F.date_format("o_orderdate", "yyyy-MM-dd'T'HH:mm"))
+    numeral = one_of(["", *pv.ROMAN, "XVII"], c % 17)
+    return o.select(
+        "o_orderkey", rg.tier(F.col("plan"), rg.PLANS).alias("tier"), shown.alias("shown"), tt.iso_date(shown).alias("back"), tt.index_letter(F.substring(p, 3, 10)).alias("letter"),
+        ids.single_spaced(F.concat(c, F.lit("   "), p)).alias("spaced"), pv.roman_number(numeral).alias("numeral"), rg.stale(F.when(c % 17 != 0, F.to_date("o_orderdate")), "1995-06-01").alias("stale"),
+        rg.predicate(plan="PUBLIC", priority=["1-URGENT", "2-HIGH"], none="").alias("wanted"), cl.first_label(p, {"first": ["URGENT", "HIGH"], "last": ["LOW"]}).alias("label"),
+    )
+
+
+@query(f"SELECT p_partkey, lower(left(string_split(p_name, ' ')[2], 5)) IN {tuple(sorted(w[:5] for w in WORDS))} AS known FROM part")
+def known_beginnings(spark, sf_dir):
+    return read(spark, sf_dir, "part").select("p_partkey", tx.prefixed(F.upper(F.split("p_name", " ")[1]), WORDS).alias("known"))
