@@ -455,7 +455,8 @@ def without_repeats(docs: DataFrame, carry: list[str] | None = None) -> DataFram
     held = prints.agg(F.coalesce(F.sum("bytes"), F.lit(0))).first()[0]
     buckets = groups = held // GROUP_BYTES + 1
     group = F.pmod("deal", F.lit(groups).cast("long")).alias("group")
-    carried = F.struct(F.lit(0).alias("_"), *carry).alias("__carried")  # names of their own cannot clash
+    unused = "_" * (1 + max((len(c) for c in carry), default=0))  # longer than any name that is carried
+    carried = F.struct(F.lit(0).alias(unused), *carry).alias("__carried")  # names of their own cannot clash
     rows = docs.select("doc_id", "text", carried, *text_keys[:2]).withColumn("group", group)
     sent = rows.filter("doc_id IS NOT NULL AND text IS NOT NULL").select("key", "text", "deal").mapInArrow(_sent_hashes(buckets), "bucket int, keys binary, counts binary, low binary, high binary")
     shared = sent.repartition(buckets, "bucket").groupBy("bucket").applyInArrow(_shared(buckets, groups), "group long, bucket int, keys binary, counts binary, low binary, high binary")
