@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -57,10 +59,13 @@ def carried(rows: DataFrame, key: list[str], seq: str, columns: list[str], start
     return rows.withColumn("__start", F.sum(F.coalesce(starts, F.lit(False)).cast("int")).over(run)).withColumns({c: F.last(c, ignorenulls=True).over(inside) for c in columns}).drop("__start")
 
 
-def distinct_ids(rows: DataFrame, key: list[str], column: str, seq: str) -> DataFrame:
-    """Repeated values of a column told apart by A, ..., Z, AA, ... in the order in which they come; the first stays as it is."""
+def distinct_ids(rows: DataFrame, key: list[str], column: str, seq: str, suffix: Callable[[Column], Column] | None = None) -> DataFrame:
+    """Repeated values of a column told apart by A, ..., Z, AA, ... in the order in which they come; the first stays as it is.
+
+    suffix: what the n-th repetition gets instead, such as code_point.
+    """
     n = F.row_number().over(Window.partitionBy(*key, column).orderBy(seq))
-    return rows.withColumn("__n", n).withColumn(column, F.when(F.col("__n") == 1, F.col(column)).otherwise(F.concat(F.col(column), letters(F.col("__n") - 1)))).drop("__n")
+    return rows.withColumn("__n", n).withColumn(column, F.when(F.col("__n") == 1, F.col(column)).otherwise(F.concat(F.col(column), (suffix or letters)(F.col("__n") - 1)))).drop("__n")
 
 
 def letters(n: Column) -> Column:
@@ -70,6 +75,11 @@ def letters(n: Column) -> Column:
     return F.aggregate(F.sequence(F.lit(1), F.lit(7)), state, step, lambda s: s["text"])
 
 
+def code_point(n: Column) -> Column:
+    """1, 2, ... as A, B, ..., Z, [, ...: the character of the code point 64 + n, also beyond 255."""
+    return F.decode(F.unhex(F.lpad(F.hex(64 + n), 8, "0")), "UTF-32")
+
+
 def skipped_numbers(rows: DataFrame, key: list[str], seq: str, number: str) -> DataFrame:
     """Rows whose number does not follow that of the row before."""
     last = F.lag(number).over(Window.partitionBy(*key).orderBy(seq))

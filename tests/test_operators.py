@@ -4,7 +4,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from lawloom.functions import identities, provisions, titles
-from lawloom.operators import classifiers, deltas, enactments, fuzzy, interpretations, rules, statutes
+from lawloom.operators import classifiers, deltas, enactments, fuzzy, hierarchies, interpretations, rules, statutes
 
 
 def one(spark, column):
@@ -78,6 +78,12 @@ def test_best_match_keeps_every_name(spark):
     assert got == {1: ("marhta", 0.944444), 2: (None, None), 3: (None, None), 4: ("exact", 1.0)}
 
 
+def test_repetitions_beyond_the_alphabet(spark):
+    rows = spark.range(300).selectExpr("id AS n", "1 AS law", "'s' AS id")
+    got = {r.n: r.id for r in hierarchies.distinct_ids(rows, ["law"], "id", "n", hierarchies.code_point).collect()}
+    assert got == {n: "s" + (chr(64 + n) if n else "") for n in range(300)}
+
+
 def test_ranges_with_letters(spark):
     expand = lambda s: one(spark, provisions.expand_range(F.lit(s)))
     assert expand("25B-25D") == ["25B", "25C", "25D", "25"] and expand("25-27") == ["25", "26", "27"] and expand("105ZA-105ZC") == ["105ZA", "105ZB", "105ZC", "105Z"] and expand("x") is None
