@@ -1,5 +1,7 @@
 """Operators whose meaning SQL does not tell, on cases of their own."""
 
+import re
+
 import pytest
 from pyspark.sql import functions as F
 
@@ -78,6 +80,16 @@ def test_best_match_keeps_every_name(spark):
     assert got == {1: ("marhta", 0.944444), 2: (None, None), 3: (None, None), 4: ("exact", 1.0)}
 
 
+def test_names_that_a_block_repeats_are_compared_once(spark):
+    names = spark.createDataFrame([(k, "b", ["red bolts", "blue gear", None][k % 3]) for k in range(30)], "id long, block string, name string")
+    others = spark.createDataFrame([("b", "red bolt"), ("b", "red bolt act"), ("b", "blue gears")], "block string, other string")
+    found = fuzzy.best_match(names, others, ["block"], "name", "other", "id", 0.6)
+    got = {r.id: r.match for r in found.collect()}
+    assert got == {k: ["red bolt", "blue gears", None][k % 3] for k in range(30)}
+    plan = found._jdf.queryExecution().optimizedPlan().toString()
+    assert re.search(r"Aggregate \[block#\d+, name#\d+\], \[block#\d+, name#\d+\]", plan)
+
+
 def test_repetitions_beyond_the_alphabet(spark):
     rows = spark.range(300).selectExpr("id AS n", "1 AS law", "'s' AS id")
     got = {r.n: r.id for r in hierarchies.distinct_ids(rows, ["law"], "id", "n", hierarchies.code_point).collect()}
