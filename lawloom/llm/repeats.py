@@ -4,8 +4,9 @@ A string of LENGTH bytes that two documents share contains the same anchors in b
 an anchor is a K-byte string whose hash is the least of the LENGTH - K + 1 strings of
 that size in some LENGTH-byte window. So
 
-1. every document sends the hashes of its anchors, packed by hash bucket; a bucket
-   answers which of them occur in several documents;
+1. every group of documents sends the hashes of its anchors, once each, packed by hash
+   bucket, and whether several of its documents hold them; a bucket answers each group
+   which of them occur in several documents of all;
 2. around each such anchor the document sends the LENGTH - K bytes on either side to
    the anchor's bucket. Equal contexts are one. The bucket builds the run-compressed
    Burrows-Wheeler transform of its contexts, with a sample at the ends of its runs:
@@ -16,7 +17,7 @@ that size in some LENGTH-byte window. So
    that is smaller than the document of the context, the bytes are marked.
 
 Whole copies of a text (equal 128-bit hash) are answered by their first document and
-send no contexts. A bucket works through SLICES of its anchors one at a time.
+send nothing. A bucket works through SLICES of its anchors one at a time.
 
 Defined results: a null text is empty; a text of fewer than LENGTH bytes loses
 nothing; rows of one doc_id are never sources for one another; a null doc_id loses
@@ -42,8 +43,6 @@ WINDOW = LENGTH - K + 1
 SLICES = 64
 #: Bytes of text for each group of documents, and for each bucket.
 GROUP_BYTES = 8 << 20
-#: Bytes of text behind one packed row for each bucket.
-BATCH = 4 << 20
 _LOW = np.uint64((1 << 40) - 1)
 
 
@@ -181,39 +180,35 @@ def _packed(bucket: np.ndarray, doc: np.ndarray, buckets: int):
         yield int(b), rows, d[first], np.diff(np.append(first, len(d))).astype(np.uint32)
 
 
+def _numbers(keys: np.ndarray) -> np.ndarray:
+    """The number of each document in its group: the place of its key among those of the group, whatever the order of the rows."""
+    return np.unique(keys, return_inverse=True)[1].astype(np.uint32)
+
+
 def _sent_hashes(buckets: int):
-    schema = pa.schema([("bucket", pa.int32()), ("keys", pa.binary()), ("counts", pa.binary()), ("low", pa.binary()), ("high", pa.binary())])
-
-    def flush(held):
-        if not held:
-            return
-        keys = np.concatenate([k for k, _, _ in held])
-        base = np.cumsum([0] + [len(k) for k, _, _ in held])
-        doc = np.concatenate([d + b for (_, d, _), b in zip(held, base)])
-        h = np.concatenate([x for _, _, x in held])
-        rows = []
-        for b, at, d, n in _packed((h % np.uint64(buckets)).astype(np.int64), doc, buckets):
-            v = (h[at] // np.uint64(buckets)) & _LOW
-            rows.append((b, keys[d].tobytes(), n.tobytes(), v.astype(np.uint32).tobytes(), (v >> np.uint64(32)).astype(np.uint8).tobytes()))
-        if rows:
-            yield pa.RecordBatch.from_arrays([pa.array(c, t.type) for c, t in zip(zip(*rows), schema)], schema=schema)
-
-    def work(batches):
-        held, size = [], 0
-        for batch in slices(batches, most=512 << 10):
+    """The hashes of the anchors of a group for each bucket, once each, and a bit for those that several documents of the group hold."""
+    schema = pa.schema([("group", pa.int64()), ("bucket", pa.int32()), ("low", pa.binary()), ("high", pa.binary()), ("several", pa.binary())])
+
+    def work(texts: pa.Table, asked: pa.Table) -> pa.Table:
+        copies = asked.column("copy").to_numpy()
+        held = [np.zeros(0, np.uint64)]
+        for batch in slices(texts.select(["doc_id", "text", "key"]).to_batches(), most=512 << 10):
             data, offsets = raw(batch.column(1))
             at, h = anchors(data, offsets)
             doc = np.searchsorted(offsets, at, side="right") - 1
+            wanted = ~np.isin(batch.column(2).to_numpy(), copies) & batch.column(0).is_valid().to_numpy(zero_copy_only=False)
+            doc, h = doc[wanted[doc]], h[wanted[doc]]
             order = np.lexsort((h, doc))
-            doc, h = doc[order], h[order]
-            keep = np.ones(len(h), bool)
-            keep[1:] = (doc[1:] != doc[:-1]) | (h[1:] != h[:-1])
-            held.append((np.stack([batch.column(k).to_numpy() for k in (0, 2)], 1), doc[keep], h[keep]))
-            size += len(data)
-            if size >= BATCH:
-                yield from flush(held)
-                held, size = [], 0
-        yield from flush(held)
+            held.append(h[order][_runs_of(doc[order], h[order])[:-1]])
+        h, n = np.unique(np.concatenate(held), return_counts=True)
+        bucket, v, several = (h % np.uint64(buckets)).astype(np.int64), (h // np.uint64(buckets)) & _LOW, n > 1
+        order = np.argsort(bucket, kind="stable")
+        edges = np.searchsorted(bucket[order], np.arange(buckets + 1))
+        group, rows = texts.column("group")[0].as_py(), []
+        for b in np.flatnonzero(np.diff(edges)):
+            at = order[edges[b] : edges[b + 1]]
+            rows.append((group, int(b), v[at].astype(np.uint32).tobytes(), (v[at] >> np.uint64(32)).astype(np.uint8).tobytes(), np.packbits(several[at]).tobytes()))
+        return pa.table([pa.array(c, f.type) for c, f in zip(zip(*rows) if rows else [[]] * 5, schema)], schema=schema)
 
     return work
 
@@ -230,123 +225,89 @@ def _runs_of(*of: np.ndarray) -> np.ndarray:
     return np.flatnonzero(new)
 
 
-def _by_group(keys: np.ndarray, groups: int):
-    """Rows, sorted by group and key, of each group that occurs: its number, the rows, its keys and the rows of each key.
-
-    keys: key and deal of each row; the deal is a hash of its own, so that a group and a key tell documents apart by more than 64 bits.
-    """
-    key, group = keys[:, 0], keys[:, 1] % np.int64(groups)
-    order = np.lexsort((key, group))
-    key, group = key[order], group[order]
+def _shared(table: pa.Table) -> pa.Table:
+    """The anchors of a bucket that several documents hold: their codes, one row for each group that holds any."""
+    schema = pa.schema([("group", pa.int64()), ("bucket", pa.int32()), ("low", pa.binary()), ("high", pa.binary())])
+    t = {n: table.column(n).to_pylist() for n in ("low", "high", "several")}
+    bucket = table.column("bucket")[0].as_py()
+    size = [len(x) for x in t["high"]]
+    group = np.repeat(table.column("group").to_numpy(), size)
+    v = np.frombuffer(b"".join(t["low"]), np.uint32).astype(np.uint64) | np.frombuffer(b"".join(t["high"]), np.uint8).astype(np.uint64) << np.uint64(32)
+    several = np.concatenate([np.unpackbits(np.frombuffer(x, np.uint8), count=n) for x, n in zip(t["several"], size)])
+    order = np.argsort(v, kind="stable")
+    s = v[order]
+    same = np.zeros(len(s) + 1, bool)
+    same[1:-1] = s[1:] == s[:-1]
+    hit = order[same[:-1] | same[1:] | (several[order] == 1)]
+    hit = hit[np.argsort(group[hit], kind="stable")]
+    group, v, rows = group[hit], v[hit], []
     edges = _runs_of(group)
     for a, b in zip(edges[:-1], edges[1:]):
-        own = _runs_of(key[a:b])
-        yield int(group[a]), order[a:b], key[a:b][own[:-1]], np.diff(own).astype(np.uint32)
-
-
-def _shared(buckets: int, groups: int):
-    """The anchors of a bucket that several documents hold: keys and their codes, one row for each group of keys."""
-    schema = pa.schema([("group", pa.int64()), ("bucket", pa.int32()), ("keys", pa.binary()), ("counts", pa.binary()), ("low", pa.binary()), ("high", pa.binary())])
-
-    def work(table: pa.Table) -> pa.Table:
-        t = {n: table.column(n).to_pylist() for n in ("keys", "counts", "low", "high")}
-        bucket = table.column("bucket")[0].as_py()
-        join = lambda name, kind: np.frombuffer(b"".join(t[name]), kind)
-        key = np.repeat(join("keys", np.int64).reshape(-1, 2), join("counts", np.uint32), 0)
-        v = join("low", np.uint32).astype(np.uint64) | join("high", np.uint8).astype(np.uint64) << np.uint64(32)
-        order = np.argsort(v, kind="stable")
-        s = v[order]
-        same = np.zeros(len(s) + 1, bool)
-        same[1:-1] = s[1:] == s[:-1]
-        hit = order[same[:-1] | same[1:]]
-        key, v = key[hit], v[hit]
-        rows = []
-        for group, at, keys, counts in _by_group(key, groups):
-            rows.append((group, bucket, keys.tobytes(), counts.tobytes(), v[at].astype(np.uint32).tobytes(), (v[at] >> np.uint64(32)).astype(np.uint8).tobytes()))
-        return pa.table([pa.array(c, f.type) for c, f in zip(zip(*rows) if rows else [[]] * 6, schema)], schema=schema)
+        rows.append((int(group[a]), bucket, v[a:b].astype(np.uint32).tobytes(), (v[a:b] >> np.uint64(32)).astype(np.uint8).tobytes()))
+    return pa.table([pa.array(c, f.type) for c, f in zip(zip(*rows) if rows else [[]] * 4, schema)], schema=schema)
 
-    return work
 
+def _asked(table: pa.Table) -> tuple[np.ndarray, pa.Table]:
+    """Keys of the copies of a group, and its packed rows."""
+    return table.column("copy").drop_null().to_numpy(), table.filter(table.column("copy").is_null())
 
-def _asked(table: pa.Table) -> tuple[np.ndarray, np.ndarray, dict]:
-    """Keys of the copies of a group; of its packed rows, the key of each value and the values by name."""
-    copy = table.column("copy").is_valid().to_numpy()
-    return table.column("copy").drop_null().to_numpy(), *_unpacked(table.filter(pa.array(~copy)))
 
-
-def _unpacked(table: pa.Table) -> tuple[np.ndarray, dict]:
-    """Key of each value of packed rows, and the values by name; rows are numbered as well."""
-    t = {n: table.column(n).to_pylist() for n in table.schema.names}
-    join = lambda name, kind: np.frombuffer(b"".join(t[name]), kind)
-    counts = join("counts", np.uint32)
-    size = [int(np.frombuffer(c, np.uint32).sum()) for c in t["counts"]]
-    return np.repeat(join("keys", np.int64), counts), {"join": join, "row": np.repeat(np.arange(len(size)), size), **t}
+def _joined(table: pa.Table, name: str, kind: type) -> np.ndarray:
+    return np.frombuffer(b"".join(table.column(name).to_pylist()), kind)
 
 
 def _sent_contexts(buckets: int):
-    schema = pa.schema([("bucket", pa.int32()), ("keys", pa.binary()), ("docs", pa.binary()), ("counts", pa.binary()), ("pos", pa.binary()), ("size", pa.binary()), ("slice", pa.binary()), ("bytes", pa.binary())])
+    schema = pa.schema([("group", pa.int64()), ("bucket", pa.int32()), ("numbers", pa.binary()), ("docs", pa.binary()), ("counts", pa.binary()), ("pos", pa.binary()), ("size", pa.binary()), ("slice", pa.binary()), ("bytes", pa.binary())])
 
-    def flush(held):
-        if not held:
-            return
+    def packed(group: int, held: list):
         press = zstandard.ZstdCompressor(level=3)
-        keys, ids = np.concatenate([x[0] for x in held]), np.concatenate([x[1] for x in held])
+        numbers, ids = np.concatenate([x[0] for x in held]), np.concatenate([x[1] for x in held])
         base = np.cumsum([0] + [len(x[0]) for x in held])
         doc = np.concatenate([x[2] + b for x, b in zip(held, base)])
         c = np.concatenate([x[3] for x in held])
         pos, size = np.concatenate([x[4] for x in held]), np.concatenate([x[5] for x in held])
         bytes_ = np.concatenate([x[6] for x in held])
         starts = np.cumsum(size) - size
-        rows = []
         for b, at, d, n in _packed((c % np.uint64(buckets)).astype(np.int64), doc, buckets):
             own = np.repeat(starts[at] - (np.cumsum(size[at]) - size[at]), size[at]) + np.arange(size[at].sum())
             part = ((c[at] // np.uint64(buckets)) % np.uint64(SLICES)).astype(np.uint8)
-            rows.append((b, keys[d].tobytes(), ids[d].tobytes(), n.tobytes(), pos[at].astype(np.uint32).tobytes(), size[at].astype(np.uint8).tobytes(), part.tobytes(), press.compress(bytes_[own].tobytes())))
-        if rows:
-            yield pa.RecordBatch.from_arrays([pa.array(x, t.type) for x, t in zip(zip(*rows), schema)], schema=schema)
+            yield group, b, numbers[d].tobytes(), ids[d].tobytes(), n.tobytes(), pos[at].astype(np.uint32).tobytes(), size[at].astype(np.uint8).tobytes(), part.tobytes(), press.compress(bytes_[own].tobytes())
 
     def work(texts: pa.Table, asked: pa.Table) -> pa.Table:
-        copies, key, t = _asked(asked)
-        bucket = np.array(t["bucket"], np.uint64)[t["row"]] if len(key) else np.zeros(0, np.uint64)
-        codes = (t["join"]("low", np.uint32).astype(np.uint64) | t["join"]("high", np.uint8).astype(np.uint64) << np.uint64(32)) * np.uint64(buckets) + bucket
-        order = np.argsort(key, kind="stable")
-        key, codes = key[order], codes[order]
+        copies, told = _asked(asked)
+        bucket = np.repeat(told.column("bucket").to_numpy().astype(np.uint64), [len(x) for x in told.column("high").to_pylist()])
+        codes = np.sort((_joined(told, "low", np.uint32).astype(np.uint64) | _joined(told, "high", np.uint8).astype(np.uint64) << np.uint64(32)) * np.uint64(buckets) + bucket)
+        numbers, at_row = _numbers(texts.column("key").to_numpy()), 0
         held = []
-        for batch in slices(texts.select(["doc_id", "text", "key", "deal"]).to_batches(), most=512 << 10) if len(key) else ():
-            column = {n: batch.column(k) for k, n in enumerate(batch.schema.names)}
-            doc_key = column["key"].to_numpy()
-            wanted = ~np.isin(doc_key, copies) & column["doc_id"].is_valid().to_numpy(zero_copy_only=False)
-            data, offsets = raw(column["text"])
+        for batch in slices(texts.select(["doc_id", "text", "key"]).to_batches(), most=512 << 10):
+            own, at_row = numbers[at_row : at_row + batch.num_rows], at_row + batch.num_rows
+            if not len(codes):
+                continue
+            wanted = ~np.isin(batch.column(2).to_numpy(), copies) & batch.column(0).is_valid().to_numpy(zero_copy_only=False)
+            data, offsets = raw(batch.column(1))
             at, h = anchors(data, offsets)
             doc = np.searchsorted(offsets, at, side="right") - 1
             c = code(h, buckets)
-            edges = np.searchsorted(doc, np.arange(len(offsets)))
-            first, last = np.searchsorted(key, doc_key, side="left"), np.searchsorted(key, doc_key, side="right")
-            keep = np.zeros(len(at), bool)
-            for i in np.flatnonzero(wanted & (last > first)):
-                keep[edges[i] : edges[i + 1]] = np.isin(c[edges[i] : edges[i + 1]], codes[first[i] : last[i]])
+            keep = wanted[doc] & (codes[np.minimum(np.searchsorted(codes, c), len(codes) - 1)] == c)
             at, doc, c = at[keep], doc[keep], c[keep]
             start = np.maximum(at - (LENGTH - K), offsets[doc])
             end = np.minimum(at + LENGTH, offsets[doc + 1])
             size = end - start
-            own = np.repeat(start - (np.cumsum(size) - size), size) + np.arange(size.sum())
-            held.append((np.stack([doc_key, column["deal"].to_numpy()], 1), column["doc_id"].fill_null(0).to_numpy(), doc, c, start - offsets[doc], size, data[own]))
-        return pa.Table.from_batches(flush(held), schema)
+            where = np.repeat(start - (np.cumsum(size) - size), size) + np.arange(size.sum())
+            held.append((own, batch.column(0).fill_null(0).to_numpy(), doc, c, start - offsets[doc], size, data[where]))
+        rows = list(packed(texts.column("group")[0].as_py(), held)) if held else []
+        return pa.table([pa.array(c, f.type) for c, f in zip(zip(*rows) if rows else [[]] * 9, schema)], schema=schema)
 
     return work
 
 
-def _matched(groups: int):
-    """Keys and packed (position, bits of the matched starts from there) of the documents of a bucket, one row for each group of keys."""
-    return lambda table: _marks(table, groups)
-
-
-def _marks(table: pa.Table, groups: int) -> pa.Table:
-    t = {n: table.column(n).to_pylist() for n in table.schema.names if n != "bytes"}
+def _marks(table: pa.Table) -> pa.Table:
+    """Numbers and packed (position, bits of the matched starts from there) of the documents of a bucket, one row for each group."""
+    t = {n: table.column(n).to_pylist() for n in table.schema.names if n not in ("bytes", "group", "bucket")}
     packed = table.column("bytes")
     join = lambda name, kind: np.frombuffer(b"".join(t[name]), kind)
     counts = join("counts", np.uint32)
-    key, doc = np.repeat(join("keys", np.int64).reshape(-1, 2), counts, 0), np.repeat(join("docs", np.int64), counts)
+    own_number, doc = np.repeat(join("numbers", np.uint32), counts), np.repeat(join("docs", np.int64), counts)
     pos, size, part = join("pos", np.uint32), join("size", np.uint8).astype(np.int64), join("slice", np.uint8)
     base = np.cumsum([0] + [len(x) for x in t["size"]])
     unpress = zstandard.ZstdDecompressor()
@@ -396,9 +357,14 @@ def _marks(table: pa.Table, groups: int) -> pa.Table:
             found.append((rows[on], bits[on]))
     rows = np.concatenate([x for x, _ in found]) if found else np.zeros(0, np.int64)
     bits = np.concatenate([x for _, x in found]) if found else np.zeros(0, np.uint32)
-    marks = np.stack([pos[rows], bits], 1)
-    schema = pa.schema([("group", pa.int64()), ("keys", pa.binary()), ("counts", pa.binary()), ("marks", pa.binary())])
-    out = [(group, keys.tobytes(), n.tobytes(), marks[at].tobytes()) for group, at, keys, n in _by_group(key[rows], groups)]
+    group = table.column("group").to_numpy()[np.searchsorted(base, rows, side="right") - 1]
+    order = np.lexsort((own_number[rows], group))
+    group, own_number, marks = group[order], own_number[rows][order], np.stack([pos[rows], bits], 1)[order]
+    schema = pa.schema([("group", pa.int64()), ("numbers", pa.binary()), ("counts", pa.binary()), ("marks", pa.binary())])
+    out, edges = [], _runs_of(group)
+    for a, b in zip(edges[:-1], edges[1:]):
+        runs = _runs_of(own_number[a:b])
+        out.append((int(group[a]), own_number[a:b][runs[:-1]].tobytes(), np.diff(runs).astype(np.uint32).tobytes(), marks[a:b].tobytes()))
     give_back()
     return pa.table([pa.array(c, f.type) for c, f in zip(zip(*out) if out else [[]] * 4, schema)], schema=schema)
 
@@ -421,16 +387,19 @@ def spans(size: int, marks: np.ndarray, copy: bool) -> list[tuple[int, int]]:
 
 def _cut(texts: pa.Table, marked: pa.Table) -> pa.Table:
     """doc_id, n_bytes, removed, kept and __carried of the documents of a group."""
-    copies, key, t = _asked(marked)
+    copies, told = _asked(marked)
+    key = np.repeat(_joined(told, "numbers", np.uint32), _joined(told, "counts", np.uint32))
     order = np.argsort(key, kind="stable")
-    key, marks = key[order], t["join"]("marks", np.uint32).reshape(-1, 2)[order]
+    key, marks = key[order], _joined(told, "marks", np.uint32).reshape(-1, 2)[order]
+    numbers, at_row = _numbers(texts.column("key").to_numpy()), 0
     kind = pa.list_(pa.struct([("start", pa.int64()), ("end", pa.int64())]))
     schema = pa.schema([("doc_id", pa.int64()), ("n_bytes", pa.int64()), ("removed", kind), ("kept", pa.binary()), ("__carried", texts.schema.field("__carried").type)])
     out = []
     for batch in slices(texts.select(["doc_id", "text", "key", "__carried"]).to_batches(), most=4 << 20):
         data, offsets = raw(batch.column(1))
-        data, doc_key = data.tobytes(), batch.column(2).to_numpy()
-        first, last, copy = np.searchsorted(key, doc_key, side="left"), np.searchsorted(key, doc_key, side="right"), np.isin(doc_key, copies)
+        own, at_row = numbers[at_row : at_row + batch.num_rows], at_row + batch.num_rows
+        data, copy = data.tobytes(), np.isin(batch.column(2).to_numpy(), copies)
+        first, last = np.searchsorted(key, own, side="left"), np.searchsorted(key, own, side="right")
         kept, removed = [], []
         for i in range(batch.num_rows):
             text = data[offsets[i] : offsets[i + 1]]
@@ -458,18 +427,21 @@ def without_repeats(docs: DataFrame, carry: list[str] | None = None) -> DataFram
     unused = "_" * (1 + max((len(c) for c in carry), default=0))  # longer than any name that is carried
     carried = F.struct(F.lit(0).alias(unused), *carry).alias("__carried")  # names of their own cannot clash
     rows = docs.select("doc_id", "text", carried, *text_keys[:2]).withColumn("group", group)
-    sent = rows.filter("doc_id IS NOT NULL AND text IS NOT NULL").select("key", "text", "deal").mapInArrow(_sent_hashes(buckets), "bucket int, keys binary, counts binary, low binary, high binary")
-    shared = sent.repartition(buckets, "bucket").groupBy("bucket").applyInArrow(_shared(buckets, groups), "group long, bucket int, keys binary, counts binary, low binary, high binary")
     firsts = prints.groupBy("c1", "c2").agg(F.min("doc_id").alias("first"), F.count("*").alias("n")).filter("n > 1").drop("n")
     copies = with_keys(prints.select("doc_id", "key", group, "c1", "c2"), firsts, ["c1", "c2"])
     copies = materialised(copies.filter("doc_id > first").select("group", F.col("key").alias("copy")).distinct())
     dealt = rows.repartition(groups, "group").groupBy("group")
 
+    def by_group(packed: DataFrame) -> DataFrame:
+        return packed.repartition(groups, "group").groupBy("group")
+
     def with_copies(packed: DataFrame) -> DataFrame:
-        return packed.unionByName(copies, allowMissingColumns=True).repartition(groups, "group").groupBy("group")
+        return by_group(packed.unionByName(copies, allowMissingColumns=True))
 
-    contexts = dealt.cogroup(with_copies(shared)).applyInArrow(_sent_contexts(buckets), "bucket int, keys binary, docs binary, counts binary, pos binary, size binary, slice binary, bytes binary")
-    matched = contexts.repartition(buckets, "bucket").groupBy("bucket").applyInArrow(_matched(groups), "group long, keys binary, counts binary, marks binary")
+    sent = dealt.cogroup(by_group(copies)).applyInArrow(_sent_hashes(buckets), "group long, bucket int, low binary, high binary, several binary")
+    shared = sent.repartition(buckets, "bucket").groupBy("bucket").applyInArrow(_shared, "group long, bucket int, low binary, high binary")
+    contexts = dealt.cogroup(with_copies(shared)).applyInArrow(_sent_contexts(buckets), "group long, bucket int, numbers binary, docs binary, counts binary, pos binary, size binary, slice binary, bytes binary")
+    matched = contexts.repartition(buckets, "bucket").groupBy("bucket").applyInArrow(_marks, "group long, numbers binary, counts binary, marks binary")
     kind = StructType.fromDDL("doc_id long, n_bytes long, removed array<struct<start:long,end:long>>, kept binary")
     out = dealt.cogroup(with_copies(matched)).applyInArrow(_cut, StructType([*kind.fields, rows.schema["__carried"]]))
     return out.select("doc_id", "n_bytes", "removed", "kept", *(F.col("__carried")[c].alias(c) for c in carry))

@@ -6,6 +6,7 @@ from collections import Counter, defaultdict
 
 import duckdb
 import numpy as np
+import pyarrow as pa
 import pandas as pd
 import pytest
 from pyspark.sql import functions as F
@@ -106,6 +107,22 @@ def test_repeats_equal_brute_force(spark, monkeypatch, group_bytes):
     assert any(w[0] for w in want.values())
 
 
+def test_hashes_of_repeats_do_not_grow_with_the_buckets():
+    rng = np.random.default_rng(3)
+    texts = [" ".join(rng.choice(["alpha", "beta", "gamma", "delta", "omega"], 300)) for _ in range(40)] * 2
+    ids = list(range(80))
+    table = pa.table({"doc_id": pa.array(ids, pa.int64()), "text": texts, "key": pa.array(ids, pa.int64()), "group": pa.array([0] * 80, pa.int64())})
+    copies = pa.table({"group": pa.array([0] * 40, pa.int64()), "copy": pa.array(ids[40:], pa.int64())})
+    size, held = {}, {}
+    for buckets in (1, 64):
+        sent = repeats._sent_hashes(buckets)(table, copies)
+        size[buckets] = sum(len(x) for n in ("low", "high", "several") for x in sent.column(n).to_pylist())
+        held[buckets] = sum(len(x) for x in sent.column("high").to_pylist())
+        alone = repeats._sent_hashes(buckets)(table.slice(0, 40), copies.slice(0, 0))
+        assert sent == alone  # whole copies send nothing
+    assert held[1] == held[64] and size[64] < 1.05 * size[1]
+
+
 def test_packing_is_a_round_trip(spark):
     from tokenizers import Tokenizer
 
