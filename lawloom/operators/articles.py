@@ -136,10 +136,12 @@ def law_taxa(records: DataFrame, law: str, columns: list[str] = TAXA, clauses: d
     for the columns of clauses article_<column>_clause, each tag with its addresses and clauses.
 
     Tags of all columns are taken apart once, as (law, column, tag, article, address), and three aggregates make the texts of all
-    columns; a pivot by law sets them side by side. A law without tags of a column has an empty list and nulls.
+    columns; pivots by law set them side by side. Records are dealt by law before they are taken apart, so that none of these steps
+    moves rows again. A law without tags of a column has an empty list and nulls.
     """
     each = F.explode(F.array(*[F.struct(F.lit(c).alias("column"), F.col(c).alias("tags")) for c in columns])).alias("e")
-    rows = records.select(law, trimmed_id(F.col("id")).alias("article"), F.col(url).alias("url"), each).select(law, "article", "url", "e.column", F.explode("e.tags").alias("tag")).distinct()
+    told_of = records.select(law, trimmed_id(F.col("id")).alias("article"), F.col(url).alias("url"), *columns).repartition(law)
+    rows = told_of.select(law, "article", "url", each).select(law, "article", "url", "e.column", F.explode("e.tags").alias("tag")).distinct()
     tags = rows.groupBy(law, "column").agg(F.array_sort(F.collect_set("tag")).alias("tags"))
 
     def told(inner: str, title: Column, lines: Column, name: Column) -> DataFrame:
@@ -150,16 +152,18 @@ def law_taxa(records: DataFrame, law: str, columns: list[str] = TAXA, clauses: d
 
     own = F.concat(F.lit("["), F.array_join(F.array_sort(F.collect_set("tag")), "; "), F.lit("]"))
     addresses = F.array_join(F.transform(F.array_sort(F.collect_set(F.struct(natural_key(F.col("url")).alias("k"), "url"))), lambda x: x["url"]), "\n")
-    texts = told("article", F.col("article"), own, F.concat(F.lit("article_"), "column"))
-    texts = texts.unionByName(told("tag", F.concat(F.lit("["), "tag", F.lit("]")), addresses, F.concat("column", F.lit("_article"))))
-    fields = [f"article_{c}" for c in columns] + [f"{c}_article" for c in columns]
+    wide = [
+        (told("article", F.col("article"), own, F.concat(F.lit("article_"), "column")), [f"article_{c}" for c in columns]),
+        (told("tag", F.concat(F.lit("["), "tag", F.lit("]")), addresses, F.concat("column", F.lit("_article"))), [f"{c}_article" for c in columns]),
+    ]
+    wide = [texts.groupBy(law).pivot("field", fields).agg(F.first("text")) for texts, fields in wide]
     for c, clause in clauses.items():
         found = tag_clauses(records, law, c, clause, url).groupBy(law).agg(F.array_sort(F.collect_list(F.struct("tag", "text"))).alias("items"))
-        texts = texts.unionByName(found.select(law, F.lit(f"article_{c}_clause").alias("field"), F.array_join(F.transform("items", lambda x: F.concat(F.lit("["), x["tag"], F.lit("]\n"), x["text"])), "\n\n").alias("text")))
-        fields.append(f"article_{c}_clause")
-    wide = texts.groupBy(law).pivot("field", fields).agg(F.first("text"))
+        wide.append(found.select(law, F.array_join(F.transform("items", lambda x: F.concat(F.lit("["), x["tag"], F.lit("]\n"), x["text"])), "\n\n").alias(f"article_{c}_clause")))
     lists = tags.groupBy(law).pivot("column", columns).agg(F.first("tags"))
     none = F.array().cast("array<string>")
     lists = lists.select(law, *[(_ranked(F.coalesce(c, none), RANKS[c]) if c in RANKS else F.coalesce(c, none)).alias(c) for c in columns])
-    every = records.select(law).distinct()
-    return every.join(lists, law, "left").join(wide, law, "left").withColumns({c: F.coalesce(c, none) for c in columns})
+    out = records.select(law).distinct().join(lists, law, "left")
+    for texts in wide:
+        out = out.join(texts, law, "left")
+    return out.withColumns({c: F.coalesce(c, none) for c in columns})
