@@ -33,11 +33,14 @@ def owned(records: DataFrame, tags: str) -> DataFrame:
     Every record meets the five keys that its own id can begin with, never other records.
     """
     parts = F.split("id", "_")
+    # an id and the keys that it begins with share their first four parts, so one exchange by these serves all steps
+    base = F.array_join(F.slice(parts, 1, 4), "_")
     keys = F.array_distinct(F.array(*[F.array_join(F.slice(parts, 1, 4 + n), "_") for n in sorted(set(OWNERS.values()))]))
-    given = records.select(F.explode(keys).alias("key"), tags).select("key", F.explode(tags).alias("tag")).distinct()
-    union = given.groupBy("key").agg(F.array_sort(F.collect_list("tag")).alias(tags))
-    owners = records.select("record_id", hierarchy_key(F.col("id"), F.col("record_type")).alias("key")).filter("key IS NOT NULL")
-    return owners.join(union, "key", "left").select("record_id", F.coalesce(tags, F.array().cast("array<string>")).alias(tags))
+    dealt = records.select("record_id", base.alias("__base"), keys.alias("keys"), hierarchy_key(F.col("id"), F.col("record_type")).alias("key"), tags).repartition("__base")
+    given = dealt.select("__base", F.explode("keys").alias("key"), tags)
+    union = given.groupBy("__base", "key").agg(F.array_sort(F.array_compact(F.array_distinct(F.flatten(F.collect_set(tags))))).alias(tags))
+    owners = dealt.select("record_id", "__base", "key").filter("key IS NOT NULL")
+    return owners.join(union, ["__base", "key"], "left").select("record_id", F.coalesce(tags, F.array().cast("array<string>")).alias(tags))
 
 
 def written_back(records: DataFrame, aggregates: DataFrame, column: str) -> DataFrame:

@@ -109,6 +109,7 @@ def exchanges(df):
 
 #: Per operator of articles: its rows, the most exchanges of its plan, and what it gives.
 ARTICLES = {
+    "owned": (lambda r: articles.owned(r, "tags"), 2, {"1": ["a", "b"], "2": ["a", "b"], "3": []}),
     "law_taxa": (lambda r: articles.law_taxa(r, "law", ["tags"], {}).select("law", "tags_article"), 4, {"UK_uksi_2001_1": "[a]\nu/2\n\n[b]\nu/1\nu/2", "UK_uksi_2001_2": None}),
 }
 
