@@ -88,11 +88,12 @@ def with_changes(records: DataFrame, codes: DataFrame, law: str) -> DataFrame:
 
     Only codes that the law has count; a code is followed by a blank in the text.
     """
-    found = records.select(law, "record_id", F.explode(F.array_distinct(F.regexp_extract_all("text", F.lit(r"\b([FCIEX]\d+) "), F.lit(1)))).alias("code"))
-    valid = found.join(codes.select(law, "code").distinct(), [law, "code"])
-    item = F.struct((-F.substring("code", 2, 20).cast("long")).alias("n"), "code")
-    held = valid.groupBy("record_id").agg(F.transform(F.array_sort(F.collect_list(item)), lambda x: x["code"]).alias("changes"))
-    return records.join(held, "record_id", "left").withColumn("changes", F.coalesce("changes", F.array().cast("array<string>")))
+    known = codes.select(law, "code").repartition(law).groupBy(law).agg(F.collect_set("code").alias("__known"))
+    own = F.array_distinct(F.regexp_extract_all("text", F.lit(r"\b([FCIEX]\d+) "), F.lit(1)))
+    item = lambda c: F.struct((-F.substring(c, 2, 20).cast("long")).alias("n"), c.alias("code"))
+    valid = F.array_intersect(own, F.coalesce("__known", F.array().cast("array<string>")))
+    changes = F.transform(F.array_sort(F.transform(valid, item)), lambda x: x["code"])
+    return records.repartition(law).join(known, law, "left").withColumn("changes", F.coalesce(changes, F.array().cast("array<string>"))).drop("__known")
 
 
 def change_articles(records: DataFrame, law: str) -> DataFrame:
