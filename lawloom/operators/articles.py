@@ -66,8 +66,8 @@ def law_tags(records: DataFrame, law: str, columns: list[str]) -> DataFrame:
 
 def article_tags(records: DataFrame, law: str, tags: str) -> DataFrame:
     """Text by law: each article (id without its region) in natural order, and the tags of its records: 'article\\n[tag; tag]'."""
-    rows = records.select(law, trimmed_id(F.col("id")).alias("article"), F.explode(tags).alias("tag")).distinct()
-    one = rows.groupBy(law, "article").agg(F.array_join(F.array_sort(F.collect_list("tag")), "; ").alias("tags"))
+    rows = records.select(law, trimmed_id(F.col("id")).alias("article"), tags).filter(F.size(tags) > 0).repartition(law)
+    one = rows.groupBy(law, "article").agg(F.array_join(F.array_sort(F.array_distinct(F.flatten(F.collect_set(tags)))), "; ").alias("tags"))
     item = F.struct(natural_key(F.col("article")).alias("k"), F.concat("article", F.lit("\n["), "tags", F.lit("]")).alias("text"))
     two = one.groupBy(law).agg(F.array_sort(F.collect_list(item)).alias("items"))
     return two.select(law, F.array_join(F.transform("items", lambda x: x["text"]), "\n\n").alias("text"))
