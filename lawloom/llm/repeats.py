@@ -208,7 +208,10 @@ def _sent_hashes(buckets: int):
         for b in np.flatnonzero(np.diff(edges)):
             at = order[edges[b] : edges[b + 1]]
             rows.append((group, int(b), v[at].astype(np.uint32).tobytes(), (v[at] >> np.uint64(32)).astype(np.uint8).tobytes(), np.packbits(several[at]).tobytes()))
-        return pa.table([pa.array(c, f.type) for c, f in zip(zip(*rows) if rows else [[]] * 5, schema)], schema=schema)
+        out = pa.table([pa.array(c, f.type) for c, f in zip(zip(*rows) if rows else [[]] * 5, schema)], schema=schema)
+        del held, h, n, v, bucket, several, order, rows
+        give_back()
+        return out
 
     return work
 
@@ -244,7 +247,10 @@ def _shared(table: pa.Table) -> pa.Table:
     edges = _runs_of(group)
     for a, b in zip(edges[:-1], edges[1:]):
         rows.append((int(group[a]), bucket, v[a:b].astype(np.uint32).tobytes(), (v[a:b] >> np.uint64(32)).astype(np.uint8).tobytes()))
-    return pa.table([pa.array(c, f.type) for c, f in zip(zip(*rows) if rows else [[]] * 4, schema)], schema=schema)
+    out = pa.table([pa.array(c, f.type) for c, f in zip(zip(*rows) if rows else [[]] * 4, schema)], schema=schema)
+    del t, several, order, s, same, hit, group, v, rows
+    give_back()
+    return out
 
 
 def _asked(table: pa.Table) -> tuple[np.ndarray, pa.Table]:
@@ -296,7 +302,10 @@ def _sent_contexts(buckets: int):
             where = np.repeat(start - (np.cumsum(size) - size), size) + np.arange(size.sum())
             held.append((own, batch.column(0).fill_null(0).to_numpy(), doc, c, start - offsets[doc], size, data[where]))
         rows = list(packed(texts.column("group")[0].as_py(), held)) if held else []
-        return pa.table([pa.array(c, f.type) for c, f in zip(zip(*rows) if rows else [[]] * 9, schema)], schema=schema)
+        out = pa.table([pa.array(c, f.type) for c, f in zip(zip(*rows) if rows else [[]] * 9, schema)], schema=schema)
+        del held, rows, codes, numbers, bucket, told
+        give_back()
+        return out
 
     return work
 
