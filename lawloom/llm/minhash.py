@@ -5,10 +5,11 @@
 2. Classes that share a band key are joined to the smallest of the key (a star, not
    all pairs); connected components of these stars are the candidate clusters. Most
    of them fit into one block of about BLOCK classes, which is one task.
-3. Larger clusters are crowds, and there a band key decides who meets: in ROUNDS
-   rounds every class meets one hub of each of its keys, block by block, and what that
-   connects needs no comparison any more. Then only classes outside the largest
-   component of a key meet the others of the key, pairs of blocks being the tasks.
+3. Larger clusters are crowds, and there a band key that several classes share decides
+   who meets: first every class meets one hub of one of its keys, then in ROUNDS rounds
+   one hub of each key, block by block, and what that connects needs no comparison any
+   more. Then only classes outside the largest component of a key meet the others of the
+   key, pairs of blocks being the tasks.
 4. In a task, pairs that share a band are compared STEP hashes at a time and
    dropped once the posterior probability of a similarity at the threshold falls
    below MISS; the survivors are confirmed on their full sets, best first, unless
@@ -43,7 +44,7 @@ MISS = 1e-6
 #: Most classes, and about the most shingles, of a block.
 BLOCK = 256
 SHINGLES = 1 << 20
-#: Rounds in which the classes of a crowd meet a hub of each key.
+#: Rounds in which the classes of a crowd meet a hub of each key, after one in which they meet one hub alone.
 ROUNDS = 1
 
 _RNG = np.random.default_rng(55)
@@ -238,13 +239,14 @@ def _numbers(n: Column) -> Column:
 def crowded_links(keys: DataFrame, texts: DataFrame, size: int, percent: int) -> DataFrame:
     """Confirmed links of crowds, from (key, rep, weight): the band keys and shingles of their classes.
 
-    In each of ROUNDS rounds every class meets one hub of each of its keys, in blocks; what the links connect is known
-    from then on, so a group of near copies is one component after a round or two. In the end the classes of a key
+    In the first round every class meets one hub, the least of the hubs of its keys by a hash, so classes that share many
+    keys meet the same one; in each of ROUNDS more it meets the hubs of all its keys, in blocks. What the links connect is
+    known from then on, so a group of near copies is one component after a round or two. In the end the classes of a key
     outside its largest component meet all classes of the key that they are not connected with, block by block.
     """
     found = None
     members = keys.withColumn("known", F.col("rep"))
-    for turn in range(ROUNDS + 1):
+    for turn in range(ROUNDS + 2):
         if found is not None:
             parts = components(found)
             members = keys.join(parts.withColumnRenamed("node", "rep"), "rep", "left").withColumn("known", F.coalesce("component", "rep")).drop("component")
@@ -252,11 +254,15 @@ def crowded_links(keys: DataFrame, texts: DataFrame, size: int, percent: int) ->
         by = members.groupBy("key", "known").agg(F.count("*").alias("c"), F.sum("weight").alias("w"))
         main = F.max_by(F.struct("known", "c", "w"), F.struct("c", "known")).alias("main")
         by = by.groupBy("key").agg(main, F.sum("c").alias("n"), F.sum("w").alias("w"), F.count("*").alias("parts")).filter("parts > 1")
-        if turn < ROUNDS:
+        if turn <= ROUNDS:
             order = F.xxhash64(F.lit(turn), "rep")
             hubs = members.groupBy("key").agg(F.min_by("rep", order).alias("hub"), F.min_by("known", order).alias("of_hub"))
             pairs = with_keys(members, hubs.join(by.select("key"), "key", "left_semi"), ["key"])
-            pairs = materialised(pairs.filter("known <> of_hub").select("rep", "known", "weight", "hub", "of_hub").distinct())
+            pairs = pairs.filter("known <> of_hub").select("rep", "known", "weight", "hub", "of_hub").distinct()
+            if turn == 0:
+                least = F.min_by(F.struct("hub", "of_hub"), F.struct(F.xxhash64(F.lit(turn), "hub"), "hub"))
+                pairs = pairs.groupBy("rep", "known", "weight").agg(least.alias("least")).select("rep", "known", "weight", "least.*")
+            pairs = materialised(pairs)
             counted = pairs.groupBy("hub", "of_hub").agg(F.count("*").alias("n"), F.sum("weight").alias("w"))
             cut = counted.select("hub", "of_hub", blocks_of(F.col("n"), F.col("w")).alias("blocks"))
             with_blocks = with_keys(pairs.drop("of_hub"), cut.drop("of_hub"), ["hub"])
@@ -285,7 +291,8 @@ def links(docs: DataFrame, classes: DataFrame, size: int, percent: int) -> DataF
     """(a, b): confirmed links that connect all linked classes; classes: rep, bands and weight (shingles)."""
     keys = classes.select("rep", "weight", F.explode("bands").alias("key"))
     hubs = keys.groupBy("key").agg(F.min("rep").alias("hub"), F.count("*").alias("n")).filter("n > 1")
-    stars = with_keys(keys, hubs.drop("n"), ["key"]).filter("rep <> hub").select(F.col("rep").alias("a"), F.col("hub").alias("b"))
+    keys = materialised(with_keys(keys, hubs.drop("n"), ["key"]))  # keys that several classes share
+    stars = keys.filter("rep <> hub").select(F.col("rep").alias("a"), F.col("hub").alias("b"))
     clusters = components(stars)
     sized = clusters.join(classes.groupBy("rep").agg(F.sum("weight").alias("weight")), F.col("node") == F.col("rep"))
     counted = sized.groupBy("component").agg(blocks_of(F.count("*"), F.sum("weight")).alias("blocks"))
@@ -295,7 +302,7 @@ def links(docs: DataFrame, classes: DataFrame, size: int, percent: int) -> DataF
     found = confirmed(small.select(*_task(F.col("component"), F.lit(0), F.lit(0), F.lit(0))), texts, size, percent)
     crowd = materialised(members.filter("blocks > 1").select("rep"))
     if not crowd.isEmpty():
-        found = found.unionByName(crowded_links(materialised(keys.join(crowd, "rep").distinct()), texts, size, percent))
+        found = found.unionByName(crowded_links(materialised(keys.drop("hub").join(crowd, "rep").distinct()), texts, size, percent))
     return found
 
 

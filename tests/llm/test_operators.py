@@ -123,6 +123,28 @@ def test_hashes_of_repeats_do_not_grow_with_the_buckets():
     assert held[1] == held[64] and size[64] < 1.05 * size[1]
 
 
+def test_classes_of_a_crowd_meet_one_hub_first(spark, monkeypatch):
+    monkeypatch.setattr(minhash, "BLOCK", 64)
+    rng = np.random.default_rng(4)
+    base = [f"w{k}" for k in range(120)]
+    texts = []
+    for _ in range(300):
+        own = list(base)
+        own[rng.integers(120)] = f"x{rng.integers(10**9)}"
+        texts.append(" ".join(own))
+    rows, confirmed = [], minhash.confirmed
+
+    def counted(tasks, *rest):
+        rows.append(tasks.count())
+        return confirmed(tasks, *rest)
+
+    monkeypatch.setattr(minhash, "confirmed", counted)
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    got = minhash.near_duplicates(docs, 5, 80).toPandas()
+    assert set(got.component_id) == {0}
+    assert sum(rows) < 4 * len(texts)  # each key's hub at once: many times as many
+
+
 def test_packing_is_a_round_trip(spark):
     from tokenizers import Tokenizer
 
