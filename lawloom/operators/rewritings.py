@@ -15,6 +15,9 @@ CONTENTS = r"^(?:Inhaltsverzeichnis|INHALTSVERZEICHNIS)"
 ONE_LINE = [r"^§ \d+\.? [A-ZÄÖÜ]", r"^\d+\. Abschnitt: ", r"^Anhang ?\d?: [A-Z]"]
 TWO_LINES = [(r"^§ \d+\.$", r"^[A-ZÄÖÜ]"), (r"^Anhang [A-Z]:$", r"^[^\[\n]")]
 
+_CONTENTS, _ONE_LINE = re.compile(CONTENTS), re.compile("|".join(ONE_LINE))
+_TWO_LINES = [(re.compile(p), re.compile(q)) for p, q in TWO_LINES]
+
 
 def fixpoint(text: str, rules: list[tuple[str, str]]) -> str:
     """The text rewritten by the first rule that changes it, again and again, until none does. Rules that go round in circles raise."""
@@ -37,13 +40,13 @@ def contents_marked(text: str) -> str:
     rows, out, k, inside = text.split("\n"), [], 0, False
     while k < len(rows):
         row, following = rows[k], rows[k + 1] if k + 1 < len(rows) else None
-        if re.match(CONTENTS, row):
+        if _CONTENTS.match(row):
             inside, row = True, CONTENT + row
         elif row.startswith(CONTENT):
             inside = True
-        elif inside and any(re.match(p, row) for p in ONE_LINE):
+        elif inside and _ONE_LINE.match(row):
             row = CONTENT + row
-        elif inside and following is not None and not re.match(CONTENTS, following) and any(re.match(p, row) and re.match(q, following) for p, q in TWO_LINES):
+        elif inside and following is not None and not _CONTENTS.match(following) and any(p.match(row) and q.match(following) for p, q in _TWO_LINES):
             row, k = f"{CONTENT}{row} {following}", k + 1
         else:
             inside = False

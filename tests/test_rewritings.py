@@ -44,3 +44,14 @@ def test_patches_of_single_laws(spark):
     got = sorted(((r.law or ""), r.text or "") for r in rw.patched(texts, patches, "law").collect())
     assert got == [("", "one"), ("a", ""), ("a", "I two"), ("b", "one two")]
     assert rw.patched(texts, patches.limit(0), "law").count() == 4
+
+
+def test_patterns_of_contents_are_compiled_once(monkeypatch):
+    def looked_up(*_, **__):
+        raise AssertionError("a pattern is looked up for each line")
+
+    text = "Inhaltsverzeichnis\n§ 1. Zweck\n§ 2.\nGeltung\nEnde"
+    with monkeypatch.context() as m:
+        m.setattr(rw.re, "match", looked_up)
+        got = rw.contents_marked(text)
+    assert got == "[::content::]Inhaltsverzeichnis\n[::content::]§ 1. Zweck\n[::content::]§ 2. Geltung\nEnde"
