@@ -4,6 +4,7 @@ import random
 
 import pytest
 
+from lawloom.functions.spread import spread
 from lawloom.operators import annotations as an
 from lawloom.sources import acts
 
@@ -98,3 +99,19 @@ def test_no_page_is_too_deep_or_too_broken():
     deep = '<div class="DocContainer">' + "<div><p class='LegText'>x" * 20_000
     assert acts.page_text(deep).count("x") == 20_000
     assert acts.page_text('<div class="DocContainer"><p class="LegText">a &amp; b<b>c</p></i>d') .split("\n")[0] == "a & b c"
+
+
+def test_pages_of_a_small_file_are_dealt_to_many_tasks(spark):
+    """A file of a few narrow rows is one task, whatever its pages cost."""
+    pages = spark.range(64).coalesce(1).selectExpr("id AS law", "'<div class=DocContainer><p>x</p></div>' AS html")
+    lines = acts.law_lines(pages, "law")
+    assert "REPARTITION_BY_NUM" in lines._jdf.queryExecution().executedPlan().toString()
+    assert spread(pages).rdd.getNumPartitions() >= 4 * spark.sparkContext.defaultParallelism
+    assert lines.count() == 64
+
+
+def test_rules_of_an_element_are_looked_up_once():
+    acts._rules_of.cache_clear()
+    for n in range(20):
+        acts.page_text(PAGE.replace("section-1", f"section-{n}"))
+    assert acts._rules_of.cache_info().misses < acts._rules_of.cache_info().hits / 10
