@@ -57,6 +57,7 @@ def scratch(spark: SparkSession, name: str) -> str:
 
 def give_back() -> None:
     """Return memory that a task no longer uses: workers live on, and what they hold counts for the next task as well."""
+    _POWERS.clear()
     pa.default_memory_pool().release_unused()
     if hasattr(_C, "malloc_trim"):
         _C.malloc_trim(0)

@@ -29,7 +29,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import contractions, scratch, slices, valid
+from .common import contractions, give_back, scratch, slices, valid
 
 LENGTH = 4096
 END = 2
@@ -87,10 +87,11 @@ class Words:
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
-        rules = json.loads(self.tokenizer.to_str())
+        # only what is compared: the whole file as objects is many times its vocabulary
+        rules = [None if part is None else json.loads(part.__getstate__()) for part in (self.tokenizer.normalizer, self.tokenizer.pre_tokenizer)]
         self.width = 2 if self.tokenizer.get_vocab_size() <= 1 << 16 else 4
         self.kind = f"<u{self.width}"
-        self.by_words = (rules["normalizer"], rules["pre_tokenizer"]) == (NORMALIZER, PRE_TOKENIZER)
+        self.by_words = rules == [NORMALIZER, PRE_TOKENIZER]
         self.known: dict[bytes, bytes] = {}
 
     def _ids(self, piece: bytes, whole: bool) -> bytes:
@@ -203,7 +204,7 @@ def tokenised(docs: DataFrame, tokenizer: str | None, end: int = END) -> DataFra
     def work(batches):
         words, press = remembering(tokenizer or default_tokenizer()), zstandard.ZstdCompressor(level=1)
         last = np.array([end], words.kind).tobytes()
-        for batch in slices(batches):
+        for batch in slices(batches, most=512 << 10):  # pieces take about 100 times the bytes of their text
             ids = [x + last for x in words.ids(batch.column(1))]
             out = [batch.column(0), batch.column(2), pa.array(places(ids, words.kind)), pa.array([len(x) // words.width for x in ids], pa.int64()), pa.array([press.compress(x) for x in ids], pa.binary())]
             yield pa.RecordBatch.from_arrays(out, ["doc_id", "content", "place", "doc_tokens", "packed"])
@@ -247,7 +248,7 @@ def pack(docs: DataFrame, tokenizer: str | None = None, length: int = LENGTH, en
                     if not left:
                         sequence, at, left = sequence + 1, 0, next(room, 0)
 
-        for record in batches:
+        for record in (batch.slice(at, 256) for batch in batches for at in range(0, batch.num_rows, 256)):
             for doc_id, total, packed in zip(*(record.column(record.schema.get_field_index(n)).to_pylist() for n in ("doc_id", "doc_tokens", "packed"))):
                 data = unpress.decompress(packed)
                 ids = np.frombuffer(data, f"<u{len(data) // total}").astype("<u4")
@@ -272,6 +273,7 @@ def pack(docs: DataFrame, tokenizer: str | None = None, length: int = LENGTH, en
             rows += whole(held, [1 << b for b in range(filled.bit_length() - 1, -1, -1) if filled >> b & 1])
         if rows:
             yield batch(rows)
+        give_back()
 
     return dealt.select("doc_id", "doc_tokens", "packed").mapInArrow(work, schema)
 
