@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import re
 from functools import lru_cache
+from re import _parser as parser
 
 import pandas as pd
 import regex
@@ -11,6 +12,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions import taxonomies as t
+from ..functions.spread import spread
 
 
 def matches_any(text: Column, patterns: list[str]) -> Column:
@@ -66,6 +68,43 @@ def _regex(pattern: str, flags: int) -> regex.Pattern:
     return regex.compile(pattern, flags)
 
 
+def _needed(items) -> list[str]:
+    """Strings of which every match of a parsed pattern holds at least one; none if nothing is told of it."""
+    ways, run = [], ""
+    for op, value in [*items, (None, None)]:
+        if op is parser.LITERAL:
+            run += chr(value)
+            continue
+        ways, run = ways + [[run]] * bool(run), ""
+        if op is parser.SUBPATTERN:
+            ways.append([] if value[1] & re.I else _needed(value[3]))
+        elif op is parser.BRANCH:
+            each = [_needed(x) for x in value[1]]
+            ways.append([x for found in each for x in found] if all(each) else [])
+        elif op in (parser.MAX_REPEAT, parser.MIN_REPEAT) and value[0]:
+            ways.append(_needed(value[2]))
+    return max(ways, key=lambda found: min(map(len, found), default=0), default=[])
+
+
+@lru_cache(16384)
+def needed(pattern: str) -> tuple[str, ...]:
+    """Strings of which every text that the pattern matches holds at least one; none if the pattern tells no such strings.
+
+    Looking for strings takes a small part of the time of a search, and most texts hold few classes.
+    """
+    found = _needed(parser.parse(pattern))
+    return tuple(found) if min(map(len, found), default=0) > 2 else ()
+
+
+def may_match(text: str, strings: tuple[str, ...]) -> bool:
+    if not strings:
+        return True
+    for x in strings:
+        if x in text:
+            return True
+    return False
+
+
 def consumed(table: dict[str, list[str]], before: list[str] = (), edges: bool = False):
     """An Arrow function from texts to the names of the classes they hold, each class taking its matches out of the text before the next one looks.
 
@@ -74,7 +113,7 @@ def consumed(table: dict[str, list[str]], before: list[str] = (), edges: bool =
     patterns = [(n, actor_pattern(p) if edges else "|".join(f"(?:{x})" for x in p)) for n, p in table.items()]
 
     def fold(texts: pd.Series) -> pd.Series:
-        compiled = [(n, _python(p, re.M)) for n, p in patterns]
+        compiled = [(n, needed(t.python(p)), _python(p, re.M)) for n, p in patterns]
         gone = [_python(p, re.M) for p in before]
 
         def one(text: str | None) -> list[str]:
@@ -82,10 +121,11 @@ def consumed(table: dict[str, list[str]], before: list[str] = (), edges: bool =
             for p in gone:
                 text = p.sub("", text)
             found = []
-            for name, p in compiled:
-                text, n = p.subn("", text)
-                if n:
-                    found.append(name)
+            for name, strings, p in compiled:
+                if may_match(text, strings):
+                    text, n = p.subn("", text)
+                    if n:
+                        found.append(name)
             return found
 
         return texts.map(one)
@@ -114,12 +154,12 @@ def generic_kinds():
     patterns = [(n, p) for n, ps in t.KINDS.items() for p in ps]
 
     def fold(texts: pd.Series) -> pd.Series:
-        compiled = [(n, _python(p, 0), _python(p, re.M)) for n, p in patterns]
+        compiled = [(n, needed(t.python(p)), _python(p, 0), _python(p, re.M)) for n, p in patterns]
 
         def one(text: str | None) -> list[str]:
             text, found = text or "", {}
-            for name, test, take in compiled:
-                if test.search(text):
+            for name, strings, test, take in compiled:
+                if may_match(text, strings) and test.search(text):
                     found[name] = True
                     text = take.sub("", text)
             return list(found)
@@ -148,7 +188,8 @@ def role_holders(role: str, actors: dict[str, list[str]]):
             if actor not in compiled:
                 own = known[actor]
                 rules = t.HE_DUTY if role == "duty" and own == he else t.ROLES[role]
-                compiled[actor] = [(_regex(t.python(p.replace("@", own)), regex.M), take) for p, take in rules]
+                whole = [(t.python(p.replace("@", own)), take) for p, take in rules]
+                compiled[actor] = [(needed(p), _regex(p, regex.M), take) for p, take in whole]
             return compiled[actor]
 
         def one(text: str | None, names) -> dict:
@@ -158,8 +199,8 @@ def role_holders(role: str, actors: dict[str, list[str]]):
             for actor in names if names is not None else []:
                 if actor not in known:
                     continue
-                for p, take in patterns(actor):
-                    m = p.search(text)
+                for strings, p, take in patterns(actor):
+                    m = p.search(text) if may_match(text, strings) else None
                     if m:
                         holders.insert(0, actor)
                         clauses.insert(0, f"{role.upper()}\n👤{actor}\n📌{m[0]}\n")
@@ -217,7 +258,7 @@ def without_unbinding(records: DataFrame) -> DataFrame:
 def provisions(records: DataFrame, text: str = "text") -> DataFrame:
     """Records with actors, role holders, kinds and themes of their text."""
     c = F.col(text)
-    out = with_roles(records.withColumns({"duty_actor": governed(c), "duty_actor_gvt": government(c)}), text)
+    out = with_roles(spread(records).withColumns({"duty_actor": governed(c), "duty_actor_gvt": government(c)}), text)
     return out.withColumn("popimar", themes(c, F.col("duty_type")))
 
 

@@ -25,6 +25,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import ArrayType, StringType, StructField, StructType
 
 from ..functions.identities import lookup
+from ..functions.spread import spread
 from ..functions.titles import slug
 from .fuzzy import jaro
 from .rules import DISAPPLIES, OUTSIDE, fit_id, persons, processes, rule_scope
@@ -197,7 +198,7 @@ def parsed(rules: DataFrame, rule: str = "rule", kind: str = "category") -> Data
     """
     text, category = F.col(rule), F.col(kind)
     read = F.when(category.isin("applies-to", "disapplies-to"), F.when(text.rlike(QUALIFIED), "qualified").otherwise(category))
-    out = rules.withColumn("_captured", _captured(text, read))
+    out = spread(rules).withColumn("_captured", _captured(text, read))
     at = lambda f: F.array_position("_captured.fields", f)
     phrase = lambda f: F.when(at(f) > 0, F.element_at("_captured.phrases", at(f).cast("int")))
     none = F.when(F.col("_captured.fields").isNotNull(), F.array().cast("array<string>"))
