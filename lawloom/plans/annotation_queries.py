@@ -8,6 +8,7 @@ from ..functions import identities as ids
 from ..functions import provisions as pv
 from ..functions import texts as tx
 from ..functions import titles as tt
+from ..functions.spread import spread
 from ..operators import amendments as am
 from ..operators import annotations as an
 from ..operators import categories as ca
@@ -36,7 +37,7 @@ def annotated_sections(spark, sf_dir):
     clause = F.concat(code, F.lit("S. "), n, F.lit(" substituted (1.1.2000) by an Act"))
     section = F.concat(F.lit("["), code, n.cast("string"), F.lit(" "), one_of(TITLES, F.col("l_partkey")), F.lit("."), one_of(REGIONS, F.col("l_suppkey")))
     both = F.struct(n.alias("n"), F.concat_ws("\n", clause, section).alias("rows"))
-    acts = read(spark, sf_dir, "lineitem").groupBy("l_orderkey").agg(F.array_sort(F.collect_list(both)).alias("rows"))
+    acts = spread(read(spark, sf_dir, "lineitem").select("l_orderkey", both.alias("both")), "l_orderkey").groupBy("l_orderkey").agg(F.array_sort(F.collect_list("both")).alias("rows"))
     texts = acts.select("l_orderkey", F.array_join(F.transform("rows", lambda x: x["rows"]), "\n").alias("text"))
     return an.components(an.annotated(texts), "l_orderkey")
 

@@ -6,6 +6,9 @@ import re
 from lawloom.functions import taxonomies as t
 from lawloom.operators import classifiers as cl
 from lawloom.operators import fitness as ft
+from lawloom.plans import annotation_queries
+
+from .conftest import SF
 
 
 def plan(df):
@@ -24,6 +27,10 @@ def test_rules_of_a_small_file_are_dealt_to_many_tasks(spark):
     assert "REPARTITION_BY_NUM" in plan(ft.parsed(rules))
 
 
+def test_acts_are_dealt_by_key_to_many_tasks(spark):
+    assert "REPARTITION_BY_NUM" in plan(annotation_queries.annotated_sections(spark, SF))
+
+
 def test_every_match_holds_a_needed_string():
     rng = random.Random(5)
     kinds = [p for ps in t.KINDS.values() for p in ps]
