@@ -9,7 +9,6 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.types import BinaryType, LongType, StructField, StructType
 
 from lawloom.llm import minhash, mixing, packing, quality_classifier, repeats
 from lawloom.llm.common import materialised, scratch
@@ -58,8 +57,7 @@ def repeated_strings(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataF
     had = free("had", rest)
     was = F.struct(F.col("text").isNull().alias("null"), F.coalesce(F.col("text").rlike(word), F.lit(False)).alias("words"))
     whole = docs.select("doc_id", "text", F.struct(was.alias(had), *rest).alias("__rest"))
-    cut = repeats.without_repeats(whole, ["__rest"]).select("doc_id", "removed", "kept", "__rest")
-    cut = cut.mapInArrow(repeats.whole_characters, StructType([StructField("doc_id", LongType()), StructField("kept", BinaryType()), cut.schema["__rest"]]))
+    cut = repeats.without_repeats(whole, ["__rest"], whole=True).select("doc_id", "kept", "__rest")
     was = F.col("__rest").getField(had)
     text = F.col("kept").cast("string")
     out = cut.select("doc_id", F.when(~was["words"] & was["null"], F.lit(None)).otherwise(text).alias("text"), "__rest").filter(~was["words"] | F.col("text").rlike(word))

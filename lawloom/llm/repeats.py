@@ -394,38 +394,64 @@ def spans(size: int, marks: np.ndarray, copy: bool) -> list[tuple[int, int]]:
     return list(zip(at[new].tolist(), (at[np.append(new[1:], len(at)) - 1] + LENGTH).tolist()))
 
 
-def _cut(texts: pa.Table, marked: pa.Table) -> pa.Table:
-    """doc_id, n_bytes, removed, kept and __carried of the documents of a group."""
-    copies, told = _asked(marked)
-    key = np.repeat(_joined(told, "numbers", np.uint32), _joined(told, "counts", np.uint32))
-    order = np.argsort(key, kind="stable")
-    key, marks = key[order], _joined(told, "marks", np.uint32).reshape(-1, 2)[order]
-    numbers, at_row = _numbers(texts.column("key").to_numpy()), 0
-    kind = pa.list_(pa.struct([("start", pa.int64()), ("end", pa.int64())]))
-    schema = pa.schema([("doc_id", pa.int64()), ("n_bytes", pa.int64()), ("removed", kind), ("kept", pa.binary()), ("__carried", texts.schema.field("__carried").type)])
-    out = []
-    for batch in slices(texts.select(["doc_id", "text", "key", "__carried"]).to_batches(), most=4 << 20):
-        data, offsets = raw(batch.column(1))
-        own, at_row = numbers[at_row : at_row + batch.num_rows], at_row + batch.num_rows
-        data, copy = data.tobytes(), np.isin(batch.column(2).to_numpy(), copies)
-        first, last = np.searchsorted(key, own, side="left"), np.searchsorted(key, own, side="right")
-        kept, removed = [], []
-        for i in range(batch.num_rows):
-            text = data[offsets[i] : offsets[i + 1]]
-            cut = spans(len(text), marks[first[i] : last[i]], bool(copy[i]))
-            ends = [0, *(b for _, b in cut)]
-            kept.append(b"".join(text[a:b] for a, b in zip(ends, [*(a for a, _ in cut), len(text)])))
-            removed.append([{"start": a, "end": b} for a, b in cut])
-        out.append(pa.RecordBatch.from_arrays([batch.column(0), pa.array(np.diff(offsets)), pa.array(removed, kind), pa.array(kept, pa.binary()), batch.column(3)], schema=schema))
-    return pa.Table.from_batches(out, schema)
-
-
-def without_repeats(docs: DataFrame, carry: list[str] | None = None) -> DataFrame:
+def _piece(piece: bytes, after_cut: bool, before_cut: bool) -> bytes:
+    """The piece without the bytes of characters that a cut at its ends has broken."""
+    if after_cut:
+        first = 0
+        while first < min(3, len(piece)) and piece[first] & 0xC0 == 0x80:
+            first += 1
+        piece = piece[first:]
+    if before_cut:
+        for back in range(1, min(3, len(piece)) + 1):
+            lead = piece[-back]
+            if lead & 0xC0 != 0x80:
+                if lead >= 0xC0 and back < (2 if lead < 0xE0 else 3 if lead < 0xF0 else 4):
+                    piece = piece[:-back]
+                break
+    return piece
+
+
+def _cut(whole: bool):
+    def work(texts: pa.Table, marked: pa.Table) -> pa.Table:
+        """doc_id, n_bytes, removed, kept and __carried of the documents of a group."""
+        copies, told = _asked(marked)
+        key = np.repeat(_joined(told, "numbers", np.uint32), _joined(told, "counts", np.uint32))
+        order = np.argsort(key, kind="stable")
+        key, marks = key[order], _joined(told, "marks", np.uint32).reshape(-1, 2)[order]
+        numbers, at_row = _numbers(texts.column("key").to_numpy()), 0
+        kind = pa.list_(pa.struct([("start", pa.int64()), ("end", pa.int64())]))
+        schema = pa.schema([("doc_id", pa.int64()), ("n_bytes", pa.int64()), ("removed", kind), ("kept", pa.binary()), ("__carried", texts.schema.field("__carried").type)])
+        out = []
+        for batch in slices(texts.select(["doc_id", "text", "key", "__carried"]).to_batches(), most=4 << 20):
+            data, offsets = raw(batch.column(1))
+            own, at_row = numbers[at_row : at_row + batch.num_rows], at_row + batch.num_rows
+            data, copy = data.tobytes(), np.isin(batch.column(2).to_numpy(), copies)
+            first, last = np.searchsorted(key, own, side="left"), np.searchsorted(key, own, side="right")
+            kept, removed = [], []
+            for i in range(batch.num_rows):
+                text = data[offsets[i] : offsets[i + 1]]
+                cut = spans(len(text), marks[first[i] : last[i]], bool(copy[i]))
+                ends = [0, *(b for _, b in cut)]
+                pieces = [text[a:b] for a, b in zip(ends, [*(a for a, _ in cut), len(text)])]
+                if whole and cut:
+                    pieces = [_piece(x, k > 0, k < len(cut)) for k, x in enumerate(pieces)]
+                kept.append(b"".join(pieces))
+                removed.append([{"start": a, "end": b} for a, b in cut])
+            out.append(pa.RecordBatch.from_arrays([batch.column(0), pa.array(np.diff(offsets)), pa.array(removed, kind), pa.array(kept, pa.binary()), batch.column(3)], schema=schema))
+        return pa.Table.from_batches(out, schema)
+
+    return work
+
+
+def without_repeats(docs: DataFrame, carry: list[str] | None = None, whole: bool = False) -> DataFrame:
     """doc_id, n_bytes, removed (start, end) and kept bytes of every row, and the columns named in carry.
 
     Documents are dealt into groups by a hash, and anchors into buckets, as many as GROUP_BYTES of text each ask for;
     what a bucket answers is one packed row for each group, so answers grow with the shared anchors and never with
     their pairs. A task holds one group or bucket at a time.
+
+    whole: kept loses the bytes of characters that a cut has broken as well; removed stays. It is done where the cuts are
+    made, since a step of its own asks for a second Python worker beside that of each task.
     """
     carry = carry or []
     text_keys = [F.xxhash64("doc_id", "text").alias("key"), F.xxhash64(F.lit(7), "doc_id", "text").alias("deal"), *(F.xxhash64(F.lit(k), "text").alias(f"c{k}") for k in (1, 2))]
@@ -452,45 +478,10 @@ def without_repeats(docs: DataFrame, carry: list[str] | None = None) -> DataFram
     contexts = dealt.cogroup(with_copies(shared)).applyInArrow(_sent_contexts(buckets), "group long, bucket int, numbers binary, docs binary, counts binary, pos binary, size binary, slice binary, bytes binary")
     matched = contexts.repartition(buckets, "bucket").groupBy("bucket").applyInArrow(_marks, "group long, numbers binary, counts binary, marks binary")
     kind = StructType.fromDDL("doc_id long, n_bytes long, removed array<struct<start:long,end:long>>, kept binary")
-    out = dealt.cogroup(with_copies(matched)).applyInArrow(_cut, StructType([*kind.fields, rows.schema["__carried"]]))
+    out = dealt.cogroup(with_copies(matched)).applyInArrow(_cut(whole), StructType([*kind.fields, rows.schema["__carried"]]))
     return out.select("doc_id", "n_bytes", "removed", "kept", *(F.col("__carried")[c].alias(c) for c in carry))
 
 
-def _piece(piece: bytes, after_cut: bool, before_cut: bool) -> bytes:
-    """The piece without the bytes of characters that a cut at its ends has broken."""
-    if after_cut:
-        first = 0
-        while first < min(3, len(piece)) and piece[first] & 0xC0 == 0x80:
-            first += 1
-        piece = piece[first:]
-    if before_cut:
-        for back in range(1, min(3, len(piece)) + 1):
-            lead = piece[-back]
-            if lead & 0xC0 != 0x80:
-                if lead >= 0xC0 and back < (2 if lead < 0xE0 else 3 if lead < 0xF0 else 4):
-                    piece = piece[:-back]
-                break
-    return piece
-
-
-def _characters(kept: bytes, removed: list[dict]) -> bytes:
-    """The kept bytes without characters that the removal of the spans has broken."""
-    out, at, gone = [], 0, 0
-    for k, span in enumerate(removed):
-        to = span["start"] - gone
-        out.append(_piece(kept[at:to], k > 0, True))
-        at, gone = to, gone + span["end"] - span["start"]
-    return b"".join(out) + _piece(kept[at:], bool(removed), False)
-
-
-def whole_characters(batches):
-    """doc_id, kept and __rest of batches of doc_id, removed, kept and __rest; kept has no broken characters at its cuts."""
-    for batch in batches:
-        column = {n: batch.column(k) for k, n in enumerate(batch.schema.names)}
-        out = [_characters(k, r) if r else k for k, r in zip(column["kept"].to_pylist(), column["removed"].to_pylist())]
-        yield pa.RecordBatch.from_arrays([column["doc_id"], pa.array(out, pa.binary()), column["__rest"]], ["doc_id", "kept", "__rest"])
-
-
 def op10(spark: SparkSession, sf_dir: str) -> DataFrame:
     out = without_repeats(spark.read.parquet(f"{sf_dir}/documents.parquet"))
     lost = F.aggregate("removed", F.lit(0).cast("long"), lambda s, x: s + x["end"] - x["start"])

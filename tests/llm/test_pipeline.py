@@ -1,5 +1,6 @@
 """The corpus pipeline: each stage against the operator or brute force on what the stage before it kept."""
 
+import re
 from collections import Counter
 
 import pytest
@@ -60,3 +61,18 @@ def test_near_duplicates_keep_one_of_equal_rows(spark):
     docs = spark.createDataFrame(rows, "doc_id long, text string, source string")
     got = sorted((r.doc_id or 0, r.source) for r in corpus_pipeline.near_duplicates(spark, docs, SF).collect())
     assert got == [(0, "a"), (0, "a"), (1, "a"), (4, "b"), (4, "c")]
+
+
+def test_tasks_ask_for_one_worker_each(spark):
+    def most(node, held=0):
+        """Python steps between two exchanges: each of them has a worker of its own in every task."""
+        name = node.nodeName()
+        if name == "AdaptiveSparkPlan":
+            return most(node.initialPlan(), held)
+        held = 0 if "Exchange" in name else held + bool(re.search("Arrow|Python|Pandas", name))
+        below = node.children()
+        return max([held, *(most(below.apply(k), held) for k in range(below.size()))])
+
+    docs = spark.createDataFrame([(k, f"text of document {k} " * 9, "en", "h", 9) for k in range(9)], "doc_id long, text string, lang string, source string, n_chars long")
+    for name, stage in corpus_pipeline.STAGES:
+        assert most(stage(spark, docs, SF)._jdf.queryExecution().executedPlan()) <= 1, name
