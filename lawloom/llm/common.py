@@ -201,26 +201,61 @@ def with_keys(rows: DataFrame, keyed: DataFrame, keys: list[str]) -> DataFrame:
     return rows.join(materialised(keyed), keys)
 
 
+#: Edges that one task joins in the end; more go through another round.
+FEW_EDGES = 1 << 16
+
+
+def joined(edges: DataFrame) -> DataFrame:
+    """(u, to): the smallest node of the component of every node of at most FEW_EDGES edges (u, v)."""
+
+    def work(batches):
+        root: dict[int, int] = {}
+
+        def find(x: int) -> int:
+            while root.setdefault(x, x) != x:
+                root[x] = x = root[root[x]]
+            return x
+
+        for batch in batches:
+            for u, v in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
+                u, v = find(u), find(v)
+                root[max(u, v)] = min(u, v)
+        yield pa.RecordBatch.from_arrays([pa.array(root, pa.int64()), pa.array([find(x) for x in root], pa.int64())], ["u", "to"])
+
+    return edges.select("u", "v").coalesce(1).mapInArrow(work, "u long, to long")
+
+
 def components(edges: DataFrame) -> DataFrame:
     """Connected components of (a, b): (node, component) of every node that has an edge; component is its smallest node.
 
-    Large-star and small-star steps in turn, each of them a join and an aggregate, until no edge changes.
-    Each step is kept in the shared folder; a hub with very many neighbours is a hot key of with_keys.
-    Nulls and loops are left out; repeated edges count once; no edge gives no row.
+    In each round every node is merged into the first of itself and its neighbours, and the edges between merged nodes are
+    those of the next round, so finished components leave at once. The first round goes by the numbers themselves, which
+    ends all stars around their smallest node; later ones by a hash of the round, so that long chains shrink by a share as
+    well. At most FEW_EDGES of them are joined by one task. Then the merges are followed from the last to the first.
+    A round is two exchanges and two tables in the shared folder; a hub with very many neighbours is a hot key of joins
+    between plain tables. Nulls and loops are left out; repeated edges count once; no edge gives no row. The edges are
+    read twice.
     """
-    e = materialised(edges.select(F.greatest("a", "b").alias("u"), F.least("a", "b").alias("v")).filter("u <> v").distinct())
+    e, merges = edges.select(F.col("a").alias("u"), F.col("b").alias("v")).filter("u <> v"), []
     while True:
         both = e.unionByName(e.select(F.col("v").alias("u"), F.col("u").alias("v")))
-        least = both.groupBy("u").agg(F.min("v").alias("o")).select("u", F.least("o", "u").alias("m"))
-        e = materialised(with_keys(both.filter("v > u"), least, ["u"]).select(F.col("v").alias("u"), F.col("m").alias("v")).distinct())
-        least = materialised(e.groupBy("u").agg(F.min("v").alias("m")))
-        near = e.join(least, "u").filter("v <> m").select(F.col("v").alias("u"), F.col("m").alias("v"))
-        e = materialised(near.unionByName(least.select("u", F.col("m").alias("v"))).distinct())
-        # stars: every node but the centres has one edge, and centres have none of their own
-        ends = e.select(F.col("u").alias("node"), F.lit(1).alias("own"), F.lit(0).alias("other")).unionByName(e.select(F.col("v").alias("node"), F.lit(0).alias("own"), F.lit(1).alias("other")))
-        loose = ends.groupBy("node").agg(F.sum("own").alias("own"), F.max("other").alias("other")).filter("own > 1 OR own > 0 AND other > 0")
-        if loose.isEmpty():
+        if merges:
+            first = [F.struct(F.xxhash64(F.lit(len(merges)), c).alias("h"), F.col(c).alias("to")) for c in ("u", "v")]
+            into = F.least(F.min(first[1]), first[0])["to"]
+        else:
+            into = F.least(F.min("v"), "u")
+        merges.append(materialised(both.groupBy("u").agg(into.alias("to"))))
+        ends = [merges[-1].select(F.col("u").alias(c), F.col("to").alias(f"{c}_to")) for c in ("u", "v")]
+        e = e.join(ends[0], "u").join(ends[1], "v").filter("u_to <> v_to")
+        e = materialised(e.select(F.greatest("u_to", "v_to").alias("u"), F.least("u_to", "v_to").alias("v")).distinct())
+        n = e.count()
+        if n <= FEW_EDGES:
             break
-    return e.select(F.col("u").alias("node"), F.col("v").alias("component")).unionByName(
-        e.select(F.col("v").alias("node"), F.col("v").alias("component")).distinct()
-    )
+    rounds = len(merges)
+    root = materialised(joined(e)) if n else merges.pop()
+    while merges:
+        root = merges.pop().join(root.select(F.col("u").alias("to"), F.col("to").alias("root")), "to", "left").select("u", F.coalesce("root", "to").alias("to"))
+    root = materialised(root)
+    if rounds > 1:  # the first by a hash is not the smallest
+        root = with_keys(root, root.groupBy("to").agg(F.min("u").alias("least")), ["to"]).select("u", F.col("least").alias("to"))
+    return root.select(F.col("u").alias("node"), F.col("to").alias("component"))

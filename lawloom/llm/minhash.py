@@ -149,15 +149,14 @@ def verified(ids: np.ndarray, known: np.ndarray, side: np.ndarray, sets: list[np
     keys = band_keys(sig, band_rows(percent))
     size = np.array([len(s) for s in sets])
     a, b = [], []
-    cross = len(np.unique(side)) > 1
-    for i in range(len(ids) - 1):
-        hit = (keys[i + 1 :] == keys[i]).any(1)
-        hit &= (ids[i + 1 :] != ids[i]) & (known[i + 1 :] != known[i])
-        if cross:
-            hit &= side[i + 1 :] != side[i]
-        low, high = np.minimum(size[i + 1 :], size[i]), np.maximum(size[i + 1 :], size[i])
+    fewer, more = sorted((np.flatnonzero(side == x) for x in np.unique(side)), key=len) if len(np.unique(side)) > 1 else (range(len(ids) - 1), None)
+    for i in fewer:
+        to = slice(i + 1, None) if more is None else more
+        hit = (keys[to] == keys[i]).any(1)
+        hit &= (ids[to] != ids[i]) & (known[to] != known[i])
+        low, high = np.minimum(size[to], size[i]), np.maximum(size[to], size[i])
         hit &= 100 * low >= percent * high
-        at = np.flatnonzero(hit) + i + 1
+        at = np.flatnonzero(hit) + i + 1 if more is None else more[hit]
         a.append(np.full(len(at), i))
         b.append(at)
     if not a:
@@ -192,18 +191,19 @@ def verified(ids: np.ndarray, known: np.ndarray, side: np.ndarray, sets: list[np
     return links
 
 
-#: The columns of a task: what it is of, two numbers, and its members with what is known of them.
-TASK = "of long, i long, j long, rep long, known long, side int"
-
-
-def confirmed(tasks: DataFrame, texts: DataFrame, size: int, percent: int) -> DataFrame:
-    """(a, b): the links of every task; texts: rep and text of all members."""
+def sketched(texts: DataFrame, size: int) -> DataFrame:
+    """(rep, set, sig) of (rep, text): the shingle set and its minimum hashes, as bytes."""
 
     def sketch(batches):
         for batch in slices(batches, most=512 << 10):
-            column = {n: batch.column(k) for k, n in enumerate(batch.schema.names)}
-            sets = shingle_sets(*raw(column.pop("text")), size)
-            yield pa.RecordBatch.from_arrays([*column.values(), pa.array([s.tobytes() for s in sets], pa.binary()), pa.array([s.tobytes() for s in signatures(sets)], pa.binary())], [*column, "set", "sig"])
+            sets = shingle_sets(*raw(batch.column(1)), size)
+            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array([s.tobytes() for s in sets], pa.binary()), pa.array([s.tobytes() for s in signatures(sets)], pa.binary())], ["rep", "set", "sig"])
+
+    return texts.select("rep", "text").mapInArrow(sketch, "rep long, set binary, sig binary")
+
+
+def confirmed(tasks: DataFrame, sketches: DataFrame, percent: int) -> DataFrame:
+    """(a, b): the links of every task; sketches: rep, set and sig of all members."""
 
     def work(table: pa.Table) -> pa.Table:
         column = {n: table.column(n).to_pylist() for n in table.schema.names}
@@ -215,8 +215,7 @@ def confirmed(tasks: DataFrame, texts: DataFrame, size: int, percent: int) -> Da
             give_back()
         return pa.table({"a": pa.array([x for x, _ in found], pa.int64()), "b": pa.array([x for _, x in found], pa.int64())})
 
-    names = [x.split()[0] for x in TASK.split(", ")]
-    rows = tasks.join(texts, "rep").select(*names, "text").mapInArrow(sketch, TASK + ", set binary, sig binary")
+    rows = tasks.join(sketches, "rep").select("of", "i", "j", "rep", "known", "side", "set", "sig")
     return rows.groupBy("of", "i", "j").applyInArrow(work, "a long, b long")
 
 
@@ -236,7 +235,7 @@ def _numbers(n: Column) -> Column:
     return F.explode(F.when(n > 0, F.sequence(F.lit(0).cast("long"), n - 1)))
 
 
-def crowded_links(keys: DataFrame, texts: DataFrame, size: int, percent: int) -> DataFrame:
+def crowded_links(keys: DataFrame, sketches: DataFrame, percent: int) -> DataFrame:
     """Confirmed links of crowds, from (key, rep, weight): the band keys and shingles of their classes.
 
     In the first round every class meets one hub, the least of the hubs of its keys by a hash, so classes that share many
@@ -250,26 +249,27 @@ def crowded_links(keys: DataFrame, texts: DataFrame, size: int, percent: int) ->
         if found is not None:
             parts = components(found)
             members = keys.join(parts.withColumnRenamed("node", "rep"), "rep", "left").withColumn("known", F.coalesce("component", "rep")).drop("component")
-        members = materialised(members)
-        by = members.groupBy("key", "known").agg(F.count("*").alias("c"), F.sum("weight").alias("w"))
-        main = F.max_by(F.struct("known", "c", "w"), F.struct("c", "known")).alias("main")
-        by = by.groupBy("key").agg(main, F.sum("c").alias("n"), F.sum("w").alias("w"), F.count("*").alias("parts")).filter("parts > 1")
+            members = materialised(members)
         if turn <= ROUNDS:
             order = F.xxhash64(F.lit(turn), "rep")
             hubs = members.groupBy("key").agg(F.min_by("rep", order).alias("hub"), F.min_by("known", order).alias("of_hub"))
-            pairs = with_keys(members, hubs.join(by.select("key"), "key", "left_semi"), ["key"])
-            pairs = pairs.filter("known <> of_hub").select("rep", "known", "weight", "hub", "of_hub").distinct()
-            if turn == 0:
+            pairs = with_keys(members, hubs, ["key"]).filter("known <> of_hub").select("rep", "known", "weight", "hub", "of_hub")
+            if turn:
+                pairs = pairs.distinct()
+            else:
                 least = F.min_by(F.struct("hub", "of_hub"), F.struct(F.xxhash64(F.lit(turn), "hub"), "hub"))
                 pairs = pairs.groupBy("rep", "known", "weight").agg(least.alias("least")).select("rep", "known", "weight", "least.*")
             pairs = materialised(pairs)
             counted = pairs.groupBy("hub", "of_hub").agg(F.count("*").alias("n"), F.sum("weight").alias("w"))
-            cut = counted.select("hub", "of_hub", blocks_of(F.col("n"), F.col("w")).alias("blocks"))
-            with_blocks = with_keys(pairs.drop("of_hub"), cut.drop("of_hub"), ["hub"])
+            cut = materialised(counted.select("hub", "of_hub", blocks_of(F.col("n"), F.col("w")).alias("blocks")))
+            with_blocks = pairs.drop("of_hub").join(cut.drop("of_hub"), "hub")
             tasks = with_blocks.select(*_task(F.col("hub"), F.pmod(F.xxhash64("rep"), "blocks"), F.lit(0), F.lit(0)))
             centres = cut.select(F.col("hub").alias("rep"), F.col("of_hub").alias("known"), _numbers(F.col("blocks")).alias("block"))
             tasks = tasks.unionByName(centres.select(*_task(F.col("rep"), F.col("block"), F.lit(0), F.lit(0))))
         else:
+            by = members.groupBy("key", "known").agg(F.count("*").alias("c"), F.sum("weight").alias("w"))
+            main = F.max_by(F.struct("known", "c", "w"), F.struct("c", "known")).alias("main")
+            by = by.groupBy("key").agg(main, F.sum("c").alias("n"), F.sum("w").alias("w"), F.count("*").alias("parts")).filter("parts > 1")
             few = blocks_of(F.col("n") - F.col("main.c"), F.col("w") - F.col("main.w"))
             cut = by.select("key", F.col("main.known").alias("main"), few.alias("few"), blocks_of(F.col("main.c"), F.col("main.w")).alias("many"))
             rows = with_keys(members, cut, ["key"])
@@ -282,7 +282,7 @@ def crowded_links(keys: DataFrame, texts: DataFrame, size: int, percent: int) ->
             left = outside.select("*", _numbers(F.col("many")).alias("m")).select(*_task(F.col("key"), F.col("block"), -1 - F.col("m"), F.lit(0)))
             right = rows.filter("known = main").select("*", other).select(*_task(F.col("key"), F.col("other"), -1 - F.col("block"), F.lit(1)))
             tasks = among.unionByName(left).unionByName(right)
-        links = materialised(confirmed(tasks, texts, size, percent))
+        links = materialised(confirmed(tasks, sketches, percent))
         found = links if found is None else found.unionByName(links)
     return found
 
@@ -293,16 +293,15 @@ def links(docs: DataFrame, classes: DataFrame, size: int, percent: int) -> DataF
     hubs = keys.groupBy("key").agg(F.min("rep").alias("hub"), F.count("*").alias("n")).filter("n > 1")
     keys = materialised(with_keys(keys, hubs.drop("n"), ["key"]))  # keys that several classes share
     stars = keys.filter("rep <> hub").select(F.col("rep").alias("a"), F.col("hub").alias("b"))
-    clusters = components(stars)
-    sized = clusters.join(classes.groupBy("rep").agg(F.sum("weight").alias("weight")), F.col("node") == F.col("rep"))
-    counted = sized.groupBy("component").agg(blocks_of(F.count("*"), F.sum("weight")).alias("blocks"))
-    members = materialised(with_keys(sized.select("rep", "component"), counted, ["component"]))
-    texts = materialised(docs.select(F.col("doc_id").alias("rep"), "text").join(members.select("rep"), "rep"))
-    small = members.filter("blocks = 1").withColumn("known", F.col("rep"))
-    found = confirmed(small.select(*_task(F.col("component"), F.lit(0), F.lit(0), F.lit(0))), texts, size, percent)
-    crowd = materialised(members.filter("blocks > 1").select("rep"))
-    if not crowd.isEmpty():
-        found = found.unionByName(crowded_links(materialised(keys.drop("hub").join(crowd, "rep").distinct()), texts, size, percent))
+    sized = materialised(components(stars).withColumnRenamed("node", "rep").join(classes.groupBy("rep").agg(F.sum("weight").alias("weight")), "rep"))
+    crowds = sized.groupBy("component").agg(blocks_of(F.count("*"), F.sum("weight")).alias("blocks")).filter("blocks > 1")
+    crowds = materialised(crowds.select("component"))  # few rows
+    sketches = materialised(sketched(docs.select(F.col("doc_id").alias("rep"), "text").join(sized.select("rep"), "rep"), size))
+    small = sized.join(crowds, "component", "left_anti").withColumn("known", F.col("rep"))
+    found = materialised(confirmed(small.select(*_task(F.col("component"), F.lit(0), F.lit(0), F.lit(0))), sketches, percent))
+    if not crowds.isEmpty():
+        crowd = sized.join(crowds, "component", "left_semi").select("rep")
+        found = found.unionByName(crowded_links(materialised(keys.drop("hub").join(crowd, "rep").distinct()), sketches, percent))
     return found
 
 
@@ -313,6 +312,7 @@ def near_duplicates(docs: DataFrame, size: int = 5, percent: int = 80) -> DataFr
     classes = full.groupBy("a", "b").agg(F.min("doc_id").alias("rep"), F.any_value("bands").alias("bands"), F.max("n_shingles").alias("weight"))
     classes = materialised(classes)
     copies = full.select("doc_id", "a", "b").join(classes.select("a", "b", "rep"), ["a", "b"]).select(F.col("doc_id").alias("a"), F.col("rep").alias("b"))
+    copies = materialised(copies.filter("a <> b"))
     # one doc_id with several texts is a node of several classes, so copies are edges as well
     parts = components(links(docs, classes, size, percent).unionByName(copies))
     joined = every.join(parts, every["doc_id"] == parts["node"], "left")

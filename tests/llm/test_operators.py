@@ -11,7 +11,7 @@ import pandas as pd
 import pytest
 from pyspark.sql import functions as F
 
-from lawloom.llm import embedding_dedup, html_text, language_id, minhash, mixing, packing, quality_classifier, quality_rules, repeats, toxicity
+from lawloom.llm import common, embedding_dedup, html_text, language_id, minhash, mixing, packing, quality_classifier, quality_rules, repeats, toxicity
 from lawloom.llm.queries import oracle_sql, queries
 
 SF, LARGER = "/root/testdata/sf0.001", "/root/testdata/sf0.01"
@@ -145,6 +145,23 @@ def test_classes_of_a_crowd_meet_one_hub_first(spark, monkeypatch):
     assert sum(rows) < 4 * len(texts)  # each key's hub at once: many times as many
 
 
+@pytest.mark.parametrize("few", [0, 20, common.FEW_EDGES])
+def test_components_take_few_tables(spark, monkeypatch, few):
+    monkeypatch.setattr(common, "FEW_EDGES", few)
+    rng = np.random.default_rng(8)
+    chain = [int(x) for x in rng.permutation(60)]  # 60 nodes in a row, in any order
+    edges = list(zip(chain, chain[1:])) + list(zip(range(100, 160), range(101, 161)))
+    edges += [(300, 300 + k) for k in range(1, 40)] + [(499, 400 + k) for k in range(40)] + [tuple(int(x) for x in rng.integers(500, 600, 2)) for _ in range(90)]
+    nodes = {x for a, b in edges if a != b for x in (a, b)}
+    tables, scratch = [], common.scratch
+    monkeypatch.setattr(common, "scratch", lambda *a: tables.append(1) or scratch(*a))
+    docs = spark.createDataFrame(edges + edges[:9] + [(None, 1), (7, None), (900, 900)], "a long, b long")
+    got = common.components(docs).collect()
+    assert len(got) == len(nodes) and {r.node: r.component for r in got} == components(nodes, [e for e in edges if e[0] != e[1]])
+    assert few <= 20 or len(tables) <= 4  # a table of each step of every round: ten and more
+    assert common.components(docs.limit(0)).count() == 0
+
+
 def test_packing_is_a_round_trip(spark):
     from tokenizers import Tokenizer
 
