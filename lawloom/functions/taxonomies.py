@@ -7,6 +7,8 @@ Spark and Python read.
 
 from __future__ import annotations
 
+import re
+
 # Management themes and their patterns, in order of rank.
 THEMES = {
     "Policy": ["[Pp]olicy?i?e?s?", "[Oo]bjectives?", "[Ss]trateg"],
@@ -287,3 +289,8 @@ def java(pattern: str) -> str:
 def python(pattern: str) -> str:
     """The pattern with POSIX classes as Python writes them."""
     return pattern.replace("[:blank:]", r" \t").replace("[:punct:]", r"!-/:-@\[-`{-~")
+
+
+def python_lines(pattern: str) -> str:
+    """The pattern as Python writes it, in which a dot ends at all ends of lines that Java knows."""
+    return re.sub(r"\\.|\.", lambda m: m[0] if len(m[0]) > 1 else r"[^\n\r\x85\u2028\u2029]", python(pattern))
